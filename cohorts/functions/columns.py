@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import add
+import math
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -25,6 +24,19 @@ def col(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+def ident(name: str) -> str:
+    """Name quoted for SQL text. Wide expressions are written as SQL text: one call instead of hundreds."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def number(value: float) -> str:
+    """A double literal that reads back as exactly the same value."""
+    value = float(value)
+    if math.isfinite(value):
+        return f"({value!r}D)"
+    return f"double('{value!r}')"
+
+
 def is_float(df: DataFrame, name: str) -> bool:
     return isinstance(df.schema[name].dataType, (T.DoubleType, T.FloatType))
 
@@ -35,6 +47,12 @@ def as_double(df: DataFrame, name: str) -> Column:
     return F.nanvl(value, F.lit(None).cast("double")) if is_float(df, name) else value
 
 
+def double_sql(df: DataFrame, name: str) -> str:
+    """SQL text of :func:`as_double`."""
+    text = f"cast({ident(name)} as double)"
+    return f"nanvl({text}, cast(null as double))" if is_float(df, name) else text
+
+
 def numeric_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
 
@@ -62,9 +80,6 @@ def rounded(value: Column, places: int = 6) -> Column:
     return F.round(value, places) + F.lit(0.0)
 
 
-def total(terms: list[Column]) -> Column:
-    return reduce(add, terms)
-
-
-def squared_distance(left: list[Column], right: list[Column]) -> Column:
-    return total([(a - b) * (a - b) for a, b in zip(left, right)])
+def squared_distance(left: list[str], right: list[str]) -> str:
+    """SQL text of the squared distance between two lists of SQL terms, summed in list order."""
+    return " + ".join(f"({a} - {b}) * ({a} - {b})" for a, b in zip(left, right))

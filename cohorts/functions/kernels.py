@@ -260,3 +260,26 @@ def distance_sums(p: int):
             yield pd.DataFrame({"block": blocks, "other": labels, "size": counts, "sums": values})
 
     return run
+
+
+def product_sums(p: int):
+    """Sums and products of all column pairs over rows where both are present; one small table per task."""
+
+    def run(batches):
+        totals = None
+        for pdf in batches:
+            x = pdf.to_numpy(dtype=float)
+            present = (~np.isnan(x)).astype(float)
+            x = np.nan_to_num(x)
+            sums = np.stack(
+                [present.T @ present, x.T @ present, present.T @ x, (x * x).T @ present, present.T @ (x * x), x.T @ x]
+            )
+            totals = sums if totals is None else totals + sums
+        if totals is not None:
+            i, j = np.divmod(np.arange(p * p), p)
+            flat = totals.reshape(6, -1)
+            yield pd.DataFrame(
+                {"i": i, "j": j, **{name: flat[k] for k, name in enumerate(("n", "x", "y", "xx", "yy", "xy"))}}
+            )
+
+    return run

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from cohorts.functions import kernels
-from cohorts.functions.columns import total
+from cohorts.functions.columns import number, squared_distance
 from cohorts.session import materialize
 
 LEAF_ROWS = 128
@@ -62,19 +62,20 @@ class Tree:
     features: list[str]
     shifts: list[int]
 
-    def nodes(self, level: int) -> DataFrame:
+    def nodes(self, level: int, prefix: str) -> DataFrame:
+        """Boxes of a level with a known row, the weight and the parent's number."""
         p = len(self.features)
         shift = self.shifts[level]
         up = self.shifts[level + 1] - shift
-        node = F.shiftright("leaf", shift)
-        boxes = [F.min(f"lo{i}").alias(f"lo{i}") for i in range(p)] + [F.max(f"hi{i}").alias(f"hi{i}") for i in range(p)]
-        first = F.min_by(F.struct(*[f"rep{i}" for i in range(p)]), "leaf").alias("rep")
-        return (
-            self.leaves.groupBy(node.alias("node"))
-            .agg(*boxes, first, F.sum("w").alias("w"))
-            .select("node", F.shiftright("node", up).alias("parent"), *[f"lo{i}" for i in range(p)],
-                    *[f"hi{i}" for i in range(p)], "rep.*", "w")
+        first = [f"rep[{i}] as {prefix}_rep{i}" for i in range(p)]
+        rep = f"min_by(array({', '.join(f'rep{i}' for i in range(p))}), leaf) as rep"
+        merged = self.leaves.groupBy(F.shiftright("leaf", shift).alias(f"{prefix}_node")).agg(
+            *[F.expr(f"min(lo{i}) as {prefix}_lo{i}") for i in range(p)],
+            *[F.expr(f"max(hi{i}) as {prefix}_hi{i}") for i in range(p)],
+            F.expr(rep),
+            F.expr(f"sum(w) as {prefix}_w"),
         )
+        return merged.selectExpr("*", f"shiftright({prefix}_node, {up}) as {prefix}_parent", *first).drop("rep")
 
 
 def plan_splits(df: DataFrame, features: list[str], rows: int, seed: int = 7) -> Splits:
@@ -142,33 +143,30 @@ def close_pairs(
     spark = left.leaves.sparkSession
     p, limit = len(left.features), eps * eps
     same = min_samples is not None
+    zeros, surely = ["0.0D"] * p, number(limit * (1 - SLACK))
     frontier = spark.range(1).select(F.col("id").alias("a"), F.col("id").alias("b"))
     settled: list[tuple[int, DataFrame]] = []
     for level in range(len(left.shifts) - 2, -1, -1):
-        a = left.nodes(level)
-        a = a.select(*[F.col(c).alias(f"a_{c}") for c in a.columns])
-        b = right.nodes(level)
-        b = b.select(*[F.col(c).alias(f"b_{c}") for c in b.columns])
-        near = frontier.join(a, F.col("a") == F.col("a_parent")).join(b, F.col("b") == F.col("b_parent"))
-        gaps = [
-            F.greatest(F.col(f"a_lo{i}") - F.col(f"b_hi{i}"), F.col(f"b_lo{i}") - F.col(f"a_hi{i}"), F.lit(0.0))
-            for i in range(p)
-        ]
-        near = near.where(total([g * g for g in gaps]) <= F.lit(limit * (1 + SLACK)))
-        done = F.lit(False)
+        near = frontier.join(left.nodes(level, "a"), F.col("a") == F.col("a_parent")).join(
+            right.nodes(level, "b"), F.col("b") == F.col("b_parent")
+        )
+        gaps = [f"greatest(a_lo{i} - b_hi{i}, b_lo{i} - a_hi{i}, 0.0D)" for i in range(p)]
+        near = near.where(f"{squared_distance(gaps, zeros)} <= {number(limit * (1 + SLACK))}")
+        done = "false"
         if same:
             near = near.where("a_node <= b_node")
 
-            def reach(s: str, t: str):
-                spans = [F.greatest(F.col(f"{t}_hi{i}") - F.col(f"{s}_lo{i}"), F.col(f"{s}_hi{i}") - F.col(f"{t}_lo{i}")) for i in range(p)]
-                return total([v * v for v in spans]) <= F.lit(limit * (1 - SLACK))
+            def reach(s: str, t: str) -> str:
+                spans = [f"greatest({t}_hi{i} - {s}_lo{i}, {s}_hi{i} - {t}_lo{i})" for i in range(p)]
+                return f"({squared_distance(spans, zeros)}) <= {surely}"
 
-            steps = [F.col(f"a_rep{i}") - F.col(f"b_rep{i}") for i in range(p)]
-            enough = (F.col("a_w") >= min_samples) & (F.col("b_w") >= min_samples)
-            touching = total([v * v for v in steps]) <= F.lit(limit * (1 - SLACK))
-            done = enough & (reach("a", "b") | (reach("a", "a") & reach("b", "b") & touching))
+            steps = squared_distance([f"a_rep{i}" for i in range(p)], [f"b_rep{i}" for i in range(p)])
+            done = (
+                f"a_w >= {min_samples} and b_w >= {min_samples} and ({reach('a', 'b')} or "
+                f"({reach('a', 'a')} and {reach('b', 'b')} and ({steps}) <= {surely}))"
+            )
         seen = Observation(f"pairs-{uuid.uuid4().hex}")
-        pairs = near.select(F.col("a_node").alias("a"), F.col("b_node").alias("b"), done.alias("settled"))
+        pairs = near.selectExpr("a_node as a", "b_node as b", f"{done} as settled")
         pairs = materialize(pairs.observe(seen, F.count_if("settled").alias("settled")), "pairs")
         if same and seen.get["settled"]:
             settled.append((level, pairs.where("settled").select("a", "b")))

@@ -11,7 +11,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohorts.functions.columns import as_double, col, rounded, squared_distance
+from cohorts.functions.columns import double_sql, ident, number, rounded, squared_distance
 from cohorts.schema import KEY, LABEL
 
 CENTRE_SCHEMA = "cluster int, ord int, feature string, value double"
@@ -44,18 +44,18 @@ def centres_from_frame(df: DataFrame) -> tuple[list[str], list[list[float]]]:
     return features, [centres[c] for c in sorted(centres)]
 
 
-def centre_distances(features: list[str], centres: list[list[float]]):
-    """Array of squared distances to every centre, in centre order."""
-    point = [col(f) for f in features]
-    return F.array(*[squared_distance(point, [F.lit(float(v)) for v in c]) for c in centres])
+def centre_distances(features: list[str], centres: list[list[float]]) -> str:
+    """SQL text of the array of squared distances to every centre, in centre order."""
+    point = [ident(f) for f in features]
+    return f"array({', '.join(squared_distance(point, [number(v) for v in c]) for c in centres)})"
 
 
 def assign(
     df: DataFrame, features: list[str], centres: list[list[float]], label: str = LABEL, keep_distance: str | None = None
 ) -> DataFrame:
     """Adds the nearest centre's number; equal distances go to the lowest. No shuffle, no join."""
-    out = df.withColumn("_d", centre_distances(features, centres))
-    out = out.withColumn(label, (F.array_position("_d", F.array_min("_d")) - 1).cast("int"))
+    out = df.selectExpr("*", f"{centre_distances(features, centres)} as _d")
+    out = out.withColumn(label, F.expr("cast(array_position(_d, array_min(_d)) - 1 as int)"))
     if keep_distance:
         out = out.withColumn(keep_distance, F.array_min("_d"))
     return out.drop("_d")
@@ -75,15 +75,15 @@ def lloyd(df: DataFrame, features: list[str], centres: list[list[float]], rounds
     """
     done = 0
     for _ in range(rounds):
-        means = (
+        sums = (
             assign(df.select(*features), features, centres, "_c")
             .groupBy("_c")
-            .agg(*[F.avg(col(f)).alias(f"m{i}") for i, f in enumerate(features)])
+            .agg(F.count(F.lit(1)).alias("n"), *[F.expr(f"sum({ident(f)}) as s{i}") for i, f in enumerate(features)])
             .collect()
         )
         moved = [list(c) for c in centres]
-        for r in means:
-            moved[r["_c"]] = [r[f"m{i}"] for i in range(len(features))]
+        for r in sums:
+            moved[r["_c"]] = [r[f"s{i}"] / r["n"] for i in range(len(features))]
         shift = max(sum((a - b) ** 2 for a, b in zip(old, new)) for old, new in zip(centres, moved))
         centres, done = moved, done + 1
         if shift <= tol:
@@ -92,8 +92,7 @@ def lloyd(df: DataFrame, features: list[str], centres: list[list[float]], rounds
 
 
 def inertia(df: DataFrame, features: list[str], centres: list[list[float]]) -> float:
-    best = df.select(F.array_min(centre_distances(features, centres)).alias("d2"))
-    return best.agg(F.sum("d2").alias("sse")).first()["sse"] or 0.0
+    return df.selectExpr(f"sum(array_min({centre_distances(features, centres)})) as sse").first()["sse"] or 0.0
 
 
 def cluster_summary(df: DataFrame, features: list[str], centres: list[list[float]]) -> DataFrame:
@@ -107,7 +106,7 @@ def cluster_summary(df: DataFrame, features: list[str], centres: list[list[float
 
 
 def vectors(df: DataFrame, features: list[str], *keep: str) -> DataFrame:
-    cells = F.array(*[as_double(df, f) for f in features])
+    cells = F.expr(f"array({', '.join(double_sql(df, f) for f in features)})")
     return df.select(*keep, array_to_vector(cells).alias("features"))
 
 
@@ -134,9 +133,7 @@ def fit_kmeans(
 
 def total_inertia(df: DataFrame, features: list[str]) -> float:
     """Squared error around the overall mean: the elbow curve at k = 1."""
-    row = df.agg(
-        F.count(F.lit(1)).alias("n"), *[F.var_pop(col(f)).alias(f"v{i}") for i, f in enumerate(features)]
-    ).first()
+    row = df.selectExpr("count(1) as n", *[f"var_pop({ident(f)}) as v{i}" for i, f in enumerate(features)]).first()
     return row["n"] * sum(row[f"v{i}"] or 0.0 for i in range(len(features)))
 
 

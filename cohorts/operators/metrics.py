@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohorts.functions import kernels
-from cohorts.functions.columns import col, squared_distance, total
+from cohorts.functions.columns import col, ident, squared_distance
 from cohorts.operators.blocks import arrow_rows
 from cohorts.operators.kmeans import vectors
 from cohorts.schema import LABEL, NOISE
@@ -133,17 +133,73 @@ def silhouette_sq(labelled: DataFrame, features: list[str], label: str = LABEL)
 def davies_bouldin(labelled: DataFrame, features: list[str], label: str = LABEL) -> float:
     """Mean over clusters of the worst ratio of spread to centre distance; -1.0 with fewer than two labels."""
     rows = labelled.select(col(label).alias("_l"), *[col(f) for f in features])
-    means = [F.avg(col(f)).alias(f"m{i}") for i, f in enumerate(features)]
+    means = [F.expr(f"avg({ident(f)}) as m{i}") for i, f in enumerate(features)]
     centroids = materialize(rows.groupBy("_l").agg(*means), "centroids")
     names = centroids.count()
     if names < 2:
         return -1.0
     table = F.broadcast(centroids) if names * len(features) <= 1_000_000 else centroids
-    gap = F.sqrt(squared_distance([col(f) for f in features], [F.col(f"m{i}") for i in range(len(features))]))
-    spread = rows.join(table, "_l").groupBy("_l").agg(F.avg(gap).alias("s"))
+    own = squared_distance([ident(f) for f in features], [f"m{i}" for i in range(len(features))])
+    spread = rows.join(table, "_l").groupBy("_l").agg(F.expr(f"avg(sqrt({own})) as s"))
     spread = materialize(spread.join(centroids, "_l"), "spread")
     one, two = spread.alias("i"), spread.alias("j")
-    between = F.sqrt(total([(F.col(f"i.m{i}") - F.col(f"j.m{i}")) ** 2 for i in range(len(features))]))
-    ratio = (F.col("i.s") + F.col("j.s")) / F.nullif(between, F.lit(0.0))
+    between = squared_distance([f"i.m{i}" for i in range(len(features))], [f"j.m{i}" for i in range(len(features))])
+    ratio = F.expr(f"(i.s + j.s) / nullif(sqrt({between}), 0.0D)")
     worst = one.join(two, F.col("i._l") != F.col("j._l")).groupBy("i._l").agg(F.coalesce(F.max(ratio), F.lit(0.0)).alias("r"))
     return worst.agg(F.avg("r").alias("r")).first()["r"]
+
+
+METRICS_SCHEMA = "model string, ord int, metric string, value double"
+
+
+def evaluate_model(
+    labelled: DataFrame,
+    features: list[str],
+    name: str,
+    density: bool = False,
+    label: str = LABEL,
+    on_undefined: str = "nan",
+) -> DataFrame:
+    """Rows ``(model, ord, metric, value)``.
+
+    With ``density`` noise rows are left out of both scores and counted. With
+    fewer than two clusters the scores are -1.0, NULL or left out, as
+    ``on_undefined`` says (``minus_one``, ``nan``, ``omit``).
+    """
+    if on_undefined not in UNDEFINED:
+        raise ValueError(f"on_undefined must be one of {', '.join(UNDEFINED)}")
+    counts = label_counts(labelled, label)
+    rows = []
+    if counts["clusters"] >= 2:
+        judged = labelled.where(col(label) != NOISE) if density else labelled
+        rows.append((name, 0, "silhouette_score", silhouette(judged, features, label)))
+        rows.append((name, 1, "davies_bouldin_score", davies_bouldin(judged, features, label)))
+    elif on_undefined != "omit":
+        value = -1.0 if on_undefined == "minus_one" else None
+        rows += [(name, 0, "silhouette_score", value), (name, 1, "davies_bouldin_score", value)]
+    rows.append((name, 2, "num_clusters_found", float(counts["clusters"])))
+    if density:
+        rows.append((name, 3, "noise_points_found", float(counts["noise"])))
+    return labelled.sparkSession.createDataFrame(rows, METRICS_SCHEMA)
+
+
+def clustering_metrics(labelled: DataFrame, features: list[str], name: str, label: str = LABEL) -> DataFrame:
+    """Library variant: noise is left out wherever it occurs, and nothing is reported below two clusters."""
+    counts = label_counts(labelled, label)
+    if counts["clusters"] < 2:
+        return labelled.sparkSession.createDataFrame([], METRICS_SCHEMA)
+    judged = labelled.where(col(label) != NOISE)
+    rows = [
+        (name, 0, "silhouette_score", silhouette(judged, features, label)),
+        (name, 1, "davies_bouldin_score", davies_bouldin(judged, features, label)),
+        (name, 2, "num_clusters", float(counts["clusters"])),
+        (name, 3, "noise_points", float(counts["noise"])),
+    ]
+    return labelled.sparkSession.createDataFrame(rows, METRICS_SCHEMA)
+
+
+def metrics_report(*tables: DataFrame) -> DataFrame:
+    out = tables[0]
+    for table in tables[1:]:
+        out = out.unionByName(table)
+    return out

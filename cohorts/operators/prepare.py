@@ -5,9 +5,8 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from cohorts.functions.columns import as_double, col, rounded
+from cohorts.functions.columns import double_sql, ident, number
 from cohorts.operators.quantiles import DIRECT_ROWS, exact_quantiles
 from cohorts.schema import DROP_COLUMNS, FEATURES, KEY, features_of
 
@@ -55,17 +54,13 @@ def fit_preprocessor(
     missing count and its median, so filling needs no pass of its own.
     """
     names = features_of(df.columns, features)
-    value = {c: as_double(df, c) for c in names}
-    wanted = [F.count(F.lit(1)).alias("rows")]
+    wanted = ["count(1) as rows"]
     for i, c in enumerate(names):
-        wanted += [
-            F.count(value[c]).alias(f"n{i}"),
-            F.avg(value[c]).alias(f"m{i}"),
-            F.var_pop(value[c]).alias(f"v{i}"),
-        ]
+        value = double_sql(df, c)
+        wanted += [f"count({value}) as n{i}", f"avg({value}) as m{i}", f"var_pop({value}) as v{i}"]
         if approx:
-            wanted.append(F.percentile_approx(value[c], 0.5, 100_000).alias(f"q{i}"))
-    row = df.agg(*wanted).first()
+            wanted.append(f"percentile_approx({value}, 0.5D, 100000) as q{i}")
+    row = df.selectExpr(*wanted).first()
     rows = row["rows"]
     if rows == 0:
         raise ValueError("cannot fit on an empty frame")
@@ -98,8 +93,8 @@ def fit_two_pass(df: DataFrame, features: list[str] = FEATURES) -> list[FeatureP
     names = features_of(df.columns, features)
     first = fit_preprocessor(df, names)
     filled = impute(df, first)
-    row = filled.agg(
-        *[f(col(c)).alias(f"{t}{i}") for i, c in enumerate(names) for t, f in (("m", F.avg), ("s", F.stddev_pop))]
+    row = filled.selectExpr(
+        *[f"{f}({ident(c)}) as {t}{i}" for i, c in enumerate(names) for t, f in (("m", "avg"), ("s", "stddev_pop"))]
     ).first()
     return [
         FeatureParam(p.feature, p.ord, p.median, row[f"m{i}"], row[f"s{i}"], p.rows, p.missing)
@@ -107,18 +102,22 @@ def fit_two_pass(df: DataFrame, features: list[str] = FEATURES) -> list[FeatureP
     ]
 
 
+def _replace(df: DataFrame, expressions: dict[str, str]) -> DataFrame:
+    return df.selectExpr(*[f"{expressions[c]} as {ident(c)}" if c in expressions else ident(c) for c in df.columns])
+
+
 def impute(df: DataFrame, params: list[FeatureParam]) -> DataFrame:
-    return df.withColumns({p.feature: F.coalesce(as_double(df, p.feature), F.lit(p.median)) for p in params})
+    return _replace(df, {p.feature: f"coalesce({double_sql(df, p.feature)}, {number(p.median)})" for p in params})
 
 
 def scale(df: DataFrame, params: list[FeatureParam], places: int | None = None) -> DataFrame:
     """(x - mean) / std; a column without spread is only centred."""
 
-    def one(p: FeatureParam):
-        value = (col(p.feature) - F.lit(p.mean)) / F.lit(p.std if p.std else 1.0)
-        return rounded(value, places) if places is not None else value
+    def one(p: FeatureParam) -> str:
+        value = f"({ident(p.feature)} - {number(p.mean)}) / {number(p.std or 1.0)}"
+        return f"round({value}, {places}) + 0.0D" if places is not None else value
 
-    return df.withColumns({p.feature: one(p) for p in params})
+    return _replace(df, {p.feature: one(p) for p in params})
 
 
 def apply_preprocessor(
@@ -140,6 +139,6 @@ def apply_preprocessor(
 
 def inverse_scale(df: DataFrame, params: list[FeatureParam]) -> DataFrame:
     """Back to original units; filled cells come back as the median."""
-    return df.withColumns(
-        {p.feature: col(p.feature) * F.lit(p.std if p.std else 1.0) + F.lit(p.mean) for p in params}
+    return _replace(
+        df, {p.feature: f"{ident(p.feature)} * {number(p.std or 1.0)} + {number(p.mean)}" for p in params}
     )

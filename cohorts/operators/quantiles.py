@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohorts.functions.columns import as_double
+from cohorts.functions.columns import as_double, double_sql, number
 
 DIRECT_ROWS = 1_000_000
 GATHER_ROWS = 50_000
@@ -123,11 +123,12 @@ def exact_quantiles(
     The result has one number per column and probability.
     """
     if counts is None:
-        row = df.agg(*[F.count(as_double(df, c)).alias(f"n{i}") for i, c in enumerate(columns)]).first()
+        row = df.selectExpr(*[f"count({double_sql(df, c)}) as n{i}" for i, c in enumerate(columns)]).first()
         counts = {c: row[f"n{i}"] for i, c in enumerate(columns)}
     if max(counts[c] for c in columns) <= direct_rows:
-        row = df.agg(
-            *[F.percentile(as_double(df, c), F.array(*map(F.lit, probs))).alias(f"q{i}") for i, c in enumerate(columns)]
+        shares = f"array({', '.join(map(number, probs))})"
+        row = df.selectExpr(
+            *[f"percentile({double_sql(df, c)}, {shares}) as q{i}" for i, c in enumerate(columns)]
         ).first()
         return {c: list(row[f"q{i}"] or [None] * len(probs)) for i, c in enumerate(columns)}
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohorts.functions.columns import col
+from cohorts.functions.columns import col, ident
 from cohorts.operators.kmeans import KMeansFit, assign
 from cohorts.operators.prepare import FeatureParam, impute, scale
 from cohorts.schema import KEY, LABEL
@@ -54,9 +54,8 @@ def totals(labelled: DataFrame, label: str = LABEL) -> DataFrame:
 
 
 def means_per_cluster(labelled: DataFrame, features: list[str], label: str = LABEL) -> DataFrame:
-    return labelled.groupBy(label).agg(
-        F.count(F.lit(1)).alias("size"), *[F.avg(col(f)).alias(f) for f in features]
-    )
+    means = [F.expr(f"avg({ident(f)}) as {ident(f)}") for f in features]
+    return labelled.groupBy(label).agg(F.count(F.lit(1)).alias("size"), *means)
 
 
 def preview(df: DataFrame, key: str = KEY, rows: int = 20) -> DataFrame:

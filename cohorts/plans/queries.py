@@ -9,11 +9,15 @@ from pyspark.sql import functions as F
 
 from cohorts.functions.columns import col, rounded
 from cohorts.mart import customer_mart, embedding_frame
+from cohorts.operators import insights as ins
 from cohorts.operators import kmeans as km
+from cohorts.operators import metrics as met
 from cohorts.operators import prepare as prep
+from cohorts.operators import profile as prof
 from cohorts.operators import score as sc
 from cohorts.operators import validate as val
-from cohorts.plans.batch import score_file
+from cohorts.operators.dbscan import assign_to_core, cluster_counts, dbscan
+from cohorts.plans.batch import density_score, score_file
 from cohorts.schema import EXPECTED_TYPES, FEATURES, KEY, LABEL, customer_schema
 from cohorts.session import materialize, new_path
 from cohorts.sources import csv as csv_io
@@ -358,3 +362,253 @@ def q_stream(spark, base):
     run = score_landing(spark, landing, serving, output, new_path(spark, "stream-state"), places=PLACES)
     run.awaitTermination()
     return read_scored(spark, output)
+
+
+# Profiling
+
+
+@query("e1_describe")
+def q_describe(spark, base):
+    mart = mart_table(spark, base)
+    table = prof.describe(mart, FEATURES)
+    return table.withColumns({s: rounded(F.col(s)) for s in prof.STATISTICS[1:]})
+
+
+@query("e1_describe_scaled")
+def q_describe_scaled(spark, base):
+    _, scaled, _ = scaled_table(spark, base)
+    table = prof.describe(scaled, FEATURES)
+    return table.withColumns({s: rounded(F.col(s)) for s in prof.STATISTICS[1:]})
+
+
+@query("e1a_describe_text")
+def q_describe_text(spark, base):
+    orders = spark.read.parquet(f"{base}/orders.parquet")
+    return prof.describe_text(orders, ["o_orderstatus", "o_orderpriority"])
+
+
+@query("e2_counts")
+def q_counts(spark, base):
+    return prof.frame_counts(customer_mart(spark, base))
+
+
+@query("e3_nulls")
+def q_null_summary(spark, base):
+    return prof.null_summary(customer_mart(spark, base))
+
+
+@query("e4_histogram")
+def q_histogram(spark, base):
+    bins = prof.histogram(mart_table(spark, base), FEATURES)
+    return bins.withColumns({c: rounded(F.col(c), 8) for c in ("left", "right")})
+
+
+@query("e5_density")
+def q_density(spark, base):
+    _, scaled, _ = scaled_table(spark, base)
+    curve = prof.density(scaled, FEATURES)
+    return curve.withColumns({"x": rounded(F.col("x"), 5), "density": rounded(F.col("density"), 5)})
+
+
+@query("e6_box")
+def q_box(spark, base):
+    boxes = prof.box_stats(mart_table(spark, base), FEATURES)
+    return boxes.withColumns({c: rounded(F.col(c), 4) for c in ("q25", "q50", "q75", "low", "high")})
+
+
+@query("e6_outliers")
+def q_outliers(spark, base):
+    return prof.outlier_rows(mart_table(spark, base), FEATURES)
+
+
+@query("e7_corr")
+def q_corr(spark, base):
+    return prof.correlations(mart_table(spark, base), FEATURES).withColumn("r", rounded(F.col("r")))
+
+
+@query("e8_sample")
+def q_sample(spark, base):
+    return prof.pair_sample(customer_mart(spark, base), ["BALANCE", "PURCHASES", "CREDIT_LIMIT", "PAYMENTS", "TENURE"])
+
+
+@query("e10_report")
+def q_profile_report(spark, base):
+    mart = mart_table(spark, base).select(KEY, *FEATURES)
+    return prof.profile_report(mart, FEATURES).withColumn("value", rounded(F.col("value"), 5))
+
+
+# Density clustering
+
+EPS, MIN_SAMPLES = 1.75, 5
+
+
+def density_labelled(spark: SparkSession, base: str, features: list[str] = FEATURES, eps: float = EPS):
+    mart, scaled, params = scaled_table(spark, base)
+    labels = materialize(dbscan(scaled, features, eps, MIN_SAMPLES), "labels")
+    return mart, scaled, params, labels
+
+
+def kmeans_labelled(spark: SparkSession, base: str):
+    mart, scaled, params, model = trained(spark, base)
+    return mart, scaled, params, materialize(km.assign(scaled, FEATURES, model.centres).select(KEY, LABEL), "labels")
+
+
+@query("m3_dbscan")
+def q_dbscan(spark, base):
+    return density_labelled(spark, base)[3]
+
+
+@query("m3_dbscan_five_features")
+def q_dbscan_five(spark, base):
+    chosen = ["BALANCE", "PURCHASES", "CREDIT_LIMIT", "PAYMENTS", "TENURE"]
+    return density_labelled(spark, base, chosen, 0.5)[3]
+
+
+@query("m3_dbscan_dense")
+def q_dbscan_dense(spark, base):
+    return density_labelled(spark, base, ["BALANCE", "PURCHASES"], 0.3)[3]
+
+
+@query("m4_counts")
+def q_cluster_counts(spark, base):
+    return cluster_counts(density_labelled(spark, base)[3])
+
+
+@query("m5_labels")
+def q_labels(spark, base):
+    _, scaled, _, labels = kmeans_labelled(spark, base)
+    return scaled.select(KEY).join(labels, KEY)
+
+
+@query("p4_dbscan_batch")
+def q_dbscan_batch(spark, base):
+    mart = mart_table(spark, base)
+    return density_score(mart, prep.fit_preprocessor(mart), EPS, MIN_SAMPLES, places=PLACES)
+
+
+@query("p4_nearest_core")
+def q_nearest_core(spark, base):
+    mart, scaled, params = scaled_table(spark, base)
+    fresh = mart.withColumns({f: col(f) * F.lit(1.02) for f in FEATURES})
+    fresh = materialize(prep.apply_preprocessor(fresh, params, places=PLACES), "fresh")
+    return assign_to_core(scaled, fresh, FEATURES, EPS, MIN_SAMPLES)
+
+
+# Evaluation and interpretation
+
+
+def _labelled_scaled(spark, base, kind):
+    mart, scaled, params, labels = (kmeans_labelled if kind == "KMeans" else density_labelled)(spark, base)
+    return mart, scaled.join(labels, KEY), params, labels
+
+
+@query("c1_silhouette")
+def q_silhouette(spark, base):
+    _, labelled, _, _ = _labelled_scaled(spark, base, "KMeans")
+    value = met.silhouette(labelled, FEATURES)
+    return spark.createDataFrame([(value,)], "silhouette double").select(rounded(F.col("silhouette")).alias("silhouette"))
+
+
+@query("c1_silhouette_sq")
+def q_silhouette_sq(spark, base):
+    _, labelled, _, _ = _labelled_scaled(spark, base, "KMeans")
+    value = met.silhouette_sq(labelled, FEATURES)
+    return spark.createDataFrame([(value,)], "silhouette double").select(rounded(F.col("silhouette"), 4).alias("silhouette"))
+
+
+@query("c1_silhouette_embeddings")
+def q_silhouette_embeddings(spark, base):
+    frame, names = embedding_frame(spark, base)
+    value = met.silhouette(frame, names)
+    return spark.createDataFrame([(value,)], "silhouette double").select(rounded(F.col("silhouette")).alias("silhouette"))
+
+
+@query("c2_davies_bouldin")
+def q_davies_bouldin(spark, base):
+    _, labelled, _, _ = _labelled_scaled(spark, base, "KMeans")
+    value = met.davies_bouldin(labelled, FEATURES)
+    return spark.createDataFrame([(value,)], "davies_bouldin double").select(rounded(F.col("davies_bouldin")).alias("davies_bouldin"))
+
+
+@query("c2_davies_bouldin_embeddings")
+def q_davies_bouldin_embeddings(spark, base):
+    frame, names = embedding_frame(spark, base)
+    value = met.davies_bouldin(frame, names)
+    return spark.createDataFrame([(value,)], "davies_bouldin double").select(rounded(F.col("davies_bouldin")).alias("davies_bouldin"))
+
+
+def _rounded_metrics(table: DataFrame) -> DataFrame:
+    return table.withColumn("value", rounded(F.col("value")))
+
+
+@query("c3_metrics")
+def q_metrics(spark, base):
+    _, labelled, _, _ = _labelled_scaled(spark, base, "DBSCAN")
+    return _rounded_metrics(met.evaluate_model(labelled, FEATURES, "DBSCAN", density=True))
+
+
+@query("c3_metrics_undefined")
+def q_metrics_undefined(spark, base):
+    _, scaled, _ = scaled_table(spark, base)
+    one = scaled.withColumn(LABEL, F.lit(0))
+    return met.metrics_report(
+        *[met.evaluate_model(one, FEATURES, how, on_undefined=how) for how in ("minus_one", "nan", "omit")]
+    )
+
+
+@query("c4_library_metrics")
+def q_library_metrics(spark, base):
+    _, labelled, _, _ = _labelled_scaled(spark, base, "DBSCAN")
+    return _rounded_metrics(met.clustering_metrics(labelled, FEATURES, "DBSCAN"))
+
+
+@query("c5_report")
+def q_metrics_report(spark, base):
+    _, scaled, _, model = trained(spark, base)
+    by_centre = km.assign(scaled, FEATURES, model.centres)
+    by_density = scaled.join(materialize(dbscan(scaled, FEATURES, EPS, MIN_SAMPLES), "labels"), KEY)
+    return _rounded_metrics(
+        met.metrics_report(
+            met.evaluate_model(by_centre, FEATURES, "KMeans"),
+            met.evaluate_model(by_density, FEATURES, "DBSCAN", density=True),
+        )
+    )
+
+
+@query("c6_noise_excluded")
+def q_noise_excluded(spark, base):
+    return ins.without_noise(density_labelled(spark, base)[3])
+
+
+def _original(mart, params, labels):
+    return prep.impute(mart, params).join(labels, KEY)
+
+
+@query("c8_profile")
+def q_profile(spark, base):
+    mart, _, params, labels = density_labelled(spark, base)
+    return round_features(ins.profile(_original(mart, params, labels), FEATURES), 6)
+
+
+@query("c9_sizes")
+def q_sizes(spark, base):
+    return ins.sizes(kmeans_labelled(spark, base)[3])
+
+
+@query("c10_flags")
+def q_flags(spark, base):
+    mart, _, params, labels = density_labelled(spark, base)
+    return ins.flags(_original(mart, params, labels), FEATURES)
+
+
+@query("c11_insights")
+def q_insights(spark, base):
+    mart, scaled, params, model = trained(spark, base)
+    parts = []
+    centre = km.assign(scaled, FEATURES, model.centres).select(KEY, LABEL)
+    density = materialize(dbscan(scaled, FEATURES, EPS, MIN_SAMPLES), "labels")
+    for name, labels in (("KMeans", centre), ("DBSCAN", density)):
+        parts.append(ins.insights(_original(mart, params, labels), FEATURES, LABEL, name, "original"))
+        parts.append(ins.insights(scaled.join(labels, KEY), FEATURES, LABEL, name, "scaled"))
+    table = met.metrics_report(*parts)
+    return table.withColumns({c: rounded(F.col(c), 7) for c in ("mean", "overall")})
