@@ -83,3 +83,8 @@ def rounded(value: Column, places: int = 6) -> Column:
 def squared_distance(left: list[str], right: list[str]) -> str:
     """SQL text of the squared distance between two lists of SQL terms, summed in list order."""
     return " + ".join(f"({a} - {b}) * ({a} - {b})" for a, b in zip(left, right))
+
+
+def squares(terms: list[str]) -> str:
+    """SQL text of the sum of squares of SQL terms."""
+    return " + ".join(f"({t}) * ({t})" for t in terms)

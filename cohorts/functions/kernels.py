@@ -14,12 +14,29 @@ from pyspark import cloudpickle
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
-def squared_distances(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """All squared distances between two small blocks, summed feature by feature."""
-    out = np.zeros((len(x), len(y)))
-    for k in range(x.shape[1]):
-        step = x[:, k, None] - y[None, :, k]
-        out += step * step
+def squared_distances(x: np.ndarray, y: np.ndarray, near: float | None = None) -> np.ndarray:
+    """All squared distances between two blocks.
+
+    A matrix product gives them quickly but not to the last digit. Entries where
+    that matters, close to zero or close to ``near``, are summed again feature by
+    feature, as a plain expression would.
+    """
+    xx, yy = np.einsum("ij,ij->i", x, x), np.einsum("ij,ij->i", y, y)
+    out = x @ y.T
+    out *= -2.0
+    out += xx[:, None]
+    out += yy[None, :]
+    size = (xx.max() + yy.max()) if len(x) and len(y) else 0.0
+    again = out <= 1e-8 * size
+    if near is not None:
+        again |= np.abs(out - near) <= 1e-10 * size
+    i, j = np.nonzero(again)
+    if len(i):
+        exact = np.zeros(len(i))
+        for k in range(x.shape[1]):
+            step = x[i, k] - y[j, k]
+            exact += step * step
+        out[i, j] = exact
     return out
 
 
@@ -36,6 +53,28 @@ def components(adjacent: np.ndarray) -> np.ndarray:
         label = lower
 
 
+def star_forest():
+    """Lowest vertex of the component for every other vertex of a small edge table."""
+
+    def run(batches):
+        edges = pd.concat(list(batches), ignore_index=True)
+        names, at = np.unique(edges[["a", "b"]].to_numpy(), return_inverse=True)
+        left, right = at.reshape(-1, 2).T
+        label = np.arange(len(names))
+        while True:
+            lower = label.copy()
+            np.minimum.at(lower, left, label[right])
+            np.minimum.at(lower, right, label[left])
+            lower = np.minimum(lower, lower[lower])
+            if np.array_equal(lower, label):
+                break
+            label = lower
+        moved = label != np.arange(len(names))
+        yield pd.DataFrame({"a": names[moved], "b": names[label[moved]]})
+
+    return run
+
+
 def split_plan(sample: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Median splits of the widest feature, as a heap of ``2**depth - 1`` nodes.
 
@@ -134,7 +173,7 @@ def neighbour_counter(p: int, limit: float):
                 found[leaf] = found[leaf] + counts if leaf in found else counts
 
             for a, b, xa, wa, xb, wb in zip(pdf["a"], pdf["b"], pdf["xa"], pdf["wa"], pdf["xb"], pdf["wb"]):
-                close = squared_distances(np.reshape(xa, (-1, p)), np.reshape(xb, (-1, p))) <= limit
+                close = squared_distances(np.reshape(xa, (-1, p)), np.reshape(xb, (-1, p)), limit) <= limit
                 add(a, close @ np.asarray(wb))
                 if a != b:
                     add(b, np.asarray(wa) @ close)
@@ -160,7 +199,7 @@ def core_marker(p: int, limit: float, min_samples: int):
                 part = np.full(n, -1, dtype=np.int32)
                 at = np.flatnonzero(core)
                 if len(at):
-                    part[at] = at[components(squared_distances(x[at], x[at]) <= limit)]
+                    part[at] = at[components(squared_distances(x[at], x[at], limit) <= limit)]
                 cores.append(core)
                 parts.append(part)
             yield pdf.drop(columns=["counts", "unified"]).assign(core=cores, part=parts)
@@ -170,42 +209,45 @@ def core_marker(p: int, limit: float, min_samples: int):
 
 def linker(p: int, limit: float, leaf_bits: int):
     """Links found in a pair of leaves: a forest between core components, and border rows to components."""
+    base = 1 << leaf_bits
 
     def run(batches):
         for pdf in batches:
             kind, left, right = [], [], []
 
-            def border(leaf, rows, close, other, parts):
-                for i in np.flatnonzero(rows):
-                    for part in np.unique(parts[close[i]]):
-                        kind.append("border")
-                        left.append((leaf << leaf_bits) + int(i))
-                        right.append((other << leaf_bits) + int(part))
+            def emit(name, u, v):
+                kind.extend([name] * len(u))
+                left.append(u)
+                right.append(v)
+
+            def border(leaf, touching, other, parts):
+                i, j = np.nonzero(touching)
+                pair = np.unique(i * base + parts[j])
+                emit("border", leaf * base + pair // base, other * base + pair % base)
 
             columns = (pdf[c] for c in ("a", "b", "xa", "xb", "ca", "cb", "pa", "pb"))
             for a, b, xa, xb, ca, cb, pa, pb in zip(*columns):
                 a, b = int(a), int(b)
                 ca, cb = np.asarray(ca, dtype=bool), np.asarray(cb, dtype=bool)
-                pa, pb = np.asarray(pa), np.asarray(pb)
-                close = squared_distances(np.reshape(xa, (-1, p)), np.reshape(xb, (-1, p))) <= limit
-                border(a, ~ca, close & cb[None, :], b, pb)
+                pa, pb = np.asarray(pa, dtype=np.int64), np.asarray(pb, dtype=np.int64)
+                close = squared_distances(np.reshape(xa, (-1, p)), np.reshape(xb, (-1, p)), limit) <= limit
+                border(a, close & ~ca[:, None] & cb[None, :], b, pb)
                 if a == b:
                     continue
-                border(b, ~cb, (close & ca[:, None]).T, a, pa)
+                border(b, (close & ca[:, None] & ~cb[None, :]).T, a, pa)
                 rows, cols = np.nonzero(close & ca[:, None] & cb[None, :])
                 if len(rows):
-                    met = np.unique(np.stack([pa[rows], pb[cols]], axis=1), axis=0)
-                    firsts, u = np.unique(met[:, 0], return_inverse=True)
-                    seconds, v = np.unique(met[:, 1], return_inverse=True)
-                    names = [(a << leaf_bits) + int(x) for x in firsts] + [(b << leaf_bits) + int(x) for x in seconds]
+                    met = np.unique(pa[rows] * base + pb[cols])
+                    firsts, u = np.unique(met // base, return_inverse=True)
+                    seconds, v = np.unique(met % base, return_inverse=True)
+                    names = np.concatenate([a * base + firsts, b * base + seconds])
                     linked = np.zeros((len(names), len(names)), dtype=bool)
                     linked[u, v + len(firsts)] = linked[v + len(firsts), u] = True
-                    for i, root in enumerate(components(linked)):
-                        if root != i:
-                            kind.append("edge")
-                            left.append(names[i])
-                            right.append(names[root])
-            yield pd.DataFrame({"kind": kind, "x": left, "y": right})
+                    roots = components(linked)
+                    moved = np.flatnonzero(roots != np.arange(len(names)))
+                    emit("edge", names[moved], names[roots[moved]])
+            if kind:
+                yield pd.DataFrame({"kind": kind, "x": np.concatenate(left), "y": np.concatenate(right)})
 
     return run
 
@@ -217,7 +259,7 @@ def nearest_core(p: int, limit: float, leaf_bits: int, places: int):
         for pdf in batches:
             out = []
             for a, xa, xb, labels in zip(pdf["a"], pdf["xa"], pdf["xb"], pdf["labels"]):
-                d2 = squared_distances(np.reshape(xa, (-1, p)), np.reshape(xb, (-1, p)))
+                d2 = squared_distances(np.reshape(xa, (-1, p)), np.reshape(xb, (-1, p)), limit)
                 labels = np.asarray(labels)
                 near = np.round(np.where(d2 <= limit, d2, np.inf), places)
                 best = near.min(axis=1)
@@ -228,40 +270,73 @@ def nearest_core(p: int, limit: float, leaf_bits: int, places: int):
     return run
 
 
-def distance_sums(p: int):
+def distance_sums(p: int, chunk: int = 256):
     """Per row of both blocks of a tile, the weighted distance sum to each label of the other block."""
 
-    def sums(distances, labels, weights):
-        names, at = np.unique(labels, return_inverse=True)
-        totals = np.zeros((len(distances), len(names)))
-        for j in range(len(names)):
-            totals[:, j] = distances[:, at == j] @ weights[at == j]
-        return names, totals, np.bincount(at, weights=weights)
+    def by_label(labels):
+        order = np.argsort(labels, kind="stable")
+        names, starts = np.unique(labels[order], return_index=True)
+        return order, names, list(zip(starts, [*starts[1:], len(labels)]))
 
     def run(batches):
         for pdf in batches:
             blocks, labels, counts, values = [], [], [], []
 
-            def emit(block, names, totals, size):
-                for j, name in enumerate(names):
+            def emit(block, order, names, spans, weights, totals):
+                for j, (name, (start, stop)) in enumerate(zip(names, spans)):
+                    column = np.empty(len(totals))
+                    column[order] = totals[:, j]
                     blocks.append(block)
                     labels.append(int(name))
-                    counts.append(int(round(size[j])))
-                    values.append(totals[:, j])
+                    counts.append(int(weights[start:stop].sum()))
+                    values.append(column)
 
             columns = (pdf[c] for c in ("a", "b", "xa", "xb", "la", "lb", "wa", "wb"))
             for a, b, xa, xb, la, lb, wa, wb in zip(*columns):
-                x, y = np.reshape(xa, (-1, p)), np.reshape(xb, (-1, p))
-                la, lb, wa, wb = (np.asarray(v) for v in (la, lb, wa, wb))
-                distances = np.sqrt(squared_distances(x, y))
-                emit(a, *sums(distances, lb, wb.astype(float)))
+                order_a, names_a, spans_a = by_label(np.asarray(la))
+                order_b, names_b, spans_b = by_label(np.asarray(lb))
+                x, y = np.reshape(xa, (-1, p))[order_a], np.reshape(xb, (-1, p))[order_b]
+                wa, wb = np.asarray(wa, dtype=float)[order_a], np.asarray(wb, dtype=float)[order_b]
+                to_b, to_a = np.zeros((len(x), len(names_b))), np.zeros((len(y), len(names_a)))
+                for low in range(0, len(x), chunk):
+                    high = min(low + chunk, len(x))
+                    gap = np.sqrt(squared_distances(x[low:high], y))
+                    for j, (start, stop) in enumerate(spans_b):
+                        to_b[low:high, j] = gap[:, start:stop] @ wb[start:stop]
+                    for j, (start, stop) in enumerate(spans_a if a != b else ()):
+                        start, stop = max(start, low), min(stop, high)
+                        if start < stop:
+                            to_a[:, j] += wa[start:stop] @ gap[start - low : stop - low]
+                emit(a, order_a, names_b, spans_b, wb, to_b)
                 if a != b:
-                    emit(b, *sums(distances.T, la, wa.astype(float)))
+                    emit(b, order_b, names_a, spans_a, wa, to_a)
             yield pd.DataFrame({"block": blocks, "other": labels, "size": counts, "sums": values})
 
     return run
 
 
+def spread_ratios(p: int):
+    """Per cluster of both blocks, the worst ratio of summed spreads to centre distance within the tile."""
+
+    def run(batches):
+        for pdf in batches:
+            blocks, values = [], []
+            for a, b, xa, xb, sa, sb in zip(*(pdf[c] for c in ("a", "b", "xa", "xb", "sa", "sb"))):
+                gap = np.sqrt(squared_distances(np.reshape(xa, (-1, p)), np.reshape(xb, (-1, p))))
+                total = np.asarray(sa)[:, None] + np.asarray(sb)[None, :]
+                ratio = np.divide(total, gap, out=np.zeros_like(total), where=gap > 0)
+                if a == b:
+                    np.fill_diagonal(ratio, 0.0)
+                blocks.append(a)
+                values.append(ratio.max(axis=1))
+                if a != b:
+                    blocks.append(b)
+                    values.append(ratio.max(axis=0))
+            yield pd.DataFrame({"block": blocks, "worst": values})
+
+    return run
+
+
 def product_sums(p: int):
     """Sums and products of all column pairs over rows where both are present; one small table per task."""
 

@@ -1,8 +1,8 @@
 """Rows packed into small boxes, and the pairs of boxes that come close to each other.
 
 Rows are placed in regions by median splits, sorted inside a region and cut into
-leaves of at most LEAF_ROWS rows. Leaves are numbered so that every sixteen form
-a box one level up. Close pairs are found from the top down with equi-joins on
+leaves of at most LEAF_ROWS rows. Leaves are numbered so that up to thirty-two
+form a box one level up. Close pairs are found from the top down with equi-joins on
 the parent box. A crowded spot simply gives more leaves: no key, task or group
 holds more than one leaf, however the rows are spread.
 """
@@ -10,23 +10,25 @@ holds more than one leaf, however the rows are spread.
 from __future__ import annotations
 
 import math
-import uuid
 from contextlib import contextmanager
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohorts.functions import kernels
-from cohorts.functions.columns import number, squared_distance
-from cohorts.session import materialize
+from cohorts.functions.columns import number, squared_distance, squares
+from cohorts.session import materialize_with
 
 LEAF_ROWS = 128
 LEAF_BITS = 8
-FANOUT_BITS = 4
+FANOUT_BITS = 5
 MAX_DEPTH = 12
 SAMPLE_PER_REGION = 16
 SLACK = 1e-9
+PAIRS_PER_PART = 1000
+MAX_PARTS = 20_000
+BROADCAST_CELLS = 4_000_000
 
 
 @contextmanager
@@ -67,6 +69,13 @@ class Tree:
         p = len(self.features)
         shift = self.shifts[level]
         up = self.shifts[level + 1] - shift
+        if shift == 0:
+            boxes = [f"{side}{i} as {prefix}_{side}{i}" for i in range(p) for side in ("lo", "hi", "rep")]
+            span = squared_distance([f"hi{i}" for i in range(p)], [f"lo{i}" for i in range(p)])
+            return self.leaves.selectExpr(
+                f"leaf as {prefix}_node", f"shiftright(leaf, {up}) as {prefix}_parent", f"w as {prefix}_w",
+                f"{span} as {prefix}_span", *boxes,
+            )
         first = [f"rep[{i}] as {prefix}_rep{i}" for i in range(p)]
         rep = f"min_by(array({', '.join(f'rep{i}' for i in range(p))}), leaf) as rep"
         merged = self.leaves.groupBy(F.shiftright("leaf", shift).alias(f"{prefix}_node")).agg(
@@ -75,7 +84,10 @@ class Tree:
             F.expr(rep),
             F.expr(f"sum(w) as {prefix}_w"),
         )
-        return merged.selectExpr("*", f"shiftright({prefix}_node, {up}) as {prefix}_parent", *first).drop("rep")
+        span = squared_distance([f"{prefix}_hi{i}" for i in range(p)], [f"{prefix}_lo{i}" for i in range(p)])
+        return merged.selectExpr(
+            "*", f"shiftright({prefix}_node, {up}) as {prefix}_parent", f"{span} as {prefix}_span", *first
+        ).drop("rep")
 
 
 def plan_splits(df: DataFrame, features: list[str], rows: int, seed: int = 7) -> Splits:
@@ -94,8 +106,11 @@ def _box_columns(p: int) -> str:
     return ", ".join(f"lo{i} double, hi{i} double, rep{i} double" for i in range(p))
 
 
-def pack(df: DataFrame, splits: Splits, keep: dict[str, str], name: str) -> DataFrame:
-    """Leaves of ``df``; ``keep`` names columns carried along as arrays, with their types."""
+def pack(df: DataFrame, splits: Splits, keep: dict[str, str], name: str) -> tuple[DataFrame, int]:
+    """Leaves of ``df`` and the highest leaf number within a region.
+
+    ``keep`` names columns carried along as arrays, with their types.
+    """
     features, p = splits.features, len(splits.features)
     place = kernels.region_assigner(features, splits.dims, splits.cuts, splits.ends, splits.depth)
     columns = df.select(*keep, "w", *features)
@@ -108,31 +123,50 @@ def pack(df: DataFrame, splits: Splits, keep: dict[str, str], name: str) -> Data
         f"region bigint, number bigint, n int, w bigint, {_box_columns(p)}, xs array<double>, ws array<bigint>"
         + "".join(f", {c} array<{t}>" for c, t in keep.items())
     )
-    return materialize(ordered.mapInPandas(kernels.leaf_packer(features, LEAF_ROWS, list(keep)), schema), name)
+    leaves = ordered.mapInPandas(kernels.leaf_packer(features, LEAF_ROWS, list(keep)), schema)
+    written, facts = materialize_with(leaves, name, top="max(number)")
+    return written, facts["top"] or 0
 
 
-def number_leaves(packed: list[DataFrame], splits: Splits) -> list[Tree]:
+def number_leaves(packed: list[tuple[DataFrame, int]], splits: Splits) -> list[Tree]:
     """Trees over several packings with one numbering, so that their boxes can be compared level by level."""
-    bits = 0
-    for leaves in packed:
-        top = leaves.agg(F.max("number").alias("m")).first()["m"] or 0
-        bits = max(bits, int(top).bit_length())
-    shifts = list(range(0, splits.depth + bits, FANOUT_BITS)) or [0]
-    shifts.append(max(splits.depth + bits, shifts[-1] + 1))
+    bits = max(int(top).bit_length() for _, top in packed)
+    height = splits.depth + bits
+    levels = max(1, math.ceil(height / FANOUT_BITS))
+    shifts = [round(i * height / levels) for i in range(levels)] + [max(height, 1)]
     return [
         Tree(
             leaves.withColumn("leaf", F.shiftleft("region", bits).bitwiseOR(F.col("number"))).drop("region", "number"),
             splits.features,
             shifts,
         )
-        for leaves in packed
+        for leaves, _ in packed
     ]
 
 
+def spread_pairs(pairs: DataFrame, count: int) -> DataFrame:
+    """Pairs are few bytes but much work, so they are spread by number instead of by size."""
+    least = 2 * pairs.sparkSession.sparkContext.defaultParallelism
+    return pairs.repartition(min(MAX_PARTS, max(least, count // PAIRS_PER_PART)), "a", "b")
+
+
+def with_blocks(pairs: DataFrame, left: DataFrame, right: DataFrame, cells: int) -> DataFrame:
+    """Pairs ``(a, b)`` with the contents of both blocks.
+
+    ``cells`` is the number of values in all blocks. A table within BROADCAST_CELLS
+    goes to every task and the pairs keep their spread; a larger one is shuffled to
+    the pairs, whose rows then weigh enough to be spread by size. The pairs
+    themselves are never broadcast: that would leave the work to a few tasks.
+    """
+    if cells <= BROADCAST_CELLS:
+        return pairs.join(F.broadcast(left), "a").join(F.broadcast(right), "b")
+    return pairs.hint("merge").join(left, "a").hint("merge").join(right, "b")
+
+
 def close_pairs(
     left: Tree, right: Tree, eps: float, min_samples: int | None = None
-) -> tuple[DataFrame, list[tuple[int, DataFrame]]]:
-    """Leaf pairs that may hold rows within ``eps``, and pairs settled at some level as a whole.
+) -> tuple[DataFrame, int, list[tuple[int, DataFrame]]]:
+    """Leaf pairs that may hold rows within ``eps``, how many, and pairs settled at some level as a whole.
 
     With ``min_samples`` both trees are the same one and pairs come once, ``a <= b``.
     Two boxes are settled when every row of one reaches every row of the other and
@@ -143,7 +177,7 @@ def close_pairs(
     spark = left.leaves.sparkSession
     p, limit = len(left.features), eps * eps
     same = min_samples is not None
-    zeros, surely = ["0.0D"] * p, number(limit * (1 - SLACK))
+    surely = number(limit * (1 - SLACK))
     frontier = spark.range(1).select(F.col("id").alias("a"), F.col("id").alias("b"))
     settled: list[tuple[int, DataFrame]] = []
     for level in range(len(left.shifts) - 2, -1, -1):
@@ -151,24 +185,21 @@ def close_pairs(
             right.nodes(level, "b"), F.col("b") == F.col("b_parent")
         )
         gaps = [f"greatest(a_lo{i} - b_hi{i}, b_lo{i} - a_hi{i}, 0.0D)" for i in range(p)]
-        near = near.where(f"{squared_distance(gaps, zeros)} <= {number(limit * (1 + SLACK))}")
+        near = near.where(f"{squares(gaps)} <= {number(limit * (1 + SLACK))}")
         done = "false"
         if same:
             near = near.where("a_node <= b_node")
 
-            def reach(s: str, t: str) -> str:
-                spans = [f"greatest({t}_hi{i} - {s}_lo{i}, {s}_hi{i} - {t}_lo{i})" for i in range(p)]
-                return f"({squared_distance(spans, zeros)}) <= {surely}"
-
-            steps = squared_distance([f"a_rep{i}" for i in range(p)], [f"b_rep{i}" for i in range(p)])
+            spans = [f"greatest(b_hi{i} - a_lo{i}, a_hi{i} - b_lo{i})" for i in range(p)]
+            steps = [f"(a_rep{i} - b_rep{i})" for i in range(p)]
             done = (
-                f"a_w >= {min_samples} and b_w >= {min_samples} and ({reach('a', 'b')} or "
-                f"({reach('a', 'a')} and {reach('b', 'b')} and ({steps}) <= {surely}))"
+                f"a_w >= {min_samples} and b_w >= {min_samples} and (({squares(spans)}) <= {surely} or "
+                f"(a_span <= {surely} and b_span <= {surely} and ({squares(steps)}) <= {surely}))"
             )
-        seen = Observation(f"pairs-{uuid.uuid4().hex}")
         pairs = near.selectExpr("a_node as a", "b_node as b", f"{done} as settled")
-        pairs = materialize(pairs.observe(seen, F.count_if("settled").alias("settled")), "pairs")
-        if same and seen.get["settled"]:
+        pairs, facts = materialize_with(pairs, "pairs", n="count(1)", settled="count_if(settled)")
+        if facts["settled"]:
             settled.append((level, pairs.where("settled").select("a", "b")))
         frontier = pairs.where("not settled").select("a", "b")
-    return frontier, settled
+    count = facts["n"] - facts["settled"]
+    return spread_pairs(frontier, count), count, settled

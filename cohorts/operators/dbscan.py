@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cohorts.functions import kernels
-from cohorts.functions.columns import as_double, col
+from cohorts.functions.columns import col, ident
 from cohorts.functions.skew import HOT_SHARE, SAFE_ROWS, hot_keys, lookup, numbered
 from cohorts.operators.blocks import (
     LEAF_BITS,
@@ -21,38 +21,42 @@ from cohorts.operators.blocks import (
     number_leaves,
     pack,
     plan_splits,
+    spread_pairs,
+    with_blocks,
 )
 from cohorts.operators.components import connected_components
 from cohorts.schema import KEY, LABEL, NOISE
-from cohorts.session import materialize
+from cohorts.session import materialize, materialize_with
 
 LEVEL_BITS = 48
 
 
 def _distinct_points(df: DataFrame, features: list[str], key: str) -> DataFrame:
     """Equal rows folded to one weighted point named by its lowest key; copies never meet in a task."""
-    return df.groupBy(*[col(f) for f in features]).agg(
+    return df.groupBy(*map(ident, features)).agg(
         F.count(F.lit(1)).alias("w"), F.min(col(key)).alias("vkey")
     )
 
 
-def _point_facts(points: DataFrame, features: list[str]) -> dict:
-    gaps = reduce(lambda a, b: a | b, [col(f).isNull() for f in features])
-    row = points.agg(
-        F.count(F.lit(1)).alias("points"),
-        F.coalesce(F.sum("w"), F.lit(0)).alias("rows"),
-        F.coalesce(F.max("w"), F.lit(0)).alias("heaviest"),
-        F.count_if(gaps).alias("gaps"),
-    ).first()
-    if row["gaps"]:
+def _write_points(df: DataFrame, features: list[str], key: str) -> tuple[DataFrame, dict]:
+    gaps = " or ".join(f"{ident(f)} is null" for f in features)
+    points, facts = materialize_with(
+        _distinct_points(df.select(key, *features), features, key),
+        "points",
+        points="count(1)",
+        rows="coalesce(sum(w), 0)",
+        heaviest="coalesce(max(w), 0)",
+        gaps=f"count_if({gaps})",
+    )
+    if facts["gaps"]:
         raise ValueError("density clustering needs complete rows: fill missing values first")
-    return row.asDict()
+    return points, facts
 
 
 def _unify(tree: Tree, settled: list[tuple[int, DataFrame]]) -> tuple[DataFrame | None, list[DataFrame]]:
     """Leaves whose rows are known to be core rows of one cluster, and the edges saying so.
 
-    Settled boxes hand their state down level by level, sixteen children at most
+    Settled boxes hand their state down level by level, thirty-two children at most
     each, so a box that covers most leaves burdens no task.
     """
     if not settled:
@@ -84,22 +88,26 @@ def _unify(tree: Tree, settled: list[tuple[int, DataFrame]]) -> tuple[DataFrame
     return above.select(F.col("node").alias("leaf")), edges
 
 
-def _core_leaves(tree: Tree, pairs: DataFrame, unified: DataFrame | None, eps: float, min_samples: int) -> DataFrame:
+def _core_leaves(tree: Tree, pairs: DataFrame, unified: DataFrame | None, eps: float, min_samples: int, points: int, count: int) -> DataFrame:
     """Leaves with core flags and the components of their core rows."""
     spark, p = tree.leaves.sparkSession, len(tree.features)
     payload = tree.leaves.select("leaf", "xs", "ws")
     open_pairs = pairs
     if unified is not None:
         marks = unified.withColumn("done", F.lit(True))
-        open_pairs = (
-            pairs.join(marks.select(F.col("leaf").alias("a"), F.col("done").alias("da")), "a", "left")
-            .join(marks.select(F.col("leaf").alias("b"), F.col("done").alias("db")), "b", "left")
+        open_pairs = spread_pairs(
+            pairs.join(marks.selectExpr("leaf as a", "done as da"), "a", "left")
+            .join(marks.selectExpr("leaf as b", "done as db"), "b", "left")
             .where("da is null or db is null")
-            .select("a", "b")
+            .select("a", "b"),
+            count,
         )
-    met = open_pairs.join(
-        payload.select(F.col("leaf").alias("a"), F.col("xs").alias("xa"), F.col("ws").alias("wa")), "a"
-    ).join(payload.select(F.col("leaf").alias("b"), F.col("xs").alias("xb"), F.col("ws").alias("wb")), "b")
+    met = with_blocks(
+        open_pairs,
+        payload.selectExpr("leaf as a", "xs as xa", "ws as wa"),
+        payload.selectExpr("leaf as b", "xs as xb", "ws as wb"),
+        points * p,
+    )
     found = met.mapInPandas(kernels.neighbour_counter(p, eps * eps), "leaf bigint, counts array<bigint>")
     counts = (
         found.select("leaf", F.posexplode("counts").alias("pos", "n"))
@@ -126,17 +134,14 @@ def _core_leaves(tree: Tree, pairs: DataFrame, unified: DataFrame | None, eps: f
         return materialize(marked, "cores")
 
 
-def _links(pairs: DataFrame, leaves: DataFrame, p: int, eps: float) -> DataFrame:
+def _links(pairs: DataFrame, leaves: DataFrame, p: int, eps: float, points: int) -> DataFrame:
     spark = leaves.sparkSession
     side = leaves.select("leaf", "xs", "core", "part", F.exists("core", lambda c: c).alias("any"))
 
     def named(s: str) -> DataFrame:
-        return side.select(
-            F.col("leaf").alias(s), F.col("xs").alias(f"x{s}"), F.col("core").alias(f"c{s}"),
-            F.col("part").alias(f"p{s}"), F.col("any").alias(f"any_{s}"),
-        )
+        return side.selectExpr(f"leaf as {s}", f"xs as x{s}", f"core as c{s}", f"part as p{s}", f"any as any_{s}")
 
-    met = pairs.join(named("a"), "a").join(named("b"), "b").where("any_a or any_b")
+    met = with_blocks(pairs, named("a"), named("b"), points * p).where("any_a or any_b")
     links = met.mapInPandas(kernels.linker(p, eps * eps, LEAF_BITS), "kind string, x bigint, y bigint")
     with arrow_rows(spark, batch_rows(p, LEAF_ROWS)):
         return materialize(links, "links")
@@ -160,19 +165,18 @@ def dbscan(
 
 
 def _cluster(df, features, eps, min_samples, key, label, safe_rows, want_cores=False):
-    points = materialize(_distinct_points(df.select(key, *features), features, key), "points")
-    facts = _point_facts(points, features)
+    points, facts = _write_points(df, features, key)
     key_type = df.schema[key].dataType.simpleString()
     if facts["points"] == 0:
         return df.select(key, F.lit(NOISE).alias(label)), None, None
     splits = plan_splits(points, features, facts["points"])
     (tree,) = number_leaves([pack(points, splits, {"vkey": key_type}, "leaves")], splits)
-    pairs, settled = close_pairs(tree, tree, eps, min_samples)
+    pairs, count, settled = close_pairs(tree, tree, eps, min_samples)
     unified, edges = _unify(tree, settled)
     p = len(features)
     with arrow_rows(df.sparkSession, batch_rows(p, LEAF_ROWS)):
-        leaves = _core_leaves(tree, pairs, unified, eps, min_samples)
-    links = _links(pairs, leaves, p, eps)
+        leaves = _core_leaves(tree, pairs, unified, eps, min_samples, facts["points"], count)
+    links = _links(pairs, leaves, p, eps, facts["points"])
 
     at = leaves.select("leaf", F.posexplode(F.arrays_zip("vkey", "core", "part")).alias("pos", "r"))
     rows = at.select(
@@ -190,7 +194,7 @@ def _cluster(df, features, eps, min_samples, key, label, safe_rows, want_cores=F
     clusters = numbered(vertices.groupBy("root").agg(F.min("first").alias("first")), "first", "cluster")
     hot = hot_keys(vertices, "root", facts["points"], safe_rows)
     placed = lookup(vertices.select("vertex", "root"), clusters.select("root", "cluster"), "root", "inner", hot)
-    placed = materialize(placed.select("vertex", F.col("cluster").cast("int").alias("cluster")), "placed")
+    placed = placed.select("vertex", F.col("cluster").cast("int").alias("cluster"))
 
     core = rows.where("vertex is not null").select("pid", "vertex")
     border = links.where("kind = 'border'").select(F.col("x").alias("pid"), F.col("y").alias("vertex"))
@@ -240,15 +244,18 @@ def assign_to_core(
         F.col("r.vkey").alias("vkey"),
         *[F.get("xs", F.col("pos") * p + i).alias(f) for i, f in enumerate(names.values())],
     ).join(best, "pid").select("vkey", F.lit(1).cast("bigint").alias("w"), F.col(label).alias("labels"), *features)
-    points = materialize(_distinct_points(fresh.select(key, *features), features, key), "points")
-    facts = _point_facts(points, features)
+    points, facts = _write_points(fresh, features, key)
     key_type = fresh.schema[key].dataType.simpleString()
     left, right = number_leaves(
         [pack(points, splits, {"vkey": key_type}, "fresh"), pack(core, splits, {"labels": "int"}, "core")], splits
     )
-    pairs, _ = close_pairs(left, right, eps)
-    met = pairs.join(left.leaves.select(F.col("leaf").alias("a"), F.col("xs").alias("xa")), "a").join(
-        right.leaves.select(F.col("leaf").alias("b"), F.col("xs").alias("xb"), "labels"), "b"
+    pairs, _, _ = close_pairs(left, right, eps)
+    core_points = right.leaves.agg(F.sum("n").alias("n")).first()["n"] or 0
+    met = with_blocks(
+        pairs,
+        left.leaves.selectExpr("leaf as a", "xs as xa"),
+        right.leaves.selectExpr("leaf as b", "xs as xb", "labels"),
+        max(facts["points"], core_points) * p,
     )
     with arrow_rows(train.sparkSession, batch_rows(p, LEAF_ROWS)):
         reached = materialize(

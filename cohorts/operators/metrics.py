@@ -10,13 +10,15 @@ from pyspark.sql import functions as F
 
 from cohorts.functions import kernels
 from cohorts.functions.columns import col, ident, squared_distance
-from cohorts.operators.blocks import arrow_rows
+from cohorts.functions.skew import hot_keys, lookup
+from cohorts.operators.blocks import MAX_PARTS, arrow_rows, with_blocks
 from cohorts.operators.kmeans import vectors
 from cohorts.schema import LABEL, NOISE
-from cohorts.session import materialize
+from cohorts.session import materialize, materialize_with
 
 BLOCK_ROWS = 4096
 MIN_BLOCK_ROWS = 64
+BROADCAST_CELLS = 1_000_000
 UNDEFINED = ("minus_one", "nan", "omit")
 
 
@@ -32,61 +34,80 @@ def label_counts(labelled: DataFrame, label: str = LABEL) -> dict[str, int]:
     return row.asDict()
 
 
-def _block_table(labelled: DataFrame, features: list[str], label: str, block_rows: int | None) -> tuple[DataFrame, int]:
-    """Distinct (features, label) rows with weights, cut into numbered blocks of bounded size."""
-    spark, p = labelled.sparkSession, len(features)
-    folded = labelled.groupBy(*[col(f) for f in features], col(label).alias("_label")).agg(F.count(F.lit(1)).alias("w"))
-    folded = materialize(folded, "folded")
-    if block_rows is None:
-        rows = folded.count()
-        tiles_wanted = 2 * spark.sparkContext.defaultParallelism
-        block_rows = min(BLOCK_ROWS, max(MIN_BLOCK_ROWS, math.ceil(rows / math.ceil(math.sqrt(2 * tiles_wanted)))))
-    # Label first, so that a block holds few labels; the hash spreads a label that owns most rows.
-    spread = F.xxhash64(*[col(f) for f in features])
-    ordered = folded.withColumn("_spread", spread).repartitionByRange("_label", "_spread").sortWithinPartitions("_label", "_spread")
+def _blocks(df: DataFrame, order: list[str], features: list[str], keep: dict[str, str], block_rows: int, name: str):
+    """Rows of ``df`` cut into blocks numbered 0, 1, 2, ..., and how many there are.
+
+    ``order`` must spread rows finely, so that no value of it fills a partition.
+    Driver work is one number per partition.
+    """
     mid = F.monotonically_increasing_id()
-    ordered = ordered.withColumns({"_part": F.shiftright(mid, 33), "_row": mid.bitwiseAND((1 << 33) - 1)})
-    blocks = (
-        ordered.withColumn("_cut", F.floor(F.col("_row") / F.lit(block_rows)))
+    placed = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    placed = placed.withColumns({"_part": F.shiftright(mid, 33), "_row": mid.bitwiseAND((1 << 33) - 1)})
+    cells = F.expr(f"array({', '.join(ident(f) for f in features)}) as x")
+    packed = (
+        placed.withColumn("_cut", F.floor(F.col("_row") / F.lit(block_rows)))
         .groupBy("_part", "_cut")
-        .agg(F.collect_list(F.struct(F.array(*[col(f) for f in features]).alias("x"), "_label", "w")).alias("r"))
-        .select(
-            (F.shiftleft("_part", 33) + F.col("_cut")).alias("block"),
-            F.flatten("r.x").alias("xs"),
-            F.col("r._label").cast("array<int>").alias("labels"),
-            F.col("r.w").alias("ws"),
-        )
+        .agg(F.collect_list(F.struct(cells, *keep)).alias("r"))
+        .select("_part", "_cut", F.flatten("r.x").alias("xs"), *[F.col(f"r.{c}").cast(f"array<{t}>").alias(c) for c, t in keep.items()])
     )
-    return materialize(blocks, "blocks"), block_rows
+    packed = materialize(packed, name)
+    sizes = packed.groupBy("_part").agg(F.count(F.lit(1)).alias("n")).orderBy("_part").collect()
+    offsets, total = [], 0
+    for r in sizes:
+        offsets.append((r["_part"], total))
+        total += r["n"]
+    starts = F.broadcast(df.sparkSession.createDataFrame(offsets, "_part bigint, _start bigint"))
+    numbered = packed.join(starts, "_part").withColumn("block", F.col("_start") + F.col("_cut")).drop("_part", "_cut", "_start")
+    return numbered, total
+
+
+def _tiles(blocks: DataFrame, count: int, cells: int, left: list[str], right: list[str]) -> DataFrame:
+    """Every unordered pair of blocks once, with the named columns of both sides: joins on block numbers."""
+    last = F.lit(count - 1).cast("bigint")
+    pairs = blocks.select(F.col("block").alias("a"), F.explode(F.sequence(F.col("block"), last)).alias("b"))
+    pairs = pairs.repartition(max(1, min(count * (count + 1) // 2, MAX_PARTS)), "a", "b")
+    return with_blocks(pairs, blocks.selectExpr("block as a", *left), blocks.selectExpr("block as b", *right), cells)
 
 
 def silhouette_samples(
     labelled: DataFrame, features: list[str], label: str = LABEL, block_rows: int | None = None
-) -> DataFrame:
+) -> DataFrame | None:
     """Rows ``(label, w, s)``: exact Euclidean silhouette of every distinct row, with its number of copies.
 
     The value needs the distance of every row to every other. Rows are packed in
     blocks; a task takes one pair of blocks at a time and gives back only sums
     per row and label, so neither pairs of rows nor whole clusters are ever
-    gathered. Equal rows are folded first and counted by weight.
+    gathered. Equal rows are folded first and counted by weight. None with fewer
+    than two labels.
     """
     spark, p = labelled.sparkSession, len(features)
-    blocks, size = _block_table(labelled, features, label, block_rows)
-    # Numbers of blocks fit the driver: one per BLOCK_ROWS distinct rows.
-    left = blocks.select(F.col("block").alias("a"), F.col("xs").alias("xa"), F.col("labels").alias("la"), F.col("ws").alias("wa"))
-    right = blocks.select(F.col("block").alias("b"), F.col("xs").alias("xb"), F.col("labels").alias("lb"), F.col("ws").alias("wb"))
-    tiles = _tile_numbers(blocks)
-    met = tiles.join(left, "a").join(right, "b")
-    sums = met.mapInPandas(
-        kernels.distance_sums(p), "block bigint, other int, size bigint, sums array<double>"
+    folded = labelled.groupBy(*map(ident, features), col(label).cast("int").alias("_label")).agg(
+        F.count(F.lit(1)).alias("w")
+    )
+    spread = F.expr(f"xxhash64({', '.join(ident(f) for f in features)}) as _spread")
+    folded, facts = materialize_with(
+        folded.select("*", spread), "folded", n="count(1)", low="min(_label)", high="max(_label)"
+    )
+    if facts["low"] == facts["high"]:
+        return None
+    if block_rows is None:
+        per_side = math.ceil(math.sqrt(4 * spark.sparkContext.defaultParallelism))
+        block_rows = min(BLOCK_ROWS, max(MIN_BLOCK_ROWS, math.ceil(facts["n"] / per_side)))
+    # Label first, so that a block holds few labels; the hash spreads a label that owns most rows.
+    blocks, count = _blocks(
+        folded, ["_label", "_spread"], features, {"_label": "int", "w": "bigint"}, block_rows, "blocks"
+    )
+    met = _tiles(
+        blocks, count, facts["n"] * p, ["xs as xa", "_label as la", "w as wa"], ["xs as xb", "_label as lb", "w as wb"]
     )
+    sums = met.mapInPandas(kernels.distance_sums(p), "block bigint, other int, size bigint, sums array<double>")
     per_row = (
         sums.select("block", "other", "size", F.posexplode("sums").alias("pos", "d"))
         .groupBy("block", "pos", "other")
         .agg(F.sum("d").alias("d"), F.sum("size").alias("size"))
     )
-    rows = blocks.select("block", F.posexplode(F.arrays_zip("labels", "ws")).alias("pos", "r")).select(
-        "block", "pos", F.col("r.labels").alias("label"), F.col("r.ws").alias("w")
+    rows = blocks.select("block", F.posexplode(F.arrays_zip("_label", "w")).alias("pos", "r")).select(
+        "block", "pos", F.col("r._label").alias("label"), F.col("r.w").alias("w")
     )
     own = F.col("other") == F.col("label")
     near = (
@@ -102,25 +123,15 @@ def silhouette_samples(
     score = F.when(
         (F.col("own_n") > 1) & (F.greatest(a, F.col("b")) > 0), (F.col("b") - a) / F.greatest(a, F.col("b"))
     ).otherwise(F.lit(0.0))
-    with arrow_rows(spark, max(1, (64 << 20) // (16 * (p + 2) * size))):
+    with arrow_rows(spark, max(1, (64 << 20) // (16 * (p + 2) * block_rows))):
         return materialize(near.select("label", "w", score.alias("s")), "silhouette")
 
 
-def _tile_numbers(blocks: DataFrame) -> DataFrame:
-    """Every unordered pair of block numbers, spread over the cluster."""
-    spark = blocks.sparkSession
-    names = [r["block"] for r in blocks.select("block").orderBy("block").collect()]
-    numbers = spark.createDataFrame(list(enumerate(names)), "i bigint, block bigint")
-    firsts = numbers.select(F.col("block").alias("a"), F.explode(F.sequence("i", F.lit(len(names) - 1).cast("bigint"))).alias("j"))
-    seconds = numbers.select(F.col("i").alias("j"), F.col("block").alias("b"))
-    return firsts.join(seconds, "j").select("a", "b").repartition(max(1, min(len(names) * (len(names) + 1) // 2, 100_000)), "a", "b")
-
-
 def silhouette(labelled: DataFrame, features: list[str], label: str = LABEL, block_rows: int | None = None) -> float:
     """Mean Euclidean silhouette over all rows; -1.0 with fewer than two labels."""
-    if label_counts(labelled, label)["labels"] < 2:
-        return -1.0
     samples = silhouette_samples(labelled, features, label, block_rows)
+    if samples is None:
+        return -1.0
     return samples.agg((F.sum(F.col("s") * F.col("w")) / F.sum("w")).alias("s")).first()["s"]
 
 
@@ -131,22 +142,32 @@ def silhouette_sq(labelled: DataFrame, features: list[str], label: str = LABEL)
 
 
 def davies_bouldin(labelled: DataFrame, features: list[str], label: str = LABEL) -> float:
-    """Mean over clusters of the worst ratio of spread to centre distance; -1.0 with fewer than two labels."""
-    rows = labelled.select(col(label).alias("_l"), *[col(f) for f in features])
-    means = [F.expr(f"avg({ident(f)}) as m{i}") for i, f in enumerate(features)]
-    centroids = materialize(rows.groupBy("_l").agg(*means), "centroids")
-    names = centroids.count()
-    if names < 2:
+    """Mean over clusters of the worst ratio of spread to centre distance; -1.0 with fewer than two labels.
+
+    Clusters are compared block by block like rows in the silhouette, so many
+    thousands of clusters need no join of all with all.
+    """
+    spark, p = labelled.sparkSession, len(features)
+    names = [f"m{i}" for i in range(p)]
+    rows = labelled.selectExpr(f"{ident(label)} as _l", *[f"{ident(f)} as f{i}" for i, f in enumerate(features)])
+    means = [F.expr(f"avg(f{i}) as m{i}") for i in range(p)]
+    centroids, facts = materialize_with(rows.groupBy("_l").agg(*means), "centroids", k="count(1)")
+    if facts["k"] < 2:
         return -1.0
-    table = F.broadcast(centroids) if names * len(features) <= 1_000_000 else centroids
-    own = squared_distance([ident(f) for f in features], [f"m{i}" for i in range(len(features))])
-    spread = rows.join(table, "_l").groupBy("_l").agg(F.expr(f"avg(sqrt({own})) as s"))
-    spread = materialize(spread.join(centroids, "_l"), "spread")
-    one, two = spread.alias("i"), spread.alias("j")
-    between = squared_distance([f"i.m{i}" for i in range(len(features))], [f"j.m{i}" for i in range(len(features))])
-    ratio = F.expr(f"(i.s + j.s) / nullif(sqrt({between}), 0.0D)")
-    worst = one.join(two, F.col("i._l") != F.col("j._l")).groupBy("i._l").agg(F.coalesce(F.max(ratio), F.lit(0.0)).alias("r"))
-    return worst.agg(F.avg("r").alias("r")).first()["r"]
+    own = F.expr(f"avg(sqrt({squared_distance([f'f{i}' for i in range(p)], names)})) as s")
+    if facts["k"] * p <= BROADCAST_CELLS:
+        placed = rows.join(F.broadcast(centroids), "_l")
+    else:
+        placed = lookup(rows, centroids, "_l", "inner", hot_keys(rows, "_l", rows.count()))
+    spread = placed.groupBy("_l").agg(own).join(centroids, "_l")
+    blocks, count = _blocks(spread, ["_l"], names, {"s": "double"}, BLOCK_ROWS, "spreads")
+    met = _tiles(blocks, count, facts["k"] * p, ["xs as xa", "s as sa"], ["xs as xb", "s as sb"])
+    worst = met.mapInPandas(kernels.spread_ratios(p), "block bigint, worst array<double>")
+    per_cluster = (
+        worst.select("block", F.posexplode("worst").alias("pos", "r")).groupBy("block", "pos").agg(F.max("r").alias("r"))
+    )
+    with arrow_rows(spark, max(1, (64 << 20) // (16 * (p + 1) * BLOCK_ROWS))):
+        return per_cluster.agg(F.avg("r").alias("r")).first()["r"]
 
 
 METRICS_SCHEMA = "model string, ord int, metric string, value double"

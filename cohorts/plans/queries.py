@@ -18,7 +18,9 @@ from cohorts.operators import score as sc
 from cohorts.operators import validate as val
 from cohorts.operators.dbscan import assign_to_core, cluster_counts, dbscan
 from cohorts.plans.batch import density_score, score_file
-from cohorts.schema import EXPECTED_TYPES, FEATURES, KEY, LABEL, customer_schema
+from cohorts.plans.evaluate import evaluate_clusterings
+from cohorts.plans.train import run_summary, train
+from cohorts.schema import EXPECTED_TYPES, FEATURES, KEY, LABEL, TrainConfig
 from cohorts.session import materialize, new_path
 from cohorts.sources import csv as csv_io
 from cohorts.sources import snapshot as snap
@@ -612,3 +614,24 @@ def q_insights(spark, base):
         parts.append(ins.insights(scaled.join(labels, KEY), FEATURES, LABEL, name, "scaled"))
     table = met.metrics_report(*parts)
     return table.withColumns({c: rounded(F.col(c), 7) for c in ("mean", "overall")})
+
+
+@query("c13_evaluation")
+def q_evaluation(spark, base):
+    mart, scaled, params = scaled_table(spark, base)
+    config = TrainConfig(eps=EPS, min_samples=MIN_SAMPLES)
+    model = km.fit_kmeans(scaled, FEATURES, config.k, config.seed)
+    judged = evaluate_clusterings(scaled, prep.impute(mart, params), model, config)
+    elbow = judged.elbow.select(
+        F.lit("elbow").alias("model"), F.col("k").alias("ord"), F.lit("sse").alias("metric"), F.col("sse").alias("value")
+    )
+    return judged.metrics.unionByName(elbow)
+
+
+@query("p12_train")
+def q_train(spark, base):
+    source = csv_io.write_csv(customer_mart(spark, base), new_path(spark, "csv"))
+    root = new_path(spark, "runs")
+    config = TrainConfig(eps=EPS, min_samples=MIN_SAMPLES)
+    result = train(spark, [f"{source}-absent", source], root, "run-1", config, f"{root}/serving")
+    return run_summary(spark, result)

@@ -5,7 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 
 def build_session(app: str = "cohorts", master: str | None = None, **conf: str) -> SparkSession:
@@ -44,7 +45,13 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     Cuts the lineage of loops, survives the loss of executors, keeps column
     pruning, and gives the optimizer real sizes for its join choices.
     """
-    spark = df.sparkSession
-    path = new_path(spark, name)
+    path = new_path(df.sparkSession, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def materialize_with(df: DataFrame, name: str, **facts: str) -> tuple[DataFrame, dict]:
+    """Like :func:`materialize`, with aggregates (SQL text by name) taken while writing, at no extra pass."""
+    seen = Observation(f"{name}-{uuid.uuid4().hex}")
+    watched = df.observe(seen, *[F.expr(text).alias(key) for key, text in facts.items()])
+    return materialize(watched, name), seen.get
