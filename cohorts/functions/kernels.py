@@ -128,6 +128,7 @@ def leaf_packer(features: list[str], size: int, keep: list[str]):
         low, high = x.min(axis=0), x.max(axis=0)
         for i in range(p):
             row[f"lo{i}"], row[f"hi{i}"], row[f"rep{i}"] = low[i], high[i], x[0, i]
+        row["span"] = float(((high - low) ** 2).sum())
         row["xs"] = x.ravel()
         row["ws"] = pdf["w"].to_numpy()
         for name in keep:

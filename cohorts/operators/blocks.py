@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from cohorts.functions import kernels
 from cohorts.functions.columns import number, squared_distance, squares
-from cohorts.session import materialize_with
+from cohorts.session import materialize, materialize_with
 
 LEAF_ROWS = 128
 LEAF_BITS = 8
@@ -64,30 +64,25 @@ class Tree:
     features: list[str]
     shifts: list[int]
 
-    def nodes(self, level: int, prefix: str) -> DataFrame:
-        """Boxes of a level with a known row, the weight and the parent's number."""
-        p = len(self.features)
+    def nodes(self, level: int) -> DataFrame:
+        """Boxes of a level with a known row, the squared span, the weight and the parent's number."""
         shift = self.shifts[level]
         up = self.shifts[level + 1] - shift
         if shift == 0:
-            boxes = [f"{side}{i} as {prefix}_{side}{i}" for i in range(p) for side in ("lo", "hi", "rep")]
-            span = squared_distance([f"hi{i}" for i in range(p)], [f"lo{i}" for i in range(p)])
-            return self.leaves.selectExpr(
-                f"leaf as {prefix}_node", f"shiftright(leaf, {up}) as {prefix}_parent", f"w as {prefix}_w",
-                f"{span} as {prefix}_span", *boxes,
-            )
-        first = [f"rep[{i}] as {prefix}_rep{i}" for i in range(p)]
+            return self.leaves.withColumn("parent", F.shiftright("leaf", up)).withColumnRenamed("leaf", "node")
+        p = len(self.features)
         rep = f"min_by(array({', '.join(f'rep{i}' for i in range(p))}), leaf) as rep"
-        merged = self.leaves.groupBy(F.shiftright("leaf", shift).alias(f"{prefix}_node")).agg(
-            *[F.expr(f"min(lo{i}) as {prefix}_lo{i}") for i in range(p)],
-            *[F.expr(f"max(hi{i}) as {prefix}_hi{i}") for i in range(p)],
+        merged = self.leaves.groupBy(F.shiftright("leaf", shift).alias("node")).agg(
+            *[F.expr(f"min(lo{i}) as lo{i}") for i in range(p)],
+            *[F.expr(f"max(hi{i}) as hi{i}") for i in range(p)],
             F.expr(rep),
-            F.expr(f"sum(w) as {prefix}_w"),
+            F.expr("sum(w) as w"),
         )
-        span = squared_distance([f"{prefix}_hi{i}" for i in range(p)], [f"{prefix}_lo{i}" for i in range(p)])
-        return merged.selectExpr(
-            "*", f"shiftright({prefix}_node, {up}) as {prefix}_parent", f"{span} as {prefix}_span", *first
+        span = squared_distance([f"hi{i}" for i in range(p)], [f"lo{i}" for i in range(p)])
+        boxes = merged.selectExpr(
+            "*", f"shiftright(node, {up}) as parent", f"{span} as span", *[f"rep[{i}] as rep{i}" for i in range(p)]
         ).drop("rep")
+        return materialize(boxes, "boxes")
 
 
 def plan_splits(df: DataFrame, features: list[str], rows: int, seed: int = 7) -> Splits:
@@ -120,7 +115,7 @@ def pack(df: DataFrame, splits: Splits, keep: dict[str, str], name: str) -> tupl
     )
     ordered = located.repartition("region").sortWithinPartitions("region", "inner")
     schema = (
-        f"region bigint, number bigint, n int, w bigint, {_box_columns(p)}, xs array<double>, ws array<bigint>"
+        f"region bigint, number bigint, n int, w bigint, span double, {_box_columns(p)}, xs array<double>, ws array<bigint>"
         + "".join(f", {c} array<{t}>" for c, t in keep.items())
     )
     leaves = ordered.mapInPandas(kernels.leaf_packer(features, LEAF_ROWS, list(keep)), schema)
@@ -178,28 +173,28 @@ def close_pairs(
     p, limit = len(left.features), eps * eps
     same = min_samples is not None
     surely = number(limit * (1 - SLACK))
-    frontier = spark.range(1).select(F.col("id").alias("a"), F.col("id").alias("b"))
+    frontier = spark.range(1).selectExpr("id as fa", "id as fb")
     settled: list[tuple[int, DataFrame]] = []
     for level in range(len(left.shifts) - 2, -1, -1):
-        near = frontier.join(left.nodes(level, "a"), F.col("a") == F.col("a_parent")).join(
-            right.nodes(level, "b"), F.col("b") == F.col("b_parent")
-        )
-        gaps = [f"greatest(a_lo{i} - b_hi{i}, b_lo{i} - a_hi{i}, 0.0D)" for i in range(p)]
+        one = left.nodes(level)
+        two = one if same else right.nodes(level)
+        near = frontier.join(one.alias("a"), F.expr("fa = a.parent")).join(two.alias("b"), F.expr("fb = b.parent"))
+        gaps = [f"greatest(a.lo{i} - b.hi{i}, b.lo{i} - a.hi{i}, 0.0D)" for i in range(p)]
         near = near.where(f"{squares(gaps)} <= {number(limit * (1 + SLACK))}")
         done = "false"
         if same:
-            near = near.where("a_node <= b_node")
+            near = near.where("a.node <= b.node")
 
-            spans = [f"greatest(b_hi{i} - a_lo{i}, a_hi{i} - b_lo{i})" for i in range(p)]
-            steps = [f"(a_rep{i} - b_rep{i})" for i in range(p)]
+            spans = [f"greatest(b.hi{i} - a.lo{i}, a.hi{i} - b.lo{i})" for i in range(p)]
+            steps = [f"(a.rep{i} - b.rep{i})" for i in range(p)]
             done = (
-                f"a_w >= {min_samples} and b_w >= {min_samples} and (({squares(spans)}) <= {surely} or "
-                f"(a_span <= {surely} and b_span <= {surely} and ({squares(steps)}) <= {surely}))"
+                f"a.w >= {min_samples} and b.w >= {min_samples} and (({squares(spans)}) <= {surely} or "
+                f"(a.span <= {surely} and b.span <= {surely} and ({squares(steps)}) <= {surely}))"
             )
-        pairs = near.selectExpr("a_node as a", "b_node as b", f"{done} as settled")
+        pairs = near.selectExpr("a.node as a", "b.node as b", f"{done} as settled")
         pairs, facts = materialize_with(pairs, "pairs", n="count(1)", settled="count_if(settled)")
         if facts["settled"]:
             settled.append((level, pairs.where("settled").select("a", "b")))
-        frontier = pairs.where("not settled").select("a", "b")
+        frontier = pairs.where("not settled").selectExpr("a as fa", "b as fb")
     count = facts["n"] - facts["settled"]
-    return spread_pairs(frontier, count), count, settled
+    return spread_pairs(frontier.selectExpr("fa as a", "fb as b"), count), count, settled

@@ -128,8 +128,8 @@ def profile_sql() -> dict[str, str]:
     )
     sql["e4_histogram"] = with_(
         mart_facts + ",\n" + bins,
-        "SELECT e.col AS \"column\", e.bin, round(lo + e.bin * ((hi - lo) / k), 8) + 0.0 AS \"left\", "
-        "round(lo + (e.bin + 1) * ((hi - lo) / k), 8) + 0.0 AS \"right\", coalesce(c.n, 0) AS \"count\" "
+        "SELECT e.col AS \"column\", e.bin, round(lo + e.bin * ((hi - lo) / k), 7) + 0.0 AS \"left\", "
+        "round(lo + (e.bin + 1) * ((hi - lo) / k), 7) + 0.0 AS \"right\", coalesce(c.n, 0) AS \"count\" "
         "FROM every e LEFT JOIN counted c ON c.col = e.col AND c.bin = e.bin",
     )
     sql["e5_density"] = with_(

@@ -402,7 +402,7 @@ def q_null_summary(spark, base):
 @query("e4_histogram")
 def q_histogram(spark, base):
     bins = prof.histogram(mart_table(spark, base), FEATURES)
-    return bins.withColumns({c: rounded(F.col(c), 8) for c in ("left", "right")})
+    return bins.withColumns({c: rounded(F.col(c), 7) for c in ("left", "right")})
 
 
 @query("e5_density")

@@ -68,7 +68,7 @@ def main(args: list[str]) -> int:
         try:
             text, ok = differences(spark, con, base, name)
         except Exception as error:  # noqa: BLE001
-            text, ok = f"{type(error).__name__}: {str(error)[:600]}", False
+            text, ok = f"{type(error).__name__}: {str(error)[:3000]}", False
         failed += ok is False
         print(f"{'BAD ' if ok is False else 'ok  '} {name:22s} {time.time() - start:6.2f}s {text}", flush=True)
     spark.stop()
