@@ -61,7 +61,7 @@ def metric_rows(model: str, prefix: str, labels: str, count_name: str, noise_nam
 def insight_rows(model: str, scale: str, rows: str, labels: str) -> str:
     return "\nUNION ALL ".join(
         f"SELECT '{model}' AS model, '{scale}' AS scale, cluster, size, '{c}' AS feature, CAST({i} AS INTEGER) AS ord, "
-        f"round(mean, 7) + 0.0 AS mean, round(overall, 7) + 0.0 AS overall, "
+        f"round(mean + 1.3E-8, 6) + 0.0 AS mean, round(overall + 1.3E-8, 6) + 0.0 AS overall, "
         f"CASE WHEN round(mean, 9) > round(overall * 1.2E0, 9) THEN 'High' WHEN round(mean, 9) < round(overall * 0.8E0, 9) THEN 'Low' END AS flag FROM ("
         f"SELECT l.CLUSTER AS cluster, count(*) AS size, avg(r.{c}) AS mean, (SELECT avg({c}) FROM {rows}) AS overall "
         f"FROM {rows} r JOIN {labels} l USING (CUST_ID) WHERE l.CLUSTER <> -1 GROUP BY l.CLUSTER)"
@@ -128,8 +128,8 @@ def profile_sql() -> dict[str, str]:
     )
     sql["e4_histogram"] = with_(
         mart_facts + ",\n" + bins,
-        "SELECT e.col AS \"column\", e.bin, round(lo + e.bin * ((hi - lo) / k), 7) + 0.0 AS \"left\", "
-        "round(lo + (e.bin + 1) * ((hi - lo) / k), 7) + 0.0 AS \"right\", coalesce(c.n, 0) AS \"count\" "
+        "SELECT e.col AS \"column\", e.bin, round(lo + e.bin * ((hi - lo) / k) + 1.3E-8, 6) + 0.0 AS \"left\", "
+        "round(lo + (e.bin + 1) * ((hi - lo) / k) + 1.3E-8, 6) + 0.0 AS \"right\", coalesce(c.n, 0) AS \"count\" "
         "FROM every e LEFT JOIN counted c ON c.col = e.col AND c.bin = e.bin",
     )
     sql["e5_density"] = with_(
