@@ -43,12 +43,21 @@ def is_float(df: DataFrame, name: str) -> bool:
 
 def as_double(df: DataFrame, name: str) -> Column:
     """The column as double with NaN turned into NULL."""
-    value = col(name).cast("double")
-    return F.nanvl(value, F.lit(None).cast("double")) if is_float(df, name) else value
+    return F.expr(double_sql(df, name))
 
 
 def double_sql(df: DataFrame, name: str) -> str:
-    """SQL text of :func:`as_double`."""
+    """SQL text of the column as double: NaN and missing tokens give NULL, a word in a text column raises."""
+    if isinstance(df.schema[name].dataType, T.StringType):
+        cell = ident(name)
+        tokens = ", ".join(f"'{t}'" for t in MISSING_TOKENS)
+        pattern = NUMBER_PATTERN.replace("\\", "\\\\")
+        label = name.replace("'", "")
+        return (
+            f"case when {cell} is null or {cell} in ({tokens}) then null "
+            f"when {cell} rlike '{pattern}' then try_cast(trim({cell}) as double) "
+            f"else cast(raise_error(concat('not a number in {label}: ', {cell})) as double) end"
+        )
     text = f"cast({ident(name)} as double)"
     return f"nanvl({text}, cast(null as double))" if is_float(df, name) else text
 

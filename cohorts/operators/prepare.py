@@ -35,6 +35,12 @@ def params_from_frame(df: DataFrame) -> list[FeatureParam]:
     return [FeatureParam(**r.asDict()) for r in df.orderBy("ord").collect()]
 
 
+def as_numbers(df: DataFrame, features: list[str], key: str | None = KEY) -> DataFrame:
+    """Key and features as doubles, fractions in whole-number columns kept."""
+    keep = [ident(key)] if key else []
+    return df.selectExpr(*keep, *[f"{double_sql(df, c)} as {ident(c)}" for c in features_of(df.columns, features)])
+
+
 def drop_identifiers(df: DataFrame, names: list[str] = DROP_COLUMNS) -> DataFrame:
     return df.drop(*[c for c in names if c in df.columns])
 

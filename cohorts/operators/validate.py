@@ -212,9 +212,13 @@ def status_rollup(report: DataFrame) -> DataFrame:
 
 
 def split_bad_rows(
-    text: DataFrame, expected: dict[str, str] = EXPECTED_TYPES, key: str = KEY
+    text: DataFrame, expected: dict[str, str] = EXPECTED_TYPES, key: str = KEY, whole: bool = False
 ) -> tuple[DataFrame, DataFrame]:
-    """Rows whose cells fit the expected types, and the others with the offending columns named."""
+    """Rows whose cells are all usable, and the others with the offending columns named.
+
+    A word where a number is expected makes a row unusable. A fraction in a
+    whole-number column does not, unless ``whole`` asks for it.
+    """
     reasons = []
     for name, kind in expected.items():
         if name not in text.columns or kind == "object":
@@ -223,10 +227,10 @@ def split_bad_rows(
         if isinstance(text.schema[name].dataType, T.StringType):
             cell = blank_to_null(c)
             bad = ~cell.rlike(NUMBER_PATTERN)
-            if kind == "int64":
+            if whole and kind == "int64":
                 bad = bad | text_to_long(cell).isNull()
             reasons.append(F.when(cell.isNotNull() & bad, F.lit(name)))
-        elif kind == "int64":
+        elif whole and kind == "int64":
             value = as_double(text, name)
             reasons.append(F.when(value.isNotNull() & (value != F.floor(value)), F.lit(name)))
     if key in text.columns:

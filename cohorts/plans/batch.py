@@ -12,7 +12,7 @@ from cohorts.operators.dbscan import dbscan
 from cohorts.operators.prepare import FeatureParam, apply_preprocessor
 from cohorts.operators.score import align, score
 from cohorts.schema import DROP_COLUMNS, KEY, LABEL
-from cohorts.sources.csv import read_csv, write_csv
+from cohorts.sources.csv import read_csv_text, write_csv
 from cohorts.sources.store import load_model
 
 
@@ -25,10 +25,13 @@ class BatchResult:
 
 
 def score_file(spark: SparkSession, source: str, model_path: str, output: str, places: int | None = None) -> BatchResult:
-    """One lazy chain and one write; the row count is observed while writing. Failures raise."""
+    """One lazy chain and one write; the row count is observed while writing. Failures raise.
+
+    The cells stay the text they were; only the scoring sees numbers.
+    """
     params, model = load_model(spark, model_path)
     seen = Observation(f"scored-{uuid.uuid4().hex}")
-    labelled = score(read_csv(spark, source), params, model, places=places)
+    labelled = score(read_csv_text(spark, source), params, model, places=places)
     write_csv(labelled.observe(seen, F.count(F.lit(1)).alias("records")), output)
     return BatchResult(output, seen.get["records"], True, "Batch scoring completed.")
 

@@ -170,7 +170,7 @@ def q_status(spark, base):
 
 @query("v8_quarantine")
 def q_quarantine(spark, base):
-    _, bad = val.split_bad_rows(defective(customer_mart(spark, base)))
+    _, bad = val.split_bad_rows(defective(customer_mart(spark, base)), whole=True)
     return bad.select(KEY, "reason")
 
 
@@ -368,7 +368,8 @@ def q_stream(spark, base):
     output = new_path(spark, "stream-out")
     run = score_landing(spark, landing, serving, output, new_path(spark, "stream-state"), places=PLACES)
     run.awaitTermination()
-    return read_scored(spark, output)
+    labelled = read_scored(spark, output)
+    return csv_io.cast_columns(labelled.drop(LABEL).withColumn("_l", labelled[LABEL])).withColumnRenamed("_l", LABEL)
 
 
 # Profiling

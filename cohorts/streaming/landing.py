@@ -3,14 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from cohorts.functions.columns import blank_to_null, col
 from cohorts.operators.score import score
-from cohorts.schema import EXPECTED_TYPES, LABEL, customer_schema
-from cohorts.sources.csv import cast_columns
+from cohorts.schema import EXPECTED_TYPES, LABEL
 from cohorts.sources.store import load_current
 
 
@@ -45,13 +43,15 @@ def score_landing(
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         params, model = load_current(batch.sparkSession, serving_root)
-        labelled = score(cast_columns(batch, customer_schema()), params, model, places=places)
+        labelled = score(batch, params, model, places=places)
         labelled.write.mode("overwrite").parquet(f"{output.rstrip('/')}/batch={batch_id}")
 
     writer = stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if once else writer).start()
 
 
-def read_scored(spark: SparkSession, output: str) -> DataFrame:
-    schema = T.StructType(customer_schema().fields + [T.StructField(LABEL, T.IntegerType())])
-    return spark.read.schema(T.StructType(schema.fields + [T.StructField("batch", T.LongType())])).parquet(output).drop("batch")
+def read_scored(spark: SparkSession, output: str, columns: list[str] | None = None) -> DataFrame:
+    """All scored batches: the input's text columns and the label."""
+    fields = [T.StructField(c, T.StringType()) for c in columns or list(EXPECTED_TYPES)]
+    fields += [T.StructField(LABEL, T.IntegerType()), T.StructField("batch", T.LongType())]
+    return spark.read.schema(T.StructType(fields)).parquet(output).drop("batch")
