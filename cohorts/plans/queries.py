@@ -368,8 +368,7 @@ def q_stream(spark, base):
     output = new_path(spark, "stream-out")
     run = score_landing(spark, landing, serving, output, new_path(spark, "stream-state"), places=PLACES)
     run.awaitTermination()
-    labelled = read_scored(spark, output)
-    return csv_io.cast_columns(labelled.drop(LABEL).withColumn("_l", labelled[LABEL])).withColumnRenamed("_l", LABEL)
+    return csv_io.cast_columns(read_scored(spark, output))
 
 
 # Profiling
