@@ -165,7 +165,7 @@ def q_nulls(spark, base):
 
 @query("v5_status")
 def q_status(spark, base):
-    return val.status_rollup(val.validation_report(defective(customer_mart(spark, base))))
+    return val.status_rollup(val.validation_report(defective(mart_table(spark, base))))
 
 
 @query("v8_quarantine")

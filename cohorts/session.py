@@ -35,8 +35,19 @@ def shared_dir(spark: SparkSession) -> str:
     return configured
 
 
+def scratch_dir(spark: SparkSession) -> str:
+    """The application's own part of the shared folder."""
+    return f"{shared_dir(spark).rstrip('/')}/cohorts/{spark.sparkContext.applicationId}"
+
+
 def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark).rstrip('/')}/cohorts/{name}-{uuid.uuid4().hex}"
+    return f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def clear_scratch(spark: SparkSession) -> bool:
+    """Remove the application's scratch tables, once no frame built on them is needed any more."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(scratch_dir(spark))
+    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:

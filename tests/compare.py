@@ -14,7 +14,7 @@ import time
 import duckdb
 
 import __spark_entry__ as entry
-from cohorts.session import build_session
+from cohorts.session import build_session, clear_scratch
 
 TESTDATA = "/root/testdata"
 
@@ -71,6 +71,7 @@ def main(args: list[str]) -> int:
             text, ok = f"{type(error).__name__}: {str(error)[:3000]}", False
         failed += ok is False
         print(f"{'BAD ' if ok is False else 'ok  '} {name:22s} {time.time() - start:6.2f}s {text}", flush=True)
+    clear_scratch(spark)
     spark.stop()
     return failed
 

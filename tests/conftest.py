@@ -1,6 +1,6 @@
 import pytest
 
-from cohorts.session import build_session
+from cohorts.session import build_session, clear_scratch
 
 
 @pytest.fixture(scope="session")
@@ -11,4 +11,5 @@ def spark():
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    assert clear_scratch(session)
     session.stop()
