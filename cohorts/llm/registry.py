@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from cohorts.llm import bpe, lines
+from cohorts.llm import bpe, lines, quality
 from cohorts.llm.tables import Query
 
-MODULES = [bpe, lines]
+MODULES = [bpe, lines, quality]
 
 
 def queries() -> dict[str, Query]:
