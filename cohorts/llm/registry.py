@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from cohorts.llm import bpe, lines, quality
+from cohorts.llm import bpe, lines, quality, urls, warc
 from cohorts.llm.tables import Query
 
-MODULES = [bpe, lines, quality]
+MODULES = [bpe, lines, quality, urls, warc]
 
 
 def queries() -> dict[str, Query]:
