@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from cohorts.llm import bpe, lines, quality, secrets, urls, warc
+from cohorts.llm import bpe, chunks, lines, quality, secrets, urls, warc
 from cohorts.llm.tables import Query
 
-MODULES = [bpe, lines, quality, secrets, urls, warc]
+MODULES = [bpe, chunks, lines, quality, secrets, urls, warc]
 
 
 def queries() -> dict[str, Query]:
