@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from cohorts.llm import ann, bpe, chunks, lines, quality, secrets, urls, warc
+from cohorts.llm import ann, bpe, chunks, jaccard, lines, mixing, quality, secrets, urls, warc
 from cohorts.llm.tables import Query
 
-MODULES = [ann, bpe, chunks, lines, quality, secrets, urls, warc]
+MODULES = [ann, bpe, chunks, jaccard, lines, mixing, quality, secrets, urls, warc]
 
 
 def queries() -> dict[str, Query]:
