@@ -91,13 +91,13 @@ def stats_of(texts: pa.Array) -> pa.Array:
 
 
 def vector_columns() -> dict[str, Column]:
-    n, c = F.col("n_words"), F.col("word_chars")
+    share = F.try_divide  # a text without words has no vector
     return {
-        "log_words": F.log1p(n),
-        "log_word_length": F.log(c / n),
-        "symbols": F.sqrt(F.col("n_symbols") / c),
-        "dup_lines": F.sqrt(F.col("n_dup_lines") / F.col("n_lines")),
-        "repeats": F.sqrt(F.col("n_repeat_words") / n),
+        "log_words": F.log1p("n_words"),
+        "log_word_length": F.log(share("word_chars", "n_words")),
+        "symbols": F.sqrt(share("n_symbols", "word_chars")),
+        "dup_lines": F.sqrt(share("n_dup_lines", "n_lines")),
+        "repeats": F.sqrt(share("n_repeat_words", "n_words")),
     }
 
 
