@@ -413,10 +413,8 @@ def join_in_blocks(members: DataFrame, links: DataFrame, rule: Rule, block: int
     comps = components(links).select("vertex", F.col("root").alias("comp"))
     known = members.join(comps, "vertex", "left").select("region", "vertex", F.coalesce("comp", "vertex").alias("comp"), "shingles")
     known = materialize(known.dropDuplicates(["region", "vertex"]), "members")
-    rank = F.format_string("%020d-%020d-%012d-%020d", F.col("region").cast("decimal(20)").cast("string").cast("decimal(20)") + F.lit(1 << 63).cast("decimal(20)"),
-                           F.col("comp").cast("decimal(20)") + F.lit(1 << 63).cast("decimal(20)"), (F.length("shingles") / 8).cast("long"),
-                           F.col("vertex").cast("decimal(20)") + F.lit(1 << 63).cast("decimal(20)"))
-    order = known.select("region", "vertex", "comp", (F.length("shingles") / 8).cast("long").alias("n"), rank.alias("rank"))
+    size = (F.length("shingles") / 8).cast("long")
+    order = known.select("region", "vertex", "comp", size.alias("n"), F.struct("region", "comp", size.alias("n"), "vertex").alias("rank"))
     placed = numbered(order, "rank", "place").withColumn("block", F.floor(F.col("place") / block)).drop("rank", "place")
     placed = materialize(placed, "placed")
     facts = placed.groupBy("region", "block").agg(
