@@ -253,20 +253,28 @@ def linker(p: int, limit: float, leaf_bits: int):
     return run
 
 
-def nearest_core(p: int, limit: float, leaf_bits: int, places: int):
-    """Closest core row within reach, for every row of the first leaf of a pair."""
+def nearest_core(p: int, limit: float, leaf_bits: int):
+    """Closest core row within reach, for every row of the first leaf of a pair; equal distances go to the lowest label.
+
+    Distances that matter are summed feature by feature, so they are the same in whatever block a row stands.
+    """
 
     def run(batches):
         for pdf in batches:
-            out = []
+            found = [(np.zeros(0, dtype=np.int64), np.zeros(0), np.zeros(0, dtype=np.int64))]
             for a, xa, xb, labels in zip(pdf["a"], pdf["xa"], pdf["xb"], pdf["labels"]):
-                d2 = squared_distances(np.reshape(xa, (-1, p)), np.reshape(xb, (-1, p)), limit)
-                labels = np.asarray(labels)
-                near = np.round(np.where(d2 <= limit, d2, np.inf), places)
-                best = near.min(axis=1)
-                for i in np.flatnonzero(np.isfinite(best)):
-                    out.append(((int(a) << leaf_bits) + int(i), best[i], int(labels[near[i] == best[i]].min())))
-            yield pd.DataFrame(out, columns=["pid", "d2", "label"])
+                x, y = np.reshape(xa, (-1, p)), np.reshape(xb, (-1, p))
+                i, j = np.nonzero(squared_distances(x, y, limit) <= limit)
+                exact = np.zeros(len(i))
+                for k in range(p):
+                    step = x[i, k] - y[j, k]
+                    exact += step * step
+                label = np.asarray(labels, dtype=np.int64)[j]
+                order = np.lexsort((label, exact, i))
+                first = order[np.unique(i[order], return_index=True)[1]]
+                found.append(((int(a) << leaf_bits) + i[first], exact[first], label[first]))
+            pid, d2, label = (np.concatenate(c) for c in zip(*found))
+            yield pd.DataFrame({"pid": pid, "d2": d2, "label": label})
 
     return run
 

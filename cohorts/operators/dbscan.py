@@ -226,7 +226,6 @@ def assign_to_core(
     min_samples: int = 5,
     key: str = KEY,
     label: str = LABEL,
-    places: int = 6,
     safe_rows: int = SAFE_ROWS,
 ) -> DataFrame:
     """Label each new row with the cluster of its nearest core row within ``eps``, else -1."""
@@ -259,7 +258,7 @@ def assign_to_core(
     )
     with arrow_rows(train.sparkSession, batch_rows(p, LEAF_ROWS)):
         reached = materialize(
-            met.mapInPandas(kernels.nearest_core(p, eps * eps, LEAF_BITS, places), "pid bigint, d2 double, label int"),
+            met.mapInPandas(kernels.nearest_core(p, eps * eps, LEAF_BITS), "pid bigint, d2 double, label int"),
             "reached",
         )
     closest = reached.groupBy("pid").agg(F.min(F.struct("d2", "label"))["label"].alias(label))

@@ -63,7 +63,7 @@ def fit_preprocessor(
     wanted = ["count(1) as rows"]
     for i, c in enumerate(names):
         value = double_sql(df, c)
-        wanted += [f"count({value}) as n{i}", f"avg({value}) as m{i}", f"var_pop({value}) as v{i}"]
+        wanted += [f"count({value}) as n{i}", f"avg({value}) as m{i}", f"var_pop({value}) as v{i}", f"count_if(abs({value}) = double('inf')) as w{i}"]
         if approx:
             wanted.append(f"percentile_approx({value}, 0.5D, 100000) as q{i}")
     row = df.selectExpr(*wanted).first()
@@ -73,6 +73,9 @@ def fit_preprocessor(
     empty = [c for i, c in enumerate(names) if row[f"n{i}"] == 0]
     if empty:
         raise ValueError(f"columns without any value: {', '.join(empty)}")
+    endless = [c for i, c in enumerate(names) if row[f"w{i}"]]
+    if endless:
+        raise ValueError(f"columns with infinite values: {', '.join(endless)}; split_bad_rows sets such rows aside")
     if approx:
         medians = {c: row[f"q{i}"] for i, c in enumerate(names)}
     else:

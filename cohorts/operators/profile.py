@@ -18,7 +18,8 @@ STATISTICS = ["count", "mean", "std", "min", "q25", "q50", "q75", "max"]
 DESCRIBE_SCHEMA = "ord int, column string, count bigint, " + ", ".join(f"{s} double" for s in STATISTICS[1:])
 WHISKER = 1.5
 DENSITY_GRID = 200
-DENSITY_CELLS = 512
+# Cells per bandwidth, and bandwidths beyond which a row adds nothing (under 1e-13 of its peak).
+DENSITY_CELLS, DENSITY_REACH = 64, 8.0
 SAMPLE_ROWS = 1000
 STRONG_CORRELATION = 0.7
 
@@ -139,9 +140,10 @@ def density(
 ) -> DataFrame:
     """Gaussian density on a grid of each column, bandwidth by Scott's rule.
 
-    Rows are first folded to ``cells`` narrow cells, each standing at its mean
-    value, so the grid step costs the same for any number of rows. Columns
-    without spread have no curve.
+    Rows are first folded to cells of 1/``cells`` of the bandwidth. A cell stands at its mean and adds its
+    spread by the kernel's second derivative, so folding stays below the sixth digit whatever the column's
+    tails, and only cells with rows exist. A cell meets only grid points in its reach. Columns without
+    spread have no curve.
     """
     spark = df.sparkSession
     columns = columns or numeric_columns(df)
@@ -154,21 +156,23 @@ def density(
     plan = F.broadcast(
         spark.createDataFrame(rows, "ord int, column string, low double, high double, n bigint, h double")
     )
-    share = (F.col("value") - F.col("low")) / (F.col("high") - F.col("low"))
     folded = (
         _long(df, columns)
         .join(plan, "ord")
-        .groupBy("ord", F.least(F.floor(share * cells), F.lit(cells - 1)).alias("cell"))
-        .agg(F.count(F.lit(1)).alias("weight"), F.avg("value").alias("at"))
+        .groupBy("ord", F.floor((F.col("value") - F.col("low")) / F.col("h") * cells).alias("cell"))
+        .agg(F.count(F.lit(1)).alias("weight"), F.avg("value").alias("at"), F.var_pop("value").alias("spread"))
     )
+    step = f"((high - low) / {number(grid - 1)})"
+    first = F.expr(f"cast(greatest(0, ceil((at - {number(DENSITY_REACH)} * h - low) / {step})) as int)")
+    last = F.expr(f"cast(least({grid - 1}, floor((at + {number(DENSITY_REACH)} * h - low) / {step})) as int)")
     x = F.expr(f"low + point * (high - low) / {number(grid - 1)}")
-    curve = folded.join(plan, "ord").withColumn("point", F.explode(F.sequence(F.lit(0), F.lit(grid - 1))))
-    height = F.expr("weight * exp(-0.5D * pow((x - at) / h, 2.0D))")
-    return (
-        curve.withColumn("x", x)
-        .groupBy("column", "point", "x", "n", "h")
-        .agg(F.sum(height).alias("s"))
-        .select("column", "point", "x", F.expr("s / (n * h * sqrt(2.0D * pi()))").alias("density"))
+    met = folded.join(plan, "ord").withColumns({"first": first, "last": last}).where("first <= last")
+    met = met.withColumn("point", F.explode(F.sequence("first", "last"))).withColumn("u2", F.pow((x - F.col("at")) / F.col("h"), F.lit(2.0)))
+    height = F.expr("weight * exp(-0.5D * u2) * (1.0D + 0.5D * spread * (u2 - 1.0D) / (h * h))")
+    sums = met.groupBy("ord", "point").agg(F.sum(height).alias("s"))
+    every = plan.withColumn("point", F.explode(F.sequence(F.lit(0), F.lit(grid - 1)))).withColumn("x", x)
+    return every.join(sums, ["ord", "point"], "left").select(
+        "column", "point", "x", F.expr("coalesce(s, 0.0D) / (n * h * sqrt(2.0D * pi()))").alias("density")
     )
 
 

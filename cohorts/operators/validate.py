@@ -216,7 +216,7 @@ def split_bad_rows(
 ) -> tuple[DataFrame, DataFrame]:
     """Rows whose cells are all usable, and the others with the offending columns named.
 
-    A word where a number is expected makes a row unusable. A fraction in a
+    A word or an infinite value where a number is expected makes a row unusable. A fraction in a
     whole-number column does not, unless ``whole`` asks for it.
     """
     reasons = []
@@ -226,13 +226,16 @@ def split_bad_rows(
         c = col(name)
         if isinstance(text.schema[name].dataType, T.StringType):
             cell = blank_to_null(c)
-            bad = ~cell.rlike(NUMBER_PATTERN)
+            bad = ~cell.rlike(NUMBER_PATTERN) | cell.rlike(r"(?i)^\s*[+-]?inf(inity)?\s*$")
             if whole and kind == "int64":
                 bad = bad | text_to_long(cell).isNull()
             reasons.append(F.when(cell.isNotNull() & bad, F.lit(name)))
-        elif whole and kind == "int64":
+        else:
             value = as_double(text, name)
-            reasons.append(F.when(value.isNotNull() & (value != F.floor(value)), F.lit(name)))
+            bad = F.abs(value) == float("inf")
+            if whole and kind == "int64":
+                bad = bad | (value != F.floor(value))
+            reasons.append(F.when(value.isNotNull() & bad, F.lit(name)))
     if key in text.columns:
         reasons.append(F.when(col(key).isNull(), F.lit(key)))
     reason = F.concat_ws(",", *reasons) if reasons else F.lit("")

@@ -113,6 +113,8 @@ def oracle_sql() -> dict[str, str]:
         )
         + " FROM customer"
     )
+    sql["s1_csv_quoted"] = with_(MART, "SELECT 'C \"' || CUST_ID || '\"\", 1,' AS CUST_ID, * EXCLUDE (CUST_ID) FROM mart")
+    sql["s3_snapshot_runs"] = with_(MART, "SELECT CUST_ID, BALANCE, PURCHASES, CAST(TENURE AS DOUBLE) AS EXTRA FROM mart")
     report = "CAST({ord} AS INTEGER) AS ord, '{section}' AS section, {check} AS \"check\", {column} AS \"column\", {status} AS status, {message} AS message, '{sev}' AS severity"
     sql["v1_columns"] = "SELECT " + report.format(
         ord=0, section="schema_validation", check="'Column Presence'", column="CAST(NULL AS VARCHAR)",
@@ -182,6 +184,10 @@ def oracle_sql() -> dict[str, str]:
 
     sql["t1_t2_features"] = with_(MART, "SELECT " + ", ".join(FEATURES) + " FROM mart")
     sql["t3_impute"] = with_(MART + ",\n" + IMPUTED, "SELECT * FROM imp")
+    sql["t3_impute_infinite"] = with_(
+        MART.replace("mart AS", "whole AS", 1) + ",\nmart AS MATERIALIZED (SELECT * FROM whole WHERE PURCHASES_TRX % 4 <> 0),\n" + IMPUTED,
+        "SELECT * FROM imp",
+    )
     sql["t4_scale"] = with_(BASE, "SELECT * FROM scaled")
     sql["t5_apply_new"] = with_(
         BASE,
@@ -195,13 +201,28 @@ def oracle_sql() -> dict[str, str]:
         "(SELECT count(*) - count({c}) FROM mart) AS missing FROM par",
         FEATURES,
     )
-    sql["t6_one_pass"] = sql["t6_two_pass"] = sql["s7_params"] = with_(BASE, fit_rows)
+    sql["t6_one_pass"] = sql["t6_two_pass"] = with_(BASE, fit_rows)
     sql["t7_inverse"] = with_(BASE, "SELECT CUST_ID, " + each("round({c}, 4) + 0.0 AS {c}") + " FROM imp")
     sql["t8_passthrough"] = with_(
         BASE, "SELECT s.*, m.PURCHASES_TRX * 2.0E0 AS TICKET FROM scaled s JOIN mart m USING (CUST_ID)"
     )
 
+    sql["m1_kmeans_facts"] = with_(
+        MART, "SELECT count(*) AS \"rows\", CAST(3 AS BIGINT) AS centres, true AS nearest, true AS close_to_lloyd, true AS error_is_sum FROM mart"
+    )
+    sql["m6_elbow_facts"] = with_(
+        BASE,
+        "SELECT CAST(k AS INTEGER) AS k, true AS falls, CASE WHEN k = 1 THEN (SELECT round(count(*) * ("
+        + each("var_pop({c})", sep="+") + "), 4) FROM scaled) END AS sse_of_one FROM range(1, 11) t(k)",
+    )
+    sql["p12_train_facts"] = with_(
+        raw,
+        "SELECT 'features' AS item, 17.0E0 AS value UNION ALL SELECT 'centres', 3.0E0 UNION ALL SELECT 'reports', 6.0E0 "
+        "UNION ALL SELECT 'rows', CAST(count(*) FILTER (WHERE MINIMUM_PAYMENTS IS DISTINCT FROM 'TEXT') AS DOUBLE) FROM raw "
+        "UNION ALL SELECT 'rejected', CAST(count(*) FILTER (WHERE MINIMUM_PAYMENTS = 'TEXT') AS DOUBLE) FROM raw",
+    )
     lab = "lab l JOIN mart m ON m.CUST_ID = l.CUST_ID"
+    sql["s9_publish_back"] = with_(KLAB, "SELECT CUST_ID, id AS CLUSTER, 'v10' AS before FROM lab")
     sql["m1a_lloyd"] = with_(KLAB, "SELECT CUST_ID, id AS CLUSTER FROM lab")
     sql["m2_centres"] = with_(
         KLAB, "\nUNION ALL ".join(

@@ -62,9 +62,10 @@ def insight_rows(model: str, scale: str, rows: str, labels: str) -> str:
     return "\nUNION ALL ".join(
         f"SELECT '{model}' AS model, '{scale}' AS scale, cluster, size, '{c}' AS feature, CAST({i} AS INTEGER) AS ord, "
         f"round(mean + 1.3E-8, 6) + 0.0 AS mean, round(overall + 1.3E-8, 6) + 0.0 AS overall, "
-        f"CASE WHEN round(mean, 9) > round(overall * 1.2E0, 9) THEN 'High' WHEN round(mean, 9) < round(overall * 0.8E0, 9) THEN 'Low' END AS flag FROM ("
+        f"CASE WHEN mean - overall * 1.2E0 > slack THEN 'High' WHEN overall * 0.8E0 - mean > slack THEN 'Low' END AS flag FROM ("
+        f"SELECT *, max(abs(mean)) OVER () * 1E-9 AS slack FROM ("
         f"SELECT l.CLUSTER AS cluster, count(*) AS size, avg(r.{c}) AS mean, (SELECT avg({c}) FROM {rows}) AS overall "
-        f"FROM {rows} r JOIN {labels} l USING (CUST_ID) WHERE l.CLUSTER <> -1 GROUP BY l.CLUSTER)"
+        f"FROM {rows} r JOIN {labels} l USING (CUST_ID) GROUP BY l.CLUSTER)) WHERE cluster <> -1"
         for i, c in enumerate(FEATURES)
     )
 
@@ -135,13 +136,19 @@ def profile_sql() -> dict[str, str]:
     sql["e5_density"] = with_(
         BASE + ",\n" + facts("scaled") + ",\n" + cells("scaled")
         + ",\nplan AS MATERIALIZED (SELECT col, lo, hi, n, sd * pow(n, -0.2E0) AS h FROM facts),\n"
-        "folded AS MATERIALIZED (SELECT c.col, least(floor((v - lo) / (hi - lo) * 512), 511) AS cell, count(*) AS weight, avg(v) AS at "
-        "FROM cells c JOIN plan p ON p.col = c.col GROUP BY ALL),\n"
         "grid AS (SELECT col, lo, hi, n, h, CAST(unnest(range(200)) AS INTEGER) AS point FROM plan),\n"
         "xs AS (SELECT *, lo + point * (hi - lo) / 199.0E0 AS x FROM grid)",
         "SELECT g.col AS \"column\", g.point, round(any_value(g.x), 5) + 0.0 AS x, "
-        "round(sum(weight * exp(-0.5E0 * pow((g.x - f.at) / g.h, 2))) / (any_value(g.n) * any_value(g.h) * sqrt(2.0E0 * pi())), 5) + 0.0 AS density "
-        "FROM xs g JOIN folded f ON f.col = g.col GROUP BY g.col, g.point",
+        "round(sum(exp(-0.5E0 * pow((g.x - f.v) / g.h, 2))) / (any_value(g.n) * any_value(g.h) * sqrt(2.0E0 * pi())), 5) + 0.0 AS density "
+        "FROM xs g JOIN cells f ON f.col = g.col GROUP BY g.col, g.point",
+    )
+    sql["e5_density_tail"] = with_(
+        MART + ",\nt AS MATERIALIZED (SELECT exp(BALANCE / 1000.0E0) AS v FROM mart),\n"
+        "plan AS (SELECT min(v) AS lo, max(v) AS hi, count(*) AS n, stddev_samp(v) * pow(count(*), -0.2E0) AS h FROM t),\n"
+        "xs AS (SELECT *, lo + point * (hi - lo) / 199.0E0 AS x FROM (SELECT *, CAST(unnest(range(200)) AS INTEGER) AS point FROM plan))",
+        "SELECT 'TAIL' AS \"column\", point, round(any_value(x), 5) + 0.0 AS x, "
+        "round(sum(exp(-0.5E0 * pow((x - t.v) / h, 2))) * any_value(hi - lo) / (any_value(n) * any_value(h) * sqrt(2.0E0 * pi())), 4) + 0.0 AS density "
+        "FROM xs, t GROUP BY point",
     )
     boxed = mart_facts + ",\n" + cells("mart") + ",\n" + FENCES
     sql["e6_box"] = with_(
@@ -210,10 +217,11 @@ def cluster_sql() -> dict[str, str]:
     )
     sql["p4_nearest_core"] = with_(
         DLAB + ",\n" + fresh
-        + f",\nfound AS (SELECT f.CUST_ID, c.id, row_number() OVER (PARTITION BY f.CUST_ID ORDER BY round({dist2('f', 's')}, 6), c.id) AS rn "
+        + f",\nfound AS (SELECT f.CUST_ID, c.id, row_number() OVER (PARTITION BY f.CUST_ID ORDER BY {dist2('f', 's')}, c.id) AS rn "
         f"FROM fresh f, scaled s JOIN num c ON c.node = s.CUST_ID WHERE {dist2('f', 's')} <= {1.75 * 1.75!r})",
         "SELECT f.CUST_ID, CAST(coalesce(g.id, -1) AS INTEGER) AS CLUSTER FROM fresh f LEFT JOIN found g ON g.CUST_ID = f.CUST_ID AND g.rn = 1",
     )
+    sql["p4_nearest_core_small_eps"] = sql["p4_nearest_core"]
     kscores = KLAB + ",\n" + KLABELS + ",\n" + scores("klab", prefix="k")
     sql["c1_silhouette"] = with_(kscores, "SELECT round(s, 6) + 0.0 AS silhouette FROM ksil")
     sql["c2_davies_bouldin"] = with_(kscores, "SELECT round(r, 6) + 0.0 AS davies_bouldin FROM kdb")
@@ -270,6 +278,7 @@ def cluster_sql() -> dict[str, str]:
     sql["c10_flags"] = with_(
         DLAB, "SELECT cluster, feature, flag FROM (" + insight_rows("DBSCAN", "original", "imp", "dlab") + ") WHERE flag IS NOT NULL"
     )
+    sql["c10_flags_small_units"] = sql["c10_flags"]
     sql["c11_insights"] = with_(
         KLAB + ",\n" + KLABELS + ",\n" + density(1.75),
         "\nUNION ALL ".join(

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohorts.functions.columns import col, rounded
+from cohorts.functions.columns import col, number, rounded
 from cohorts.mart import customer_mart, embedding_frame
 from cohorts.operators import insights as ins
 from cohorts.operators import kmeans as km
@@ -133,6 +133,26 @@ def q_report_json(spark, base):
     return store.load_report(spark, path, val.REPORT_SCHEMA)
 
 
+@query("s1_csv_quoted")
+def q_csv_quoted(spark, base):
+    """Quotes and commas in the key, written and read back."""
+    quoted = F.concat(F.lit('C "'), col(KEY), F.lit('"", 1,'))
+    path = csv_io.write_csv(customer_mart(spark, base).withColumn(KEY, quoted), new_path(spark, "csv"))
+    return csv_io.read_csv(spark, path)
+
+
+@query("s3_snapshot_runs")
+def q_snapshot_runs(spark, base):
+    """Two runs of different columns: each comes back whole, and the newer is found to be Parquet."""
+    root = new_path(spark, "snapshots")
+    mart = customer_mart(spark, base)
+    snap.snapshot(mart.select(KEY, "BALANCE"), root, "run-1")
+    snap.snapshot(mart.select(KEY, "PURCHASES", F.col("TENURE").cast("double").alias("EXTRA")), root, "run-2")
+    first = snap.read_snapshot(spark, root, "run-1")
+    second = snap.load_raw(spark, [f"{root}/absent", f"{root}/run_id=run-2"])
+    return first.join(second, KEY).select(KEY, "BALANCE", "PURCHASES", "EXTRA")
+
+
 # Validation
 
 
@@ -188,6 +208,15 @@ def q_impute(spark, base):
     return prep.impute(mart, prep.fit_preprocessor(mart))
 
 
+@query("t3_impute_infinite")
+def q_impute_infinite(spark, base):
+    """Infinite cells are set aside with their rows; medians come from the rest."""
+    endless = F.when(F.col("PURCHASES_TRX") % 4 == 0, F.lit(float("inf"))).otherwise(F.col("BALANCE"))
+    good, _ = val.split_bad_rows(customer_mart(spark, base).withColumn("BALANCE", endless))
+    good = materialize(good, "good")
+    return prep.impute(good, prep.fit_preprocessor(good))
+
+
 @query("t4_scale")
 def q_scale(spark, base):
     return scaled_table(spark, base)[1]
@@ -242,6 +271,23 @@ def q_kmeans(spark, base):
     return km.assign(scaled, FEATURES, fit.centres).select(KEY, LABEL)
 
 
+@query("m1_kmeans_facts")
+def q_kmeans_facts(spark, base):
+    """What holds for any seed: sizes, nearest centres, and an error no worse than 1.01 times that of plain rounds."""
+    _, scaled, _, plain = trained(spark, base)
+    fit = km.fit_kmeans(scaled, FEATURES, K)
+    placed = km.assign(scaled, FEATURES, fit.centres, keep_distance="d2")
+    distances = [
+        F.expr(" + ".join(f"pow(`{f}` - {number(c[i])}, 2.0D)" for i, f in enumerate(FEATURES))) for c in fit.centres
+    ]
+    nearest = F.col("d2") <= F.array_min(F.array(*distances)) + 1e-9
+    bound = 1.01 * km.cluster_summary(scaled, FEATURES, plain.centres).agg(F.sum("sse")).first()[0]
+    return placed.agg(
+        F.count(F.lit(1)).alias("rows"), F.count_distinct(LABEL).alias("centres"), F.bool_and(nearest).alias("nearest"),
+        (F.sum("d2") <= F.lit(bound)).alias("close_to_lloyd"), (F.abs(F.sum("d2") / fit.inertia - 1) < 1e-6).alias("error_is_sum"),
+    )
+
+
 @query("m1a_lloyd")
 def q_lloyd(spark, base):
     _, scaled, _, model = trained(spark, base)
@@ -266,6 +312,16 @@ def q_elbow(spark, base):
     return km.elbow_curve(scaled, FEATURES)
 
 
+@query("m6_elbow_facts")
+def q_elbow_facts(spark, base):
+    """A row for each k, the exact error of k=1, and a curve that falls, to within 1 percent."""
+    _, scaled, _ = scaled_table(spark, base)
+    curve = materialize(km.elbow_curve(scaled, FEATURES), "elbow")
+    before = curve.select((F.col("k") + 1).alias("k"), F.col("sse").alias("last"))
+    joined = curve.join(before, "k", "left").withColumn("falls", F.coalesce(F.col("sse") <= F.col("last") * 1.01, F.lit(True)))
+    return joined.select(F.col("k").cast("int").alias("k"), "falls", F.when(F.col("k") == 1, F.round("sse", 4)).alias("sse_of_one"))
+
+
 @query("m6_elbow_k1")
 def q_elbow_k1(spark, base):
     _, scaled, _ = scaled_table(spark, base)
@@ -359,6 +415,20 @@ def q_publish(spark, base):
     return sc.score(mart, params, model, places=PLACES)
 
 
+@query("s9_publish_back")
+def q_publish_back(spark, base):
+    """v9, then v10 with other centres, then back to v9: the last pointer is served, and v10 was before it."""
+    mart, scaled, params, model = trained(spark, base)
+    other = lloyd_model(scaled, rounds=1)
+    serving = new_path(spark, "serving")
+    for version, fit in (("v9", model), ("v10", other)):
+        store.publish(spark, store.save_model(spark, params, fit, new_path(spark, "model")), serving, version)
+    newest = store.current_version(spark, serving)[0]
+    store.point_to(spark, serving, "v9")
+    params, model = store.load_current(spark, serving)
+    return sc.score(mart, params, model, places=PLACES).select(KEY, LABEL, F.lit(newest).alias("before"))
+
+
 @query("s8_stream")
 def q_stream(spark, base):
     mart, model_path = _saved_model(spark, base)
@@ -417,6 +487,16 @@ def q_density(spark, base):
     return curve.withColumns({"x": rounded(F.col("x"), 5), "density": rounded(F.col("density"), 5)})
 
 
+@query("e5_density_tail")
+def q_density_tail(spark, base):
+    """A column whose range is thousands of bandwidths; heights as shares of an even spread over the range."""
+    tail = materialize(customer_mart(spark, base).select(F.exp(F.col("BALANCE") / 1000.0).alias("TAIL")), "tail")
+    facts = prof.column_facts(tail, ["TAIL"])
+    span = facts["TAIL"]["max"] - facts["TAIL"]["min"]
+    curve = prof.density(tail, ["TAIL"], facts)
+    return curve.select("column", "point", rounded(F.col("x"), 5).alias("x"), rounded(F.col("density") * span, 4).alias("density"))
+
+
 @query("e6_box")
 def q_box(spark, base):
     boxes = prof.box_stats(mart_table(spark, base), FEATURES)
@@ -501,6 +581,16 @@ def q_nearest_core(spark, base):
     return assign_to_core(scaled, fresh, FEATURES, EPS, MIN_SAMPLES)
 
 
+@query("p4_nearest_core_small_eps")
+def q_nearest_core_small(spark, base):
+    """All lengths 8192 times smaller, an exact factor: the same labels."""
+    mart, scaled, params = scaled_table(spark, base)
+    fresh = mart.withColumns({f: col(f) * F.lit(1.02) for f in FEATURES})
+    fresh = prep.apply_preprocessor(fresh, params, places=PLACES)
+    small = lambda df: materialize(df.withColumns({f: col(f) * F.lit(2.0**-13) for f in FEATURES}), "small")
+    return assign_to_core(small(scaled), small(fresh), FEATURES, EPS * 2.0**-13, MIN_SAMPLES)
+
+
 # Evaluation and interpretation
 
 
@@ -608,6 +698,14 @@ def q_flags(spark, base):
     return ins.flags(_original(mart, params, labels), FEATURES)
 
 
+@query("c10_flags_small_units")
+def q_flags_small(spark, base):
+    """Figures in units 2^40 times larger: what stands out stays the same."""
+    mart, _, params, labels = density_labelled(spark, base)
+    original = _original(mart, params, labels)
+    return ins.flags(original.withColumns({f: col(f).cast("double") * F.lit(2.0**-40) for f in FEATURES}), FEATURES)
+
+
 @query("c11_insights")
 def q_insights(spark, base):
     mart, scaled, params, model = trained(spark, base)
@@ -641,3 +739,12 @@ def q_train(spark, base):
     config = TrainConfig(eps=EPS, min_samples=MIN_SAMPLES)
     result = train(spark, [f"{source}-absent", source], root, "run-1", config, f"{root}/serving")
     return run_summary(spark, result)
+
+
+@query("p12_train_facts")
+def q_train_facts(spark, base):
+    """A run over raw text with words in a number column: what it learned from, set aside and wrote."""
+    source = csv_io.write_csv(defective(customer_mart(spark, base)), new_path(spark, "csv"))
+    root = new_path(spark, "runs")
+    result = train(spark, [source], root, "run-1", TrainConfig(eps=EPS, min_samples=MIN_SAMPLES))
+    return run_summary(spark, result).where("item <> 'inertia'").drop("run_id")

@@ -10,9 +10,16 @@ from cohorts.functions.columns import blank_to_null, col, text_to_double, text_t
 from cohorts.schema import customer_schema
 
 
+# How quotes are written inside quoted cells, on both sides.
+QUOTES = {"quote": '"', "escape": '"'}
+
+
 def read_csv_text(spark: SparkSession, path: str | list[str], **options: str) -> DataFrame:
-    """Every column as text, bound by header name; missing-value tokens become NULL."""
-    raw = spark.read.options(header=True, enforceSchema=False, **options).csv(path)
+    """Every column as text, bound by header name; missing-value tokens become NULL.
+
+    A quote inside quotes is doubled. Cells with line breaks need ``multiLine="true"``, which makes a file one task's work.
+    """
+    raw = spark.read.options(**{"header": True, "enforceSchema": False, **QUOTES, **options}).csv(path)
     return raw.select(*[blank_to_null(col(c)).alias(c) for c in raw.columns])
 
 
@@ -41,5 +48,5 @@ def write_csv(df: DataFrame, path: str, single_file: bool = False, **options: st
     ``single_file`` sends all rows through one task; meant for small exports.
     """
     out = df.coalesce(1) if single_file else df
-    out.write.mode("overwrite").options(header=True, **options).csv(path)
+    out.write.mode("overwrite").options(**{"header": True, **QUOTES, **options}).csv(path)
     return path

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from cohorts.sources.csv import read_csv_text
 
@@ -22,12 +21,22 @@ def first_existing(spark: SparkSession, candidates: list[str]) -> str:
     raise FileNotFoundError(f"none of the inputs exists: {', '.join(candidates)}")
 
 
-def load_raw(spark: SparkSession, candidates: list[str]) -> DataFrame:
-    """The first candidate that exists: Parquet as it is, anything else as CSV text."""
-    path = first_existing(spark, candidates)
+def holds_parquet(spark: SparkSession, path: str) -> bool:
+    """True if the path, or a file in the folder it is, ends in .parquet."""
     if path.rstrip("/").endswith(".parquet"):
-        return spark.read.parquet(path)
-    return read_csv_text(spark, path)
+        return True
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    names = [f.getPath().getName() for f in target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(target)]
+    return any(n.endswith(".parquet") for n in names)
+
+
+def load_raw(spark: SparkSession, candidates: list[str], format: str | None = None) -> DataFrame:
+    """The first candidate that exists, as ``format`` ("parquet" or "csv"); by default its files' names decide."""
+    path = first_existing(spark, candidates)
+    if format is None:
+        format = "parquet" if holds_parquet(spark, path) else "csv"
+    return spark.read.parquet(path) if format == "parquet" else read_csv_text(spark, path)
 
 
 def snapshot(df: DataFrame, root: str, run_id: str) -> DataFrame:
@@ -39,4 +48,4 @@ def snapshot(df: DataFrame, root: str, run_id: str) -> DataFrame:
 
 def read_snapshot(spark: SparkSession, root: str, run_id: str) -> DataFrame:
     """One run of the snapshot root; only that run's folder is listed and read."""
-    return spark.read.parquet(root).where(F.col("run_id") == run_id).drop("run_id")
+    return spark.read.parquet(f"{root.rstrip('/')}/run_id={run_id}")

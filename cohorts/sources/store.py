@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from cohorts.operators.kmeans import KMeansFit, centres_frame, centres_from_frame
 from cohorts.operators.prepare import FeatureParam, params_frame, params_from_frame
+from cohorts.sources.snapshot import path_exists
 
 META_SCHEMA = "k int, inertia double, rounds int"
 
@@ -36,23 +37,41 @@ def load_model(spark: SparkSession, path: str) -> tuple[list[FeatureParam], KMea
     return params, KMeansFit(features, centres, meta["inertia"], meta["rounds"])
 
 
+POINTER_SCHEMA = "sequence bigint, version string, path string"
+
+
 def publish(spark: SparkSession, model_path: str, serving_root: str, version: str) -> str:
-    """Copy a run's tables to the serving area, then turn the pointer row to it.
+    """Copy a run's tables to the serving area, then point to them.
 
-    Model folders are never changed once written; the pointer is written last, so a
-    reader finds either the old or the new version.
+    A version's folder is written once and never changed; publishing a name again is refused. The pointer is
+    written last, so a reader finds either the old or the new version.
     """
     target = f"{serving_root.rstrip('/')}/versions/{version}"
+    if path_exists(spark, target):
+        raise FileExistsError(f"version {version} is published already; point_to serves it again")
     params, model = load_model(spark, model_path)
     save_model(spark, params, model, target)
-    pointer = spark.createDataFrame([(version, target)], "version string, path string")
-    pointer.coalesce(1).write.mode("append").parquet(f"{serving_root.rstrip('/')}/current")
+    return point_to(spark, serving_root, version)
+
+
+def point_to(spark: SparkSession, serving_root: str, version: str) -> str:
+    """Serve a version that was published before: the way back from a bad one. Meant for one writer at a time."""
+    root = serving_root.rstrip("/")
+    target = f"{root}/versions/{version}"
+    if not path_exists(spark, target):
+        raise FileNotFoundError(f"version {version} was never published")
+    last = 0
+    if path_exists(spark, f"{root}/current"):
+        last = spark.read.schema(POINTER_SCHEMA).parquet(f"{root}/current").agg({"sequence": "max"}).first()[0] or 0
+    pointer = spark.createDataFrame([(last + 1, version, target)], POINTER_SCHEMA)
+    pointer.coalesce(1).write.mode("append").parquet(f"{root}/current")
     return target
 
 
 def current_version(spark: SparkSession, serving_root: str) -> tuple[str, str]:
-    """The newest pointer row: versions sort by name, as run ids do by time."""
-    row = spark.read.parquet(f"{serving_root.rstrip('/')}/current").orderBy("version", ascending=False).first()
+    """The pointer written last, whatever the versions are called."""
+    rows = spark.read.schema(POINTER_SCHEMA).parquet(f"{serving_root.rstrip('/')}/current")
+    row = rows.orderBy("sequence", ascending=False).first()
     return row["version"], row["path"]
 
 
