@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from cohorts.operators.dbscan import dbscan
 from cohorts.operators.prepare import FeatureParam, apply_preprocessor
 from cohorts.operators.score import align, score
+from cohorts.operators.validate import split_bad_rows
 from cohorts.schema import DROP_COLUMNS, KEY, LABEL
 from cohorts.sources.csv import read_csv_text, write_csv
 from cohorts.sources.store import load_model
@@ -22,18 +23,28 @@ class BatchResult:
     records: int
     ok: bool
     message: str
+    rejected: int = 0
 
 
-def score_file(spark: SparkSession, source: str, model_path: str, output: str, places: int | None = None) -> BatchResult:
+def score_file(
+    spark: SparkSession, source: str, model_path: str, output: str, places: int | None = None, rejects: str | None = None
+) -> BatchResult:
     """One lazy chain and one write; the row count is observed while writing. Failures raise.
 
-    The cells stay the text they were; only the scoring sees numbers.
+    The cells stay the text they were; only the scoring sees numbers. With a folder for ``rejects``, rows with words in
+    number columns are written there with the reason, and the others are scored.
     """
     params, model = load_model(spark, model_path)
+    rows, rejected = read_csv_text(spark, source), 0
+    if rejects:
+        rows, bad = split_bad_rows(rows)
+        watch = Observation(f"rejected-{uuid.uuid4().hex}")
+        bad.observe(watch, F.count(F.lit(1)).alias("records")).write.mode("overwrite").parquet(rejects)
+        rejected = watch.get["records"]
     seen = Observation(f"scored-{uuid.uuid4().hex}")
-    labelled = score(read_csv_text(spark, source), params, model, places=places)
+    labelled = score(rows, params, model, places=places)
     write_csv(labelled.observe(seen, F.count(F.lit(1)).alias("records")), output)
-    return BatchResult(output, seen.get["records"], True, "Batch scoring completed.")
+    return BatchResult(output, seen.get["records"], True, "Batch scoring completed.", rejected)
 
 
 def density_score(

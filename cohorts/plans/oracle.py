@@ -222,6 +222,15 @@ def oracle_sql() -> dict[str, str]:
         "UNION ALL SELECT 'rejected', CAST(count(*) FILTER (WHERE MINIMUM_PAYMENTS = 'TEXT') AS DOUBLE) FROM raw",
     )
     lab = "lab l JOIN mart m ON m.CUST_ID = l.CUST_ID"
+    halves = "PURCHASES_TRX % 2 = 1 AND CREDIT_LIMIT IS NULL"
+    sql["s8_stream_rejects"] = with_(
+        KLAB,
+        f"SELECT m.CUST_ID, CASE WHEN NOT ({halves}) THEN l.id END AS CLUSTER, CASE WHEN {halves} THEN 'MINIMUM_PAYMENTS' END AS reason FROM {lab}",
+    )
+    sql["p11_batch_rejects"] = with_(
+        KLAB,
+        f"SELECT m.CUST_ID, l.id AS CLUSTER, (SELECT count(*) FROM mart WHERE {halves}) AS rejected FROM {lab} WHERE PURCHASES_TRX % 2 = 1 AND NOT ({halves})",
+    )
     sql["s9_publish_back"] = with_(KLAB, "SELECT CUST_ID, id AS CLUSTER, 'v10' AS before FROM lab")
     sql["m1a_lloyd"] = with_(KLAB, "SELECT CUST_ID, id AS CLUSTER FROM lab")
     sql["m2_centres"] = with_(

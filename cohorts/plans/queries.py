@@ -26,7 +26,7 @@ from cohorts.sources import csv as csv_io
 from cohorts.sources import snapshot as snap
 from cohorts.sources import store
 from cohorts.sources.synthetic import synthetic_customers
-from cohorts.streaming.landing import read_scored, score_landing
+from cohorts.streaming.landing import read_rejects, read_scored, score_landing
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -441,6 +441,37 @@ def q_stream(spark, base):
     return csv_io.cast_columns(read_scored(spark, output))
 
 
+def _half_defective(mart: DataFrame) -> DataFrame:
+    """Text rows of odd PURCHASES_TRX, with words in place of minimum payments where no credit limit is known."""
+    words = F.when(F.col("CREDIT_LIMIT").isNull(), "TEXT").otherwise(F.col("MINIMUM_PAYMENTS").cast("string"))
+    odd = mart.where("PURCHASES_TRX % 2 = 1").withColumn("MINIMUM_PAYMENTS", words)
+    return odd.select(*[col(c).cast("string").alias(c) for c in mart.columns])
+
+
+@query("s8_stream_rejects")
+def q_stream_rejects(spark, base):
+    """Two landed sets of files, one with its header reversed and words in number cells: rows are scored or set aside."""
+    mart, model_path = _saved_model(spark, base)
+    serving, landing = new_path(spark, "serving"), new_path(spark, "landing")
+    store.publish(spark, model_path, serving, "v1")
+    csv_io.write_csv(mart.where("PURCHASES_TRX % 2 = 0"), landing)
+    odd = _half_defective(mart)
+    odd.select(*reversed(odd.columns)).write.mode("append").options(header=True, **csv_io.QUOTES).csv(landing)
+    output = new_path(spark, "stream-out")
+    score_landing(spark, landing, serving, output, new_path(spark, "stream-state"), places=PLACES, max_files=3).awaitTermination()
+    scored = read_scored(spark, output).select(KEY, LABEL, F.lit(None).cast("string").alias("reason"))
+    return scored.unionByName(read_rejects(spark, f"{output}-rejects").select(KEY, F.lit(None).cast("int").alias(LABEL), "reason"))
+
+
+@query("p11_batch_rejects")
+def q_batch_rejects(spark, base):
+    mart, model_path = _saved_model(spark, base)
+    source = csv_io.write_csv(_half_defective(mart), new_path(spark, "csv"))
+    result = score_file(spark, source, model_path, new_path(spark, "scored"), PLACES, new_path(spark, "rejects"))
+    scored = spark.read.option("header", True).csv(result.output).select(KEY, F.col(LABEL).cast("int").alias(LABEL))
+    return scored.withColumn("rejected", F.lit(result.rejected).cast("bigint"))
+
+
 # Profiling
 
 
@@ -710,11 +741,13 @@ def q_flags_small(spark, base):
 def q_insights(spark, base):
     mart, scaled, params, model = trained(spark, base)
     parts = []
-    centre = materialize(km.assign(scaled, FEATURES, model.centres).select(KEY, LABEL), "labels")
-    density = materialize(dbscan(scaled, FEATURES, EPS, MIN_SAMPLES), "labels")
-    for name, labels in (("KMeans", centre), ("DBSCAN", density)):
-        parts.append(ins.insights(_original(mart, params, labels), FEATURES, LABEL, name, "original"))
-        parts.append(ins.insights(scaled.join(labels, KEY), FEATURES, LABEL, name, "scaled"))
+    whole = prep.impute(mart, params).select(KEY, F.struct(*[col(f) for f in FEATURES]).alias("_original"), *[col(f) for f in FEATURES])
+    whole = materialize(prep.scale(whole, params, PLACES), "both")  # original and scaled figures side by side
+    centre = materialize(km.assign(whole, FEATURES, model.centres), "labelled")
+    density = materialize(whole.join(dbscan(scaled, FEATURES, EPS, MIN_SAMPLES), KEY), "labelled")
+    for name, labelled in (("KMeans", centre), ("DBSCAN", density)):
+        parts.append(ins.insights(labelled.select("_original.*", LABEL), FEATURES, LABEL, name, "original"))
+        parts.append(ins.insights(labelled, FEATURES, LABEL, name, "scaled"))
     table = met.metrics_report(*parts)
     return table.withColumns({c: off_tie(F.col(c)) for c in ("mean", "overall")})
 
