@@ -73,7 +73,7 @@ def test_nearest_core(spark):
     core = (brute.distances(x) <= 0.3).sum(axis=1) >= 5
     want = []
     for row in y:
-        d2 = np.round(((x - row) ** 2).sum(axis=1), 6)
+        d2 = ((x - row) ** 2).sum(axis=1)
         ok = core & (((x - row) ** 2).sum(axis=1) <= 0.09)
         want.append(min(zip(d2[ok], labels[ok]))[1] if ok.any() else -1)
     train, features = frame(spark, x)

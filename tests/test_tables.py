@@ -170,3 +170,50 @@ def test_train_publish_and_score(spark):
     with pytest.raises(ValidationFailed, match="Missing columns"):
         train(spark, [short], root, "r2")
     assert set(cast_columns(customers).columns) <= set(EXPECTED_TYPES)
+
+
+@pytest.mark.parametrize("direct", [10**6, 0])
+def test_quantile_branches_agree_on_infinity(spark, direct):
+    df = numbers(spark, 0.0, 1.0, 2.0, 3.0, math.inf)
+    assert exact_quantiles(df, ["x"], [0.5, 0.75, 1.0], direct_rows=direct)["x"] == [2.0, 3.0, math.inf]
+
+
+def test_infinite_values_are_named_or_set_aside(spark):
+    df = numbers(spark, 1.0, 2.0, -math.inf, name="BALANCE")
+    with pytest.raises(ValueError, match="BALANCE"):
+        prep.fit_preprocessor(df, ["BALANCE"])
+    good, bad = val.split_bad_rows(df, {"BALANCE": "float64"})
+    assert good.count() == 2 and [r.reason for r in bad.collect()] == ["BALANCE"]
+    text = df.select("CUST_ID", F.col("BALANCE").cast("string").alias("BALANCE"))
+    assert val.split_bad_rows(text, {"BALANCE": "float64"})[1].count() == 1
+
+
+def test_density_of_a_long_tail_equals_the_plain_sum(spark):
+    rng = np.random.default_rng(3)
+    x = np.exp(rng.normal(0, 2, 800))
+    curve = prof.density(numbers(spark, *map(float, x)), ["x"]).orderBy("point").toPandas()
+    h = x.std(ddof=1) * len(x) ** -0.2
+    want = np.exp(-0.5 * ((curve["x"].to_numpy()[:, None] - x) / h) ** 2).sum(axis=1) / (len(x) * h * math.sqrt(2 * math.pi))
+    assert len(curve) == prof.DENSITY_GRID and np.abs(curve["density"] - want).max() < 1e-5 * want.max()
+
+
+def test_published_versions_are_served_in_order(spark, tmp_path):
+    root = str(tmp_path / "serving")
+    params = prep.fit_preprocessor(numbers(spark, 1.0, 2.0, 3.0), ["x"])
+    for k, version in enumerate(("v9", "v10")):
+        path = store.save_model(spark, params, KMeansFit(["x"], [[float(k)]], 0.0, 1), str(tmp_path / version))
+        store.publish(spark, path, root, version)
+    assert store.current_version(spark, root)[0] == "v10"
+    store.point_to(spark, root, "v9")
+    assert store.load_current(spark, root)[1].centres == [[0.0]]
+    with pytest.raises(FileExistsError):
+        store.publish(spark, path, root, "v10")
+    with pytest.raises(FileNotFoundError):
+        store.point_to(spark, root, "v11")
+
+
+def test_quoted_cells_survive(spark, tmp_path):
+    rows = [('C "x", 1', 1.5), ("two\nlines", 2.5), ('"', None)]
+    df = spark.createDataFrame(rows, "CUST_ID string, BALANCE double")
+    back = read_csv(spark, write_csv(df, str(tmp_path / "q")), multiLine="true")
+    assert sorted(map(tuple, back.collect()), key=str) == sorted(rows, key=str)
