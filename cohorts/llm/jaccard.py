@@ -4,7 +4,8 @@ Jaccard distance is a metric, but between unrelated texts it is 1, to every pivo
 regions around pivots separate nothing there, and windows of twice the radius would copy each document to
 every region. So the first regions are drawn by slices: a hash cuts the shingle universe into slices, and
 documents that agree in a whole slice share a region. With more slices than two linked sets can differ in
-shingles, linked sets agree in one, so no link leaves its region. Inside large regions, where
+shingles, linked sets agree in one, so no link leaves its region. Shingles of many documents are left out of the
+slices of sets that have enough others, so a popular passage joins no regions. Inside large regions, where
 distances do vary, pivots create Voronoi regions, triangle-inequality windows copy boundary documents, and what
 is still large is joined block by block; every path computes exact intersections.
 """
@@ -13,11 +14,12 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from itertools import combinations
-from math import ceil, comb
+from math import ceil
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,6 +34,8 @@ WORDS, PERCENT = 3, 90
 SMALL = 48
 # Sizes of a class differ by less than this factor; slices for each shingle that may differ.
 CLASS, SLICES = 1.25, 1.15
+# Shingles in so many documents of a stretch of so many shingles count as popular; the most frequent are listed (8 bytes each).
+OFTEN, STRETCH, POPULAR = 5, 1_000_000, 1_000_000
 # A region of up to so many sets and shingles is joined in one task; larger ones are split by pivots, then in blocks.
 REGION_SETS, REGION_SHINGLES = 200, 500_000
 PIVOTS, ROUNDS, BLOCK = 16, 2, 128
@@ -81,76 +85,117 @@ def set_digest(shingles: np.ndarray) -> tuple[int, int]:
 
 
 class Rule:
-    """When two sets link, and what signatures let no link escape."""
+    """When two sets link, and what signatures let no link escape.
 
-    def __init__(self, words: int, percent: int, slices: float = SLICES):
-        self.words, self.percent, self.slices = words, percent, slices
+    ``popular`` (sorted hashes) are shingles of many documents. They are left out of the first signatures of a
+    set, so a passage that many documents share connects none of them; which shingles these are changes only the work, never a link.
+    """
+
+    def __init__(self, words: int, percent: int, popular: np.ndarray | None = None):
+        self.words, self.percent = words, percent
         self.least = percent / 100
-        self.starts = [SMALL + 1]
-        while self.starts[-1] < 1 << 40:
-            self.starts.append(max(self.starts[-1] + 1, int(self.starts[-1] * CLASS)))
-        self.starts_array = np.array(self.starts)
+        self.popular = np.zeros(0, dtype=np.uint64) if popular is None else popular
+        starts = [SMALL + 1]
+        while starts[-1] < 1 << 40:
+            starts.append(max(starts[-1] + 1, int(starts[-1] * CLASS)))
+        self.starts = np.array(starts)
 
     def linked(self, common: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         return 100 * common >= self.percent * (a + b - common)
 
     def differ(self, smaller: int) -> int:
         """Most shingles in which a set of this size and a linked one no smaller can differ."""
-        return smaller * (100 - self.percent) // self.percent
+        return int(smaller * (100 - self.percent) // self.percent)
 
-    def classes(self, size: int) -> list[int]:
+    def classes(self, size: int) -> range:
         """Size classes that a set is signed in: its own, and those of smaller sets it can link to (-1: small sets)."""
         low = ceil(size * self.percent / 100)
-        first = int(np.searchsorted(self.starts_array, low, side="right")) - 1
-        last = int(np.searchsorted(self.starts_array, size, side="right")) - 1
-        return list(range(first, last + 1))
-
-    def signatures(self, shingles: np.ndarray) -> tuple[np.ndarray, bool]:
-        """Signatures of a set; whether they let no link escape with this number of slices."""
-        out, safe = [], True
+        first, last = np.searchsorted(self.starts, [low, size], side="right") - 1
+        return range(int(first), int(last) + 1)
+
+    def signatures(self, shingles: np.ndarray) -> np.ndarray:
+        """Signatures of a set, such that sets that link have one in common.
+
+        In a size class, linked sets differ in at most ``differ`` shingles, so in at most as many slices. A set with more
+        filled slices agrees with each of its partners in one. A set with fewer adds signatures of more and finer slices, first without popular
+        shingles and then with them, until it has enough; two partners both have those up to which one of them has.
+        """
+        rare = shingles
+        if len(self.popular):
+            place = np.searchsorted(self.popular, shingles)
+            place[place == len(self.popular)] = 0
+            rare = shingles[self.popular[place] != shingles]
+        out = []
         for c in self.classes(len(shingles)):
             if c < 0:
-                out.append(self.triples(shingles))
+                out.append(self.triples(shingles, rare))
                 continue
-            differ = self.differ(self.starts[c + 1] - 1)
-            count = int((differ + 1) * self.slices) + 1
-            slot = (shingles % np.uint64(count)).astype(np.int64)
-            order = np.argsort(slot, kind="stable")
-            slot, value = slot[order], mixed(shingles[order] + np.uint64(c))
-            first = np.flatnonzero(np.concatenate(([True], slot[1:] != slot[:-1])))
-            safe &= len(first) > differ
-            total = np.add.reduceat(value, first)
-            out.append(mixed(total ^ mixed(slot[first].astype(np.uint64) * np.uint64(4096) + np.uint64(c + 1))))
-        return np.unique(np.concatenate(out)), safe
-
-    def triples(self, shingles: np.ndarray) -> np.ndarray:
-        """Hashes of all triples among the first shingles that must hold three common ones, by hash order."""
+            differ = self.differ(int(self.starts[c + 1]) - 1)
+            for mode, (own, slices) in enumerate([(rare, 1), (rare, 2), (shingles, 1), (shingles, 2), (shingles, 4), (shingles, 0)]):
+                signed, filled = self.slices(own, c, mode, differ, slices)
+                out.append(signed)
+                if filled > differ:
+                    break
+        return np.unique(np.concatenate(out))
+
+    @staticmethod
+    def slices(shingles: np.ndarray, c: int, mode: int, differ: int, times: int) -> tuple[np.ndarray, int]:
+        """Hashes of the slices of a set (of its single shingles with ``times`` 0), and how many there are."""
+        if not len(shingles):
+            return np.zeros(0, dtype=np.uint64), 0
+        salt = np.uint64(8 * c + mode)
+        if not times:
+            return mixed(shingles + salt), len(shingles)
+        count = int((differ + 1) * SLICES * times) + 1
+        slot = (shingles % np.uint64(count)).astype(np.int64)
+        order = np.argsort(slot, kind="stable")
+        slot, value = slot[order], mixed(shingles[order] + salt)
+        first = np.flatnonzero(np.concatenate(([True], slot[1:] != slot[:-1])))
+        return mixed(np.add.reduceat(value, first) ^ mixed(slot[first].astype(np.uint64) * np.uint64(4096) + salt)), len(first)
+
+    def triples(self, shingles: np.ndarray, rare: np.ndarray) -> np.ndarray:
+        """Hashes of all triples among the first shingles that must hold three common ones; popular shingles come last."""
         need = ceil(len(shingles) * self.percent / 100)
         if need < 3:
             return mixed(shingles[:1] + np.uint64(len(shingles)))
-        lead = shingles[: len(shingles) - need + 3]
+        ordered = np.concatenate((rare, np.setdiff1d(shingles, rare, assume_unique=True))) if len(rare) < len(shingles) else shingles
+        lead = ordered[: len(shingles) - need + 3]
         place = np.array(list(combinations(range(len(lead)), 3)), dtype=np.int64)
         value = mixed(lead[place[:, 0]])
         value = mixed(value + lead[place[:, 1]] * ODD[1])
         return mixed(value + lead[place[:, 2]] * ODD[2])
 
 
+DIGESTS = "_id bigint, n bigint, h1 bigint, h2 bigint, popular boolean"
+
+
 def _digests(words: int):
+    """A row per document (``popular`` false), and rows (hash in ``h1``, documents in ``h2``) of shingles that recur within a stretch of them."""
+
+    def batch_of(ids, size, first, second, popular: bool) -> pa.RecordBatch:
+        arrays = [ids, *[pa.array(c, pa.int64()) for c in (size, first, second)], pa.array([popular] * len(ids), pa.bool_())]
+        return pa.RecordBatch.from_arrays(arrays, names=["_id", "n", "h1", "h2", "popular"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[bytes, int] = {}
         for batch in batches:
-            size, first, second = [], [], []
-            for text in batch.column(1):
+            size, first, second, held, count = [], [], [], [], 0
+            for at, text in enumerate(batch.column(1)):
                 raw = text.as_buffer()
                 shingles = shingle_set(raw.to_pybytes() if raw is not None else b"", words, known)
                 a, b = set_digest(shingles)
                 size.append(len(shingles))
                 first.append(a)
                 second.append(b)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(size, pa.int64()), pa.array(first, pa.int64()), pa.array(second, pa.int64())],
-                names=["_id", "n", "h1", "h2"],
-            )
+                held.append(shingles)
+                count += len(shingles)
+                if count > STRETCH or at == batch.num_rows - 1:
+                    values, n = np.unique(np.concatenate(held), return_counts=True)
+                    often = n >= OFTEN
+                    values, n = values[often].view(np.int64), n[often]
+                    yield batch_of(pa.nulls(len(n), pa.int64()), [0] * len(n), values, n, True)
+                    held, count = [], 0
+            yield batch_of(batch.column(0), size, first, second, False)
 
     return run
 
@@ -170,8 +215,8 @@ def _sets(words: int):
     return run
 
 
-SIGNED = "part int, entries binary, edges binary, unsafe bigint"
-SIGNED_ARROW = pa.schema([("part", pa.int32()), ("entries", pa.binary()), ("edges", pa.binary()), ("unsafe", pa.int64())])
+SIGNED = "part int, entries binary, edges binary"
+SIGNED_ARROW = pa.schema([("part", pa.int32()), ("entries", pa.binary()), ("edges", pa.binary())])
 ENTRY = np.dtype([("sig", "<u8"), ("doc", "<i8")])
 
 
@@ -185,47 +230,43 @@ def stars(entries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.unique(edges, axis=0), entries[first]
 
 
-def _sign(rule: Rule, parts: int):
+def _sign(sent: Broadcast, parts: int):
+    def pack(sigs: list[np.ndarray], docs: list[int]) -> pa.RecordBatch:
+        entries = np.empty(sum(map(len, sigs)), dtype=ENTRY)
+        entries["sig"] = np.concatenate(sigs)
+        entries["doc"] = np.repeat(np.array(docs, dtype=np.int64), [len(s) for s in sigs])
+        edges, rest = stars(entries)
+        part = (rest["sig"] % np.uint64(parts)).astype(np.int64)
+        rest = rest[np.argsort(part, kind="stable")]
+        upto = np.concatenate(([0], np.cumsum(np.bincount(part, minlength=parts))))
+        filled = np.flatnonzero(np.diff(upto)).tolist()
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array([*filled, -1], pa.int32()),
+                pa.array([*[rest[upto[p] : upto[p + 1]].tobytes() for p in filled], None], pa.binary()),
+                pa.array([*[None] * len(filled), edges.astype(np.int64).tobytes()], pa.binary()),
+            ],
+            schema=SIGNED_ARROW,
+        )
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rule: Rule = sent.value
         known: dict[bytes, int] = {}
-
-        def pack(sigs: list[np.ndarray], docs: list[int], unsafe: int) -> pa.RecordBatch:
-            entries = np.empty(sum(map(len, sigs)), dtype=ENTRY)
-            entries["sig"] = np.concatenate(sigs) if sigs else []
-            entries["doc"] = np.repeat(np.array(docs, dtype=np.int64), [len(s) for s in sigs])
-            edges, rest = stars(entries)
-            part = (rest["sig"] % np.uint64(parts)).astype(np.int64)
-            rest = rest[np.argsort(part, kind="stable")]
-            upto = np.concatenate(([0], np.cumsum(np.bincount(part, minlength=parts))))
-            filled = np.flatnonzero(np.diff(upto))
-            n = len(filled)
-            return pa.RecordBatch.from_arrays(
-                [
-                    pa.array([*filled.tolist(), -1], pa.int32()),
-                    pa.array([*[rest[upto[p] : upto[p + 1]].tobytes() for p in filled], None], pa.binary()),
-                    pa.array([*[None] * n, edges.astype(np.int64).tobytes()], pa.binary()),
-                    pa.array([*[0] * n, unsafe], pa.int64()),
-                ],
-                schema=SIGNED_ARROW,
-            )
-
-        sigs, docs, count, unsafe = [], [], 0, 0
+        sigs, docs, count = [], [], 0
         for batch in batches:
             for text in batch.column(0):
                 raw = text.as_buffer()
                 shingles = shingle_set(raw.to_pybytes() if raw is not None else b"", rule.words, known)
                 if not len(shingles):
                     continue
-                own, safe = rule.signatures(shingles)
-                unsafe += not safe
-                sigs.append(own)
+                sigs.append(rule.signatures(shingles))
                 docs.append(set_digest(shingles)[0])
-                count += len(own)
-                if count > 1_000_000:
-                    yield pack(sigs, docs, unsafe)
-                    sigs, docs, count, unsafe = [], [], 0, 0
+                count += len(sigs[-1])
+                if count > 500_000:
+                    yield pack(sigs, docs)
+                    sigs, docs, count = [], [], 0
         if sigs:
-            yield pack(sigs, docs, unsafe)
+            yield pack(sigs, docs)
 
     return run
 
@@ -233,41 +274,32 @@ def _sign(rule: Rule, parts: int):
 def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Edges within one partition of signatures, and those that were found while signing."""
     held: list[np.ndarray] = []
-    unsafe = 0
 
-    def edges_of(pairs: np.ndarray, unsafe: int) -> pa.RecordBatch:
-        if unsafe:
-            pairs = np.concatenate((pairs, [[0, 0]]))
-        u, v = np.ascontiguousarray(pairs[:, 0]), np.ascontiguousarray(pairs[:, 1])
-        return pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64()), pa.array([unsafe] * len(u), pa.int64())], names=["u", "v", "unsafe"])
+    def edges_of(pairs: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(pairs[:, k]), pa.int64()) for k in (0, 1)], names=["u", "v"])
 
     for batch in batches:
-        for entries, edges, bad in zip(batch.column(1), batch.column(2), batch.column(3).to_pylist(), strict=True):
+        for entries, edges in zip(batch.column(1), batch.column(2), strict=True):
             if entries.is_valid:
-                held.append(np.frombuffer(entries.as_buffer(), dtype=ENTRY))
+                held.append(np.frombuffer(entries.as_buffer().to_pybytes(), dtype=ENTRY))
             if edges.is_valid:
-                yield edges_of(np.frombuffer(edges.as_buffer(), dtype=np.int64).reshape(-1, 2), 0)
-            unsafe += bad
-    if held or unsafe:
-        yield edges_of(stars(np.concatenate(held) if held else np.empty(0, dtype=ENTRY))[0], unsafe)
+                yield edges_of(np.frombuffer(edges.as_buffer(), dtype=np.int64).reshape(-1, 2))
+    if held:
+        yield edges_of(stars(np.concatenate(held))[0])
 
 
 def slice_regions(texts: DataFrame, rule: Rule) -> DataFrame:
     """``(vertex, root)``: sets (first half of their digest) that are connected by shared signatures.
 
     Signatures leave a task as packed entries, dealt by signature to as many parts as the input needs; equal
-    signatures of a batch are met on the spot, so a signature of a third of all documents sends one entry per
-    batch. Should a set of some class fall into too few slices, the slices are doubled until none does.
+    signatures of a batch are met on the spot, so a signature of a third of all documents sends one entry per batch.
     """
     spark = texts.sparkSession
     parts = 16 * max(4, texts.rdd.getNumPartitions())
     n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), parts // 4)
-    while True:
-        signed = texts.mapInArrow(_sign(rule, parts), SIGNED).repartition(n, "part")
-        edges, facts = materialize_with(signed.mapInArrow(_meet, "u bigint, v bigint, unsafe bigint"), "edges", bad="max(unsafe)")
-        if not facts["bad"]:
-            return components(edges.select("u", "v"))
-        rule = Rule(rule.words, rule.percent, rule.slices * 2)
+    sent = spark.sparkContext.broadcast(rule)
+    signed = texts.mapInArrow(_sign(sent, parts), SIGNED).repartition(n, "part")
+    return components(materialize(signed.mapInArrow(_meet, "u bigint, v bigint"), "edges"))
 
 
 def common_counts(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
@@ -367,22 +399,25 @@ def _sizes(members: DataFrame) -> DataFrame:
     return members.groupBy("region").agg(F.count(F.lit(1)).alias("sets"), F.sum(F.length("shingles") / 8).alias("weight"))
 
 
-def split_by_pivots(members: DataFrame, rule: Rule, seed: int, pivots: int = PIVOTS) -> tuple[DataFrame, DataFrame]:
-    """Members in the Voronoi regions of pivots of their region, boundary members in all they may have links in; links to pivots.
+def _beside(members: DataFrame, facts: DataFrame, rows: int) -> DataFrame:
+    """Facts of regions joined to members; broadcast while few, so a large region isn't sent to one task."""
+    return members.join(F.broadcast(facts) if rows <= BROADCAST_IDS else facts, "region")
+
+
+def split_by_pivots(members: DataFrame, sizes: DataFrame, n_sizes: int, rule: Rule, seed: int, pivots: int = PIVOTS) -> tuple[DataFrame, DataFrame]:
+    """``(region, vertex)`` of members in the Voronoi regions of pivots of their region, boundary members in all they may have links in; links to pivots.
 
     A set belongs to a pivot's region if the pivot is no further than its nearest one by more than twice the link
     radius: by the triangle inequality, both ends of every link then meet in the nearest region of either.
     """
-    sizes = _sizes(members).select("region", "sets")
     chance = F.pmod(F.xxhash64(F.lit(seed), "vertex"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    some = members.join(sizes, "region").where(chance < 3 * pivots / F.col("sets"))
+    some = _beside(members, sizes.select("region", "sets"), n_sizes).where(chance < 3 * pivots / F.col("sets"))
     some = some.groupBy("region").agg(F.slice(F.array_sort(F.collect_list(F.struct(F.xxhash64(F.lit(seed), "vertex").alias("h"), "vertex", "shingles"))), 1, pivots).alias("pivots"))
     some = materialize(some, "pivots")
     placed = members.join(some, "region").select("region", "vertex", "shingles", "pivots").mapInArrow(_voronoi(rule), "vertex bigint, cells array<bigint>, linked array<bigint>")
     placed = materialize(placed, "placed")
     links = placed.select(F.col("vertex").alias("u"), F.explode("linked").alias("v"))
-    cells = placed.select("vertex", F.explode("cells").alias("region"))
-    return cells.join(members.dropDuplicates(["vertex"]).select("vertex", "shingles"), "vertex").select("region", "vertex", "shingles"), links
+    return placed.select("vertex", F.explode("cells").alias("region")), links
 
 
 def _join_blocks(rule: Rule):
@@ -440,8 +475,8 @@ def link_regions(members: DataFrame, rule: Rule, region_sets: int = REGION_SETS,
     links = []
     for depth in range(rounds + 1):
         sizes = _sizes(members).withColumn("small", (F.col("sets") <= region_sets) & (F.col("weight") <= region_shingles))
-        sizes, facts = materialize_with(sizes.where("sets > 1").select("region", "small"), "sizes", n="count_if(not small)")
-        sized = members.join(sizes, "region")
+        sizes, facts = materialize_with(sizes.where("sets > 1").select("region", "small", "sets"), "sizes", n="count_if(not small)", all="count(1)")
+        sized = _beside(members, sizes, facts["all"])
         few = sized.where("small").select("region", "vertex", "shingles").repartition("region").sortWithinPartitions("region")
         links.append(materialize(few.mapInArrow(_join_regions(rule), "u bigint, v bigint"), "links"))
         if not facts["n"]:
@@ -451,13 +486,12 @@ def link_regions(members: DataFrame, rule: Rule, region_sets: int = REGION_SETS,
             so_far = _union(links)
             links.append(materialize(join_in_blocks(members, so_far, rule), "links"))
             break
-        cells, to_pivots = split_by_pivots(members, rule, depth)
+        cells, to_pivots = split_by_pivots(members, sizes.where("not small"), facts["n"], rule, depth)
         links.append(materialize(to_pivots, "links"))
-        smaller, facts = materialize_with(cells, "cells", n="count(1)")
-        if facts["n"] > 2 * members.count():  # windows copy more than they separate: go to blocks of what there is
+        if cells.count() > 2 * members.count():  # windows copy more than they separate: go to blocks of what there is
             links.append(materialize(join_in_blocks(members, _union(links), rule), "links"))
             break
-        members = smaller
+        members = materialize(cells.join(members.dropDuplicates(["vertex"]).select("vertex", "shingles"), "vertex").select("region", "vertex", "shingles"), "cells")
     return _union(links)
 
 
@@ -483,11 +517,14 @@ def link_documents(
     Null texts are empty. Other columns are not read.
     """
     own = docs.select(col(id_col).cast("long").alias("_id"), col(text_col).alias("_text"))
-    info = materialize(own.mapInArrow(_digests(words), "_id bigint, n bigint, h1 bigint, h2 bigint"), "sets")
+    seen = materialize(own.mapInArrow(_digests(words), DIGESTS), "sets")
+    often = seen.where("popular").groupBy("h1").agg(F.sum("h2").alias("n")).orderBy(F.desc("n"), "h1").limit(POPULAR)
+    popular = np.sort(np.array([r["h1"] for r in often.select("h1").collect()], dtype=np.int64).view(np.uint64))
+    info = seen.where("not popular").drop("popular")
     full = info.where("n > 0")
     classes = materialize(full.where("_id is not null").groupBy("h1", "h2").agg(F.min("_id").alias("vertex")), "classes")
 
-    rule = Rule(words, percent)
+    rule = Rule(words, percent, popular)
     regions = materialize(slice_regions(own.select("_text"), rule), "regions")
     wanted, facts = materialize_with(
         regions.select(F.col("vertex").alias("h1"), F.col("root").alias("region")).join(classes, "h1"), "wanted", n="count(1)"
