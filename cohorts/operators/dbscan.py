@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -164,7 +165,7 @@ def dbscan(
     return _cluster(df, features, eps, min_samples, key, label, safe_rows)[0]
 
 
-def _cluster(df, features, eps, min_samples, key, label, safe_rows, want_cores=False):
+def _cluster(df, features, eps, min_samples, key, label, safe_rows):
     points, facts = _write_points(df, features, key)
     key_type = df.schema[key].dataType.simpleString()
     if facts["points"] == 0:
@@ -218,6 +219,39 @@ def _to_copies(df, points, named, features, key, label, facts) -> DataFrame:
     return cold.select(key, label).unionByName(df.join(hot, features).select(key, label))
 
 
+@dataclass(frozen=True)
+class DensityFit:
+    """What scoring needs of a density clustering: its core rows (cluster number and features) and their reach."""
+
+    features: list[str]
+    eps: float
+    min_samples: int
+    cores: DataFrame
+
+
+def fit_density(
+    df: DataFrame,
+    features: list[str],
+    eps: float = 0.5,
+    min_samples: int = 5,
+    key: str = KEY,
+    label: str = LABEL,
+    safe_rows: int = SAFE_ROWS,
+) -> tuple[DataFrame, DensityFit]:
+    """Labels as :func:`dbscan` gives them, and the model; equal core rows are in it once."""
+    labels, blocks, best = _cluster(df, features, eps, min_samples, key, label, safe_rows)
+    if blocks is None:
+        none = df.select(F.lit(NOISE).alias(LABEL), *features).limit(0)
+        return labels, DensityFit(list(features), eps, min_samples, none)
+    p, leaves = len(features), blocks[1]
+    flat = leaves.select("leaf", "xs", F.posexplode("core").alias("pos", "is_core")).where("is_core")
+    cores = flat.select(
+        (F.shiftleft("leaf", LEAF_BITS) + F.col("pos")).alias("pid"),
+        *[F.get("xs", F.col("pos") * p + i).alias(f) for i, f in enumerate(features)],
+    ).join(best, "pid").select(F.col(label).alias(LABEL), *features)
+    return labels, DensityFit(list(features), eps, min_samples, materialize(cores, "cores"))
+
+
 def assign_to_core(
     train: DataFrame,
     fresh: DataFrame,
@@ -229,34 +263,30 @@ def assign_to_core(
     safe_rows: int = SAFE_ROWS,
 ) -> DataFrame:
     """Label each new row with the cluster of its nearest core row within ``eps``, else -1."""
-    labels, blocks, best = _cluster(train, features, eps, min_samples, key, label, safe_rows)
-    if blocks is None:
-        return fresh.select(key, F.lit(NOISE).alias(label))
-    splits, leaves = blocks
-    p = len(features)
-    names = {f"x{i}": f for i, f in enumerate(features)}
-    flat = leaves.select(
-        "leaf", F.posexplode(F.arrays_zip("vkey", "core")).alias("pos", "r"), "xs"
-    ).where("r.core")
-    core = flat.select(
-        (F.shiftleft("leaf", LEAF_BITS) + F.col("pos")).alias("pid"),
-        F.col("r.vkey").alias("vkey"),
-        *[F.get("xs", F.col("pos") * p + i).alias(f) for i, f in enumerate(names.values())],
-    ).join(best, "pid").select("vkey", F.lit(1).cast("bigint").alias("w"), F.col(label).alias("labels"), *features)
+    return assign_by_model(fit_density(train, features, eps, min_samples, key, label, safe_rows)[1], fresh, key, label)
+
+
+def assign_by_model(model: DensityFit, fresh: DataFrame, key: str = KEY, label: str = LABEL) -> DataFrame:
+    """Rows ``(key, label)`` of ``fresh`` by a fitted density model; equal distances go to the lowest cluster."""
+    features, eps, p = model.features, model.eps, len(model.features)
+    core_points = model.cores.count()
     points, facts = _write_points(fresh, features, key)
+    if not core_points or not facts["points"]:
+        return fresh.select(key, F.lit(NOISE).alias(label))
+    splits = plan_splits(model.cores, features, core_points)
+    core = model.cores.select(F.lit(1).cast("bigint").alias("w"), F.col(LABEL).alias("labels"), *features)
     key_type = fresh.schema[key].dataType.simpleString()
     left, right = number_leaves(
         [pack(points, splits, {"vkey": key_type}, "fresh"), pack(core, splits, {"labels": "int"}, "core")], splits
     )
     pairs, _, _ = close_pairs(left, right, eps)
-    core_points = right.leaves.agg(F.sum("n").alias("n")).first()["n"] or 0
     met = with_blocks(
         pairs,
         left.leaves.selectExpr("leaf as a", "xs as xa"),
         right.leaves.selectExpr("leaf as b", "xs as xb", "labels"),
         max(facts["points"], core_points) * p,
     )
-    with arrow_rows(train.sparkSession, batch_rows(p, LEAF_ROWS)):
+    with arrow_rows(fresh.sparkSession, batch_rows(p, LEAF_ROWS)):
         reached = materialize(
             met.mapInPandas(kernels.nearest_core(p, eps * eps, LEAF_BITS), "pid bigint, d2 double, label int"),
             "reached",

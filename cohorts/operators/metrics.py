@@ -170,6 +170,7 @@ def davies_bouldin(labelled: DataFrame, features: list[str], label: str = LABEL)
         return per_cluster.agg(F.avg("r").alias("r")).first()["r"]
 
 
+SILHOUETTES = {"exact": silhouette, "squared": silhouette_sq}
 METRICS_SCHEMA = "model string, ord int, metric string, value double"
 
 
@@ -180,20 +181,26 @@ def evaluate_model(
     density: bool = False,
     label: str = LABEL,
     on_undefined: str = "nan",
+    variant: str = "exact",
 ) -> DataFrame:
     """Rows ``(model, ord, metric, value)``.
 
+    ``variant`` names the silhouette: ``exact`` is the Euclidean one, quadratic in distinct rows; ``squared``
+    takes squared distances, another number, and is linear. It is the caller's choice, whatever the size.
+
     With ``density`` noise rows are left out of both scores and counted. With
     fewer than two clusters the scores are -1.0, NULL or left out, as
     ``on_undefined`` says (``minus_one``, ``nan``, ``omit``).
     """
     if on_undefined not in UNDEFINED:
         raise ValueError(f"on_undefined must be one of {', '.join(UNDEFINED)}")
+    if variant not in SILHOUETTES:
+        raise ValueError(f"variant must be one of {', '.join(SILHOUETTES)}")
     counts = label_counts(labelled, label)
     rows = []
     if counts["clusters"] >= 2:
         judged = labelled.where(col(label) != NOISE) if density else labelled
-        rows.append((name, 0, "silhouette_score", silhouette(judged, features, label)))
+        rows.append((name, 0, "silhouette_score", SILHOUETTES[variant](judged, features, label)))
         rows.append((name, 1, "davies_bouldin_score", davies_bouldin(judged, features, label)))
     elif on_undefined != "omit":
         value = -1.0 if on_undefined == "minus_one" else None

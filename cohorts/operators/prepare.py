@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -97,6 +97,15 @@ def fit_preprocessor(
     return params
 
 
+def passthrough_params(df: DataFrame, columns: list[str], start: int = 0) -> list[FeatureParam]:
+    """Parameters of columns that are filled with their median and otherwise left as they are."""
+    if not columns:
+        return []
+    return [
+        replace(p, ord=start + i, mean=0.0, std=1.0, method="passthrough") for i, p in enumerate(fit_preprocessor(df, columns))
+    ]
+
+
 def fit_two_pass(df: DataFrame, features: list[str] = FEATURES) -> list[FeatureParam]:
     """Same result by filling first and measuring after; a cross-check of the one-pass fit."""
     names = features_of(df.columns, features)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -77,6 +78,22 @@ def describe_text(df: DataFrame, columns: list[str]) -> DataFrame:
     return out
 
 
+def describe_all(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
+    """One row per column, numbers and texts alike, in the frame's order; what doesn't apply to a column is NULL."""
+    columns = columns or df.columns
+    numbers = [c for c in numeric_columns(df) if c in columns]
+    texts = [c for c in columns if c not in numbers]
+    parts = [describe(df, numbers).drop("ord")] if numbers else []
+    parts += [describe_text(df, texts)] if texts else []
+    table = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    place = F.create_map(*[F.lit(x) for i, c in enumerate(columns) for x in (c, i)])
+    have = [
+        F.col(s) if s in table.columns else F.lit(None).cast(kind).alias(s)
+        for s, kind in [("count", "bigint"), ("unique", "bigint"), ("top", "string"), ("freq", "bigint"), *[(s, "double") for s in STATISTICS[1:]]]
+    ]
+    return table.select(place[F.col("column")].alias("ord"), "column", *have)
+
+
 def frame_counts(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("records")).withColumn("features", F.lit(len(df.columns)))
 

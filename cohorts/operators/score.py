@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohorts.functions.columns import col, ident
+from cohorts.operators.dbscan import DensityFit, assign_by_model
 from cohorts.operators.kmeans import KMeansFit, assign
-from cohorts.operators.prepare import FeatureParam, impute, scale
+from cohorts.operators.prepare import FeatureParam, apply_preprocessor, impute, scale
 from cohorts.schema import KEY, LABEL
+from cohorts.session import materialize
 
 
 def align(df: DataFrame, params: list[FeatureParam], key: str = KEY) -> DataFrame:
@@ -21,15 +23,23 @@ def align(df: DataFrame, params: list[FeatureParam], key: str = KEY) -> DataFram
 
 
 def score(
-    df: DataFrame, params: list[FeatureParam], model: KMeansFit, label: str = LABEL, places: int | None = None
+    df: DataFrame, params: list[FeatureParam], model: KMeansFit | DensityFit, label: str = LABEL, places: int | None = None
 ) -> DataFrame:
     """The input as it is, with the cluster number in ``label``.
 
-    Parameters and centres travel as literals: one narrow stage for any input size.
+    With centres, these and the parameters travel as literals: one narrow stage for any input size. A density model gives
+    each row the cluster of its nearest core row; for that, rows are written with numbers of their own, so null and
+    repeated keys do no harm.
     """
     align(df, params)
     names = [p.feature for p in params]
     raw = [c for c in df.columns if c != label]
+    if isinstance(model, DensityFit):
+        rows = df.select(F.monotonically_increasing_id().alias("_id"), F.struct(*[col(c) for c in raw]).alias("_row"))
+        rows = materialize(rows, "batch")
+        plain = rows.select("_id", *[F.col("_row")[c].alias(c) for c in names])
+        labels = assign_by_model(model, apply_preprocessor(plain, params, "_id", places), "_id", "_label")
+        return rows.join(labels, "_id").select("_row.*", F.col("_label").alias(label))
     carried = df.select(F.struct(*[col(c) for c in raw]).alias("_row"), *[col(c) for c in names])
     placed = assign(scale(impute(carried, params), params, places), model.features, model.centres, "_label")
     return placed.select("_row.*", F.col("_label").alias(label))
@@ -58,6 +68,15 @@ def means_per_cluster(labelled: DataFrame, features: list[str], label: str = LAB
     return labelled.groupBy(label).agg(F.count(F.lit(1)).alias("size"), *means)
 
 
+def summary(labelled: DataFrame, features: list[str], label: str = LABEL) -> DataFrame:
+    """One aggregate for all: size and means per label, with the number of rows and of labels on each row."""
+    per_label = means_per_cluster(labelled.where(col(label).isNotNull()), features, label)
+    every = Window.partitionBy(F.lit(0))  # a row per label, no more
+    return per_label.withColumns(
+        {"total_customers": F.sum("size").over(every), "num_clusters_found": F.count(F.lit(1)).over(every)}
+    )
+
+
 def preview(df: DataFrame, key: str = KEY, rows: int = 20) -> DataFrame:
     """First and last rows by key, ``rows`` at most, each row once."""
     half = rows // 2

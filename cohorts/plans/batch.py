@@ -12,7 +12,7 @@ from cohorts.operators.dbscan import dbscan
 from cohorts.operators.prepare import FeatureParam, apply_preprocessor
 from cohorts.operators.score import align, score
 from cohorts.operators.validate import split_bad_rows
-from cohorts.schema import DROP_COLUMNS, KEY, LABEL
+from cohorts.schema import EXPECTED_TYPES, KEY, LABEL
 from cohorts.sources.csv import read_csv_text, write_csv
 from cohorts.sources.store import load_model
 
@@ -29,7 +29,7 @@ class BatchResult:
 def score_file(
     spark: SparkSession, source: str, model_path: str, output: str, places: int | None = None, rejects: str | None = None
 ) -> BatchResult:
-    """One lazy chain and one write; the row count is observed while writing. Failures raise.
+    """One lazy chain and one write (a density model needs rounds before it); the row count is observed while writing. Failures raise.
 
     The cells stay the text they were; only the scoring sees numbers. With a folder for ``rejects``, rows with words in
     number columns are written there with the reason, and the others are scored.
@@ -37,7 +37,7 @@ def score_file(
     params, model = load_model(spark, model_path)
     rows, rejected = read_csv_text(spark, source), 0
     if rejects:
-        rows, bad = split_bad_rows(rows)
+        rows, bad = split_bad_rows(rows, {**{p.feature: "float64" for p in params}, **EXPECTED_TYPES})
         watch = Observation(f"rejected-{uuid.uuid4().hex}")
         bad.observe(watch, F.count(F.lit(1)).alias("records")).write.mode("overwrite").parquet(rejects)
         rejected = watch.get["records"]
@@ -56,7 +56,7 @@ def density_score(
     label: str = LABEL,
     places: int | None = None,
 ) -> DataFrame:
-    """A density model has no rule for new rows, so the batch is clustered anew."""
+    """The batch clustered anew, by itself; :func:`score_file` with a saved density model labels by nearest core rows instead."""
     scaled = apply_preprocessor(align(df, params, key), params, key, places)
     labels = dbscan(scaled, [p.feature for p in params], eps, min_samples, key, label)
     return df.drop(label).join(labels, key)

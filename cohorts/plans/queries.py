@@ -16,7 +16,7 @@ from cohorts.operators import prepare as prep
 from cohorts.operators import profile as prof
 from cohorts.operators import score as sc
 from cohorts.operators import validate as val
-from cohorts.operators.dbscan import assign_to_core, cluster_counts, dbscan
+from cohorts.operators.dbscan import assign_to_core, cluster_counts, dbscan, fit_density
 from cohorts.plans.batch import density_score, score_file
 from cohorts.plans.evaluate import evaluate_clusterings
 from cohorts.plans.train import run_summary, train
@@ -261,6 +261,16 @@ def q_passthrough(spark, base):
     return prep.apply_preprocessor(wider, params, places=PLACES, extra="passthrough")
 
 
+@query("t8_passthrough_clusters")
+def q_passthrough_clusters(spark, base):
+    """Density clusters on scaled features and one that is left as it is."""
+    mart = mart_table(spark, base)
+    params = prep.fit_preprocessor(mart, FEATURES[:-1])
+    params += prep.passthrough_params(mart, FEATURES[-1:], len(params))
+    mixed = materialize(prep.apply_preprocessor(mart, params, places=PLACES), "mixed")
+    return dbscan(mixed, [p.feature for p in params], EPS, MIN_SAMPLES)
+
+
 # KMeans
 
 
@@ -399,6 +409,28 @@ def q_batch(spark, base):
     return csv_io.cast_columns(labelled).withColumn(LABEL, F.col(LABEL).cast("int"))
 
 
+@query("p11_batch_density")
+def q_batch_density(spark, base):
+    """A saved and published density model labels a file of new rows by their nearest core rows."""
+    mart, scaled, params = scaled_table(spark, base)
+    _, model = fit_density(scaled, FEATURES, EPS, MIN_SAMPLES)
+    serving = new_path(spark, "serving")
+    served = store.publish(spark, store.save_model(spark, params, model, new_path(spark, "model")), serving, "v1")
+    fresh = mart.withColumns({f: col(f) * F.lit(1.02) for f in FEATURES})
+    result = score_file(spark, csv_io.write_csv(fresh, new_path(spark, "csv")), served, new_path(spark, "scored"), places=PLACES)
+    return spark.read.option("header", True).csv(result.output).select(KEY, F.col(LABEL).cast("int").alias(LABEL))
+
+
+@query("p7_p9_summary")
+def q_scored_summary(spark, base):
+    """Sizes, totals and means of a scored file from one aggregate."""
+    mart, model_path = _saved_model(spark, base)
+    source = csv_io.write_csv(mart, new_path(spark, "csv"))
+    result = score_file(spark, source, model_path, new_path(spark, "scored"), places=PLACES)
+    scored = csv_io.cast_columns(spark.read.option("header", True).csv(result.output))
+    return round_features(sc.summary(scored.withColumn(LABEL, F.col(LABEL).cast("int")), FEATURES), 6)
+
+
 @query("s7_reload")
 def q_reload(spark, base):
     mart, model_path = _saved_model(spark, base)
@@ -495,6 +527,12 @@ def q_describe_text(spark, base):
     return prof.describe_text(orders, ["o_orderstatus", "o_orderpriority"])
 
 
+@query("e1_describe_all")
+def q_describe_all(spark, base):
+    table = prof.describe_all(mart_table(spark, base))
+    return table.withColumns({s: rounded(F.col(s)) for s in prof.STATISTICS[1:]})
+
+
 @query("e2_counts")
 def q_counts(spark, base):
     return prof.frame_counts(customer_mart(spark, base))
@@ -675,6 +713,13 @@ def q_metrics(spark, base):
     return _rounded_metrics(met.evaluate_model(labelled, FEATURES, "DBSCAN", density=True))
 
 
+@query("c3_metrics_squared")
+def q_metrics_squared(spark, base):
+    _, labelled, _, _ = _labelled_scaled(spark, base, "KMeans")
+    table = met.evaluate_model(labelled, FEATURES, "KMeans", variant="squared")
+    return table.withColumn("value", rounded(F.col("value"), 4))
+
+
 @query("c3_metrics_undefined")
 def q_metrics_undefined(spark, base):
     _, scaled, _ = scaled_table(spark, base)
@@ -765,6 +810,32 @@ def q_evaluation(spark, base):
     return judged.metrics.unionByName(elbow)
 
 
+@query("c13_evaluation_facts")
+def q_evaluation_facts(spark, base):
+    """Density figures as they are; of the seeded fits, what holds for any seed: bounds, and a curve that falls to within 1 percent."""
+    table = materialize(q_evaluation(spark, base), "evaluation")
+    last = table.where("model = 'elbow'").select((F.col("ord") + 1).alias("ord"), F.col("value").alias("last"), F.lit("elbow").alias("model"))
+    joined = table.join(last, ["model", "ord"], "left")
+    holds = (
+        F.when(F.col("model") == "elbow", F.coalesce(F.col("value") <= F.col("last") * 1.01, F.lit(True)))
+        .when(F.col("metric") == "silhouette_score", F.abs("value") <= 1)
+        .when(F.col("metric") == "davies_bouldin_score", F.col("value") > 0)
+    )
+    exact = (F.col("model") == "DBSCAN") | (F.col("metric") == "num_clusters_found")
+    value = F.when(exact, rounded(F.col("value"))).otherwise(holds.cast("double"))
+    return joined.select("model", "ord", "metric", value.alias("value"))
+
+
+@query("m5_labels_of_run")
+def q_labels_of_run(spark, base):
+    """The labels that a training run stored, of both models."""
+    source = csv_io.write_csv(customer_mart(spark, base), new_path(spark, "csv"))
+    root = new_path(spark, "runs")
+    train(spark, [source], root, "run-1", TrainConfig(eps=EPS, min_samples=MIN_SAMPLES, max_k=3, silhouette="squared"))
+    centre = store.labels_of(spark, root, "run-1", "KMeans").select(KEY, F.col(LABEL).between(0, K - 1).alias("has_centre"))
+    return store.labels_of(spark, root, "run-1", "DBSCAN").join(centre, KEY)
+
+
 @query("p12_train")
 def q_train(spark, base):
     source = csv_io.write_csv(customer_mart(spark, base), new_path(spark, "csv"))

@@ -58,5 +58,11 @@ class TrainConfig:
     min_samples: int = 5
     max_k: int = 10
     null_threshold: float = 50.0
+    # "exact" is quadratic in distinct rows, "squared" linear; they are different numbers.
+    silhouette: str = "exact"
+    # The model that is published: "KMeans" or "DBSCAN".
+    serve: str = "KMeans"
+    # Number columns that are clustered on as they are, filled but not scaled.
+    extra: list[str] = field(default_factory=list)
     features: list[str] = field(default_factory=lambda: list(FEATURES))
     key: str = KEY

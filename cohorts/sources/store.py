@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from cohorts.operators.dbscan import DensityFit
 from cohorts.operators.kmeans import KMeansFit, centres_frame, centres_from_frame
 from cohorts.operators.prepare import FeatureParam, params_frame, params_from_frame
 from cohorts.sources.snapshot import path_exists
@@ -21,22 +22,49 @@ def load_report(spark: SparkSession, path: str, schema) -> DataFrame:
     return spark.read.schema(schema).json(path)
 
 
-def save_model(spark: SparkSession, params: list[FeatureParam], model: KMeansFit, path: str) -> str:
-    """Parameter, centre and summary tables side by side; each is as small as the model."""
+DENSITY_SCHEMA = "eps double, min_samples int"
+
+
+def save_model(spark: SparkSession, params: list[FeatureParam], model: KMeansFit | DensityFit, path: str) -> str:
+    """Parameter, centre and summary tables side by side, each as small as the model; of a density model, all core rows."""
     params_frame(spark, params).coalesce(1).write.mode("overwrite").parquet(f"{path}/params")
+    if isinstance(model, DensityFit):
+        model.cores.write.mode("overwrite").parquet(f"{path}/cores")
+        spark.createDataFrame([(model.eps, model.min_samples)], DENSITY_SCHEMA).coalesce(1).write.mode("overwrite").parquet(f"{path}/density")
+        return path
     centres_frame(spark, model.features, model.centres).coalesce(1).write.mode("overwrite").parquet(f"{path}/centres")
     meta = spark.createDataFrame([(model.k, model.inertia, model.rounds)], META_SCHEMA)
     meta.coalesce(1).write.mode("overwrite").parquet(f"{path}/meta")
     return path
 
 
-def load_model(spark: SparkSession, path: str) -> tuple[list[FeatureParam], KMeansFit]:
+def load_model(spark: SparkSession, path: str) -> tuple[list[FeatureParam], KMeansFit | DensityFit]:
+    """The saved model of either kind; core rows stay a table."""
     params = params_from_frame(spark.read.parquet(f"{path}/params"))
+    if path_exists(spark, f"{path}/density"):
+        reach = spark.read.parquet(f"{path}/density").first()
+        cores = spark.read.parquet(f"{path}/cores")
+        return params, DensityFit([p.feature for p in params], reach["eps"], reach["min_samples"], cores)
     features, centres = centres_from_frame(spark.read.parquet(f"{path}/centres"))
     meta = spark.read.parquet(f"{path}/meta").first()
     return params, KMeansFit(features, centres, meta["inertia"], meta["rounds"])
 
 
+def _labels_path(root: str, run_id: str, model: str) -> str:
+    return f"{root.rstrip('/')}/labels/run_id={run_id}/model={model}"
+
+
+def save_labels(labels: DataFrame, root: str, run_id: str, model: str) -> str:
+    path = _labels_path(root, run_id, model)
+    labels.write.mode("overwrite").parquet(path)
+    return path
+
+
+def labels_of(spark: SparkSession, root: str, run_id: str, model: str) -> DataFrame:
+    """Key and cluster of every row that ``model`` ("KMeans" or "DBSCAN") was trained on in a run."""
+    return spark.read.parquet(_labels_path(root, run_id, model))
+
+
 POINTER_SCHEMA = "sequence bigint, version string, path string"
 
 
@@ -75,5 +103,5 @@ def current_version(spark: SparkSession, serving_root: str) -> tuple[str, str]:
     return row["version"], row["path"]
 
 
-def load_current(spark: SparkSession, serving_root: str) -> tuple[list[FeatureParam], KMeansFit]:
+def load_current(spark: SparkSession, serving_root: str) -> tuple[list[FeatureParam], KMeansFit | DensityFit]:
     return load_model(spark, current_version(spark, serving_root)[1])
