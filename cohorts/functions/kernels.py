@@ -367,3 +367,71 @@ def product_sums(p: int):
             )
 
     return run
+
+
+def seed_centres(sample: np.ndarray, k: int, seed: int, restarts: int = 3, rounds: int = 50) -> np.ndarray:
+    """Start centres for ``k`` clusters: the best of several careful draws, each improved on the sample.
+
+    A centre is drawn with the chance of its squared distance from those before it; where all rows coincide with
+    a centre, fewer than ``k`` come back.
+    """
+    rng = np.random.default_rng([seed, k])
+    norms = np.square(sample).sum(axis=1)
+
+    def distances(centres: np.ndarray) -> np.ndarray:
+        return np.maximum(norms[:, None] - 2 * sample @ centres.T + np.square(centres).sum(axis=1), 0.0)
+
+    best, best_error = sample[:1], np.inf
+    for _ in range(restarts):
+        centres = sample[rng.integers(len(sample), size=1)]
+        near = np.square(sample - centres[0]).sum(axis=1)
+        while len(centres) < k and near.sum() > 0:
+            new = sample[rng.choice(len(sample), p=near / near.sum())]
+            centres = np.vstack([centres, new])
+            near = np.minimum(near, np.square(sample - new).sum(axis=1))
+        error = np.inf
+        for _ in range(rounds):
+            d2 = distances(centres)
+            own = d2.argmin(axis=1)
+            now = float(d2[np.arange(len(own)), own].sum())
+            member = np.zeros((len(centres), len(own)))
+            member[own, np.arange(len(own))] = 1.0
+            sizes = member.sum(axis=1, keepdims=True)
+            centres = np.where(sizes > 0, member @ sample / np.maximum(sizes, 1.0), centres)
+            if error - now <= 1e-9 * max(now, 1e-300):
+                break
+            error = now
+        if now < best_error:
+            best, best_error = centres, now
+    return best
+
+
+def lloyd_sums(centres: dict[int, np.ndarray]):
+    """Per k and centre, the number of nearest rows, their squared error and sums of features; ties go to the lowest centre."""
+
+    def run(batches):
+        totals = {k: np.zeros((len(c), 2 + c.shape[1])) for k, c in centres.items()}
+        seen = False
+        for pdf in batches:
+            x = pdf.to_numpy(dtype=float)
+            if np.isnan(x).any():
+                raise ValueError("clustering needs complete rows: fill missing values first")
+            seen = seen or len(x) > 0
+            for k, c in centres.items():
+                d2 = np.zeros((len(x), len(c)))
+                for i in range(x.shape[1]):
+                    d2 += np.square(x[:, i, None] - c[:, i])
+                own = d2.argmin(axis=1)
+                total = totals[k]
+                total[:, 0] += np.bincount(own, minlength=len(c))
+                total[:, 1] += np.bincount(own, weights=d2[np.arange(len(own)), own], minlength=len(c))
+                for i in range(x.shape[1]):
+                    total[:, 2 + i] += np.bincount(own, weights=x[:, i], minlength=len(c))
+        if not seen:
+            return
+        for k, total in totals.items():
+            held = np.flatnonzero(total[:, 0])
+            rows = {"k": np.full(len(held), k, dtype=np.int32), "cluster": held.astype(np.int32), "n": total[held, 0].astype(np.int64), "sse": total[held, 1]}
+            yield pd.DataFrame(rows | {f"s{i}": total[held, 2 + i] for i in range(total.shape[1] - 2)})
+
+    return run

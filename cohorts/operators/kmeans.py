@@ -3,17 +3,19 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from multiprocessing.pool import ThreadPool
 
-from pyspark import inheritable_thread_target
+import numpy as np
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cohorts.functions import kernels
 from cohorts.functions.columns import double_sql, ident, number, rounded, squared_distance
 from cohorts.schema import KEY, LABEL
 
+# Rows of the sample that start centres of the elbow curve are drawn from.
+SEED_ROWS = 10_000
 CENTRE_SCHEMA = "cluster int, ord int, feature string, value double"
 
 
@@ -110,10 +112,6 @@ def vectors(df: DataFrame, features: list[str], *keep: str) -> DataFrame:
     return df.select(*keep, array_to_vector(cells).alias("features"))
 
 
-def _estimator(k: int, seed: int, max_iter: int, tol: float) -> KMeans:
-    return KMeans(k=k, seed=seed, maxIter=max_iter, tol=tol, initMode="k-means||")
-
-
 def fit_kmeans(
     df: DataFrame,
     features: list[str],
@@ -126,7 +124,7 @@ def fit_kmeans(
 
     Coinciding points can leave fewer than ``k`` centres; ``KMeansFit.k`` tells.
     """
-    model = _estimator(k, seed, max_iter, tol).fit(vectors(df, features))
+    model = KMeans(k=k, seed=seed, maxIter=max_iter, tol=tol, initMode="k-means||").fit(vectors(df, features))
     centres = [[float(v) for v in c] for c in model.clusterCenters()]
     return KMeansFit(list(features), centres, float(model.summary.trainingCost), int(model.summary.numIter))
 
@@ -143,35 +141,58 @@ def elbow_curve(
     max_k: int = 10,
     seed: int = 42,
     known: dict[int, float] | None = None,
-    parallel: int = 4,
+    max_rounds: int = 300,
+    tol: float = 1e-4,
+    seed_rows: int = SEED_ROWS,
 ) -> DataFrame:
     """Rows ``(k, sse, centres, knee)``. ``known`` holds errors already measured, by k.
 
-    The fits are independent jobs over one persisted vector table, a few at a time.
+    Start centres come from a sample of about ``seed_rows`` rows. A round moves the centres of every k that hasn't
+    settled (no centre moves by more than ``tol``): one pass over all rows for all of them, in which tasks add
+    up sums per k and centre, so at most k * k / 2 rows are shuffled and collected. Errors are those of all rows.
     The knee is the point farthest from the straight line between both ends.
     """
     spark = df.sparkSession
-    known = known or {}
-    cells = vectors(df, features).persist()
-
-    def one(k: int) -> tuple[int, float, int]:
-        if k == 1:
-            return 1, total_inertia(df, features), 1
-        if k in known:
-            return k, float(known[k]), k
-        model = _estimator(k, seed, 300, 1e-4).fit(cells)
-        return k, float(model.summary.trainingCost), len(model.clusterCenters())
-
-    try:
-        with ThreadPool(parallel) as pool:
-            rows = pool.map(inheritable_thread_target(spark)(one), range(1, max_k + 1), chunksize=1)
-    finally:
-        cells.unpersist()
+    known = {k: float(v) for k, v in (known or {}).items() if 1 < k <= max_k}
+    points = df.selectExpr(*[f"{double_sql(df, f)} as x{i}" for i, f in enumerate(features)])
+    errors = {1: total_inertia(df, features), **known}
+    counts = {k: k for k in errors}
+    wanted = [k for k in range(2, max_k + 1) if k not in errors]
+    moving: dict[int, np.ndarray] = {}
+    if wanted:
+        share = min(1.0, 1.5 * seed_rows / max(1, points.count()))
+        picked = points.sample(share, seed) if share < 1.0 else points
+        sample = picked.limit(2 * seed_rows).toPandas().to_numpy(dtype=float)
+        if not len(sample):
+            raise ValueError("no rows to cluster")
+        moving = {k: kernels.seed_centres(sample, k, seed) for k in wanted}
+    settled: dict[int, np.ndarray] = {}
+    columns = "k int, cluster int, n bigint, sse double, " + ", ".join(f"s{i} double" for i in range(len(features)))
+
+    def sums(centres: dict[int, np.ndarray]) -> list:
+        found = points.mapInPandas(kernels.lloyd_sums(centres), columns).groupBy("k", "cluster")
+        return found.agg(F.sum("n").alias("n"), F.sum("sse").alias("sse"), *[F.sum(f"s{i}").alias(f"s{i}") for i in range(len(features))]).collect()
+
+    for _ in range(max_rounds):
+        if not moving:
+            break
+        moved = {k: c.copy() for k, c in moving.items()}
+        for r in sums(moving):
+            moved[r["k"]][r["cluster"]] = [r[f"s{i}"] / r["n"] for i in range(len(features))]
+        still = {k for k, c in moved.items() if np.square(c - moving[k]).sum(axis=1).max() > tol * tol}
+        settled.update({k: c for k, c in moved.items() if k not in still})
+        moving = {k: moved[k] for k in sorted(still)}
+    settled.update(moving)
+    if settled:
+        for r in sums(settled):
+            errors[r["k"]] = errors.get(r["k"], 0.0) + r["sse"]
+        counts.update({k: len(c) for k, c in settled.items()})
+    rows = [(k, errors[k], counts[k]) for k in range(1, max_k + 1)]
     (k0, s0, _), (k1, s1, _) = rows[0], rows[-1]
     off = [abs((s1 - s0) * (k - k0) - (s - s0) * (k1 - k0)) for k, s, _ in rows]
     knee = rows[off.index(max(off))][0]
     return spark.createDataFrame(
-        [(k, s, c, k == knee) for k, s, c in rows], "k int, sse double, centres int, knee boolean"
+        [(k, float(s), c, k == knee) for k, s, c in rows], "k int, sse double, centres int, knee boolean"
     )
 
 

@@ -78,8 +78,10 @@ def summary(labelled: DataFrame, features: list[str], label: str = LABEL) -> Dat
 
 
 def preview(df: DataFrame, key: str = KEY, rows: int = 20) -> DataFrame:
-    """First and last rows by key, ``rows`` at most, each row once."""
+    """First and last rows by key, ``rows`` at most, each row once, also where rows share a key."""
     half = rows // 2
+    if df.limit(rows + 1).count() <= 2 * half:
+        return df
     head = df.orderBy(col(key).asc()).limit(half)
     tail = df.orderBy(col(key).desc()).limit(half)
-    return head.unionByName(tail).dropDuplicates([key])
+    return head.unionByName(tail)

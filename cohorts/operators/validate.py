@@ -16,6 +16,7 @@ from cohorts.functions.columns import (
     text_to_long,
 )
 from cohorts.schema import EXPECTED_TYPES, KEY
+from cohorts.session import materialize
 
 REPORT_SCHEMA = (
     "ord int, section string, check string, column string, status string, message string, severity string"
@@ -102,10 +103,10 @@ def inferred_types(df: DataFrame, columns: list[str]) -> DataFrame:
     )
 
 
-def check_types(df: DataFrame, expected: dict[str, str] = EXPECTED_TYPES) -> DataFrame:
-    """Type rows of the report: compatible numbers leave no row, a mismatch only warns."""
+def check_types(df: DataFrame, expected: dict[str, str] = EXPECTED_TYPES, facts: DataFrame | None = None) -> DataFrame:
+    """Type rows of the report: compatible numbers leave no row, a mismatch only warns. ``facts`` are those of :func:`inferred_types`."""
     columns = [c for c in expected if c in df.columns]
-    facts = inferred_types(df, columns)
+    facts = inferred_types(df, columns) if facts is None else facts
     wanted = F.create_map(*[F.lit(x) for c in columns for x in (c, expected[c])])
     order = F.create_map(*[F.lit(x) for i, c in enumerate(columns) for x in (c, i + 1)])
     want, have = wanted[F.col("column")], F.col("inferred")
@@ -152,15 +153,25 @@ def null_shares(df: DataFrame, columns: list[str]) -> DataFrame:
         for i, c in enumerate(columns)
     ]
     rows = df.agg(F.array(*cells).alias("cells")).select(F.inline("cells"))
+    return _with_percent(rows)
+
+
+def _with_percent(shares: DataFrame) -> DataFrame:
     percent = F.col("nulls") / F.nullif(F.col("rows"), F.lit(0).cast("bigint")) * F.lit(100.0)
-    return rows.withColumn("percent", percent)
+    return shares.withColumn("percent", percent)
 
 
 def check_nulls(
-    df: DataFrame, expected: dict[str, str] = EXPECTED_TYPES, threshold: float = NULL_THRESHOLD
+    df: DataFrame, expected: dict[str, str] = EXPECTED_TYPES, threshold: float = NULL_THRESHOLD, facts: DataFrame | None = None
 ) -> DataFrame:
-    """Null-share rows of the report, in the frame's column order."""
-    shares = null_shares(df, [c for c in df.columns if c in expected])
+    """Null-share rows of the report, in the frame's column order. ``facts`` are those of :func:`inferred_types`."""
+    columns = [c for c in df.columns if c in expected]
+    if facts is None or not columns:
+        shares = null_shares(df, columns)
+    else:
+        order = F.create_map(*[F.lit(x) for i, c in enumerate(columns) for x in (c, i)])
+        gaps = (F.col("rows") - F.col("present")).alias("nulls")
+        shares = _with_percent(facts.select("column", order[F.col("column")].alias("ord"), gaps, "rows"))
     too_many = F.col("percent") > F.lit(threshold)
     empty = F.col("rows") == 0
     share = F.format_string("%.2f", F.col("percent"))
@@ -187,11 +198,13 @@ def check_nulls(
 def validation_report(
     df: DataFrame, expected: dict[str, str] = EXPECTED_TYPES, threshold: float = NULL_THRESHOLD
 ) -> DataFrame:
-    return (
-        check_columns(df.sparkSession, df.columns, expected)
-        .unionByName(check_types(df, expected))
-        .unionByName(check_nulls(df, expected, threshold))
-    )
+    """All checks from one pass over the data: a row of facts per column is written, and types and nulls read it."""
+    present = check_columns(df.sparkSession, df.columns, expected)
+    columns = [c for c in expected if c in df.columns]
+    if not columns:
+        return present
+    facts = materialize(inferred_types(df, columns), "facts")
+    return present.unionByName(check_types(df, expected, facts)).unionByName(check_nulls(df, expected, threshold, facts))
 
 
 def status_rollup(report: DataFrame) -> DataFrame:

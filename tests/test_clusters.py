@@ -6,7 +6,11 @@ from cohorts.functions.skew import hot_keys, lookup, numbered
 from cohorts.operators import kmeans as km
 from cohorts.operators import metrics as met
 from cohorts.operators.components import connected_components
-from cohorts.operators.dbscan import assign_to_core, cluster_counts, dbscan
+from cohorts.operators.dbscan import assign_to_core, cluster_counts, dbscan, fit_density
+from cohorts.operators.prepare import FeatureParam
+from cohorts.operators.score import score
+from cohorts.session import new_path
+from cohorts.sources import store
 from tests import brute
 
 
@@ -145,3 +149,41 @@ def test_elbow_and_more_clusters_than_rows(spark):
     assert all(b["sse"] <= a["sse"] * 1.01 for a, b in zip(rows, rows[1:]))
     two, features = frame(spark, np.array([[0.0, 0.0], [1.0, 1.0]]))
     assert km.fit_kmeans(two, features, 5).k == 2
+
+
+def test_saved_density_model_labels_rows_of_any_key(spark):
+    """Repeated and null keys, copies, rows out of reach, and no rows at all."""
+    df = spark.createDataFrame([(f"k{i}", i % 10 * 0.1 + i // 10 * 50.0, 1.0) for i in range(20)], "CUST_ID string, x double, y double")
+    params = [FeatureParam("x", 0, 0.0, 0.0, 1.0, 20, 0), FeatureParam("y", 1, 1.0, 0.0, 1.0, 20, 0)]
+    labels, fitted = fit_density(df, ["x", "y"], 0.15, 3)
+    assert labels.select("CLUSTER").distinct().count() == 2
+    path = store.save_model(spark, params, fitted, new_path(spark, "model"))
+    params, model = store.load_model(spark, path)
+    rows = [("a", 0.05, 1.0), ("a", 50.0, 1.0), (None, 50.85, None), (None, 0.05, 1.0), ("b", 25.0, 1.0), ("b", 25.0, 1.0)]
+    fresh = spark.createDataFrame(rows, "CUST_ID string, x double, y double")
+    got = sorted((r["CUST_ID"] or "", r["x"], r["CLUSTER"]) for r in score(fresh, params, model).collect())
+    assert got == [("", 0.05, 0), ("", 50.85, 1), ("a", 0.05, 0), ("a", 50.0, 1), ("b", 25.0, -1), ("b", 25.0, -1)]
+    assert score(fresh.where("false"), params, model).count() == 0
+    none = fit_density(df.where("false"), ["x", "y"], 0.15, 3)[1]
+    assert {r["CLUSTER"] for r in score(fresh, params, none).collect()} == {-1}
+
+
+def test_silhouette_is_the_callers_choice(spark):
+    df = spark.createDataFrame([(0, 0.0), (0, 1.0), (1, 5.0), (1, 7.0)], "CLUSTER int, x double")
+    exact, squared = (met.evaluate_model(df, ["x"], "m", variant=v).where("ord = 0").first()["value"] for v in ("exact", "squared"))
+    assert exact == pytest.approx(met.silhouette(df, ["x"])) and squared == pytest.approx(met.silhouette_sq(df, ["x"]))
+    assert abs(exact - squared) > 0.01
+    with pytest.raises(ValueError):
+        met.evaluate_model(df, ["x"], "m", variant="fast")
+
+
+def test_elbow_rounds_reach_the_best_of_plain_groups(spark):
+    rng = np.random.default_rng(3)
+    x = np.concatenate([c + rng.normal(0, 0.1, (60, 2)) for c in ((0, 0), (9, 0), (0, 9), (9, 9))])
+    df = spark.createDataFrame([tuple(map(float, r)) for r in x], "a double, b double")
+    rows = {r["k"]: r for r in km.elbow_curve(df, ["a", "b"], 5, seed_rows=40).collect()}
+    within = sum(((g - g.mean(axis=0)) ** 2).sum() for g in np.split(x, 4))
+    assert abs(rows[4]["sse"] - within) < 1e-6 and rows[5]["sse"] < within < rows[3]["sse"]
+    assert abs(rows[1]["sse"] - ((x - x.mean(axis=0)) ** 2).sum()) < 1e-6
+    with pytest.raises(Exception, match="complete rows"):
+        km.elbow_curve(df.selectExpr("a", "nullif(b, b) as b"), ["a", "b"], 2)

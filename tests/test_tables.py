@@ -217,3 +217,34 @@ def test_quoted_cells_survive(spark, tmp_path):
     df = spark.createDataFrame(rows, "CUST_ID string, BALANCE double")
     back = read_csv(spark, write_csv(df, str(tmp_path / "q")), multiLine="true")
     assert sorted(map(tuple, back.collect()), key=str) == sorted(rows, key=str)
+
+
+def test_report_from_one_pass_equals_its_parts(spark):
+    text = spark.createDataFrame([("a", "1", "x"), (None, "2.5", None), ("c", "", "y")], "CUST_ID string, BALANCE string, TENURE string")
+    for df in (text, text.where("false")):
+        parts = val.check_columns(spark, df.columns).unionByName(val.check_types(df)).unionByName(val.check_nulls(df))
+        assert sorted(map(str, val.validation_report(df).collect())) == sorted(map(str, parts.collect()))
+    assert val.validation_report(text.select(F.lit(1).alias("other"))).count() == 1
+
+
+def test_preview_keeps_rows_that_share_a_key(spark):
+    same = spark.createDataFrame([("k", float(i)) for i in range(12)], "CUST_ID string, x double")
+    assert sc.preview(same).count() == 12
+    assert sc.preview(same.union(same)).count() == 20
+
+
+def test_passthrough_columns_are_filled_only(spark):
+    df = spark.createDataFrame([("a", 1.0, 10.0), ("b", 3.0, None), ("c", 8.0, 30.0), ("d", 8.0, 20.0)], "CUST_ID string, x double, y double")
+    params = prep.fit_preprocessor(df, ["x"]) + prep.passthrough_params(df, ["y"], 1)
+    assert [p.ord for p in params] == [0, 1] and prep.passthrough_params(df, []) == []
+    assert sorted(r["y"] for r in prep.apply_preprocessor(df, params).collect()) == [10.0, 20.0, 20.0, 30.0]
+
+
+def test_summary_and_describe_of_all_columns(spark):
+    df = spark.createDataFrame([("a", 1.0, 0), ("a", 3.0, 0), ("b", 5.0, 1), (None, 7.0, None)], "name string, x double, CLUSTER int")
+    got = {r["CLUSTER"]: (r["size"], r["x"], r["total_customers"], r["num_clusters_found"]) for r in sc.summary(df, ["x"]).collect()}
+    assert got == {0: (2, 2.0, 3, 2), 1: (1, 5.0, 3, 2)}
+    rows = {r["column"]: r for r in prof.describe_all(df, ["x", "name"]).collect()}
+    assert (rows["name"]["ord"], rows["name"]["top"], rows["name"]["freq"], rows["name"]["unique"], rows["name"]["mean"]) == (1, "a", 2, 2, None)
+    assert (rows["x"]["ord"], rows["x"]["count"], rows["x"]["mean"], rows["x"]["top"]) == (0, 4, 4.0, None)
+    assert prof.describe_all(df, ["name"]).count() == prof.describe_all(df, ["x"]).count() == 1
