@@ -199,7 +199,7 @@ def _cluster(df, features, eps, min_samples, key, label, safe_rows):
 
     core = rows.where("vertex is not null").select("pid", "vertex")
     border = links.where("kind = 'border'").select(F.col("x").alias("pid"), F.col("y").alias("vertex"))
-    hot = hot_keys(border, "vertex", facts["points"], safe_rows)
+    hot = hot_keys(border, "vertex", border.count(), safe_rows)
     reached = core.join(placed, "vertex").unionByName(lookup(border, placed, "vertex", "inner", hot))
     best = reached.groupBy("pid").agg(F.min("cluster").alias(label))
     named = rows.join(best, "pid", "left").select("vkey", F.coalesce(label, F.lit(NOISE)).alias(label))

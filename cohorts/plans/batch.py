@@ -13,6 +13,7 @@ from cohorts.operators.prepare import FeatureParam, apply_preprocessor
 from cohorts.operators.score import align, score
 from cohorts.operators.validate import split_bad_rows
 from cohorts.schema import EXPECTED_TYPES, KEY, LABEL
+from cohorts.session import own_scratch
 from cohorts.sources.csv import read_csv_text, write_csv
 from cohorts.sources.store import load_model
 
@@ -42,8 +43,9 @@ def score_file(
         bad.observe(watch, F.count(F.lit(1)).alias("records")).write.mode("overwrite").parquet(rejects)
         rejected = watch.get["records"]
     seen = Observation(f"scored-{uuid.uuid4().hex}")
-    labelled = score(rows, params, model, places=places)
-    write_csv(labelled.observe(seen, F.count(F.lit(1)).alias("records")), output)
+    with own_scratch(spark):
+        labelled = score(rows, params, model, places=places)
+        write_csv(labelled.observe(seen, F.count(F.lit(1)).alias("records")), output)
     return BatchResult(output, seen.get["records"], True, "Batch scoring completed.", rejected)
 
 

@@ -4,11 +4,17 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
+_RUN: ContextVar[str] = ContextVar("run", default="")
+
+
 def build_session(app: str = "cohorts", master: str | None = None, **conf: str) -> SparkSession:
     builder = (
         SparkSession.builder.appName(app)
@@ -41,12 +47,28 @@ def scratch_dir(spark: SparkSession) -> str:
 
 
 def new_path(spark: SparkSession, name: str) -> str:
-    return f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    return f"{scratch_dir(spark)}/{_RUN.get()}{name}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def own_scratch(spark: SparkSession) -> Iterator[None]:
+    """Scratch tables made inside are removed at the end, so no frame built on them may leave the block."""
+    run = f"{_RUN.get()}run-{uuid.uuid4().hex}/"
+    mark = _RUN.set(run)
+    try:
+        yield
+    finally:
+        _RUN.reset(mark)
+        _remove(spark, f"{scratch_dir(spark)}/{run}")
 
 
 def clear_scratch(spark: SparkSession) -> bool:
     """Remove the application's scratch tables, once no frame built on them is needed any more."""
-    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(scratch_dir(spark))
+    return _remove(spark, scratch_dir(spark))
+
+
+def _remove(spark: SparkSession, path: str) -> bool:
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 

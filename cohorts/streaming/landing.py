@@ -13,7 +13,7 @@ from cohorts.functions.columns import blank_to_null
 from cohorts.operators.score import score
 from cohorts.operators.validate import split_bad_rows
 from cohorts.schema import EXPECTED_TYPES, LABEL
-from cohorts.session import materialize
+from cohorts.session import materialize, own_scratch
 from cohorts.sources.csv import QUOTES
 from cohorts.sources.store import load_current
 
@@ -70,12 +70,13 @@ def score_landing(
     beside = rejects or f"{output.rstrip('/')}-rejects"
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        params, model = load_current(batch.sparkSession, serving_root)
-        rows, lost = bind_by_name(materialize(batch, "landed"), names)
-        good, bad = split_bad_rows(materialize(rows, "rows"))
-        score(good, params, model, places=places).write.mode("overwrite").parquet(f"{output.rstrip('/')}/batch={batch_id}")
-        lost = lost.select(*[F.lit(None).cast("string").alias(c) for c in names], F.concat(F.lit("no header: "), "value").alias("reason"))
-        bad.unionByName(lost).write.mode("overwrite").parquet(f"{beside}/batch={batch_id}")
+        with own_scratch(batch.sparkSession):
+            params, model = load_current(batch.sparkSession, serving_root)
+            rows, lost = bind_by_name(materialize(batch, "landed"), names)
+            good, bad = split_bad_rows(materialize(rows, "rows"))
+            score(good, params, model, places=places).write.mode("overwrite").parquet(f"{output.rstrip('/')}/batch={batch_id}")
+            lost = lost.select(*[F.lit(None).cast("string").alias(c) for c in names], F.concat(F.lit("no header: "), "value").alias("reason"))
+            bad.unionByName(lost).write.mode("overwrite").parquet(f"{beside}/batch={batch_id}")
 
     writer = stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if once else writer).start()

@@ -16,10 +16,10 @@ from cohorts.operators.quantiles import exact_quantiles
 from cohorts.plans.batch import score_file
 from cohorts.plans.train import ValidationFailed, train
 from cohorts.schema import EXPECTED_TYPES, FEATURES
-from cohorts.session import new_path
+from cohorts.session import materialize, new_path, own_scratch
 from cohorts.sources import store
 from cohorts.sources.csv import cast_columns, read_csv, write_csv
-from cohorts.sources.snapshot import first_existing
+from cohorts.sources.snapshot import first_existing, path_exists
 from cohorts.sources.synthetic import generate_customers
 
 
@@ -248,3 +248,15 @@ def test_summary_and_describe_of_all_columns(spark):
     assert (rows["name"]["ord"], rows["name"]["top"], rows["name"]["freq"], rows["name"]["unique"], rows["name"]["mean"]) == (1, "a", 2, 2, None)
     assert (rows["x"]["ord"], rows["x"]["count"], rows["x"]["mean"], rows["x"]["top"]) == (0, 4, 4.0, None)
     assert prof.describe_all(df, ["name"]).count() == prof.describe_all(df, ["x"]).count() == 1
+
+
+def test_scratch_of_a_block_goes_with_it(spark):
+    outside = materialize(numbers(spark, 1.0), "kept")
+    with own_scratch(spark):
+        first = new_path(spark, "first")
+        numbers(spark, 1.0).write.parquet(first)
+        with own_scratch(spark):
+            second = new_path(spark, "second")
+            numbers(spark, 2.0).write.parquet(second)
+        assert path_exists(spark, first) and not path_exists(spark, second)
+    assert not path_exists(spark, first) and outside.count() == 1
