@@ -145,15 +145,15 @@ def spread_pairs(pairs: DataFrame, count: int) -> DataFrame:
     return pairs.repartition(min(MAX_PARTS, max(least, count // PAIRS_PER_PART)), "a", "b")
 
 
-def with_blocks(pairs: DataFrame, left: DataFrame, right: DataFrame, cells: int) -> DataFrame:
+def with_blocks(pairs: DataFrame, left: DataFrame, right: DataFrame, cells: int, broadcast_cells: int | None = None) -> DataFrame:
     """Pairs ``(a, b)`` with the contents of both blocks.
 
-    ``cells`` is the number of values in all blocks. A table within BROADCAST_CELLS
-    goes to every task and the pairs keep their spread; a larger one is shuffled to
+    ``cells`` is the number of values in all blocks. A table within ``broadcast_cells``
+    (by default BROADCAST_CELLS) goes to every task and the pairs keep their spread; a larger one is shuffled to
     the pairs, whose rows then weigh enough to be spread by size. The pairs
     themselves are never broadcast: that would leave the work to a few tasks.
     """
-    if cells <= BROADCAST_CELLS:
+    if cells <= (BROADCAST_CELLS if broadcast_cells is None else broadcast_cells):
         return pairs.join(F.broadcast(left), "a").join(F.broadcast(right), "b")
     return pairs.hint("merge").join(left, "a").hint("merge").join(right, "b")
 

@@ -13,6 +13,7 @@ from cohorts.functions import kernels
 from cohorts.functions.columns import col, ident
 from cohorts.functions.skew import HOT_SHARE, SAFE_ROWS, hot_keys, lookup, numbered
 from cohorts.operators.blocks import (
+    BROADCAST_CELLS,
     LEAF_BITS,
     LEAF_ROWS,
     Tree,
@@ -25,7 +26,7 @@ from cohorts.operators.blocks import (
     spread_pairs,
     with_blocks,
 )
-from cohorts.operators.components import connected_components
+from cohorts.operators.components import FINISH_EDGES, connected_components
 from cohorts.schema import KEY, LABEL, NOISE
 from cohorts.session import materialize, materialize_with
 
@@ -89,7 +90,7 @@ def _unify(tree: Tree, settled: list[tuple[int, DataFrame]]) -> tuple[DataFrame
     return above.select(F.col("node").alias("leaf")), edges
 
 
-def _core_leaves(tree: Tree, pairs: DataFrame, unified: DataFrame | None, eps: float, min_samples: int, points: int, count: int) -> DataFrame:
+def _core_leaves(tree: Tree, pairs: DataFrame, unified: DataFrame | None, eps: float, min_samples: int, points: int, count: int, broadcast_cells: int) -> DataFrame:
     """Leaves with core flags and the components of their core rows."""
     spark, p = tree.leaves.sparkSession, len(tree.features)
     payload = tree.leaves.select("leaf", "xs", "ws")
@@ -108,6 +109,7 @@ def _core_leaves(tree: Tree, pairs: DataFrame, unified: DataFrame | None, eps: f
         payload.selectExpr("leaf as a", "xs as xa", "ws as wa"),
         payload.selectExpr("leaf as b", "xs as xb", "ws as wb"),
         points * p,
+        broadcast_cells,
     )
     found = met.mapInPandas(kernels.neighbour_counter(p, eps * eps), "leaf bigint, counts array<bigint>")
     counts = (
@@ -135,14 +137,14 @@ def _core_leaves(tree: Tree, pairs: DataFrame, unified: DataFrame | None, eps: f
         return materialize(marked, "cores")
 
 
-def _links(pairs: DataFrame, leaves: DataFrame, p: int, eps: float, points: int) -> DataFrame:
+def _links(pairs: DataFrame, leaves: DataFrame, p: int, eps: float, points: int, broadcast_cells: int) -> DataFrame:
     spark = leaves.sparkSession
     side = leaves.select("leaf", "xs", "core", "part", F.exists("core", lambda c: c).alias("any"))
 
     def named(s: str) -> DataFrame:
         return side.selectExpr(f"leaf as {s}", f"xs as x{s}", f"core as c{s}", f"part as p{s}", f"any as any_{s}")
 
-    met = with_blocks(pairs, named("a"), named("b"), points * p).where("any_a or any_b")
+    met = with_blocks(pairs, named("a"), named("b"), points * p, broadcast_cells).where("any_a or any_b")
     links = met.mapInPandas(kernels.linker(p, eps * eps, LEAF_BITS), "kind string, x bigint, y bigint")
     with arrow_rows(spark, batch_rows(p, LEAF_ROWS)):
         return materialize(links, "links")
@@ -156,16 +158,19 @@ def dbscan(
     key: str = KEY,
     label: str = LABEL,
     safe_rows: int = SAFE_ROWS,
+    finish_edges: int = FINISH_EDGES,
+    broadcast_cells: int = BROADCAST_CELLS,
 ) -> DataFrame:
     """Rows ``(key, label)``; noise is -1. Clusters are numbered by their lowest core key.
 
     A row is core when at least ``min_samples`` rows, itself included, lie within
-    ``eps``. A border row takes the lowest-numbered cluster that reaches it.
+    ``eps``. A border row takes the lowest-numbered cluster that reaches it. The last three
+    parameters are sizes beyond which other joins are used; they don't change results.
     """
-    return _cluster(df, features, eps, min_samples, key, label, safe_rows)[0]
+    return _cluster(df, features, eps, min_samples, key, label, safe_rows, finish_edges, broadcast_cells)[0]
 
 
-def _cluster(df, features, eps, min_samples, key, label, safe_rows):
+def _cluster(df, features, eps, min_samples, key, label, safe_rows, finish_edges=FINISH_EDGES, broadcast_cells=BROADCAST_CELLS):
     points, facts = _write_points(df, features, key)
     key_type = df.schema[key].dataType.simpleString()
     if facts["points"] == 0:
@@ -176,8 +181,8 @@ def _cluster(df, features, eps, min_samples, key, label, safe_rows):
     unified, edges = _unify(tree, settled)
     p = len(features)
     with arrow_rows(df.sparkSession, batch_rows(p, LEAF_ROWS)):
-        leaves = _core_leaves(tree, pairs, unified, eps, min_samples, facts["points"], count)
-    links = _links(pairs, leaves, p, eps, facts["points"])
+        leaves = _core_leaves(tree, pairs, unified, eps, min_samples, facts["points"], count, broadcast_cells)
+    links = _links(pairs, leaves, p, eps, facts["points"], broadcast_cells)
 
     at = leaves.select("leaf", F.posexplode(F.arrays_zip("vkey", "core", "part")).alias("pos", "r"))
     rows = at.select(
@@ -186,7 +191,7 @@ def _cluster(df, features, eps, min_samples, key, label, safe_rows):
         F.when(F.col("r.core"), F.shiftleft("leaf", LEAF_BITS) + F.col("r.part")).alias("vertex"),
     )
     edges = reduce(DataFrame.union, [links.where("kind = 'edge'").select(F.col("x").alias("u"), F.col("y").alias("v")), *edges])
-    roots = connected_components(edges, safe_rows=safe_rows)
+    roots = connected_components(edges, safe_rows=safe_rows, finish_edges=finish_edges)
     vertices = rows.where("vertex is not null").groupBy("vertex").agg(F.min("vkey").alias("first"))
     vertices = materialize(
         vertices.join(roots, "vertex", "left").select("vertex", "first", F.coalesce("root", "vertex").alias("root")),

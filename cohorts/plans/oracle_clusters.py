@@ -209,7 +209,7 @@ def profile_sql() -> dict[str, str]:
 
 def cluster_sql() -> dict[str, str]:
     sql: dict[str, str] = {}
-    sql["m3_dbscan"] = with_(DLAB, "SELECT * FROM dlab")
+    sql["m3_dbscan"] = sql["m3_dbscan_large_branches"] = with_(DLAB, "SELECT * FROM dlab")
     sql["m3_dbscan_five_features"] = with_(BASE + ",\n" + density(0.5, names=FIVE), "SELECT * FROM dlab")
     sql["m3_dbscan_dense"] = with_(BASE + ",\n" + density(0.3, names=["BALANCE", "PURCHASES"]), "SELECT * FROM dlab")
     sql["m4_counts"] = with_(

@@ -614,6 +614,13 @@ def q_dbscan(spark, base):
     return density_labelled(spark, base)[3]
 
 
+@query("m3_dbscan_large_branches")
+def q_dbscan_large(spark, base):
+    """The joins that large inputs take, whatever the size."""
+    _, scaled, _ = scaled_table(spark, base)
+    return dbscan(scaled, FEATURES, EPS, MIN_SAMPLES, safe_rows=0, finish_edges=0, broadcast_cells=0)
+
+
 @query("m3_dbscan_five_features")
 def q_dbscan_five(spark, base):
     chosen = ["BALANCE", "PURCHASES", "CREDIT_LIMIT", "PAYMENTS", "TENURE"]
