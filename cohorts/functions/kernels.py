@@ -369,8 +369,8 @@ def product_sums(p: int):
     return run
 
 
-def seed_centres(sample: np.ndarray, k: int, seed: int, restarts: int = 3, rounds: int = 50) -> np.ndarray:
-    """Start centres for ``k`` clusters: the best of several careful draws, each improved on the sample.
+def seed_centres(sample: np.ndarray, k: int, seed: int, restarts: int = 3, rounds: int = 15, last_rounds: int = 300) -> np.ndarray:
+    """Start centres for ``k`` clusters: the best of several careful draws, improved on the sample until it settles.
 
     A centre is drawn with the chance of its squared distance from those before it; where all rows coincide with
     a centre, fewer than ``k`` come back.
@@ -378,10 +378,22 @@ def seed_centres(sample: np.ndarray, k: int, seed: int, restarts: int = 3, round
     rng = np.random.default_rng([seed, k])
     norms = np.square(sample).sum(axis=1)
 
-    def distances(centres: np.ndarray) -> np.ndarray:
-        return np.maximum(norms[:, None] - 2 * sample @ centres.T + np.square(centres).sum(axis=1), 0.0)
+    def improve(centres: np.ndarray, rounds: int) -> tuple[float, np.ndarray]:
+        now = np.inf
+        for _ in range(rounds):
+            d2 = norms[:, None] - 2 * sample @ centres.T + np.square(centres).sum(axis=1)
+            own = d2.argmin(axis=1)
+            now = float(d2[np.arange(len(own)), own].sum())
+            member = np.zeros((len(centres), len(own)))
+            member[own, np.arange(len(own))] = 1.0
+            sizes = member.sum(axis=1, keepdims=True)
+            moved = np.where(sizes > 0, member @ sample / np.maximum(sizes, 1.0), centres)
+            shift, centres = np.square(moved - centres).sum(axis=1).max(), moved
+            if shift <= 1e-10:
+                break
+        return now, centres
 
-    best, best_error = sample[:1], np.inf
+    drawn = []
     for _ in range(restarts):
         centres = sample[rng.integers(len(sample), size=1)]
         near = np.square(sample - centres[0]).sum(axis=1)
@@ -389,21 +401,8 @@ def seed_centres(sample: np.ndarray, k: int, seed: int, restarts: int = 3, round
             new = sample[rng.choice(len(sample), p=near / near.sum())]
             centres = np.vstack([centres, new])
             near = np.minimum(near, np.square(sample - new).sum(axis=1))
-        error = np.inf
-        for _ in range(rounds):
-            d2 = distances(centres)
-            own = d2.argmin(axis=1)
-            now = float(d2[np.arange(len(own)), own].sum())
-            member = np.zeros((len(centres), len(own)))
-            member[own, np.arange(len(own))] = 1.0
-            sizes = member.sum(axis=1, keepdims=True)
-            centres = np.where(sizes > 0, member @ sample / np.maximum(sizes, 1.0), centres)
-            if error - now <= 1e-9 * max(now, 1e-300):
-                break
-            error = now
-        if now < best_error:
-            best, best_error = centres, now
-    return best
+        drawn.append(improve(centres, rounds))
+    return improve(min(drawn, key=lambda x: x[0])[1], last_rounds)[1]
 
 
 def lloyd_sums(centres: dict[int, np.ndarray]):
