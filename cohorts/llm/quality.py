@@ -20,9 +20,11 @@ MIN_WORDS, MAX_REPEAT_PERCENT = 20, 30
 STATS = ["n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words"]
 STATS_TYPE = T.StructType([T.StructField(s, T.LongType()) for s in STATS])
 
-# Transformed statistics, and the least spread (standard deviation) that each is given.
+# Transformed statistics. SPREAD is the least spread (standard deviation) while a pool's core is looked for, wide enough
+# that shares which are zero in most texts don't make all others outliers; FLOOR is that of the estimate itself.
 VECTOR = ["log_words", "log_word_length", "symbols", "dup_lines", "repeats"]
 SPREAD = [1.0, 0.15, 0.05, 0.15, 0.15]
+FLOOR = [0.2, 0.02, 0.02, 0.02, 0.02]
 P = len(VECTOR)
 PAIRS = [(i, j) for i in range(P) for j in range(i, P)]
 
@@ -37,6 +39,9 @@ CONSISTENCY, CONSISTENCY_REWEIGHT = 0.75 / 0.531137, 0.975 / 0.923704
 MAX_STEPS, SETTLED = 12, 1e-3
 # Steps of squared distance in which a subset's border is found: 1/16 of a doubling.
 BIN = 16
+# On distances with a chi-square distribution of five degrees of freedom, upper quartile * (ratio of quartiles) ** FENCE is
+# CHI_CUTOFF. A ratio above that of one degree of freedom comes from copies, not from texts.
+FENCE, MOST_RATIO, FENCE_BIN = 1.8625, 13.04, 64
 # Estimates of up to so many groups (under 400 bytes each) are broadcast; more are joined by shuffle.
 BROADCAST_GROUPS = 20_000
 
@@ -133,13 +138,17 @@ def squared_distance() -> Column:
     return F.expr(" + ".join(terms))
 
 
-def _estimate(n: float, total: np.ndarray, cross: np.ndarray, factor: float) -> tuple[np.ndarray, np.ndarray, float]:
-    """Centre, inverse covariance and log determinant from sums; spreads have a floor."""
+def _estimate(
+    n: float, total: np.ndarray, cross: np.ndarray, factor: float, floor: list[float]
+) -> tuple[np.ndarray, np.ndarray, float]:
+    """Centre, inverse covariance and log determinant from sums; only spreads below ``floor`` (in any direction) are raised."""
     centre = total / n
     cov = np.zeros((P, P))
     for (i, j), s in zip(PAIRS, cross, strict=True):
         cov[i, j] = cov[j, i] = s / n - centre[i] * centre[j]
-    cov = factor * cov + np.diag(np.square(SPREAD))
+    unit = np.outer(floor, floor)
+    values, axes = np.linalg.eigh(factor * cov / unit)
+    cov = (axes * np.maximum(values, 1.0)) @ axes.T * unit
     return centre, np.linalg.inv(cov), float(np.linalg.slogdet(cov)[1])
 
 
@@ -153,8 +162,8 @@ def _sums() -> list[Column]:
     return out + [F.sum(F.col(VECTOR[i]) * F.col(VECTOR[j])).alias(f"x{k}") for k, (i, j) in enumerate(PAIRS)]
 
 
-def _row(pool: str, n: int, sums: np.ndarray, factor: float) -> pd.DataFrame:
-    centre, inverse, log_det = _estimate(float(sums[0]), sums[1 : 1 + P], sums[1 + P :], factor)
+def _row(pool: str, n: int, sums: np.ndarray, factor: float, floor: list[float]) -> pd.DataFrame:
+    centre, inverse, log_det = _estimate(float(sums[0]), sums[1 : 1 + P], sums[1 + P :], factor, floor)
     upper = [float(inverse[i, j]) for i, j in PAIRS]
     return pd.DataFrame({"pool": [pool], "centre": [centre.tolist()], "inverse": [upper], "log_det": [log_det], "n": [n]})
 
@@ -164,14 +173,14 @@ def concentrate(bins: pd.DataFrame) -> pd.DataFrame:
     bins = bins.sort_values("bin")
     total = int(bins["n"].sum())
     inside = bins["n"].cumsum().shift(fill_value=0) < COVERAGE * total
-    return _row(bins["pool"].iloc[0], total, bins.loc[inside, SUMS].sum().to_numpy(dtype=float), CONSISTENCY)
+    return _row(bins["pool"].iloc[0], total, bins.loc[inside, SUMS].sum().to_numpy(dtype=float), CONSISTENCY, SPREAD)
 
 
 def reweight(bins: pd.DataFrame) -> pd.DataFrame:
     """Final estimate of one pool: all its rows within the 0.975 quantile."""
     total = int(bins["n"].sum())
     inside = bins[bins["bin"] == 0] if (bins["bin"] == 0).any() else bins
-    return _row(bins["pool"].iloc[0], total, inside[SUMS].sum().to_numpy(dtype=float), CONSISTENCY_REWEIGHT)
+    return _row(bins["pool"].iloc[0], total, inside[SUMS].sum().to_numpy(dtype=float), CONSISTENCY_REWEIGHT, FLOOR)
 
 
 def start(cells: pd.DataFrame) -> pd.DataFrame:
@@ -195,7 +204,8 @@ def fit(rows: DataFrame, groups: int, broadcast_groups: int = BROADCAST_GROUPS)
     Every concentration step is one pass: rows are placed in steps of distance, sums per pool
     and step are combined on the map side, and each pool's few hundred sums give its next
     centre and covariance. The border of the subset takes whole steps of 1/16 doubling.
-    Covariances are widened by the floors in SPREAD, so constant statistics stay usable.
+    Spreads below SPREAD are raised to it while the subset is looked for, and those below FLOOR in the final
+    estimate, so constant statistics stay usable; all others are the pool's own.
     """
     cells = F.explode(F.array(*[
         F.struct(F.lit(k).alias("k"), F.floor(F.col(v) * (8 / SPREAD[k])).alias("cell")) for k, v in enumerate(VECTOR)
@@ -221,13 +231,43 @@ def fit(rows: DataFrame, groups: int, broadcast_groups: int = BROADCAST_GROUPS)
     return model, n_pools
 
 
+def limits(
+    rows: DataFrame, model: DataFrame, n_pools: int, min_group: int, broadcast_groups: int = BROADCAST_GROUPS
+) -> tuple[DataFrame, int]:
+    """``(pool, centre, inverse)``: pools of fewer than ``min_group`` rows have the estimate over all rows."""
+    small = model.where(F.col("n") < min_group)
+    if not n_pools or small.limit(1).count() == 0:
+        return model.select("pool", "centre", "inverse"), n_pools
+    whole, _ = fit(rows.withColumn("pool", F.lit("all")), 1, broadcast_groups)
+    whole = F.broadcast(whole.where(F.col("n") >= min_group).select("centre", "inverse"))  # one row, or none in a small table
+    own = model.where(F.col("n") >= min_group).select("pool", "centre", "inverse")
+    out, facts = materialize_with(own.unionByName(small.select("pool").crossJoin(whole)), "model", n="count(1)")
+    return out, facts["n"]
+
+
+def fence(rows: DataFrame, model: DataFrame, n_pools: int, broadcast_groups: int = BROADCAST_GROUPS) -> float:
+    """Cutoff from the quartiles of all squared distances, on a log scale; CHI_CUTOFF at least.
+
+    Distances of text statistics are not chi-square: shares are zero in most texts and large in some good ones. The
+    quartiles hold as long as outliers are under a quarter of the rows.
+    """
+    at = with_small(rows, model, n_pools, "pool", "inner", broadcast_groups)
+    cell = F.floor(F.log2(F.greatest(squared_distance(), F.lit(1e-6))) * FENCE_BIN).cast("int")
+    cells = at.select(cell.alias("cell")).groupBy("cell").agg(F.count(F.lit(1)).alias("n")).orderBy("cell").collect()
+    if not cells:
+        return CHI_CUTOFF
+    upto = np.cumsum([r["n"] for r in cells])
+    low, high = (2 ** ((cells[int(np.searchsorted(upto, q * upto[-1]))]["cell"] + 0.5) / FENCE_BIN) for q in (0.25, 0.75))
+    return max(CHI_CUTOFF, high * min(high / low, MOST_RATIO) ** FENCE)
+
+
 def judge(
     docs: DataFrame,
     text_col: str = "text",
     keys: tuple[str, str] = ("lang", "source"),
     carry: list[str] | None = None,
     min_group: int = MIN_GROUP,
-    cutoff: float = CHI_CUTOFF,
+    cutoff: float | None = None,
     broadcast_groups: int = BROADCAST_GROUPS,
 ) -> DataFrame:
     """Rows of ``docs`` (columns ``carry``, by default all) with text statistics, ``base_failed``, ``distance`` and ``kept``.
@@ -236,9 +276,10 @@ def judge(
     MIN_WORDS words, or more than MAX_REPEAT_PERCENT percent of words in repeated windows.
     The others become vectors of five transformed statistics; centre and covariance are
     estimated per language and source from all of them, and a vector beyond ``cutoff`` in squared
-    Mahalanobis distance is rejected. Groups under ``min_group`` documents share an estimate with other small
+    Mahalanobis distance is rejected; without a ``cutoff``, it is taken from the distances of all of them (``fence``).
+    Groups under ``min_group`` documents share an estimate with other small
     groups of the language, and where that is too small, with all small groups. A pool of
-    fewer than ``min_group`` rows judges nobody.
+    fewer than ``min_group`` rows is judged by the estimate over all rows; only a table with fewer judges nobody.
 
     Null and empty texts have no words and fail. Null languages and sources are groups of
     their own. Ties and equal rows get equal verdicts. Result columns replace input columns of the same name.
@@ -258,9 +299,12 @@ def judge(
     on = F.col("_first").eqNullSafe(F.col("_g1")) & F.col("_second").eqNullSafe(F.col("_g2"))
     vectors = with_small(fair.select("_first", "_second", *STATS), pool, n_groups, on, "inner", broadcast_groups)
     vectors = materialize(vectors.select("pool", *[c.alias(v) for v, c in vector_columns().items()]), "vectors")
-    model, _ = fit(vectors, n_groups, broadcast_groups)
+    model, n_pools = fit(vectors, n_groups, broadcast_groups)
+    model, n_pools = limits(vectors, model, n_pools, min_group, broadcast_groups)
+    if cutoff is None:
+        cutoff = fence(vectors, model, n_pools, broadcast_groups)
 
-    model = model.where(F.col("n") >= min_group).select(F.col("pool").alias("_pool"), "centre", "inverse")
+    model = model.withColumnRenamed("pool", "_pool")
     by_group, facts = materialize_with(pool.join(model, pool["pool"] == F.col("_pool"), "left").drop("_pool"), "limits", n="count(1)")
     judged = with_small(stats, by_group, facts["n"], on, "left", broadcast_groups)
     judged = judged.withColumns(vector_columns()).withColumn(

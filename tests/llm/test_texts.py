@@ -70,6 +70,34 @@ def test_quality_small_and_empty_tables(spark):
     assert quality.judge(docs.limit(0)).count() == 0
 
 
+def test_quality_limits_follow_the_groups_own_spread(spark):
+    """A statistic alone can reject, and a group too small for an estimate is judged by that over all rows."""
+    rng = random.Random(11)
+    words = [f"w{i}{'x' * (i % 7)}" for i in range(400)]
+    texts = [" ".join(rng.choice(words) for _ in range(rng.randint(60, 300))) for _ in range(300)]
+    passage = " ".join(words[:13])
+    repeated = [f"{t} {passage} {t[:20]} {passage}" for t in (" ".join(rng.choice(words) for _ in range(70)) for _ in range(4))]
+    symbols = [t + " " + "|" * (len(t) // 15) for t in texts[:4]]
+    rows = [(i, t, "en", "s") for i, t in enumerate(texts + repeated + symbols)]
+    rows += [(400, texts[7] + " ", "xx", "s"), (401, " | ".join(texts[8].split()), "xx", "s")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string")
+    got = {r["doc_id"]: r for r in quality.judge(docs).collect()}
+    assert not any(r.base_failed for r in got.values())
+    assert [i for i, r in sorted(got.items()) if not r.kept] == [*range(300, 308), 401]
+    assert got[400].distance is not None
+
+
+def test_quality_estimate_keeps_spreads_above_the_floor():
+    rng = np.random.default_rng(5)
+    x = rng.normal(0, 1, (4000, 5)) * [0.9, 0.04, 0, 0.06, 0.04] + 1
+    cross = [(x[:, i] * x[:, j]).sum() for i, j in quality.PAIRS]
+    row = quality._row("p", len(x), np.array([len(x), *x.sum(axis=0), *cross]), 1.0, quality.FLOOR).iloc[0]
+    inverse = np.zeros((5, 5))
+    for (i, j), v in zip(quality.PAIRS, row["inverse"]):
+        inverse[i, j] = inverse[j, i] = v
+    assert np.allclose(np.sqrt(np.diag(np.linalg.inv(inverse))), [0.9, 0.04, quality.FLOOR[2], 0.06, 0.04], rtol=0.05)
+
+
 def test_line_dedup(spark):
     shared = "This line of text is shared by several of the documents"
     texts = [f"{shared}\nown {i}\n  {shared.upper()} \r" if i % 2 else f"own {i}\n{shared}\n{shared}x" for i in range(9)] + ODD
