@@ -369,10 +369,41 @@ def product_sums(p: int):
     return run
 
 
-def seed_centres(sample: np.ndarray, k: int, seed: int, restarts: int = 3, rounds: int = 15, last_rounds: int = 300) -> np.ndarray:
-    """Start centres for ``k`` clusters: the best of several careful draws, improved on the sample until it settles.
+def drawn_far(centres: np.ndarray, n: int):
+    """Per task, ``n`` rows drawn with the chance of their squared distance from the nearest centre, or all alike without centres.
 
-    A centre is drawn with the chance of its squared distance from those before it; where all rows coincide with
+    Keys are exponential draws over the weight: the ``n`` lowest keys of all tasks are such a draw from all rows. Needs
+    a column ``_u``, uniform in [0, 1). Rows that coincide with a centre are never drawn.
+    """
+    p = centres.shape[1]
+
+    def run(batches):
+        held = np.zeros((0, 1 + p))
+        for pdf in batches:
+            x = pdf.drop(columns="_u").to_numpy(dtype=float)
+            if np.isnan(x).any():
+                raise ValueError("clustering needs complete rows: fill missing values first")
+            near = np.ones(len(x))
+            if len(centres):
+                near = np.full(len(x), np.inf)
+                for c in centres:
+                    near = np.minimum(near, np.square(x - c).sum(axis=1))
+            far = near > 0
+            key = -np.log1p(-pdf["_u"].to_numpy(dtype=float)[far]) / near[far]
+            held = np.vstack([held, np.column_stack([key, x[far]])])
+            held = held[np.argsort(held[:, 0], kind="stable")[:n]]
+        if len(held):
+            yield pd.DataFrame(held, columns=["key", *[f"x{i}" for i in range(p)]])
+
+    return run
+
+
+def seed_centres(
+    sample: np.ndarray, weight: np.ndarray, k: int, seed: int, restarts: int = 3, rounds: int = 15, last_rounds: int = 300
+) -> np.ndarray:
+    """Start centres for ``k`` clusters: the best of several careful draws, improved on the weighted candidates until they settle.
+
+    A centre is drawn with the chance of its weighted squared distance from those before it; where all rows coincide with
     a centre, fewer than ``k`` come back.
     """
     rng = np.random.default_rng([seed, k])
@@ -383,11 +414,11 @@ def seed_centres(sample: np.ndarray, k: int, seed: int, restarts: int = 3, round
         for _ in range(rounds):
             d2 = norms[:, None] - 2 * sample @ centres.T + np.square(centres).sum(axis=1)
             own = d2.argmin(axis=1)
-            now = float(d2[np.arange(len(own)), own].sum())
+            now = float((weight * d2[np.arange(len(own)), own]).sum())
             member = np.zeros((len(centres), len(own)))
-            member[own, np.arange(len(own))] = 1.0
+            member[own, np.arange(len(own))] = weight
             sizes = member.sum(axis=1, keepdims=True)
-            moved = np.where(sizes > 0, member @ sample / np.maximum(sizes, 1.0), centres)
+            moved = np.where(sizes > 0, member @ sample / np.where(sizes > 0, sizes, 1.0), centres)
             shift, centres = np.square(moved - centres).sum(axis=1).max(), moved
             if shift <= 1e-10:
                 break
@@ -395,12 +426,12 @@ def seed_centres(sample: np.ndarray, k: int, seed: int, restarts: int = 3, round
 
     drawn = []
     for _ in range(restarts):
-        centres = sample[rng.integers(len(sample), size=1)]
-        near = np.square(sample - centres[0]).sum(axis=1)
+        centres = sample[rng.choice(len(sample), size=1, p=weight / weight.sum())]
+        near = weight * np.square(sample - centres[0]).sum(axis=1)
         while len(centres) < k and near.sum() > 0:
             new = sample[rng.choice(len(sample), p=near / near.sum())]
             centres = np.vstack([centres, new])
-            near = np.minimum(near, np.square(sample - new).sum(axis=1))
+            near = np.minimum(near, weight * np.square(sample - new).sum(axis=1))
         drawn.append(improve(centres, rounds))
     return improve(min(drawn, key=lambda x: x[0])[1], last_rounds)[1]
 

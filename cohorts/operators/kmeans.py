@@ -14,8 +14,8 @@ from cohorts.functions import kernels
 from cohorts.functions.columns import double_sql, ident, number, rounded, squared_distance
 from cohorts.schema import KEY, LABEL
 
-# Rows of the sample that start centres of the elbow curve are drawn from.
-SEED_ROWS = 10_000
+# Candidates for the start centres of the elbow curve, and the passes over all rows in which they are drawn.
+SEED_ROWS, SEED_PASSES = 2000, 5
 CENTRE_SCHEMA = "cluster int, ord int, feature string, value double"
 
 
@@ -135,6 +135,37 @@ def total_inertia(df: DataFrame, features: list[str]) -> float:
     return row["n"] * sum(row[f"v{i}"] or 0.0 for i in range(len(features)))
 
 
+def seed_candidates(points: DataFrame, p: int, least: int, seed: int, seed_rows: int = SEED_ROWS) -> tuple[np.ndarray, np.ndarray]:
+    """About ``seed_rows`` candidates for start centres and the number of rows nearest to each (k-means||).
+
+    A pass draws its share from all rows, with the chance of the squared distance from those drawn before, so a small far
+    group has candidates too. Passes go on until there are ``least`` different ones or no row is left that
+    differs from all. Candidates then move to the mean of their rows.
+    """
+    share = max(1, -(-seed_rows // SEED_PASSES))
+    columns = "key double, " + ", ".join(f"x{i} double" for i in range(p))
+    found, done = np.zeros((0, p)), 0
+    while done < SEED_PASSES or len(found) < least:
+        drawn = points.withColumn("_u", F.rand(seed + done)).mapInPandas(kernels.drawn_far(found, share), columns)
+        rows = drawn.orderBy("key", *[f"x{i}" for i in range(p)]).limit(share).collect()
+        if not rows:
+            break
+        found = np.unique(np.vstack([found, np.array([r[1:] for r in rows], dtype=float)]), axis=0)
+        done += 1
+    if not len(found):
+        raise ValueError("no rows to cluster")
+    near = lloyd_sums(points, {0: found}, p)
+    weight = np.array([r["n"] for r in near], dtype=float)
+    return np.array([[r[f"s{i}"] for i in range(p)] for r in near]) / weight[:, None], weight
+
+
+def lloyd_sums(points: DataFrame, centres: dict[int, np.ndarray], p: int) -> list:
+    """Per k and centre that has rows: how many, their squared error and sums; one pass for every k."""
+    columns = "k int, cluster int, n bigint, sse double, " + ", ".join(f"s{i} double" for i in range(p))
+    found = points.mapInPandas(kernels.lloyd_sums(centres), columns).groupBy("k", "cluster")
+    return found.agg(F.sum("n").alias("n"), F.sum("sse").alias("sse"), *[F.sum(f"s{i}").alias(f"s{i}") for i in range(p)]).collect()
+
+
 def elbow_curve(
     df: DataFrame,
     features: list[str],
@@ -147,7 +178,8 @@ def elbow_curve(
 ) -> DataFrame:
     """Rows ``(k, sse, centres, knee)``. ``known`` holds errors already measured, by k.
 
-    Start centres come from a sample of about ``seed_rows`` rows. A round moves the centres of every k that hasn't
+    Start centres come from about ``seed_rows`` candidates that k-means|| draws from all rows, once for every k, and weights
+    by their rows; only the candidates are clustered on the driver. A round moves the centres of every k that hasn't
     settled (no centre moves by more than ``tol``): one pass over all rows for all of them, in which tasks add
     up sums per k and centre, so at most k * k / 2 rows are shuffled and collected. Errors are those of all rows.
     The knee is the point farthest from the straight line between both ends.
@@ -160,31 +192,22 @@ def elbow_curve(
     wanted = [k for k in range(2, max_k + 1) if k not in errors]
     moving: dict[int, np.ndarray] = {}
     if wanted:
-        share = min(1.0, 1.5 * seed_rows / max(1, points.count()))
-        picked = points.sample(share, seed) if share < 1.0 else points
-        sample = picked.limit(2 * seed_rows).toPandas().to_numpy(dtype=float)
-        if not len(sample):
-            raise ValueError("no rows to cluster")
-        moving = {k: kernels.seed_centres(sample, k, seed) for k in wanted}
+        candidates, weight = seed_candidates(points, len(features), max(wanted), seed, seed_rows)
+        moving = {k: kernels.seed_centres(candidates, weight, k, seed) for k in wanted}
     settled: dict[int, np.ndarray] = {}
-    columns = "k int, cluster int, n bigint, sse double, " + ", ".join(f"s{i} double" for i in range(len(features)))
-
-    def sums(centres: dict[int, np.ndarray]) -> list:
-        found = points.mapInPandas(kernels.lloyd_sums(centres), columns).groupBy("k", "cluster")
-        return found.agg(F.sum("n").alias("n"), F.sum("sse").alias("sse"), *[F.sum(f"s{i}").alias(f"s{i}") for i in range(len(features))]).collect()
 
     for _ in range(max_rounds):
         if not moving:
             break
         moved = {k: c.copy() for k, c in moving.items()}
-        for r in sums(moving):
+        for r in lloyd_sums(points, moving, len(features)):
             moved[r["k"]][r["cluster"]] = [r[f"s{i}"] / r["n"] for i in range(len(features))]
         still = {k for k, c in moved.items() if np.square(c - moving[k]).sum(axis=1).max() > tol * tol}
         settled.update({k: c for k, c in moved.items() if k not in still})
         moving = {k: moved[k] for k in sorted(still)}
     settled.update(moving)
     if settled:
-        for r in sums(settled):
+        for r in lloyd_sums(points, settled, len(features)):
             errors[r["k"]] = errors.get(r["k"], 0.0) + r["sse"]
         counts.update({k: len(c) for k, c in settled.items()})
     rows = [(k, errors[k], counts[k]) for k in range(1, max_k + 1)]

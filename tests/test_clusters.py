@@ -187,3 +187,15 @@ def test_elbow_rounds_reach_the_best_of_plain_groups(spark):
     assert abs(rows[1]["sse"] - ((x - x.mean(axis=0)) ** 2).sum()) < 1e-6
     with pytest.raises(Exception, match="complete rows"):
         km.elbow_curve(df.selectExpr("a", "nullif(b, b) as b"), ["a", "b"], 2)
+
+
+def test_elbow_starts_reach_a_small_far_group(spark):
+    """Eight rows of 40,008 far away from the rest are a cluster of their own from k = 2 on."""
+    rng = np.random.default_rng(4)
+    x = np.concatenate([rng.normal(0, 1, (40_000, 2)), rng.normal(1000, 0.1, (8, 2))])
+    df, features = frame(spark, x)
+    rows = {r["k"]: r["sse"] for r in km.elbow_curve(df, features, 4).collect()}
+    within = sum(((g - g.mean(axis=0)) ** 2).sum() for g in (x[:40_000], x[40_000:]))
+    assert rows[2] == pytest.approx(within) and rows[4] < rows[3] < rows[2]
+    same, features = frame(spark, np.array([[0.0, 1.0]] * 50 + [[3.0, 1.0]] * 2))
+    assert [r["sse"] for r in km.elbow_curve(same, features, 4).orderBy("k").collect()][1:] == pytest.approx([0.0] * 3)
