@@ -159,12 +159,25 @@ def _searcher(pivots: Broadcast, queries: Broadcast, posted: int, k: int, least:
     return run
 
 
+def nearest_first(agree: np.ndarray, ids: np.ndarray, size: int) -> np.ndarray:
+    """Places of the ``size`` rows that agree most; smaller ids among those that agree alike."""
+    n = len(ids)
+    if size >= n:
+        return np.arange(n)
+    border = np.partition(agree, n - size)[n - size]
+    sure, ties = np.flatnonzero(agree > border), np.flatnonzero(agree == border)
+    rest = size - len(sure)
+    if rest < len(ties):
+        ties = ties[np.argpartition(ids[ties], rest - 1)[:rest]]
+    return np.concatenate((sure, ties))
+
+
 def rerank(best: Best, q: int, agree, ids, x, x_norms, q_ids, q_rows, q_norms, least: float, step: float) -> None:
-    """Exact cosines in the order of footrule distance, until the least share is done and a step finds nothing better."""
+    """Exact cosines in the order of footrule distance, then id, until the least share is done and a step finds nothing better."""
     n = len(ids)
     start, size = 0, min(n, max(LEAST_ROWS, int(np.ceil(least * n))))
     step_size = max(LEAST_ROWS // 2, int(np.ceil(step * n)))
-    order = np.argpartition(-agree, size - 1)[:size] if size < n else np.arange(n)
+    order = nearest_first(agree, ids, size)
     while True:
         mine = order[ids[order] != q_ids[q]]
         scores = (x[mine] * q_rows[q]).sum(axis=1) / (x_norms[mine] * q_norms[q])
@@ -172,7 +185,7 @@ def rerank(best: Best, q: int, agree, ids, x, x_norms, q_ids, q_rows, q_norms, l
         if size >= n or (start and not found):
             return
         if not start:
-            whole = np.argsort(-agree, kind="stable")
+            whole = np.lexsort((ids, -agree))
             seen = np.zeros(n, dtype=bool)
             seen[order] = True
             whole = np.concatenate((order, whole[~seen[whole]]))

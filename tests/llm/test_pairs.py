@@ -164,3 +164,15 @@ def test_nearest_neighbours(spark):
     few = ann.nearest(df.where("vec_id < 4"), queries.where("vec_id = 0"))
     assert [r["rank"] for r in few.orderBy("rank").collect()] == [1, 2, 3]
     assert ann.nearest(df.limit(0), queries).count() == 0 and ann.nearest(df, queries.limit(0)).count() == 0
+
+
+def test_rerank_takes_equal_vectors_by_id():
+    """A group of equal vectors larger than the least share, stored in falling order of id."""
+    n, k = 4000, 5
+    ids, x = np.arange(n, 0, -1), np.ones((n, 4))
+    agree = np.zeros(n, dtype=np.int16)
+    agree[:3500] = 100  # ids 501 to 4000
+    x[3500:] = -1.0
+    best = ann.Best(1, k)
+    ann.rerank(best, 0, agree, ids, x, ann.norms(x), np.array([9999]), np.ones((1, 4)), np.array([2.0]), 0.08, 0.02)
+    assert best.ids[0].tolist() == [501, 502, 503, 504, 505]
