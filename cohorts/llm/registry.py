@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from cohorts.llm import ann, bpe, chunks, jaccard, lines, mixing, quality, secrets, urls, warc
+from cohorts.llm import align, ann, audit, bpe, chunks, jaccard, lines, mixing, quality, secrets, urls, warc, winnow
 from cohorts.llm.tables import Query
 
-MODULES = [ann, bpe, chunks, jaccard, lines, mixing, quality, secrets, urls, warc]
+MODULES = [align, ann, audit, bpe, chunks, jaccard, lines, mixing, quality, secrets, urls, warc, winnow]
 
 
 def queries() -> dict[str, Query]:
