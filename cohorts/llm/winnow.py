@@ -13,14 +13,20 @@ from cohorts.session import materialize, materialize_with
 SPAN, GRAM = 10, 5
 # Words of a text that are fingerprinted at a time.
 STEP = 4096
-# What separates words, once A-Z are lower-cased.
-BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+# What separates words: ASCII but digits and letters.
+BETWEEN = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 # Contexts of fingerprints, about 200 bytes each, and their items, up to which these tables are broadcast.
 BROADCAST_CONTEXTS, BROADCAST_ITEMS = 200_000, 500_000
 
 
 def word_list(text: Column) -> Column:
-    return F.array_remove(F.split(ascii_lower(F.coalesce(text, F.lit(""))), BETWEEN, -1), "")
+    """Words as written."""
+    return F.array_remove(F.split(F.coalesce(text, F.lit("")), BETWEEN, -1), "")
+
+
+def word_hash(word: Column) -> Column:
+    """Hash of the word with A-Z lower-cased; words of ASCII alone, most of all, take the quicker function."""
+    return F.xxhash64(F.when(F.length(word) == F.octet_length(word), F.lower(word)).otherwise(ascii_lower(word)))
 
 
 def let(value: Column, use) -> Column:
@@ -35,39 +41,52 @@ def stretches(words: Column, span: int, step: int = STEP) -> Column:
         starts = F.sequence(F.lit(0), F.greatest(F.size(hashes) - 1, F.lit(0)), F.lit(step))
         return F.transform(starts, lambda s: F.struct(s.alias("base"), F.slice(hashes, s + 1, F.lit(step + span - 1)).alias("words")))
 
-    return let(F.transform(words, lambda w: F.xxhash64(w)), cut)
+    return let(F.transform(words, word_hash), cut)
+
+
+def rolling(values: Column, size: int, combine, use, have: int = 1) -> Column:
+    """``use`` of the array whose place i combines ``size`` values from i on; the last ``size - 1`` places hold no whole window.
+
+    Windows of 1, 2, 4, ... values are combined to the next, so a window costs the logarithm of its size.
+    """
+    step = min(have, size - have)
+    if step == 0:
+        return let(values, use)
+    wider = lambda v: F.transform(v, lambda x, i: combine(x, F.get(v, i + step)))
+    return let(values, lambda v: rolling(wider(v), size, combine, use, have + step))
 
 
 def fingerprints(words: Column, base: Column, span: int, gram: int = GRAM) -> Column:
     """Winnowed fingerprints of word hashes for passages of ``span`` words.
 
-    Of the hashes of ``gram`` consecutive words, each window of ``span - gram + 1`` gives its lowest (all of equal ones).
-    Structs (span, hash, first, left, right): the place of the first word, and the words next to the gram, outwards.
+    Of the hashes of ``gram`` consecutive words, each window of ``span - gram + 1`` gives its lowest, the first of equal ones.
+    Structs (span, hash, first, before, context): the place of the first word, and the words around the gram, as many
+    as a passage can have there; ``before`` of them stand in front.
     """
     gram = min(gram, span)
     reach = span - gram
 
-    def choose(grams: Column) -> Column:
-        every = F.sequence(F.lit(1), F.size(grams))
+    def choose(grams: Column, low: Column) -> Column:
+        every = F.sequence(F.lit(0), F.size(words) - span)
         if reach == 0:
             return F.transform(every, lambda i: place(grams, i))
-        lows = F.transform(F.sequence(F.lit(1), F.size(grams) - reach), lambda i: F.array_min(F.slice(grams, i, reach + 1)))
-        return let(lows, lambda low: F.transform(F.filter(every, lambda i: chosen(grams, low, i)), lambda i: place(grams, i)))
+        first = lambda j: j - 1 + F.array_position(F.slice(grams, j + 1, F.lit(reach + 1)), F.get(low, j)).cast("int")
+        return F.transform(F.transform(F.filter(every, lambda j: moves(grams, low, j)), first), lambda i: place(grams, i))
 
-    def chosen(grams: Column, low: Column, i: Column) -> Column:
-        start = F.greatest(i - reach, F.lit(1))
-        return F.array_max(F.slice(low, start, F.least(i, F.size(low)) - start + 1)) == F.get(grams, i - 1)
+    def moves(grams: Column, low: Column, j: Column) -> Column:
+        """Whether window ``j`` has its lowest hash at another place than the window before."""
+        return (j == 0) | (F.get(low, j) != F.get(low, j - 1)) | (F.get(grams, j - 1) == F.get(low, j))
 
     def place(grams: Column, i: Column) -> Column:
-        start = F.greatest(i - reach, F.lit(1))
+        before = F.least(i, F.lit(reach))
         return F.struct(
-            F.lit(span).alias("span"), F.get(grams, i - 1).alias("hash"), (base + i - 1).cast("int").alias("first"),
-            F.reverse(F.slice(words, start, i - start)).alias("left"), F.slice(words, i + gram, F.lit(reach)).alias("right"),
+            F.lit(span).alias("span"), F.get(grams, i).alias("hash"), (base + i).alias("first"), before.alias("before"),
+            F.slice(words, i - before + 1, before + (gram + reach)).alias("context"),
         )
 
-    hashed = F.transform(F.sequence(F.lit(1), F.size(words) - gram + 1), lambda i: F.xxhash64(F.slice(words, i, F.lit(gram))))
-    none = F.array().cast("array<struct<span:int,hash:bigint,first:int,left:array<bigint>,right:array<bigint>>>")
-    return F.when(F.size(words) >= span, let(hashed, choose)).otherwise(none)
+    picked = rolling(words, gram, F.xxhash64, lambda g: rolling(g, reach + 1, F.least, lambda low: choose(g, low)))
+    none = F.array().cast("array<struct<span:int,hash:bigint,first:int,before:int,context:array<bigint>>>")
+    return F.when(F.size(words) >= span, picked).otherwise(none)
 
 
 def common(left: Column, right: Column) -> Column:
@@ -118,7 +137,12 @@ def find_passages(
         none = F.array().cast("array<string>").alias("items")
         return docs.select(*[col(c) for c in names], F.size(word_list(col(text_col))).cast("long").alias("n_words"), *nothing, none)
 
-    known = marks(items, "item", "kind", kind=F.col("kind")).select("item", "span", "hash", "left", "right")
+    gram_of = F.least(F.col("span"), F.lit(gram))
+    left = F.reverse(F.slice("context", F.lit(1), F.col("before")))
+    right = F.slice("context", F.col("before") + gram_of + 1, F.greatest(F.size("context") - F.col("before") - gram_of, F.lit(0)))
+    sides = [left.alias("left"), right.alias("right")]
+
+    known = marks(items, "item", "kind", kind=F.col("kind")).select("item", "span", "hash", *sides)
     first, second = two_hashes(F.struct("span", "hash", "left", "right"))
     known = known.select("*", first.alias("c1"), second.alias("c2"))
     contexts, size = materialize_with(known.drop("item").distinct(), "contexts", n="count(1)")
@@ -128,10 +152,9 @@ def find_passages(
     found = marks(keyed.select(*key, word_list(col(text_col)).alias("words")), *key)
     theirs = contexts.select("span", "hash", F.col("left").alias("l"), F.col("right").alias("r"), "c1", "c2")
     met = found.join(F.broadcast(theirs) if size["n"] <= broadcast_contexts else theirs, ["span", "hash"])
-    met = met.select(*key, "span", "first", common(F.col("left"), F.col("l")).alias("before"), common(F.col("right"), F.col("r")).alias("after"), "c1", "c2")
-    own = F.least(F.col("span"), F.lit(gram))
-    met = met.where(F.col("before") + own + F.col("after") >= F.col("span"))
-    met = met.select(*key, (F.col("first") - F.col("before")).alias("first"), (F.col("first") + own + F.col("after")).alias("end"), "c1", "c2")
+    met = met.select(*key, "span", "first", common(left, F.col("l")).alias("ahead"), common(right, F.col("r")).alias("after"), "c1", "c2")
+    met = met.where(F.col("ahead") + gram_of + F.col("after") >= F.col("span"))
+    met = met.select(*key, (F.col("first") - F.col("ahead")).alias("first"), (F.col("first") + gram_of + F.col("after")).alias("end"), "c1", "c2")
     hits = materialize(met, "hits")
 
     order = Window.partitionBy(*key).orderBy("first", "end")
