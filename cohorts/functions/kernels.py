@@ -369,35 +369,6 @@ def product_sums(p: int):
     return run
 
 
-def drawn_far(centres: np.ndarray, n: int):
-    """Per task, ``n`` rows drawn with the chance of their squared distance from the nearest centre, or all alike without centres.
-
-    Keys are exponential draws over the weight: the ``n`` lowest keys of all tasks are such a draw from all rows. Needs
-    a column ``_u``, uniform in [0, 1). Rows that coincide with a centre are never drawn.
-    """
-    p = centres.shape[1]
-
-    def run(batches):
-        held = np.zeros((0, 1 + p))
-        for pdf in batches:
-            x = pdf.drop(columns="_u").to_numpy(dtype=float)
-            if np.isnan(x).any():
-                raise ValueError("clustering needs complete rows: fill missing values first")
-            near = np.ones(len(x))
-            if len(centres):
-                near = np.full(len(x), np.inf)
-                for c in centres:
-                    near = np.minimum(near, np.square(x - c).sum(axis=1))
-            far = near > 0
-            key = -np.log1p(-pdf["_u"].to_numpy(dtype=float)[far]) / near[far]
-            held = np.vstack([held, np.column_stack([key, x[far]])])
-            held = held[np.argsort(held[:, 0], kind="stable")[:n]]
-        if len(held):
-            yield pd.DataFrame(held, columns=["key", *[f"x{i}" for i in range(p)]])
-
-    return run
-
-
 def seed_centres(
     sample: np.ndarray, weight: np.ndarray, k: int, seed: int, restarts: int = 3, rounds: int = 15, last_rounds: int = 300
 ) -> np.ndarray:
@@ -434,34 +405,3 @@ def seed_centres(
             near = np.minimum(near, weight * np.square(sample - new).sum(axis=1))
         drawn.append(improve(centres, rounds))
     return improve(min(drawn, key=lambda x: x[0])[1], last_rounds)[1]
-
-
-def lloyd_sums(centres: dict[int, np.ndarray]):
-    """Per k and centre, the number of nearest rows, their squared error and sums of features; ties go to the lowest centre."""
-
-    def run(batches):
-        totals = {k: np.zeros((len(c), 2 + c.shape[1])) for k, c in centres.items()}
-        seen = False
-        for pdf in batches:
-            x = pdf.to_numpy(dtype=float)
-            if np.isnan(x).any():
-                raise ValueError("clustering needs complete rows: fill missing values first")
-            seen = seen or len(x) > 0
-            for k, c in centres.items():
-                d2 = np.zeros((len(x), len(c)))
-                for i in range(x.shape[1]):
-                    d2 += np.square(x[:, i, None] - c[:, i])
-                own = d2.argmin(axis=1)
-                total = totals[k]
-                total[:, 0] += np.bincount(own, minlength=len(c))
-                total[:, 1] += np.bincount(own, weights=d2[np.arange(len(own)), own], minlength=len(c))
-                for i in range(x.shape[1]):
-                    total[:, 2 + i] += np.bincount(own, weights=x[:, i], minlength=len(c))
-        if not seen:
-            return
-        for k, total in totals.items():
-            held = np.flatnonzero(total[:, 0])
-            rows = {"k": np.full(len(held), k, dtype=np.int32), "cluster": held.astype(np.int32), "n": total[held, 0].astype(np.int64), "sse": total[held, 1]}
-            yield pd.DataFrame(rows | {f"s{i}": total[held, 2 + i] for i in range(total.shape[1] - 2)})
-
-    return run

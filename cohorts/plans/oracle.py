@@ -89,6 +89,26 @@ def lloyd(rows: str = "scaled", names: list[str] = FEATURES, k: int = 3, rounds:
 KLAB = BASE + ",\n" + lloyd()
 
 
+def lloyd_errors(rounds: int = 5, last: int = 10) -> str:
+    """Plain rounds for k = 2 to ``last`` at once; their errors in plain(k, lloyd)."""
+    parts = [
+        "kcen0 AS MATERIALIZED (SELECT k, id, " + each("{c}") + " FROM (SELECT row_number() OVER (ORDER BY CUST_ID) - 1 AS id, * FROM scaled), "
+        f"range(2, {last + 1}) t(k) WHERE id < k)"
+    ]
+    for n in range(rounds + 1):
+        parts.append(
+            f"knear{n} AS MATERIALIZED (SELECT * FROM (SELECT s.CUST_ID, c.k, c.id, {dist2('s', 'c')} AS d2, "
+            f"row_number() OVER (PARTITION BY s.CUST_ID, c.k ORDER BY {dist2('s', 'c')}, c.id) AS rn FROM scaled s, kcen{n} c) WHERE rn = 1)"
+        )
+        if n < rounds:
+            parts.append(
+                f"kcen{n + 1} AS MATERIALIZED (SELECT c.k, c.id, " + each("coalesce(avg(s.{c}), any_value(c.{c})) AS {c}")
+                + f" FROM kcen{n} c LEFT JOIN knear{n} l ON l.k = c.k AND l.id = c.id LEFT JOIN scaled s ON s.CUST_ID = l.CUST_ID GROUP BY c.k, c.id)"
+            )
+    parts.append(f"plain AS MATERIALIZED (SELECT k, sum(d2) AS lloyd FROM knear{rounds} GROUP BY k)")
+    return ",\n".join(parts)
+
+
 def with_(ctes: str, body: str) -> str:
     return f"WITH RECURSIVE {ctes}\n{body}"
 
@@ -211,9 +231,9 @@ def oracle_sql() -> dict[str, str]:
         MART, "SELECT count(*) AS \"rows\", CAST(3 AS BIGINT) AS centres, true AS nearest, true AS close_to_lloyd, true AS error_is_sum FROM mart"
     )
     sql["m6_elbow_facts"] = with_(
-        BASE,
-        "SELECT CAST(k AS INTEGER) AS k, true AS falls, CASE WHEN k = 1 THEN (SELECT round(count(*) * ("
-        + each("var_pop({c})", sep="+") + "), 4) FROM scaled) END AS sse_of_one FROM range(1, 11) t(k)",
+        BASE + ",\n" + lloyd_errors(),
+        "SELECT CAST(1 AS INTEGER) AS k, true AS holds, round(count(*) * (" + each("var_pop({c})", sep="+") + "), 4) + 0.0 AS sse_of_one_or_lloyd "
+        "FROM scaled UNION ALL SELECT CAST(k AS INTEGER), true, round(lloyd, 4) + 0.0 FROM plain",
     )
     sql["p12_train_facts"] = with_(
         raw,

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from cohorts.plans.oracle import BASE, COLUMNS, KLAB, MART, dist2, each, union_rows, with_
+from cohorts.plans.oracle import BASE, COLUMNS, KLAB, MART, dist2, each, lloyd_errors, union_rows, with_
 from cohorts.schema import FEATURES
 
 FIVE = ["BALANCE", "PURCHASES", "CREDIT_LIMIT", "PAYMENTS", "TENURE"]
@@ -262,11 +262,12 @@ def cluster_sql() -> dict[str, str]:
     sql["c3_metrics"] = with_(dscores, metric_rows("DBSCAN", "d", "dlab", "num_clusters_found", "noise_points_found"))
     sql["c4_library_metrics"] = with_(dscores, metric_rows("DBSCAN", "d", "dlab", "num_clusters", "noise_points"))
     sql["c13_evaluation_facts"] = with_(
-        dscores,
+        dscores + ",\n" + lloyd_errors(),
         metric_rows("DBSCAN", "d", "dlab", "num_clusters_found", "noise_points_found")
         + "\nUNION ALL SELECT 'KMeans', 0, 'silhouette_score', 1.0E0\nUNION ALL SELECT 'KMeans', 1, 'davies_bouldin_score', 1.0E0"
         + "\nUNION ALL SELECT 'KMeans', 2, 'num_clusters_found', 3.0E0"
-        + "\nUNION ALL SELECT 'elbow', CAST(unnest(range(1, 11)) AS INTEGER), 'sse', 1.0E0",
+        + "\nUNION ALL SELECT 'elbow', CAST(unnest(range(1, 11)) AS INTEGER), 'sse', 1.0E0"
+        + "\nUNION ALL SELECT 'lloyd', CAST(k AS INTEGER), 'sse', round(lloyd, 4) + 0.0 FROM plain",
     )
     both = (
         KLAB + ",\n" + KLABELS + ",\n" + scores("klab", prefix="k") + ",\n" + density(1.75) + ",\n" + real + ",\n" + scores("dreal", prefix="d")

@@ -2,6 +2,7 @@ import numpy as np
 import pandas as pd
 import pytest
 
+from cohorts.functions import rounds
 from cohorts.functions.skew import hot_keys, lookup, numbered
 from cohorts.operators import kmeans as km
 from cohorts.operators import metrics as met
@@ -199,3 +200,43 @@ def test_elbow_starts_reach_a_small_far_group(spark):
     assert rows[2] == pytest.approx(within) and rows[4] < rows[3] < rows[2]
     same, features = frame(spark, np.array([[0.0, 1.0]] * 50 + [[3.0, 1.0]] * 2))
     assert [r["sse"] for r in km.elbow_curve(same, features, 4).orderBy("k").collect()][1:] == pytest.approx([0.0] * 3)
+
+
+def plain_lloyd(x, centres, rest, most=300):
+    for _ in range(most):
+        own = ((x[:, None] - centres) ** 2).sum(axis=2).argmin(axis=1)
+        moved = np.array([x[own == c].mean(axis=0) if (own == c).any() else centres[c] for c in range(len(centres))])
+        shift, centres = ((moved - centres) ** 2).sum(), moved
+        if shift <= rest:
+            break
+    return centres
+
+
+def test_bounded_rounds_find_the_centres_of_plain_ones(spark):
+    """Overlapping groups, copies, rows at equal distances and a centre without rows; most rows are never compared again."""
+    rng = np.random.default_rng(12)
+    x = np.concatenate([rng.normal(c, 1.0, (9000, 3)) for c in (0.0, 2.5, 6.0)] + [np.zeros((3000, 3)), np.round(rng.normal(3, 2, (3000, 3)))])
+    df, features = frame(spark, x)
+    blocks = km.pack(df.repartition(6), features)
+    starts = {k: x[rng.choice(len(x), k, replace=False)] for k in (2, 3, 7)} | {4: np.vstack([x[:3], [[900.0] * 3]])}
+    rest = 1e-6 * x.var(axis=0).mean()
+    for warm, chain_rows in ((0, 0), (3, 0), (400, 0), (10, 20000), (0, 1 << 16)):
+        got = km.settle(blocks, starts, 3, rest, warm=warm, chain_rows=chain_rows)
+        assert got.at_rest and (got.bounded > 0) == (warm < 400 and chain_rows < len(x)) and (got.chains > 0) == (chain_rows > 0)
+        for k, c in starts.items():
+            assert np.allclose(got.centres[k], plain_lloyd(x, c, rest), atol=1e-9), (k, warm)
+        if (warm, chain_rows) == (3, 0):
+            assert got.full < got.bounded and sum(got.compared) < 0.25 * got.bounded * len(x) * len(starts)
+        if chain_rows:
+            assert got.full + got.bounded < 70
+    assert got.centres[4][3].tolist() == [900.0] * 3
+    with pytest.warns(UserWarning, match="still move"):
+        assert not km.settle(blocks, starts, 3, 0.0, max_rounds=2).at_rest
+    with pytest.warns(UserWarning, match="still move"):
+        assert not km.settle(blocks, starts, 3, 0.0, max_rounds=6, warm=1).at_rest
+
+
+def test_drift_limits():
+    before = np.array([[0.0, 0.0], [10.0, 0.0], [0.0, 10.0]])
+    now = before + [[3.0, 4.0], [0.0, 1.0], [0.0, 0.0]]
+    assert np.allclose(rounds.drift_limits(before, now), [6.0, 6.0, 5.0]) and rounds.drift_limits(before[:1], now[:1]) == pytest.approx(5.0)
