@@ -105,27 +105,58 @@ def split_plan(sample: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray,
     return dims, cuts, ends
 
 
-def region_assigner(features: list[str], dims: np.ndarray, cuts: np.ndarray, ends: np.ndarray, depth: int):
+def turn(x: np.ndarray, middle: np.ndarray, axes: np.ndarray) -> np.ndarray:
+    """Rows by principal axes. Distances stay what they are, but for rounding."""
+    return (x - middle) @ axes
+
+
+def principal_axes(sample: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Middle of a sample and its axes of decreasing spread; without spread, or finite figures, the axes are the features."""
+    width = sample.shape[1]
+    if len(sample) < 2 or not np.isfinite(sample).all():
+        return np.zeros(width), np.eye(width)
+    middle = sample.mean(axis=0)
+    _, axes = np.linalg.eigh(np.atleast_2d(np.cov(sample - middle, rowvar=False)))
+    return middle, np.ascontiguousarray(axes[:, ::-1])
+
+
+def region_assigner(features: list[str], splits, depth: int):
     def run(batches):
         for pdf in batches:
-            x = pdf[features].to_numpy(dtype=float)
+            x = turn(pdf[features].to_numpy(dtype=float), splits.middle, splits.axes)
             row, node = np.arange(len(x)), np.zeros(len(x), dtype=np.int64)
             for _ in range(depth):
-                node = 2 * node + 1 + (x[row, dims[node]] > cuts[node])
-            region = node - len(dims)
-            yield pdf.assign(region=region, inner=x[row, ends[region]])
+                node = 2 * node + 1 + (x[row, splits.dims[node]] > splits.cuts[node])
+            region = node - len(splits.dims)
+            yield pdf.assign(region=region, inner=x[row, splits.ends[region]])
 
     return run
 
 
-def leaf_packer(features: list[str], size: int, keep: list[str]):
-    """Cut sorted rows into leaves of ``size`` rows; a leaf never spans two regions."""
+def halved(x: np.ndarray, rows: np.ndarray, size: int):
+    """``rows`` in parts of at most ``size``, by halves along the widest axis, neighbours next to each other."""
+    if len(rows) <= size:
+        yield rows
+        return
+    axis = int(np.ptp(x[rows], axis=0).argmax())
+    middle = size * -(-len(rows) // (2 * size))
+    order = rows[np.argpartition(x[rows, axis], middle - 1)]
+    yield from halved(x, order[:middle], size)
+    yield from halved(x, order[middle:], size)
+
+
+def leaf_packer(features: list[str], size: int, keep: list[str], splits, held: int):
+    """Cut the rows of a region, ``held`` at a time, into leaves of at most ``size`` by halving; a leaf never spans two regions.
+
+    Boxes are along the principal axes and wider by more than rounding; the known row of a leaf is as it came.
+    """
     p = len(features)
+    rounding = 64 * np.finfo(float).eps
 
-    def leaf(region, number, pdf):
-        x = pdf[features].to_numpy(dtype=float)
+    def leaf(region, number, x, turned, pdf):
         row = {"region": region, "number": number, "n": len(pdf), "w": int(pdf["w"].sum())}
-        low, high = x.min(axis=0), x.max(axis=0)
+        pad = rounding * (1 + p) * float(np.abs(turned).max())
+        low, high = turned.min(axis=0) - pad, turned.max(axis=0) + pad
         for i in range(p):
             row[f"lo{i}"], row[f"hi{i}"], row[f"rep{i}"] = low[i], high[i], x[0, i]
         row["span"] = float(((high - low) ** 2).sum())
@@ -135,30 +166,39 @@ def leaf_packer(features: list[str], size: int, keep: list[str]):
             row[name] = pdf[name].tolist()
         return row
 
+    def leaves(region, number, pdf):
+        x = pdf[features].to_numpy(dtype=float)
+        turned = turn(x, splits.middle, splits.axes)
+        for rows in halved(turned, np.arange(len(x)), size):
+            rows = np.sort(rows)
+            yield leaf(region, number, x[rows], turned[rows], pdf.iloc[rows])
+            number += 1
+
     def run(batches):
-        pending, region, number = None, None, 0
+        waiting, n, region, number = [], 0, None, 0
+
+        def flush():
+            nonlocal waiting, n, number
+            out = list(leaves(region, number, pd.concat(waiting, ignore_index=True))) if n else []
+            number += len(out)
+            waiting, n = [], 0
+            for start in range(0, len(out), 1024):
+                yield pd.DataFrame(out[start : start + 1024])
+
         for batch in batches:
-            out = []
-            pdf = batch if pending is None else pd.concat([pending, batch], ignore_index=True)
-            pending = None
-            bounds = np.flatnonzero(np.diff(pdf["region"].to_numpy())) + 1
-            starts = [0, *bounds.tolist()]
-            stops = [*bounds.tolist(), len(pdf)]
-            for start, stop in zip(starts, stops):
-                here = int(pdf["region"].iat[start])
+            if not len(batch):
+                continue
+            bounds = [0, *(np.flatnonzero(np.diff(batch["region"].to_numpy())) + 1).tolist(), len(batch)]
+            for start, stop in zip(bounds, bounds[1:]):
+                here = int(batch["region"].iat[start])
                 if here != region:
+                    yield from flush()
                     region, number = here, 0
-                last = stop == len(pdf)
-                while stop - start >= size or (start < stop and not last):
-                    end = min(start + size, stop)
-                    out.append(leaf(region, number, pdf.iloc[start:end]))
-                    start, number = end, number + 1
-                if last and start < stop:
-                    pending = pdf.iloc[start:stop].reset_index(drop=True)
-            if out:
-                yield pd.DataFrame(out)
-        if pending is not None and len(pending):
-            yield pd.DataFrame([leaf(region, number, pending)])
+                waiting.append(batch.iloc[start:stop])
+                n += stop - start
+                if n >= held:
+                    yield from flush()
+        yield from flush()
 
     return run
 

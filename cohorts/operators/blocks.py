@@ -1,10 +1,11 @@
 """Rows packed into small boxes, and the pairs of boxes that come close to each other.
 
-Rows are placed in regions by median splits, sorted inside a region and cut into
-leaves of at most LEAF_ROWS rows. Leaves are numbered so that up to thirty-two
-form a box one level up. Close pairs are found from the top down with equi-joins on
-the parent box. A crowded spot simply gives more leaves: no key, task or group
-holds more than one leaf, however the rows are spread.
+Rows are turned to the principal axes of a sample, where few axes hold most of the spread, and placed in regions by
+median splits. A region's rows come sorted to a task, which halves HELD_ROWS of them at a time, down to leaves
+of at most LEAF_ROWS rows, so leaves stay compact however many rows a region has. Leaves are
+numbered so that up to thirty-two form a box one level up. Close pairs are found from the top down with equi-joins on
+the parent box. A crowded spot simply gives more leaves: no key of a join holds more than
+one leaf's pairs, and no task more than HELD_ROWS rows at once.
 """
 
 from __future__ import annotations
@@ -21,6 +22,7 @@ from cohorts.functions.columns import number, squared_distance, squares
 from cohorts.session import materialize, materialize_with
 
 LEAF_ROWS = 128
+HELD_ROWS = 1 << 17
 LEAF_BITS = 8
 FANOUT_BITS = 5
 MAX_DEPTH = 12
@@ -54,6 +56,8 @@ class Splits:
     dims: object
     cuts: object
     ends: object
+    middle: object
+    axes: object
 
 
 @dataclass(frozen=True)
@@ -93,8 +97,9 @@ def plan_splits(df: DataFrame, features: list[str], rows: int, seed: int = 7) ->
     picked = df.select(*features)
     picked = picked.sample(share, seed) if share < 1.0 else picked
     sample = picked.limit(2 * wanted).toPandas().to_numpy(dtype=float)
-    dims, cuts, ends = kernels.split_plan(sample, depth)
-    return Splits(features, depth, dims, cuts, ends)
+    middle, axes = kernels.principal_axes(sample)
+    dims, cuts, ends = kernels.split_plan(kernels.turn(sample, middle, axes), depth)
+    return Splits(features, depth, dims, cuts, ends, middle, axes)
 
 
 def _box_columns(p: int) -> str:
@@ -107,7 +112,7 @@ def pack(df: DataFrame, splits: Splits, keep: dict[str, str], name: str) -> tupl
     ``keep`` names columns carried along as arrays, with their types.
     """
     features, p = splits.features, len(splits.features)
-    place = kernels.region_assigner(features, splits.dims, splits.cuts, splits.ends, splits.depth)
+    place = kernels.region_assigner(features, splits, splits.depth)
     columns = df.select(*keep, "w", *features)
     located = columns.mapInPandas(
         place,
@@ -118,7 +123,7 @@ def pack(df: DataFrame, splits: Splits, keep: dict[str, str], name: str) -> tupl
         f"region bigint, number bigint, n int, w bigint, span double, {_box_columns(p)}, xs array<double>, ws array<bigint>"
         + "".join(f", {c} array<{t}>" for c, t in keep.items())
     )
-    leaves = ordered.mapInPandas(kernels.leaf_packer(features, LEAF_ROWS, list(keep)), schema)
+    leaves = ordered.mapInPandas(kernels.leaf_packer(features, LEAF_ROWS, list(keep), splits, HELD_ROWS), schema)
     written, facts = materialize_with(leaves, name, top="max(number)")
     return written, facts["top"] or 0
 
