@@ -12,7 +12,7 @@ from cohorts.operators import profile as prof
 from cohorts.operators import score as sc
 from cohorts.operators import validate as val
 from cohorts.operators.kmeans import KMeansFit
-from cohorts.operators.quantiles import exact_quantiles
+from cohorts.operators.quantiles import exact_quantiles, values_at
 from cohorts.plans.batch import score_file
 from cohorts.plans.train import ValidationFailed, train
 from cohorts.schema import EXPECTED_TYPES, FEATURES
@@ -53,17 +53,36 @@ def test_one_pass_equals_two_pass_and_round_trip(spark):
     np.testing.assert_allclose(back[FEATURES], df.toPandas().sort_values("CUST_ID")[FEATURES])
 
 
-@pytest.mark.parametrize("accuracy,gather", [(10, 5), (50, 100)])
-def test_exact_quantiles_by_brackets(spark, accuracy, gather):
+@pytest.mark.parametrize("sketch,gather", [(8, 5), (64, 100)])
+def test_exact_quantiles_by_brackets(spark, sketch, gather):
     rng = np.random.default_rng(4)
     pdf = pd.DataFrame({"a": rng.normal(size=3000), "b": np.where(rng.random(3000) < 0.4, 5.0, rng.normal(5, 1, 3000)), "c": rng.integers(0, 4, 3000).astype(float)})
     pdf.loc[:200, "a"] = np.nan
     probs = [0.0, 0.25, 0.5, 0.9, 1.0]
-    got = exact_quantiles(spark.createDataFrame(pdf), list(pdf), probs, direct_rows=0, gather_rows=gather, accuracy=accuracy)
+    got = exact_quantiles(spark.createDataFrame(pdf), list(pdf), probs, direct_rows=0, gather_rows=gather, sketch=sketch)
     for c in pdf:
         np.testing.assert_allclose(got[c], np.nanquantile(pdf[c], probs), rtol=1e-12)
 
 
+def test_quartiles_of_all_columns_take_few_passes(spark):
+    """Three quartiles of 17 columns, with ties, gaps and infinite values, in at most six passes; one pass less where all is gathered."""
+    rng = np.random.default_rng(8)
+    pdf = pd.DataFrame({f: rng.normal(size=60_000) * 10.0**i for i, f in enumerate(FEATURES)})
+    pdf[FEATURES[1]] = np.where(rng.random(60_000) < 0.5, 0.0, pdf[FEATURES[1]])
+    pdf[FEATURES[2]] = np.round(pdf[FEATURES[2]] / 100)
+    pdf.loc[rng.random(60_000) < 0.3, FEATURES[3]] = np.nan
+    pdf.loc[:20_000, FEATURES[4]] = np.inf
+    df = spark.createDataFrame(pdf).repartition(5)
+    counts = {f: int(pdf[f].notna().sum()) for f in FEATURES}
+    ranks = {f: [r for p in (0.25, 0.5, 0.75) for r in (math.floor(p * (n - 1)), math.floor(p * (n - 1)) + 1)] for f, n in counts.items()}
+    for gather, most in ((500, 6), (60_000, 1)):
+        values, passes = values_at(df, ranks, counts, gather_rows=gather)
+        assert passes <= most
+        for f, wanted in ranks.items():
+            held = np.sort(pdf[f].dropna().to_numpy())
+            assert [values[f, r] for r in wanted] == [held[r] for r in wanted], f
+
+
 def test_csv_is_bound_by_name_and_whole_floats_are_whole(spark, tmp_path):
     path = tmp_path / "in.csv"
     path.write_text("TENURE,CUST_ID,BALANCE\n12.0,C1,1.5\nNA,C2,\n7,C3,NaN\n9007199254740993,C4,1d\n")
