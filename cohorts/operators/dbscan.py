@@ -16,6 +16,7 @@ from cohorts.operators.blocks import (
     BROADCAST_CELLS,
     LEAF_BITS,
     LEAF_ROWS,
+    Splits,
     Tree,
     arrow_rows,
     batch_rows,
@@ -224,14 +225,41 @@ def _to_copies(df, points, named, features, key, label, facts) -> DataFrame:
     return cold.select(key, label).unionByName(df.join(hot, features).select(key, label))
 
 
+@dataclass(frozen=True)
+class CoreIndex:
+    """Core rows packed into leaves, with the splits that placed them, their number and the highest leaf number of a region."""
+
+    splits: Splits
+    leaves: DataFrame
+    top: int
+    points: int
+
+
 @dataclass(frozen=True)
 class DensityFit:
-    """What scoring needs of a density clustering: its core rows (cluster number and features) and their reach."""
+    """What scoring needs of a density clustering: its core rows (cluster number and features) and their reach.
+
+    A saved model also has their index, so that scoring packs only the new rows.
+    """
 
     features: list[str]
     eps: float
     min_samples: int
     cores: DataFrame
+    index: CoreIndex | None = None
+
+
+def core_index(model: DensityFit) -> CoreIndex | None:
+    """The index of a model's core rows, packed now if it has none; None without core rows."""
+    if model.index:
+        return model.index
+    points = model.cores.count()
+    if not points:
+        return None
+    splits = plan_splits(model.cores, model.features, points)
+    core = model.cores.select(F.lit(1).cast("bigint").alias("w"), F.col(LABEL).alias("labels"), *model.features)
+    leaves, top = pack(core, splits, {"labels": "int"}, "core")
+    return CoreIndex(splits, leaves, top, points)
 
 
 def fit_density(
@@ -274,22 +302,18 @@ def assign_to_core(
 def assign_by_model(model: DensityFit, fresh: DataFrame, key: str = KEY, label: str = LABEL) -> DataFrame:
     """Rows ``(key, label)`` of ``fresh`` by a fitted density model; equal distances go to the lowest cluster."""
     features, eps, p = model.features, model.eps, len(model.features)
-    core_points = model.cores.count()
     points, facts = _write_points(fresh, features, key)
-    if not core_points or not facts["points"]:
+    index = core_index(model) if facts["points"] else None
+    if index is None:
         return fresh.select(key, F.lit(NOISE).alias(label))
-    splits = plan_splits(model.cores, features, core_points)
-    core = model.cores.select(F.lit(1).cast("bigint").alias("w"), F.col(LABEL).alias("labels"), *features)
-    key_type = fresh.schema[key].dataType.simpleString()
-    left, right = number_leaves(
-        [pack(points, splits, {"vkey": key_type}, "fresh"), pack(core, splits, {"labels": "int"}, "core")], splits
-    )
+    splits, key_type = index.splits, fresh.schema[key].dataType.simpleString()
+    left, right = number_leaves([pack(points, splits, {"vkey": key_type}, "fresh"), (index.leaves, index.top)], splits)
     pairs, _, _ = close_pairs(left, right, eps)
     met = with_blocks(
         pairs,
         left.leaves.selectExpr("leaf as a", "xs as xa"),
         right.leaves.selectExpr("leaf as b", "xs as xb", "labels"),
-        max(facts["points"], core_points) * p,
+        max(facts["points"], index.points) * p,
     )
     with arrow_rows(fresh.sparkSession, batch_rows(p, LEAF_ROWS)):
         reached = materialize(

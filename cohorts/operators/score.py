@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohorts.functions.columns import col, ident
+from cohorts.functions.columns import col, double_sql, ident
 from cohorts.operators.dbscan import DensityFit, assign_by_model
 from cohorts.operators.kmeans import KMeansFit, assign
 from cohorts.operators.prepare import FeatureParam, apply_preprocessor, impute, scale
@@ -77,6 +77,24 @@ def summary(labelled: DataFrame, features: list[str], label: str = LABEL) -> Dat
     )
 
 
+def label_sums(labelled: DataFrame, features: list[str], label: str = LABEL) -> DataFrame:
+    """What means per label are made of, to be added up with those of other batches: rows, and per feature a sum and a count."""
+    cells = [e for i, f in enumerate(features) for e in (
+        F.expr(f"sum({double_sql(labelled, f)}) as s{i}"), F.expr(f"count({double_sql(labelled, f)}) as n{i}")
+    )]
+    return labelled.where(col(label).isNotNull()).groupBy(col(label).alias(label)).agg(F.count(F.lit(1)).alias("size"), *cells)
+
+
+def merged_summary(sums: DataFrame, features: list[str], label: str = LABEL) -> DataFrame:
+    """The rows of :func:`summary` from any number of :func:`label_sums`."""
+    means = [F.expr(f"sum(s{i}) / nullif(sum(n{i}), 0) as {ident(f)}") for i, f in enumerate(features)]
+    per_label = sums.groupBy(label).agg(F.sum("size").alias("size"), *means)
+    every = Window.partitionBy(F.lit(0))  # a row per label, no more
+    return per_label.withColumns(
+        {"total_customers": F.sum("size").over(every), "num_clusters_found": F.count(F.lit(1)).over(every)}
+    )
+
+
 def preview(df: DataFrame, key: str = KEY, rows: int = 20) -> DataFrame:
     """First and last rows by key, ``rows`` at most, each row once, also where rows share a key."""
     half = rows // 2

