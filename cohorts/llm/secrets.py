@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cohorts.functions.columns import col
-from cohorts.llm.tables import row_key, table
+from cohorts.llm.tables import let, row_key, table
 from cohorts.session import materialize
 
 # Base patterns; kinds in the order in which spans of one start are listed.
@@ -26,29 +26,49 @@ PARTS = {
     "material": r"""(?<![A-Za-z0-9+/_-])(?=[A-Za-z0-9+/_-]*[0-9])(?=[A-Za-z0-9+/_-]*[A-Za-z])[A-Za-z0-9+/_-]{16,}={0,2}""",
     "endpoint": r"""\b(?:https?|ftp|ssh|jdbc:[a-z0-9]+|postgres(?:ql)?|mysql|mongodb|redis|amqp|s3)://[^\s"'<>]{3,}|(?i:\b(?:host|server|endpoint|hostname)["']?\x20*[:=]\x20*["']?)[A-Za-z0-9.-]{3,}""",
 }
-# Parts are complementary within so many characters.
+# Parts are complementary if at most so many characters stand between them.
 SCOPE = 400
+# Matches whose positions are added up together.
+RUN = 128
+
+
+SPAN = "struct<start:int,kind:int,end:int,match:string>"
 
 
 def spans(text: Column, pattern: str, kind: int) -> Column:
-    """All leftmost, non-overlapping matches as structs (start, kind, end, match); code points, end exclusive."""
+    """All leftmost, non-overlapping matches as structs (start, kind, end, match); code points, end exclusive.
+
+    Positions are running sums of the text between matches and the matches. They are added up in runs of RUN matches, then
+    over runs, so the work for a text grows with its matches, however many there are.
+    """
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     gaps = F.split(text, pattern, -1)
     sizes = F.zip_with(F.slice(gaps, 1, F.size(found)), found, lambda gap, match: F.struct(
         F.length(gap).alias("gap"), match.alias("match"), F.length(match).alias("size")
     ))
-    empty = F.struct(
-        F.lit(0).alias("at"), F.array().cast("array<struct<start:int,kind:int,end:int,match:string>>").alias("out")
-    )
 
     def add(state: Column, x: Column) -> Column:
         start = state["at"] + x["gap"]
         one = F.struct(start.alias("start"), F.lit(kind).alias("kind"), (start + x["size"]).alias("end"), x["match"].alias("match"))
         return F.struct((start + x["size"]).alias("at"), F.concat(state["out"], F.array(one)).alias("out"))
 
-    listed = F.aggregate(sizes, empty, add, lambda state: state["out"])
-    none = F.array().cast("array<struct<start:int,kind:int,end:int,match:string>>")
-    return F.when(text.rlike(pattern), listed).otherwise(none)
+    def cut(listed: Column) -> Column:
+        starts = F.sequence(F.lit(1), F.size(listed), F.lit(RUN))
+        return F.transform(starts, lambda i: F.slice(listed, i, F.lit(RUN)))
+
+    def total(state: Column, run: Column) -> Column:
+        return F.struct((state["at"] + run["at"]).alias("at"), F.concat(state["before"], F.array(state["at"])).alias("before"))
+
+    def placed(run: Column, before: Column) -> Column:
+        return F.transform(run["out"], lambda s: F.struct(
+            (s["start"] + before).alias("start"), s["kind"].alias("kind"), (s["end"] + before).alias("end"), s["match"].alias("match")
+        ))
+
+    empty = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{SPAN}>").alias("out"))
+    none = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("before"))
+    runs = let(sizes, lambda listed: F.transform(cut(listed), lambda run: F.aggregate(run, empty, add)))
+    listed = let(runs, lambda r: F.flatten(F.zip_with(r, F.aggregate(r, none, total, lambda state: state["before"]), placed)))
+    return F.when(text.rlike(pattern), listed).otherwise(F.array().cast(f"array<{SPAN}>"))
 
 
 def bare(found: Column) -> Column:
@@ -65,29 +85,28 @@ def listing(found: Column) -> Column:
 
 
 def linked_parts(parts: DataFrame, keys: list[str], scope: int = SCOPE) -> DataFrame:
-    """Rows of ``parts`` (``keys``, ``start``, ``kind``, ``end``) that stand within ``scope`` of a complementary kind.
+    """Rows of ``parts`` (``keys``, ``start``, ``kind``, ``end``) with at most ``scope`` characters to a complementary kind.
 
     An identifier needs material close by, material an identifier or an endpoint, an endpoint material. An interval
-    join by cells of ``scope`` characters: a cell keeps the first and last start of each kind, which is all
-    that its neighbours have to know, so no pair is ever listed and a crowded text costs no more than its parts.
+    join by cells of ``scope`` characters, in which parts stand by their start: a cell keeps the first start and the last end of
+    each kind, and learns the last end of all cells before it and the first start of all after it. Of parts that start
+    before, the last end is the nearest, also if it covers whole cells; those that start in the same cell are close.
+    No pair is ever listed, and a crowded text costs no more than its parts.
     """
     at = parts.withColumn("cell", F.floor(F.col("start") / scope).cast("int"))
     ends = [F.min(F.when(F.col("kind") == k, F.col("start"))).alias(f"low{k}") for k in (3, 4, 5)]
-    ends += [F.max(F.when(F.col("kind") == k, F.col("start"))).alias(f"high{k}") for k in (3, 4, 5)]
+    ends += [F.max(F.when(F.col("kind") == k, F.col("end"))).alias(f"high{k}") for k in (3, 4, 5)]
     cells = at.groupBy(*keys, "cell").agg(*ends)
-    shift = F.explode(F.array(*[F.struct(F.lit(d).alias("side"), (F.col("cell") - d).alias("cell")) for d in (-1, 0, 1)])).alias("to")
-    near = cells.select(*keys, shift, *[f"low{k}" for k in (3, 4, 5)], *[f"high{k}" for k in (3, 4, 5)])
-    # after the shift a cell knows, for each kind: the last start on its left, whether itself holds one, the first on its right
-    known = near.groupBy(*keys, F.col("to.cell").alias("cell")).agg(*[
+    earlier = Window.partitionBy(*keys).orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
+    later = Window.partitionBy(*keys).orderBy(F.col("cell").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    known = cells.select(*keys, "cell", *[
         expr for k in (3, 4, 5) for expr in (
-            F.max(F.when(F.col("to.side") == -1, F.col(f"high{k}"))).alias(f"left{k}"),
-            F.max(F.when(F.col("to.side") == 0, F.col(f"low{k}"))).alias(f"own{k}"),
-            F.min(F.when(F.col("to.side") == 1, F.col(f"low{k}"))).alias(f"right{k}"),
+            F.max(f"high{k}").over(earlier).alias(f"left{k}"), F.col(f"low{k}").alias(f"own{k}"), F.min(f"low{k}").over(later).alias(f"right{k}"),
         )
     ])
 
     def has(k: int) -> Column:
-        left, right = F.col("start") - F.col(f"left{k}") <= scope, F.col(f"right{k}") - F.col("start") <= scope
+        left, right = F.col("start") - F.col(f"left{k}") <= scope, F.col(f"right{k}") - F.col("end") <= scope
         return F.col(f"own{k}").isNotNull() | F.coalesce(left, F.lit(False)) | F.coalesce(right, F.lit(False))
 
     wanted = F.when(F.col("kind") == 4, has(3) | has(5)).otherwise(has(4))
@@ -98,7 +117,7 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """Per row of ``docs``: its id, ``base`` and ``linked``, arrays of (start, kind, end), kinds numbered as in KINDS.
 
     ``base`` has what the fixed patterns find, leftmost and non-overlapping per kind. ``linked`` has
-    weak parts (identifiers, material, endpoints) that stand within ``scope`` characters of a complementary
+    weak parts (identifiers, material, endpoints) with at most ``scope`` characters between them and a complementary
     one. Texts are scanned once, whole, and only positions leave the scan: parts are joined by text and cell, and their
     results by text, never the texts themselves.
 

@@ -24,6 +24,11 @@ def ascii_lower(text: Column) -> Column:
     return F.translate(text, UPPER, LOWER)
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` evaluated once, also where ``use`` needs it inside a lambda."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def two_hashes(text: Column) -> tuple[Column, Column]:
     """128 bits in two columns, for keys of tables too large for 64-bit digests."""
     return F.xxhash64(text), F.xxhash64(F.lit(7), text)

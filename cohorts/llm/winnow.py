@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cohorts.functions.columns import col
-from cohorts.llm.tables import ascii_lower, row_key, same, table, two_hashes
+from cohorts.llm.tables import ascii_lower, let, row_key, same, table, two_hashes
 from cohorts.session import materialize, materialize_with
 
 # Every shared passage of SPAN words is found; a fingerprint covers GRAM words.
@@ -29,11 +29,6 @@ def word_hash(word: Column) -> Column:
     return F.xxhash64(F.when(F.length(word) == F.octet_length(word), F.lower(word)).otherwise(ascii_lower(word)))
 
 
-def let(value: Column, use) -> Column:
-    """``use(value)`` with ``value`` evaluated once, also where ``use`` needs it inside a lambda."""
-    return F.get(F.transform(F.array(value), use), F.lit(0))
-
-
 def stretches(words: Column, span: int, step: int = STEP) -> Column:
     """Overlapping stretches of word hashes as structs (base, words): every ``span`` words lie whole in one of them."""
 

@@ -95,4 +95,4 @@ def linked_secrets(text, parts, scope):
     for k, pattern in enumerate(parts.values()):
         found += [(m.start(), k + 3, m.end()) for m in re.finditer(pattern.replace(r"[^\s", r"[^ \t\n\x0b\f\r"), text, re.A)]
     need = {3: {4}, 4: {3, 5}, 5: {4}}
-    return [x for x in found if any(y[1] in need[x[1]] and abs(x[0] - y[0]) <= scope for y in found)]
+    return [x for x in found if any(y[1] in need[x[1]] and max(x[0], y[0]) - min(x[2], y[2]) <= scope for y in found)]

@@ -131,6 +131,24 @@ def test_secrets(spark):
     assert secrets.find_secrets(docs.limit(0)).count() == 0
 
 
+def test_secrets_link_over_long_spans_and_gaps(spark):
+    """The gap between spans counts, not their length; a span that covers whole cells is near what lies inside and behind."""
+    token = "Ab1" * 200 + "02"
+    texts = [f"key: {token} user=bobby", f"user=bobby {'x ' * 190}{token}", f"https://h.example/{'q1Zz' * 700}?a={token[:30]} .. {token[:20]}",
+             f"https://h.example/{'a.' * 900} {token[:20]}", f"{token} {'y ' * 201}user=bobby", f"{token} {'y ' * 199}user=bobby"]
+    docs, _ = frame(spark, texts)
+    got = {r.doc_id: sorted((s.start, s.kind, s.end) for s in r.linked) for r in secrets.find_secrets(docs).collect()}
+    for i, text in enumerate(texts):
+        assert got[i] == sorted(brute.linked_secrets(text, secrets.PARTS, secrets.SCOPE)), i
+    assert [len(got[i]) > 0 for i in range(6)] == [True, True, True, True, False, True]
+
+
+def test_secrets_of_a_text_with_very_many_matches(spark):
+    text = "\n".join(f"{i:032x}" for i in range(100_000))
+    r = secrets.find_secrets(spark.createDataFrame([(1, text)], "doc_id bigint, text string")).first()
+    assert [tuple(s) for s in r.base] == [(33 * i, 2, 33 * i + 32) for i in range(100_000)]
+
+
 @pytest.fixture(scope="module")
 def encoding():
     return bpe.load(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
