@@ -10,7 +10,9 @@ from __future__ import annotations
 
 import hashlib
 import json
+import re
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -31,13 +33,19 @@ from cohorts.session import materialize, materialize_with, new_path
 PIECE = 1 << 15
 # Up to so many different id pairs, 16 bytes each, their counts go to the tasks; beyond, links are shuffled to them.
 SENT_PAIRS = 4_000_000
-# Different id pairs that a task adds up before it hands them on, and links taken up at a time.
-HELD_PAIRS, HELD_LINKS = 1 << 20, 1 << 21
+# Different id pairs that a task adds up before it hands them on, and tokens or links taken up at a time.
+HELD_PAIRS, HELD_LINKS = 1 << 19, 1 << 19
+# Pieces that a reader takes at a time, and their bytes that go to a Python worker at a time.
+BATCH_ROWS, BATCH_BYTES = 128, 8 << 20
 
 # How the vocabulary file writes bytes as characters, and the pattern its tokenizer splits by.
 PRINTED = [*range(33, 127), *range(161, 173), *range(174, 256)]
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 BLANK = "▁"
+# A blank or more and what follows up to the next one; blanks at the end belong to the last part. Parts of up to PART_CHARS
+# characters are kept, KNOWN_PARTS of them.
+PART = re.compile(r" +[^ ]+(?: +\Z)?| +\Z")
+PART_CHARS, KNOWN_PARTS = 40, 1 << 17
 
 
 @lru_cache(maxsize=2)
@@ -65,15 +73,42 @@ def byte_level(path: str) -> tuple[tiktoken.Encoding, np.ndarray]:
     return tiktoken.Encoding("byte-level", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}), sizes
 
 
+@dataclass
+class Pieces:
+    """A piece model, the bytes and byte length of every id, whether texts can be cut before blanks, and the ids of parts seen."""
+
+    model: sentencepiece.SentencePieceProcessor
+    raw: list[bytes]
+    sizes: np.ndarray
+    cuttable: bool
+    known: dict[str, list[int]]
+
+    def ids(self, whole: str) -> list[int] | None:
+        """The ids of a text that is given with the blank the model adds itself; None if they don't give back its bytes.
+
+        Where no piece has a blank behind another character, no merge reaches over such a place, and the parts between are
+        encoded each on its own; parts that come again are looked up.
+        """
+        out: list[int] = []
+        for part in PART.findall(whole) if self.cuttable else [whole]:
+            ids = self.known.get(part)
+            if ids is None:
+                ids = self.model.encode(part[1:], num_threads=1)
+                if b"".join([self.raw[i] for i in ids]) != part.encode():
+                    return None
+                if len(part) <= PART_CHARS and len(self.known) < KNOWN_PARTS:
+                    self.known[part] = ids
+            out += ids
+        return out
+
+
 @lru_cache(maxsize=2)
-def pieces(path: str) -> tuple[sentencepiece.SentencePieceProcessor, list[bytes], np.ndarray]:
-    """The piece model of a file, and the bytes and byte length of every id."""
+def pieces(path: str) -> Pieces:
     model = sentencepiece.SentencePieceProcessor(model_file=path)
-    raw = [
-        bytes([int(model.id_to_piece(i)[3:-1], 16)]) if model.is_byte(i) else model.id_to_piece(i).replace(BLANK, " ").encode()
-        for i in range(model.get_piece_size())
-    ]
-    return model, raw, np.array([len(r) for r in raw], dtype=np.int64)
+    listed = [model.id_to_piece(i) for i in range(model.get_piece_size())]
+    raw = [bytes([int(t[3:-1], 16)]) if model.is_byte(i) else t.replace(BLANK, " ").encode() for i, t in enumerate(listed)]
+    cuttable = not any(BLANK in t.lstrip(BLANK) for t in listed)
+    return Pieces(model, raw, np.array([len(r) for r in raw], dtype=np.int64), cuttable, {})
 
 
 def tokens(text: str | None, a_path: str, b_path: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray] | None:
@@ -81,14 +116,16 @@ def tokens(text: str | None, a_path: str, b_path: str) -> tuple[np.ndarray, np.n
     if not text:
         return None
     by_rank, a_sizes = byte_level(a_path)
-    model, raw, b_sizes = pieces(b_path)
-    whole = (" " + text).encode()
-    a = encode(by_rank, " " + text)
-    b = model.encode(text, num_threads=1)
-    if by_rank.decode_bytes(a) != whole or b"".join([raw[i] for i in b]) != whole:
+    model = pieces(b_path)
+    whole = " " + text
+    b = model.ids(whole)
+    if b is None:
+        return None
+    a = encode(by_rank, whole)
+    if by_rank.decode_bytes(a) != whole.encode():
         return None
     a, b = np.array(a, dtype=np.int64), np.array(b, dtype=np.int64)
-    return a, np.cumsum(a_sizes[a]), b, np.cumsum(b_sizes[b])
+    return a, np.cumsum(a_sizes[a]), b, np.cumsum(model.sizes[b])
 
 
 def partition(a: np.ndarray, b: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -178,6 +215,20 @@ def fragments(m: Merged, n_ids: int, n_a: int, n_b: int) -> tuple[bool, str, str
     return (True, *head, written(m, n_ids, 1, len(m.at)), text(m.a[m.at[-1] + 1 : n_a]), text(m.b[m.to[-1] + 1 : n_b]))
 
 
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Pieces are wide rows, so readers and workers take few of them at a time."""
+    wanted = {"spark.sql.execution.arrow.maxBytesPerBatch": BATCH_BYTES, "spark.sql.parquet.columnarReaderBatchSize": BATCH_ROWS}
+    before = {name: spark.conf.get(name, None) for name in wanted}
+    for name, value in wanted.items():
+        spark.conf.set(name, str(value))
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
 INTS = pa.list_(pa.int32())
 TOKEN_FIELDS = [
     ("_row", pa.int64()), ("piece", pa.int32()), ("n_pieces", pa.int32()), ("n_a", pa.int32()), ("n_b", pa.int32()),
@@ -243,9 +294,9 @@ def _merged(batch: pa.RecordBatch, first: int) -> Iterator[tuple[int, Merged, in
     cells = []
     for k in range(first + 5, first + 9):
         column = batch.column(k)
-        cells.append((column.offsets.to_numpy(), column.values.to_numpy().astype(np.int64)))
+        cells.append((column.offsets.to_numpy(), column.values.to_numpy()))
     for k in range(batch.num_rows):
-        parts = [values[offsets[k] : offsets[k + 1]] for offsets, values in cells]
+        parts = [values[offsets[k] : offsets[k + 1]].astype(np.int64) for offsets, values in cells]
         yield k, merge(*parts, int(n_a[k]), int(n_b[k])), int(n_a[k]), int(n_b[k])
 
 
@@ -382,12 +433,14 @@ def align(
     id_type = rows.schema["_id"].dataType.simpleString()
     path = new_path(spark, "tokens")
     cut = rows.mapInArrow(_tokenizer(a_path, a_sent, b_path, b_sent, piece), f"_id {id_type}, {TOKEN_DDL}")
-    cut.write.option("compression", "zstd").parquet(path)
+    with small_batches(spark):
+        cut.write.option("compression", "zstd").parquet(path)
     cut = spark.read.schema(cut.schema).parquet(path)
 
     counted = cut.drop("_id").where("n_a > 0 or n_b > 0").mapInArrow(_count, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
     b_id = F.col("pair").bitwiseAND((1 << 32) - 1)
-    counted, facts = materialize_with(counted, "pairs", rows="count(1)", a="max(pair >> 32)", b="max(pair & 4294967295)")
+    with small_batches(spark):
+        counted, facts = materialize_with(counted, "pairs", rows="count(1)", a="max(pair >> 32)", b="max(pair & 4294967295)")
     highest = counted.groupBy(b_id.alias("b")).agg(F.max("n").alias("top"))
     pairs = counted.withColumn("b", b_id).join(highest, "b").select(
         F.shiftright("pair", 32).alias("a"), "b", "n", (F.col("n") == F.col("top")).alias("best"), "pair"
@@ -401,7 +454,8 @@ def align(
         order = np.argsort(keys)
         sent = spark.sparkContext.broadcast((keys[order], values[order]))
     judged = cut.mapInArrow(_judge(n_ids, sent), f"_id {id_type}, _row long, piece int, n_pieces int, n_a int, n_b int, {FACT_DDL}")
-    judged = materialize(judged, "judged")
+    with small_batches(spark):
+        judged = materialize(judged, "judged")
     if sent is not None:
         sent.unpersist()
 
