@@ -10,7 +10,6 @@ from __future__ import annotations
 
 import hashlib
 import json
-import re
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass
@@ -42,10 +41,6 @@ BATCH_ROWS, BATCH_BYTES = 128, 8 << 20
 PRINTED = [*range(33, 127), *range(161, 173), *range(174, 256)]
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 BLANK = "▁"
-# A blank or more and what follows up to the next one; blanks at the end belong to the last part. Parts of up to PART_CHARS
-# characters are kept, KNOWN_PARTS of them.
-PART = re.compile(r" +[^ ]+(?: +\Z)?| +\Z")
-PART_CHARS, KNOWN_PARTS = 40, 1 << 17
 
 
 @lru_cache(maxsize=2)
@@ -73,42 +68,13 @@ def byte_level(path: str) -> tuple[tiktoken.Encoding, np.ndarray]:
     return tiktoken.Encoding("byte-level", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}), sizes
 
 
-@dataclass
-class Pieces:
-    """A piece model, the bytes and byte length of every id, whether texts can be cut before blanks, and the ids of parts seen."""
-
-    model: sentencepiece.SentencePieceProcessor
-    raw: list[bytes]
-    sizes: np.ndarray
-    cuttable: bool
-    known: dict[str, list[int]]
-
-    def ids(self, whole: str) -> list[int] | None:
-        """The ids of a text that is given with the blank the model adds itself; None if they don't give back its bytes.
-
-        Where no piece has a blank behind another character, no merge reaches over such a place, and the parts between are
-        encoded each on its own; parts that come again are looked up.
-        """
-        out: list[int] = []
-        for part in PART.findall(whole) if self.cuttable else [whole]:
-            ids = self.known.get(part)
-            if ids is None:
-                ids = self.model.encode(part[1:], num_threads=1)
-                if b"".join([self.raw[i] for i in ids]) != part.encode():
-                    return None
-                if len(part) <= PART_CHARS and len(self.known) < KNOWN_PARTS:
-                    self.known[part] = ids
-            out += ids
-        return out
-
-
 @lru_cache(maxsize=2)
-def pieces(path: str) -> Pieces:
+def pieces(path: str) -> tuple[sentencepiece.SentencePieceProcessor, list[bytes], np.ndarray]:
+    """The piece model of a file, and the bytes and byte length of every id."""
     model = sentencepiece.SentencePieceProcessor(model_file=path)
     listed = [model.id_to_piece(i) for i in range(model.get_piece_size())]
     raw = [bytes([int(t[3:-1], 16)]) if model.is_byte(i) else t.replace(BLANK, " ").encode() for i, t in enumerate(listed)]
-    cuttable = not any(BLANK in t.lstrip(BLANK) for t in listed)
-    return Pieces(model, raw, np.array([len(r) for r in raw], dtype=np.int64), cuttable, {})
+    return model, raw, np.array([len(r) for r in raw], dtype=np.int64)
 
 
 def tokens(text: str | None, a_path: str, b_path: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray] | None:
@@ -116,16 +82,16 @@ def tokens(text: str | None, a_path: str, b_path: str) -> tuple[np.ndarray, np.n
     if not text:
         return None
     by_rank, a_sizes = byte_level(a_path)
-    model = pieces(b_path)
-    whole = " " + text
-    b = model.ids(whole)
-    if b is None:
+    model, raw, b_sizes = pieces(b_path)
+    whole = (" " + text).encode()
+    b = model.encode(text, num_threads=1)
+    if b"".join([raw[i] for i in b]) != whole:
         return None
-    a = encode(by_rank, whole)
-    if by_rank.decode_bytes(a) != whole.encode():
+    a = encode(by_rank, " " + text)
+    if by_rank.decode_bytes(a) != whole:
         return None
     a, b = np.array(a, dtype=np.int64), np.array(b, dtype=np.int64)
-    return a, np.cumsum(a_sizes[a]), b, np.cumsum(model.sizes[b])
+    return a, np.cumsum(a_sizes[a]), b, np.cumsum(b_sizes[b])
 
 
 def partition(a: np.ndarray, b: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -183,16 +149,22 @@ def merge(a_ids: np.ndarray, a_steps: np.ndarray, b_ids: np.ndarray, b_steps: np
 
 @lru_cache(maxsize=2)
 def labels(n_ids: int) -> np.ndarray:
-    """Decimal ids followed by a comma, a bar or a semicolon."""
-    return np.array([f"{i}{mark}" for mark in ",|;" for i in range(n_ids)], dtype=object)
+    """Decimal ids followed by a comma, a bar or a semicolon, as rows of bytes filled up with zeros."""
+    table = np.array([f"{i}{mark}".encode() for mark in ",|;" for i in range(n_ids)])
+    return table.view(np.uint8).reshape(len(table), -1)
+
+
+def joined(n_ids: int, places: np.ndarray) -> bytes:
+    cells = labels(n_ids)[places]
+    return cells[cells > 0].tobytes()
 
 
-def written(m: Merged, n_ids: int, first: int, last: int) -> str:
+def written(m: Merged, n_ids: int, first: int, last: int) -> bytes:
     """Groups between the piece's shared ends number ``first`` and ``last``, each closed by a semicolon."""
     start_a, start_b = (m.at[first - 1] + 1, m.to[first - 1] + 1) if first else (0, 0)
     ends_a, ends_b = m.at[first:last] + 1 - start_a, m.to[first:last] + 1 - start_b
     if not len(ends_a):
-        return ""
+        return b""
     n_a, n_b = ends_a[-1], ends_b[-1]
     pos_a, pos_b = np.arange(n_a), np.arange(n_b)
     before_b = np.concatenate([[0], ends_b])[np.searchsorted(ends_a, pos_a, "right")]
@@ -203,16 +175,16 @@ def written(m: Merged, n_ids: int, first: int, last: int) -> str:
     ids[pos_b + before_a] = m.b[start_b : start_b + n_b]
     mark[(pos_a + before_b)[ends_a - 1]] = 1
     mark[(pos_b + before_a)[ends_b - 1]] = 2
-    return "".join(labels(n_ids)[ids + n_ids * mark])
+    return joined(n_ids, ids + n_ids * mark)
 
 
 def fragments(m: Merged, n_ids: int, n_a: int, n_b: int) -> tuple[bool, str, str, str, str, str]:
     """Whether a group ends in the piece; tokens up to the first shared end, whole groups, and tokens after the last one."""
-    text = lambda ids: "".join(labels(n_ids)[ids])
+    text = lambda ids: joined(n_ids, ids).decode("ascii")
     if not len(m.at):
         return False, text(m.a[:n_a]), text(m.b[:n_b]), "", "", ""
     head = text(m.a[: m.at[0] + 1]), text(m.b[: m.to[0] + 1])
-    return (True, *head, written(m, n_ids, 1, len(m.at)), text(m.a[m.at[-1] + 1 : n_a]), text(m.b[m.to[-1] + 1 : n_b]))
+    return (True, *head, written(m, n_ids, 1, len(m.at)).decode("ascii"), text(m.a[m.at[-1] + 1 : n_a]), text(m.b[m.to[-1] + 1 : n_b]))
 
 
 @contextmanager
@@ -361,7 +333,7 @@ def _judge(n_ids: int, sent: object | None) -> Callable:
                 facts = (len(m.at), len(m.left), best, total)
                 if single[k]:
                     text = written(m, n_ids, 0, len(m.at))[:-1]
-                    digest = hashlib.sha256(text.encode("ascii")).hexdigest() if text else ""
+                    digest = hashlib.sha256(text).hexdigest() if text else ""
                     rows.append((*facts, digest, None, None, None, None, None, None))
                 else:
                     rows.append((*facts, None, *fragments(m, n_ids, n_a, n_b)))

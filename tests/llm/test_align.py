@@ -123,17 +123,6 @@ def test_partition_is_even_and_keeps_shared_ends():
     assert [x.tolist() for x in align.partition(a[:0], b[:0], 5)] == [[0, 0], [0, 0]]
 
 
-def test_parts_give_the_pieces_of_whole_texts(libraries):
-    model = align.pieces(B)
-    assert model.cuttable
-    rng = random.Random(6)
-    marks = ["a", "the", "Ü", " ", "  ", "   ", "\n", "漢", "😀", "1", ".", "\t", "é", "ing", "\x00", "<s>", "\u2028", "\xa0"]
-    for n in range(3000):
-        text = "".join(rng.choice(marks) for _ in range(rng.randrange(1, 30)))
-        assert model.ids(" " + text) == libraries[1].encode(text), repr(text)
-    assert model.ids(" a▁b") is None and model.ids(" a ▁") is None
-
-
 def test_ranks_give_the_ids_of_the_library(libraries):
     by_rank, _ = align.byte_level(A)
     rng = random.Random(9)
