@@ -154,16 +154,22 @@ class Rule:
         return mixed(np.add.reduceat(value, first) ^ mixed(slot[first].astype(np.uint64) * np.uint64(4096) + salt)), len(first)
 
     def triples(self, shingles: np.ndarray, rare: np.ndarray) -> np.ndarray:
-        """Hashes of all triples among the first shingles that must hold three common ones; popular shingles come last."""
+        """Hashes of all triples among the first shingles that must hold three common ones; popular shingles come last.
+
+        A set that can link by one or two common shingles has its single shingles or pairs as well; its partners by
+        so few have them too.
+        """
         need = ceil(len(shingles) * self.percent / 100)
-        if need < 3:
-            return mixed(shingles[:1] + np.uint64(len(shingles)))
         ordered = np.concatenate((rare, np.setdiff1d(shingles, rare, assume_unique=True))) if len(rare) < len(shingles) else shingles
-        lead = ordered[: len(shingles) - need + 3]
-        place = np.array(list(combinations(range(len(lead)), 3)), dtype=np.int64)
-        value = mixed(lead[place[:, 0]])
-        value = mixed(value + lead[place[:, 1]] * ODD[1])
-        return mixed(value + lead[place[:, 2]] * ODD[2])
+        out = []
+        for common in range(min(need, 3), 4):
+            lead = ordered[: len(shingles) - max(need, common) + common]
+            place = np.array(list(combinations(range(len(lead)), common)), dtype=np.int64).reshape(-1, common)
+            value = mixed(lead[place[:, 0]])
+            for k in range(1, common):
+                value = mixed(value + lead[place[:, k]] * ODD[k])
+            out.append(value)
+        return np.concatenate(out)
 
 
 DIGESTS = "_id bigint, n bigint, h1 bigint, h2 bigint, popular boolean"

@@ -65,16 +65,25 @@ def test_jaccard_links_are_exact(spark, monkeypatch, words, percent, options):
     assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got), key=str) == brute.jaccard_components(rows, words, percent)
 
 
+@pytest.mark.parametrize("percent", [34, 50, 66])
+def test_small_sets_link_at_low_thresholds(spark, percent):
+    rng = random.Random(percent)
+    rows = [(1, "a b c"), (2, "a b c d"), (3, "q"), (4, "q"), (5, "r s"), (6, "r s t u")]
+    rows += [(10 + i, " ".join(rng.choices("klmnop", k=rng.randint(1, 7)))) for i in range(60)]
+    got = jaccard.link_documents(spark.createDataFrame(rows, "doc_id bigint, text string"), words=3, percent=percent).collect()
+    assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got), key=str) == brute.jaccard_components(rows, 3, percent)
+
+
 def test_jaccard_empty_table(spark):
     assert jaccard.link_documents(spark.createDataFrame([], "doc_id bigint, text string")).count() == 0
 
 
 def test_signatures_meet_at_the_threshold():
     rng = np.random.default_rng(1)
-    for percent in (80, 90):
+    for percent in (30, 40, 50, 60, 66, 80, 90):
         listed = np.sort(rng.integers(0, 2**63, 300).astype(np.uint64))
         rule = jaccard.Rule(3, percent, listed)
-        for n in [*range(1, 130), 500, 2000]:
+        for n in [*range(1, 130), 500, 2000] if percent >= 80 else range(1, 40):
             shares = rng.integers(0, min(n, 300) + 1) if rng.random() < 0.5 else 0
             a = np.concatenate((rng.choice(listed, shares, replace=False), rng.integers(0, 2**63, n - shares).astype(np.uint64)))
             rng.shuffle(a)
