@@ -30,7 +30,7 @@ DATE = "2026-01-01T00:00:00Z"
 DIGEST = "struct<payload_bytes:bigint, payload_digest:string, record_uuid:string>"
 RECORD = (
     "record_id string, record_type string, refers_to string, target_uri string, payload_bytes bigint, "
-    "payload_digest string, payload string, page_id bigint, block_digest string"
+    "payload_digest string, payload string, page_id bigint, block_digest string, block_bytes bigint"
 )
 
 
@@ -159,6 +159,7 @@ def parse_records(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
 COLUMNS = [
     ("record_id", pa.string()), ("record_type", pa.string()), ("refers_to", pa.string()), ("target_uri", pa.string()),
     ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("payload", pa.string()), ("page_id", pa.int64()), ("block_digest", pa.string()),
+    ("block_bytes", pa.int64()),
 ]
 
 
@@ -173,7 +174,7 @@ def _rows(payloads: bool):
                     rows.append((
                         heads["warc-record-id"], heads["warc-type"], heads.get("x-refers-to-page"), heads.get("warc-target-uri"),
                         int(heads.get("x-payload-length", len(block))), heads["warc-payload-digest"].removeprefix("sha1:"),
-                        block.decode() if payloads else None, int(page) if page else None, payload_digest(block),
+                        block.decode() if payloads else None, int(page) if page else None, payload_digest(block), len(block),
                     ))
                     if len(rows) == 1000:
                         yield _batch(rows)
@@ -196,10 +197,27 @@ def read_archives(spark: SparkSession, path: str, payloads: bool = True) -> Data
     return files.mapInArrow(_rows(payloads), RECORD)
 
 
+def verified(records: DataFrame) -> DataFrame:
+    """Records whose figures come from the blocks read back; a block that isn't what its header says raises.
+
+    A response's size and digest are those of its block. A revisit has an empty block, so its own are those in its header.
+    """
+    sound = F.when(
+        F.col("record_type") == "response",
+        (F.col("block_digest") == F.col("payload_digest")) & (F.col("block_bytes") == F.col("payload_bytes")),
+    ).otherwise(F.col("block_bytes") == 0)
+    wrong = F.concat(F.lit("block and header of an archive differ: "), F.col("record_id"))
+    is_response = F.col("record_type") == "response"
+    return records.withColumns({
+        "payload_bytes": F.when(~sound, F.raise_error(wrong).cast("long")).when(is_response, F.col("block_bytes")).otherwise(F.col("payload_bytes")),
+        "payload_digest": F.when(is_response, F.col("block_digest")).otherwise(F.col("payload_digest")),
+    })
+
+
 def op8_warc(spark: SparkSession, base: str) -> DataFrame:
     pages = table(spark, base, "pages").select("page_id", "url", "html")
     path = write_archives(pages, new_path(spark, "warc"))
-    records = read_archives(spark, path, payloads=False)
+    records = verified(read_archives(spark, path, payloads=False))
     return records.select(
         "page_id", "payload_bytes", "payload_digest", "record_type", F.col("refers_to").cast("long").alias("refers_to")
     )
