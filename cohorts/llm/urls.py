@@ -21,9 +21,12 @@ HOST_ALIASES = ("www", "m")
 BROADCAST_RULES = 100_000
 
 PARTS = r"(?s)^.*?://([^/?#]*)([^?#]*)(\?[^#]*)?"
-TAG = r"(?i)<(?:link|meta)\b[^<>]*>"
-CANONICAL, REFRESH = r"(?i)\brel\s*=\s*[\"']?\s*canonical\b", r"(?i)\bhttp-equiv\s*=\s*[\"']?\s*refresh\b"
-HREF, TARGET = r"(?i)\bhref\s*=\s*[\"']?\s*([^\"'\s<>]+)", r"(?i)[\"'\s;]url\s*=\s*[\"']?\s*([^\"'\s<>;]+)"
+# A tag with its attributes (values in quotes may hold ">"), its attributes one by one, and the target of a refresh.
+TAG = r"""(?i)<(?:link|meta)(?=[\s/])(?:[^<>"']|"[^"]*"|'[^']*')*>"""
+ATTRIBUTES = r"""[^\s"'<>/=]+\s*=\s*(?:"[^"]*"|'[^']*'|[^\s"'<>]+)"""
+VALUE = r"""(?s)^[^=]*=\s*["']?\s*(.*?)\s*["']?$"""
+TARGET = r"""(?is)^[^;,]*[;,]\s*url\s*=\s*["']?\s*([^"']*?)\s*(?:["'].*)?$"""
+SCHEME = r"^[A-Za-z][A-Za-z0-9+.-]*:"
 
 
 def host_of(url: Column) -> Column:
@@ -40,26 +43,65 @@ def key_of(url: Column) -> Column:
     return F.when(url.contains("://"), key)
 
 
+def attribute(tag: Column, name: str) -> Column:
+    """Value of a tag's first attribute of that very name, without quotes and blanks around it; null if it has none."""
+    found = F.filter(F.regexp_extract_all(tag, F.lit(ATTRIBUTES), F.lit(0)), lambda a: a.rlike(rf"(?i)^{name}\s*="))
+    return F.replace(F.regexp_extract(F.get(found, F.lit(0)), VALUE, 1), F.lit("&amp;"), F.lit("&"))
+
+
+def without_dots(path: Column) -> Column:
+    """A path with its ``.`` and ``..`` segments resolved (RFC 3986, 5.2.4)."""
+    parts = F.split(path, "/")
+    last = F.element_at(parts, -1)
+
+    def step(done: Column, part: Column) -> Column:
+        up = F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(1)))  # the first part, before the leading slash, stays
+        return F.when(part == "..", up).when(part == ".", done).otherwise(F.concat(done, F.array(part)))
+
+    kept = F.aggregate(F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0))), F.slice(parts, 1, 1), step)
+    folder = F.when(last.isin(".", ".."), F.lit("/")).otherwise(F.lit(""))
+    whole = F.concat(F.array_join(kept, "/"), folder)
+    return F.when(path.rlike(r"(^|/)\.\.?(/|$)"), whole).otherwise(path)
+
+
+def resolved(to: Column, url: Column) -> Column:
+    """Absolute url of a reference found on the page ``url`` (RFC 3986, 5.2.2); null for schemes without a host, such as ``mailto:``."""
+    scheme, host = F.regexp_extract(url, r"(?s)^(.*?)://", 1), F.regexp_extract(url, PARTS, 1)
+    own_path, own_query = F.regexp_extract(url, PARTS, 2), F.regexp_extract(url, PARTS, 3)
+    root = F.concat(scheme, F.lit("://"), host)
+    path, rest = F.regexp_extract(to, "(?s)^[^?#]*", 0), F.regexp_extract(to, r"(?s)^[^?#]*(.*)$", 1)
+    folder = F.when(own_path == "", F.lit("/")).otherwise(F.regexp_replace(own_path, "[^/]*$", ""))
+    absolute = to.rlike(SCHEME + "//") | to.startswith("//")
+    full = F.when(to.startswith("//"), F.concat(scheme, F.lit(":"), to)).otherwise(to)
+    clean = F.concat(
+        F.regexp_extract(full, r"(?s)^.*?://[^/?#]*", 0), without_dots(F.regexp_extract(full, PARTS, 2)),
+        F.regexp_extract(full, r"(?s)^.*?://[^/?#]*[^?#]*(.*)$", 1),
+    )
+    return (
+        F.when(absolute, clean)
+        .when(to.rlike(SCHEME), F.lit(None))
+        .when(path == "", F.concat(root, own_path, F.when(to.startswith("?"), rest).otherwise(own_query)))
+        .when(to.startswith("/"), F.concat(root, without_dots(path), rest))
+        .otherwise(F.concat(root, without_dots(F.concat(folder, path)), rest))
+    )
+
+
 def declared_links(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
     """Edges ``(source, target)`` of resource keys: canonical links and refresh redirects in the pages' markup.
 
-    Targets without a host are resolved against the page's own url.
+    A link counts if ``canonical`` is one of the words of its ``rel``. Targets are resolved against the page's own url; only
+    targets are freed of dot segments, as urls of pages are keys as they stand.
     """
     tags = F.explode(F.regexp_extract_all(col(html_col), F.lit(TAG), F.lit(0))).alias("tag")
     found = pages.select(col(url_col).alias("url"), tags)
-    target = F.when(F.col("tag").rlike(CANONICAL), F.regexp_extract("tag", HREF, 1)).when(
-        F.col("tag").rlike(REFRESH), F.regexp_extract("tag", TARGET, 1)
-    )
-    found = found.withColumn("to", F.replace(target, F.lit("&amp;"), F.lit("&"))).where("to <> ''")
-    path = path_of(F.col("url"))
-    folder = F.when(path == "", F.lit("/")).otherwise(F.regexp_replace(path, "[^/]*$", ""))
-    whole = (
-        F.when(F.col("to").contains("://"), F.col("to"))
-        .when(F.col("to").startswith("//"), F.concat(F.lit("http:"), F.col("to")))
-        .when(F.col("to").startswith("/"), F.concat(F.lit("http://"), host_of(F.col("url")), F.col("to")))
-        .otherwise(F.concat(F.lit("http://"), host_of(F.col("url")), folder, F.col("to")))
+    tag = F.col("tag")
+    words = F.split(ascii_lower(attribute(tag, "rel")), r"\s+")
+    is_link = ascii_lower(F.substring(tag, 2, 4)) == "link"
+    target = F.when(is_link & F.array_contains(words, "canonical"), attribute(tag, "href")).when(
+        ~is_link & (ascii_lower(attribute(tag, "http-equiv")) == "refresh"), F.regexp_extract(attribute(tag, "content"), TARGET, 1)
     )
-    return found.select(key_of(F.col("url")).alias("source"), key_of(whole).alias("target"))
+    found = found.withColumn("to", target).where("to <> ''")
+    return found.select(key_of(F.col("url")).alias("source"), key_of(resolved(F.col("to"), F.col("url"))).alias("target"))
 
 
 def alias_links(keys: DataFrame, aliases: tuple[str, ...] = HOST_ALIASES) -> DataFrame:
@@ -71,7 +113,7 @@ def alias_links(keys: DataFrame, aliases: tuple[str, ...] = HOST_ALIASES) -> Dat
 
 
 def decide_by_rules(keys: DataFrame, rules: DataFrame, n_rules: int, broadcast_rules: int = BROADCAST_RULES) -> DataFrame:
-    """``(key, rule, verdict)`` for every key that a rule fits; the longest rule wins, and block among equal texts."""
+    """``(key, rule, verdict)`` for every key that a rule fits; the longest rule wins, and allow among equal texts."""
     parts = rules.select(
         "rule", "verdict", F.substring_index("rule", "/", 1).alias("host"),
         F.expr("substring(rule, length(substring_index(rule, '/', 1)) + 1)").alias("start"),
@@ -82,7 +124,7 @@ def decide_by_rules(keys: DataFrame, rules: DataFrame, n_rules: int, broadcast_r
     spread = keys.select("key", host.alias("name"), path.alias("path")).select("key", "path", F.explode(ends).alias("host"))
     small = F.broadcast(parts) if n_rules <= broadcast_rules else parts
     fits = spread.join(small, "host").where(F.col("path").startswith(F.col("start")))
-    best = F.max(F.struct(F.length("rule").alias("n"), F.col("verdict"), F.col("rule")))
+    best = F.max(F.struct(F.length("rule").alias("n"), (F.col("verdict") == "allow").alias("allow"), F.col("rule"), F.col("verdict")))
     return fits.groupBy("key").agg(best.alias("best")).select("key", "best.rule", "best.verdict")
 
 

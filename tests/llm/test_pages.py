@@ -53,6 +53,42 @@ def test_blocks_reach_aliases(spark, limit):
     assert urls.judge_urls(pages.limit(0), urls.RULES).count() == 0
 
 
+REFERENCES = [
+    ("?id=3", "x.org/a/b?id=3"), ("#top", "x.org/a/b?q=1"), ("/go?next=http://x.net/es/a", "x.org/go?next=http://x.net/es/a"),
+    ("//Y.org/z", "y.org/z"), ("c", "x.org/a/c"), ("./c", "x.org/a/c"), ("../c", "x.org/c"), ("../../../c/./d/..", "x.org/c/"), ("..", "x.org/"),
+    (".", "x.org/a/"), ("http://z.org/a/../b?c=../d#e", "z.org/b?c=../d"), ("HTTPS://Z.org", "z.org"), ("mailto:a@b", None), ("c?d=/../e", "x.org/a/c?d=/../e"),
+    ("javascript:x://y", None), ("/a//b/../c", "x.org/a//c"), ("...", "x.org/a/..."),
+]
+
+
+def test_references_are_resolved(spark):
+    rows = spark.createDataFrame([(i, "HTTP://x.org/a/b?q=1", to) for i, (to, _) in enumerate(REFERENCES)], "i int, url string, target string")
+    got = rows.select("i", urls.key_of(urls.resolved(F.col("target"), F.col("url"))).alias("key")).collect()
+    assert {r.i: r.key for r in got} == {i: key for i, (_, key) in enumerate(REFERENCES)}
+    bare = spark.createDataFrame([("http://x.org", "c")], "url string, target string")
+    assert bare.select(urls.key_of(urls.resolved(F.col("target"), F.col("url")))).first()[0] == "x.org/c"
+
+
+@pytest.mark.parametrize(("tag", "target"), [
+    ('<link rel="alternate Canonical" href=/c>', "x.org/c"), ('<link data-rel="canonical" href="/c">', None), ('<link rel="x-canonical" href="/c">', None),
+    ('<link rel=canonical data-href="/d" HREF = \'/c?a=1&amp;b\'>', "x.org/c?a=1&b"), ('<link title="a > b" rel="canonical" href="/c">', "x.org/c"),
+    ('<link title="rel=canonical href=/d" rel="next" href="/c">', None), ('<linker rel=canonical href="/c">', None), ('<meta rel=canonical href="/c">', None),
+    ('<meta http-equiv="Refresh" content="0; URL=/c">', "x.org/c"), ('<meta content="5;url= \'/c\' x" http-equiv=refresh />', "x.org/c"), ('<meta content="5;url=/c" http-equiv=refresh/>', None),  # an unquoted value takes the slash
+   
+    ('<meta http-equiv="refresh" content="30">', None), ('<meta name="refresh" content="0; url=/c">', None), ("<link rel=canonical>", None), ('<link rel="canonical" href="">', None),
+])
+def test_tags_are_read(spark, tag, target):
+    pages = spark.createDataFrame([("http://x.org/a", f"<p>{tag}</p>")], "url string, html string")
+    got = [r.target for r in urls.declared_links(pages).collect()]
+    assert got == ([target] if target else [])
+
+
+@pytest.mark.parametrize("verdicts", [("allow", "block"), ("block", "allow")])
+def test_allow_precedes_block_of_the_same_rule(spark, verdicts):
+    pages = spark.createDataFrame([(1, "http://x.org/a", "")], "page_id bigint, url string, html string")
+    assert urls.judge_urls(pages, [("x.org/", v) for v in verdicts]).first().verdict == "allow"
+
+
 @pytest.mark.parametrize("limit", [warc.BROADCAST_ROWS, 0])
 def test_archives(spark, limit):
     same = "<p>gleich ü</p>\r\n\r\nWARC/1.1\r\n"
@@ -82,6 +118,14 @@ def test_archives(spark, limit):
     assert warc.read_archives(spark, warc.write_archives(pages.limit(0), new_path(spark, "warc"))).count() == 0
 
 
+def test_payloads_read_back_are_compared(spark):
+    records = warc.read_archives(spark, warc.write_archives(spark.createDataFrame([(1, "u", "abc"), (2, "u", "abc")], "page_id bigint, url string, html string"), new_path(spark, "warc")))
+    assert sorted((r.page_id, r.payload_bytes, r.payload_digest) for r in warc.verified(records).collect()) == [(i, 3, warc.payload_digest(b"abc")) for i in (1, 2)]
+    for wrong in ({"block_digest": F.lit("A" * 32)}, {"block_bytes": F.lit(4).cast("long")}):
+        with pytest.raises(Exception, match="block and header"):
+            warc.verified(records.withColumns(wrong)).collect()
+
+
 def test_parser_goes_by_length():
     record = b"WARC/1.1\r\nContent-Length: 9\r\nWARC-Type: response\r\n\r\nab\r\n\r\ncd\n\r\n\r\n"
     assert [b for _, b in warc.parse_records(gzip.decompress(gzip.compress(record * 2)))] == [b"ab\r\n\r\ncd\n"] * 2
