@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from collections import Counter
 from collections.abc import Iterator
 
@@ -26,6 +27,8 @@ SAMPLE, MIN_DOCS, MAX_WORDS = 6_000, 4, 50_000
 STEPS = 1000
 # Pull of rates to one; step limit and change of totals (share of all tokens) at which rates are settled.
 RIDGE, MAX_STEPS, SETTLED = 1e-3, 60, 1e-5
+# Distance of a reached total from its target (share of all tokens) that gives a warning.
+TOLERANCE = 0.005
 
 # Lower case, and blanks for the punctuation around words.
 FOLD = bytes.maketrans(
@@ -265,6 +268,8 @@ def fit_rates(
         now, ahead = totals()
         if len(rates.pulls) > 3 and np.abs(now - before).max() <= SETTLED:
             break
+    else:
+        warnings.warn(f"rates did not settle in {max_steps} steps", stacklevel=2)
     return rates, now
 
 
@@ -295,7 +300,7 @@ def mix(
     draw by the row's id and text falls below its fraction: expected copies equal the rate, and a retried task draws the same.
 
     Null and empty texts have no tokens and are judged like any other text. Equal rows have equal rates and draws. Null ids are drawn by
-    their text. Without labels of two domains all posteriors are the prior. Columns of the input named like a result are replaced.
+    their text. Rates that don't settle, and totals over TOLERANCE from their targets, give a warning. Without labels of two domains all posteriors are the prior. Columns of the input named like a result are replaced.
     """
     domains = tuple(targets)
     model = train(docs, labels, domains, id_col, text_col, sample)
@@ -308,6 +313,9 @@ def mix(
         sums = judged.agg(F.sum("tokens").alias("n"), *[F.sum(F.col("tokens") * F.col(f"p{i}") / STEPS).alias(f"m{i}") for i in range(len(domains))]).first()
         wanted = wanted * np.array([(sums[f"m{i}"] or 0.0) / (sums["n"] or 1) for i in range(len(domains))])
     rates, reached = fit_rates(judged, wanted, most=most)
+    missed = {d: (round(float(r), 4), round(float(w), 4)) for d, r, w in zip(domains, reached, wanted, strict=True) if abs(r - w) > TOLERANCE}
+    if missed and reached.any():
+        warnings.warn(f"totals (reached, wanted) that no rates up to {most} meet: {missed}", stacklevel=2)
     out = with_rates(judged, rates, len(domains))
     copies = F.floor("rate") + (draw("_id", "_t1", "_t2") < F.col("rate") - F.floor("rate")).cast("long")
     out = out.withColumn("copies", copies)

@@ -1,6 +1,7 @@
 """Url rules and aliases, WARC archives, mixing, and the pipeline."""
 
 import gzip
+import random
 
 import numpy as np
 import pytest
@@ -190,8 +191,21 @@ def test_pipeline_stages(spark):
     assert sorted(r.doc_id for r in near.collect()) == sorted(left) and near.columns == extra.columns
     mixed = corpus_pipeline.mixing(spark, near, BASE)
     assert set(r.doc_id for r in mixed.collect()) <= set(left) and mixed.columns == extra.columns
-    coded = corpus_pipeline.bpe(spark, mixed, BASE)
-    assert coded.count() == mixed.count()
+    coded = {r.doc_id: r for r in corpus_pipeline.bpe(spark, mixed, BASE).collect()}
+    assert len(coded) == mixed.count() and all(len(r.ids) == r.n_tokens for r in coded.values())
+
+
+def test_jaccard_stage_keeps_other_texts_of_an_id(spark):
+    rng = random.Random(8)
+    a, b, c, d = (" ".join(f"{w}{rng.randrange(10**6)}" for _ in range(80)) for w in "abcd")
+    rows = [(3, a), (5, a + " end"), (5, b), (5, b), (8, b + " end"), (9, c), (9, c + " end"), (None, c), (None, d), (None, d), (7, None), (7, ""), (7, "x")]
+    docs = spark.createDataFrame([(*r, "en") for r in rows], "doc_id bigint, text string, lang string")
+    got = sorted(((r.doc_id, r.text) for r in corpus_pipeline.jaccard(spark, docs, BASE).collect()), key=str)
+    nine = [t for i, t in got if i == 9]
+    assert len(nine) == 1 and nine[0] in (c, c + " end")
+    empty = [t for i, t in got if i == 7 and not t]
+    assert len(empty) == 1
+    assert [r for r in got if r[0] != 9 and r[1]] == sorted([(3, a), (5, b), (None, d), (7, "x")], key=str)
 
 
 def test_pipeline_on_odd_tables(spark):
