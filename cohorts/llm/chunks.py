@@ -19,8 +19,10 @@ from cohorts.session import materialize
 
 # A cut looks at the hash of GEAR bytes; it is the highest of REACH places on either side.
 GEAR, REACH = 16, 24
-# Runs of shared chunks below so many words are left alone.
-MIN_WORDS = 12
+# Bytes between cuts in a stretch that repeats itself.
+PIECE = 48
+# Runs of shared chunks of fewer words are left alone, unless they have so many bytes (scripts without blanks).
+MIN_WORDS, MIN_BYTES = 12, 160
 # Bytes of text that are hashed at a time.
 BLOCK = 1 << 22
 # A number for each byte value, from a fixed digest.
@@ -52,14 +54,18 @@ def _highest(value: np.ndarray, size: int) -> np.ndarray:
     return np.maximum(value[:-rest], value[rest:]) if rest else value
 
 
-def cuts(data: np.ndarray) -> np.ndarray:
-    """Places where a chunk ends, by content within GEAR + 2 * REACH bytes alone; character borders of UTF-8.
+def cuts(data: np.ndarray, ends: np.ndarray | None = None) -> np.ndarray:
+    """Places where a chunk ends, by content alone; character borders of UTF-8. ``ends`` are the ends of the texts in ``data``.
 
-    The hash there is higher than at the REACH places before and no lower than at the REACH places after, so an
-    insertion moves only the cuts next to it, chunks are longer than REACH bytes, and uniform stretches aren't cut.
+    A candidate's hash is no lower than those at the REACH places on either side, all of its own text. Candidates within
+    REACH of each other are equal and stand in a stretch that repeats itself, at the same place of every repeat: of such a
+    series the first counts, and from there the first in every PIECE bytes. So an insertion moves only the cuts next to
+    it, chunks are longer than REACH bytes, and a repeating stretch falls into equal pieces, whatever its neighbours are.
     """
-    found = []
-    margin = GEAR - 1 + REACH
+    ends = np.array([len(data)]) if ends is None else ends
+    starts = np.concatenate(([0], ends[:-1]))
+    found, margin = [], GEAR - 1 + REACH
+    last = first = owner = -1
     for start in range(0, len(data), BLOCK):
         low, high = max(0, start - margin), min(len(data), start + BLOCK + REACH)
         if high - low <= margin + REACH:
@@ -68,12 +74,25 @@ def cuts(data: np.ndarray) -> np.ndarray:
         around = _highest(value, REACH)
         mid = value[REACH : len(value) - REACH]
         before, after = around[: len(mid)], around[REACH + 1 : REACH + 1 + len(mid)]
-        found.append(np.flatnonzero((mid > before) & (mid >= after)) + low + margin + 1)
-    out = np.unique(np.concatenate(found)) if found else np.zeros(0, dtype=np.int64)
+        places = np.flatnonzero((mid >= before) & (mid >= after)) + low + margin + 1
+        texts = np.searchsorted(ends, places, side="right")
+        # what a place looked at is of its own text, even after a step of three bytes to a character's border
+        inside = texts < len(ends)
+        places, texts = places[inside], texts[inside]
+        inside = (places > starts[texts] + margin) & (places + REACH + 3 < ends[texts])
+        places, texts = places[inside], texts[inside]
+        if not len(places):
+            continue
+        earlier = np.concatenate(([last], places[:-1]))
+        fresh = (places - earlier > REACH) | (texts != np.concatenate(([owner], texts[:-1])))
+        begun = np.maximum.accumulate(np.where(fresh, np.arange(1, len(places) + 1), 0))
+        origin = np.where(begun > 0, places[begun - 1], first)
+        found.append(places[fresh | ((places - origin) // PIECE > (earlier - origin) // PIECE)])
+        last, first, owner = places[-1], origin[-1], texts[-1]
+    out = np.concatenate(found) if found else np.zeros(0, dtype=np.int64)
     for _ in range(3):
-        inner = out[out < len(data)]
-        out[: len(inner)] += (data[inner] & 0xC0) == 0x80
-    return np.unique(out[out < len(data)])
+        out = out + ((data[out] & 0xC0) == 0x80)
+    return np.unique(out)
 
 
 CHUNKS = "_id bigint, _t bigint, at int, size int, words int, h1 bigint, h2 bigint"
@@ -85,11 +104,7 @@ def chunk_texts(raws: list[bytes]) -> tuple[np.ndarray, ...]:
     data = np.frombuffer(joined, dtype=np.uint8)
     ends = np.cumsum([len(r) for r in raws])
     starts = ends - [len(r) for r in raws]
-    inside = cuts(data)
-    owner = np.searchsorted(ends, inside, side="right")
-    # a cut counts if all it looked at is of its own text, even after a step of three bytes to a character's border
-    whole = (inside - 3 > starts[owner] + GEAR - 1 + REACH) & (inside + REACH < ends[owner])
-    edges = np.concatenate((starts, inside[whole], ends[-1:]))
+    edges = np.concatenate((starts, cuts(data, ends), ends[-1:]))
     edges.sort()
     blank = (data == 32) | ((data >= 9) & (data <= 13))
     begins = ~blank
@@ -135,8 +150,10 @@ def text_key(raw: bytes) -> int:
     return xxhash.xxh3_64_intdigest(raw) - (1 << 63)
 
 
-def shared_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
-    """``(_id, _t, at, size, words, first_id)``: chunks in runs of at least ``min_words`` words that other documents hold too.
+def shared_chunks(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS, min_bytes: int = MIN_BYTES
+) -> DataFrame:
+    """``(_id, _t, at, size, words, first_id)``: chunks that other documents hold too, in runs of ``min_words`` words or ``min_bytes`` bytes.
 
     A row per place: byte offset and size in the document's UTF-8 text. ``first_id`` is the smallest id with the chunk. Digests are counted by
     partial aggregates of lowest and highest id, so a chunk that a third of all rows share is no hot group;
@@ -163,8 +180,10 @@ def shared_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     hits = hits.withColumn("_run", F.sum("_fresh").over(by_place.rowsBetween(Window.unboundedPreceding, 0)))
     copies = F.count(F.lit(1)).over(Window.partitionBy("_id", "_t", "at"))
     hits = hits.withColumn("_copies", copies)
-    total = F.sum(F.col("words") / F.col("_copies")).over(Window.partitionBy("_id", "_t", "_run"))
-    kept = hits.withColumn("_total", total).where(F.col("_total") > min_words - 0.5)
+    run = Window.partitionBy("_id", "_t", "_run")
+    words, size = [F.sum(F.col(c) / F.col("_copies")).over(run) for c in ("words", "size")]
+    kept = hits.withColumn("_words", words).withColumn("_bytes", size)
+    kept = kept.where((F.col("_words") > min_words - 0.5) | (F.col("_bytes") > min_bytes - 0.5))
     return kept.select("_id", "_t", "at", "size", "words", "first_id").distinct()
 
 

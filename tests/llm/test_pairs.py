@@ -99,6 +99,37 @@ def test_signatures_meet_at_the_threshold():
                 assert len(np.intersect1d(rule.signatures(a_set), rule.signatures(b_set))), (percent, n, grown, lost)
 
 
+def test_chunks_of_repeating_stretches_and_of_texts_without_blanks(spark):
+    """Equal stretches are found whatever stands around them; scripts without blanks count by bytes."""
+    rng = random.Random(8)
+    word = lambda n: "".join(rng.choices("abcdefghij", k=n))
+    stretches = ["no " * 120, "=" * 400, "ab, cd; " * 60, "".join(chr(rng.randrange(0x4E00, 0x9FA0)) for _ in range(600)), "漢" * 300]
+    rows = []
+    for i, stretch in enumerate(stretches):
+        rows += [(2 * i + k, " ".join(word(5) for _ in range(40 + 9 * k)) + " " + stretch + " ".join(word(6) for _ in range(30))) for k in range(2)]
+    rows.append((50, " ".join(word(5) for _ in range(200))))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r._id: r for r in chunks.repeats(docs).collect()}
+    assert sorted(got) == list(range(2 * len(stretches)))
+    for i, stretch in enumerate(stretches):
+        for k in range(2):
+            found = sum(e - s for s, e in got[2 * i + k].spans)
+            assert found >= len(stretch.encode()) - 3 * chunks.PIECE - 2 * chunks.REACH, (i, k)
+    left = {r.doc_id: r.text for r in chunks.drop_repeats(docs).collect()}
+    assert all(left[i] == dict(rows)[i] for i in range(0, 10, 2)) and all(len(left[i]) < len(dict(rows)[i]) - 100 for i in range(1, 10, 2))
+
+
+def test_cuts_of_a_series_do_not_depend_on_blocks(monkeypatch):
+    data = np.frombuffer(("xyz " * 900 + "q1w2e3r4t5 lorem ipsum dolor " * 3 + "aa" * 2000).encode(), dtype=np.uint8)
+    whole = chunks.cuts(data)
+    assert 120 < len(whole) and (np.diff(whole) > chunks.REACH).all() and (np.diff(whole) <= 4 * chunks.PIECE).all()
+    for block in (101, 777, 4096):
+        monkeypatch.setattr(chunks, "BLOCK", block)
+        assert (chunks.cuts(data) == whole).all()
+    twice = chunks.cuts(np.concatenate((data, data)), np.array([len(data), 2 * len(data)]))
+    assert (twice == np.concatenate((whole, whole + len(data)))).all()
+
+
 def test_chunks_follow_content():
     rng = random.Random(5)
     vocabulary = [f"{rng.choice(['ab', 'cé', 'def', 'ghij'])}{i}" for i in range(500)]
