@@ -25,8 +25,9 @@ TARGETS = {"good": 0.90, "poor": 0.08, "toxic": 0.02}
 SAMPLE, MIN_DOCS, MAX_WORDS = 6_000, 4, 50_000
 # Posteriors are rounded to this many steps, so equal ones can be counted together.
 STEPS = 1000
-# Pull of rates to one; step limit and change of totals (share of all tokens) at which rates are settled.
-RIDGE, MAX_STEPS, SETTLED = 1e-3, 60, 1e-5
+# Pull of rates to one; step limit; rates are settled when their distance from the best ones is proven to be no more
+# than this (root of the mean square over all tokens).
+RIDGE, MAX_STEPS, SETTLED = 1e-3, 600, 0.01
 # Distance of a reached total from its target (share of all tokens) that gives a warning.
 TOLERANCE = 0.005
 
@@ -202,16 +203,18 @@ class Rates:
         self.step, self.ridge, self.most = step, ridge, most
         self.pulls: list[tuple[np.ndarray, float]] = []
 
-    def of(self, p: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Rates, and the points ahead of them at which the next gradient is taken."""
+    def of(self, p: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Rates, the points ahead of them at which the next gradient is taken, and how the last step moved: from its point, from its rates."""
         rate = ahead = np.ones(len(p))
+        off = by = np.zeros(len(p))
         for pull, momentum in self.pulls:
             moved = np.maximum(0.0, ahead - self.step * (p @ pull + self.ridge * (ahead - 1)))
             if self.most is not None:
                 moved = np.minimum(moved, self.most)
-            ahead = moved + momentum * (moved - rate)
+            off, by = ahead - moved, moved - rate
+            ahead = moved + momentum * by
             rate = moved
-        return rate, ahead
+        return rate, ahead, off, by
 
 
 def fit_rates(
@@ -222,7 +225,10 @@ def fit_rates(
     ``posteriors`` holds ``tokens`` and ``p0``, ``p1``, ... in steps. Minimises the squared distance of totals from targets, each weighed
     by the larger of its target and its natural total, plus ``ridge`` times the token-weighed squared distance of rates from one,
     over rates of at least zero (and at most ``most``). Documents of equal posterior get equal rates, so tokens are first added up by
-    posterior; a step is then one distributed pass over those sums, and only the totals of the domains return.
+    posterior; a step is then one distributed pass over those sums, and only a few totals return.
+
+    Steps have momentum, which starts anew when a step turns against it. The ridge makes the objective strongly convex, so the
+    length of a step bounds the distance from the best rates; steps end when that bound is SETTLED, and running out of them gives a warning.
     """
     k = len(targets)
     names = [f"p{i}" for i in range(k)]
@@ -242,32 +248,32 @@ def fit_rates(
     root = np.sqrt(importance)
     rates = Rates(1 / (np.linalg.eigvalsh(root[:, None] * gram * root[None, :])[-1] + ridge), ridge, most)
 
-    def totals() -> tuple[np.ndarray, np.ndarray]:
+    def totals() -> tuple[np.ndarray, np.ndarray, float, float]:
         sent = cells.sparkSession.sparkContext.broadcast(rates)
 
         def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            now, ahead = np.zeros(k), np.zeros(k)
+            sums = np.zeros(2 * k + 2)
             for batch in batches:
                 p = np.column_stack([batch.column(i).to_numpy() for i in range(k)]) / STEPS
                 tokens = batch.column(k).to_numpy() / everything
-                rate, point = sent.value.of(p)
-                now += (tokens * rate) @ p
-                ahead += (tokens * point) @ p
-            yield pa.RecordBatch.from_arrays([pa.array([now.tolist()]), pa.array([ahead.tolist()])], names=["now", "ahead"])
+                rate, point, off, by = sent.value.of(p)
+                sums += np.concatenate(((tokens * rate) @ p, (tokens * point) @ p, [tokens @ off**2, tokens @ (off * by)]))
+            yield pa.RecordBatch.from_arrays([pa.array([sums.tolist()])], names=["sums"])
 
-        rows = cells.select(*names, "tokens").mapInArrow(add, "now array<double>, ahead array<double>")
-        sums = rows.agg(*[F.sum(F.col(c)[i]).alias(f"{c}{i}") for c in ("now", "ahead") for i in range(k)]).first()
-        return np.array([sums[f"now{i}"] for i in range(k)]), np.array([sums[f"ahead{i}"] for i in range(k)])
+        rows = cells.select(*names, "tokens").mapInArrow(add, "sums array<double>")
+        found = np.array(rows.agg(*[F.sum(F.col("sums")[i]) for i in range(2 * k + 2)]).first(), dtype=float)
+        sent.unpersist()
+        return found[:k], found[k : 2 * k], float(found[-2]), float(found[-1])
 
-    now, ahead = totals()
+    now, ahead, _, _ = totals()
     weight = 1.0
     for _ in range(max_steps):
         following = (1 + np.sqrt(1 + 4 * weight**2)) / 2
         rates.pulls.append(((ahead - targets) * importance, (weight - 1) / following))
-        weight, before = following, now
-        now, ahead = totals()
-        if len(rates.pulls) > 3 and np.abs(now - before).max() <= SETTLED:
+        now, ahead, off, turn = totals()
+        if (2 / ridge + rates.step) * np.sqrt(off) / rates.step <= SETTLED:
             break
+        weight = 1.0 if turn > 0 else following
     else:
         warnings.warn(f"rates did not settle in {max_steps} steps", stacklevel=2)
     return rates, now

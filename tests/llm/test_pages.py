@@ -2,6 +2,7 @@
 
 import gzip
 import random
+import warnings
 
 import numpy as np
 import pytest
@@ -160,6 +161,26 @@ def test_rates_are_the_least_squares(spark, most):
     assert mixing.fit_rates(df.limit(0), targets)[1].tolist() == [0, 0, 0]
 
 
+@pytest.mark.parametrize("most", [None, 1.0])
+def test_rates_settle_with_the_ridge_in_use(spark, most):
+    """Posteriors that overlap, targets that no rates meet: steps end by the proven distance from the best rates."""
+    rng = np.random.default_rng(14)
+    chances = rng.dirichlet([2.0, 0.5, 0.15], 60)
+    steps = np.array([rng.multinomial(mixing.STEPS, c) for c in chances])
+    tokens = rng.integers(1, 500, 60)
+    df = spark.createDataFrame([(int(t), *map(int, s)) for t, s in zip(tokens, steps)], "tokens bigint, p0 int, p1 int, p2 int")
+    p, share = steps / mixing.STEPS, tokens / tokens.sum()
+    targets = (share @ p) * np.array([1.02, 0.5, 0.05])
+    with warnings.catch_warnings():
+        warnings.simplefilter("error", UserWarning)
+        rates, _ = mixing.fit_rates(df, targets, most=most)
+    want = projected(p, tokens, targets, mixing.RIDGE, np.inf if most is None else most)
+    off = np.abs(rates.of(p)[0] - want)
+    assert np.sqrt(share @ off**2) <= mixing.SETTLED and off.max() < 0.1
+    with pytest.warns(UserWarning, match="did not settle"):
+        mixing.fit_rates(df, targets, most=most, max_steps=2)
+
+
 def test_mixing_reaches_targets_and_learns_labels(spark):
     docs, labels = mixing.table(spark, f"{TESTDATA}/sf0.01", "documents"), mixing.domain_labels(mixing.table(spark, f"{TESTDATA}/sf0.01", "labels"))
     out, reached = mixing.mix(docs.withColumn("rate", F.lit("clash")), labels, mixing.TARGETS, carry=["doc_id", "rate"])
