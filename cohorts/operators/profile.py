@@ -58,24 +58,23 @@ def describe(
 
 
 def describe_text(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Per text column: count, distinct values, most frequent value and its count; ties go to the smallest value."""
-    parts = []
-    for c in columns:
-        counts = df.where(col(c).isNotNull()).groupBy(col(c).alias("v")).agg(F.count(F.lit(1)).alias("n"))
-        parts.append(
-            counts.agg(
-                F.coalesce(F.sum("n"), F.lit(0)).alias("count"),
-                F.count(F.lit(1)).alias("unique"),
-                F.min(F.struct((-F.col("n")).alias("n"), "v")).alias("best"),
-            ).select(
-                F.lit(c).alias("column"), "count", "unique",
-                F.col("best.v").alias("top"), (-F.col("best.n")).alias("freq"),
-            )
-        )
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+    """Per text column: count, distinct values, most frequent value and its count; ties go to the smallest value.
+
+    One scan for all columns: cells are unpivoted and counted by column and value, on the map side first, so a frequent
+    value is one row a task when it is shuffled; the second step keeps one row a column and task.
+    """
+    cells = F.posexplode(F.array(*[col(c).cast("string") for c in columns])).alias("ord", "v")
+    counts = df.select(cells).where("v is not null").groupBy("ord", "v").agg(F.count(F.lit(1)).alias("n"))
+    found = counts.groupBy("ord").agg(
+        F.sum("n").alias("count"), F.count(F.lit(1)).alias("unique"), F.min(F.struct((-F.col("n")).alias("n"), "v")).alias("best")
+    )
+    # one row a column, also for those without values
+    names = df.sparkSession.createDataFrame(list(enumerate(columns)), "ord int, column string")
+    zero = F.lit(0).cast("bigint")
+    return names.join(F.broadcast(found), "ord", "left").select(
+        "column", F.coalesce("count", zero).alias("count"), F.coalesce("unique", zero).alias("unique"),
+        F.col("best.v").alias("top"), (-F.col("best.n")).alias("freq"),
+    )
 
 
 def describe_all(df: DataFrame, columns: list[str] | None = None) -> DataFrame:

@@ -241,6 +241,11 @@ def oracle_sql() -> dict[str, str]:
         "UNION ALL SELECT 'rows', CAST(count(*) FILTER (WHERE MINIMUM_PAYMENTS IS DISTINCT FROM 'TEXT') AS DOUBLE) FROM raw "
         "UNION ALL SELECT 'rejected', CAST(count(*) FILTER (WHERE MINIMUM_PAYMENTS = 'TEXT') AS DOUBLE) FROM raw",
     )
+    sql["p12_resume"] = with_(
+        raw,
+        "SELECT 'stages' AS item, 7.0E0 AS value UNION ALL SELECT 'filled_reports', 6.0E0 "
+        "UNION ALL SELECT 'same_labels', CAST(count(*) FILTER (WHERE MINIMUM_PAYMENTS IS DISTINCT FROM 'TEXT') AS DOUBLE) FROM raw",
+    )
     lab = "lab l JOIN mart m ON m.CUST_ID = l.CUST_ID"
     halves = "PURCHASES_TRX % 2 = 1 AND CREDIT_LIMIT IS NULL"
     sql["s8_stream_rejects"] = with_(

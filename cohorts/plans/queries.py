@@ -27,6 +27,7 @@ from cohorts.session import materialize, new_path
 from cohorts.sources import csv as csv_io
 from cohorts.sources import snapshot as snap
 from cohorts.sources import store
+from cohorts.sources.manifest import finished_stages
 from cohorts.sources.synthetic import synthetic_customers
 from cohorts.streaming.landing import read_rejects, read_scored, read_summary, score_landing
 
@@ -916,3 +917,22 @@ def q_train_facts(spark, base):
     root = new_path(spark, "runs")
     result = train(spark, [source], root, "run-1", TrainConfig(eps=EPS, min_samples=MIN_SAMPLES))
     return run_summary(spark, result).where("item <> 'inertia'").drop("run_id")
+
+
+@query("p12_resume")
+def q_resume(spark, base):
+    """A finished run is resumed: its stages, its reports that have rows, and its stored labels that its stored model gives again."""
+    source = csv_io.write_csv(defective(customer_mart(spark, base)), new_path(spark, "csv"))
+    root = new_path(spark, "runs")
+    config = TrainConfig(eps=EPS, min_samples=MIN_SAMPLES, max_k=3, silhouette="squared")
+    train(spark, [source], root, "run-1", config)
+    result = train(spark, [source], root, "run-1", config, resume=True)
+    stages = finished_stages(spark, root, "run-1").agg(F.lit("stages").alias("item"), F.count(F.lit(1)).cast("double").alias("value"))
+    filled = sum(spark.read.text(path).limit(1).count() for path in result.reports.values())
+    reports = spark.createDataFrame([("filled_reports", float(filled))], "item string, value double")
+    good, _ = val.split_bad_rows(snap.read_snapshot(spark, f"{root}/ingested", "run-1"), EXPECTED_TYPES, KEY)
+    params, model = store.load_model(spark, result.model_path)
+    again = sc.score(prep.as_numbers(good, FEATURES), params, model).select(KEY, F.col(LABEL).alias("again"))
+    stored = store.labels_of(spark, root, "run-1", "KMeans").join(again, KEY)
+    same = stored.agg(F.lit("same_labels").alias("item"), F.sum((F.col(LABEL) == F.col("again")).cast("double")).alias("value"))
+    return stages.unionByName(reports).unionByName(same)

@@ -100,14 +100,14 @@ def labels_of(spark: SparkSession, root: str, run_id: str, model: str) -> DataFr
 POINTER_SCHEMA = "sequence bigint, version string, path string"
 
 
-def publish(spark: SparkSession, model_path: str, serving_root: str, version: str) -> str:
+def publish(spark: SparkSession, model_path: str, serving_root: str, version: str, replace: bool = False) -> str:
     """Copy a run's tables to the serving area, then point to them.
 
     A version's folder is written once and never changed; publishing a name again is refused. The pointer is
-    written last, so a reader finds either the old or the new version.
+    written last, so a reader finds either the old or the new version. ``replace`` is for a copy that was cut off before its pointer.
     """
     target = f"{serving_root.rstrip('/')}/versions/{version}"
-    if path_exists(spark, target):
+    if path_exists(spark, target) and not replace:
         raise FileExistsError(f"version {version} is published already; point_to serves it again")
     params, model = load_model(spark, model_path)
     save_model(spark, params, model, target)

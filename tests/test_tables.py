@@ -13,12 +13,14 @@ from cohorts.operators import score as sc
 from cohorts.operators import validate as val
 from cohorts.operators.kmeans import KMeansFit
 from cohorts.operators.quantiles import exact_quantiles, values_at
+from cohorts.plans import train as training
 from cohorts.plans.batch import score_file
 from cohorts.plans.train import ValidationFailed, train
-from cohorts.schema import EXPECTED_TYPES, FEATURES
+from cohorts.schema import EXPECTED_TYPES, FEATURES, TrainConfig
 from cohorts.session import materialize, new_path, own_scratch
 from cohorts.sources import store
 from cohorts.sources.csv import cast_columns, read_csv, write_csv
+from cohorts.sources.manifest import finished_stages, input_fingerprint
 from cohorts.sources.snapshot import first_existing, path_exists
 from cohorts.sources.synthetic import generate_customers
 
@@ -191,6 +193,67 @@ def test_train_publish_and_score(spark):
     assert set(cast_columns(customers).columns) <= set(EXPECTED_TYPES)
 
 
+def test_resumed_run_skips_finished_stages(spark, monkeypatch):
+    """A run killed after the fit goes on with the evaluation, by the parameters and centres it had stored."""
+    source = write_csv(generate_customers(spark, 300), new_path(spark, "csv"))
+    root = new_path(spark, "runs")
+    config = TrainConfig(max_k=3, silhouette="squared")
+
+    def killed(*args, **kwargs):
+        raise KeyboardInterrupt
+
+    def names(run):
+        return {r["stage"] for r in finished_stages(spark, root, run).collect()}
+
+    before = {"inputs", "snapshot", "validation", "rejected", "params", "profiles", "model"}
+    with monkeypatch.context() as cut:
+        cut.setattr(training, "evaluate_clusterings", killed)
+        with pytest.raises(KeyboardInterrupt):
+            train(spark, [source], root, "r", config, f"{root}/serving")
+    assert names("r") == before
+    params, model = store.load_model(spark, f"{root}/model/run_id=r")
+    with monkeypatch.context() as cut:
+        for part in ("snapshot", "profile_report"):
+            cut.setattr(training, part, killed)
+        cut.setattr(training.km, "fit_kmeans", killed)
+        cut.setattr(training.prep, "fit_preprocessor", killed)
+        cut.setattr(training, "publish", killed)
+        with pytest.raises(KeyboardInterrupt):
+            train(spark, [source], root, "r", config, f"{root}/serving", resume=True)
+    assert names("r") == before | {"evaluation"}
+    store.save_model(spark, params, model, f"{root}/serving/versions/r")  # a copy without a pointer
+    with monkeypatch.context() as cut:
+        cut.setattr(training, "evaluate_clusterings", killed)
+        resumed = train(spark, [source], root, "r", config, f"{root}/serving", resume=True)
+        again = train(spark, [source], root, "r", config, f"{root}/serving", resume=True)
+    assert resumed == again and store.pointers(spark, f"{root}/serving").count() == 1
+    assert (resumed.params, resumed.model) == (params, model) and resumed.rejected == 0
+    assert all(spark.read.json(path).count() > 0 for path in resumed.reports.values())
+    curve = {r["k"]: r["sse"] for r in spark.read.json(resumed.reports["elbow"]).collect()}
+    assert curve[3] == pytest.approx(model.inertia)
+    with pytest.raises(KeyboardInterrupt), monkeypatch.context() as cut:  # other settings start from the beginning
+        cut.setattr(training, "snapshot", killed)
+        train(spark, [source], root, "r", TrainConfig(max_k=4, silhouette="squared"), resume=True)
+    assert names("r") == {"inputs"}
+    one, other = [input_fingerprint(spark, p, {}) for p in (source, write_csv(generate_customers(spark, 300), new_path(spark, "csv")))]
+    assert one == input_fingerprint(spark, source, {}) != other
+
+
+def test_describe_text_reads_once(spark):
+    """All text columns in one scan; ties go to the smallest value, a column without values has a row, a hot value is added up before the shuffle."""
+    rows = [(f"v{i % 40}", "hot" if i % 3 else f"x{i}", None, i % 2 == 0) for i in range(3000)] + [(None, None, None, None)]
+    df = spark.createDataFrame(rows, "a string, b string, `c d` string, e boolean")
+    out = prof.describe_text(df, df.columns)
+    assert [tuple(r) for r in out.orderBy("column").collect()] == [
+        ("a", 3000, 40, "v0", 75), ("b", 3000, 1001, "hot", 2000), ("c d", 0, 0, None, None), ("e", 3000, 2, "false", 1500)
+    ]
+    path = new_path(spark, "texts")
+    df.write.parquet(path)
+    plan = prof.describe_text(spark.read.parquet(path), df.columns)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") == 1
+    assert prof.describe_text(df.limit(0), ["a", "b"]).orderBy("column").collect() == [("a", 0, 0, None, None), ("b", 0, 0, None, None)]
+
+
 @pytest.mark.parametrize("direct", [10**6, 0])
 def test_quantile_branches_agree_on_infinity(spark, direct):
     df = numbers(spark, 0.0, 1.0, 2.0, 3.0, math.inf)
