@@ -277,3 +277,29 @@ def test_pointers_of_writers_at_the_same_time(spark, monkeypatch):
     with pytest.raises(RuntimeError):
         monkeypatch.setattr(store, "_last_pointer", lambda spark, folder: 0)
         store.point_to(spark, serving, "v1", tries=2)
+
+
+def test_leaves_sent_grow_with_rows_and_not_with_pairs(spark, monkeypatch):
+    """Sparse rows, all in question: a leaf goes to at most eight tiles a side, whatever the number of leaves near it."""
+    from cohorts.operators import blocks
+
+    sent, leaves, dealt, pack = [], [], blocks.dealt, blocks.pack
+
+    def counted(*args, **options):
+        together, parts = dealt(*args, **options)
+        sent.append(together.count())
+        return together, parts
+
+    def packed(*args):
+        out = pack(*args)
+        leaves.append(out[0].count())
+        return out
+
+    monkeypatch.setattr(blocks, "dealt", counted)
+    monkeypatch.setattr("cohorts.operators.dbscan.pack", packed)
+    x = np.random.default_rng(8).uniform(size=(6000, 4))
+    df, features = frame(spark, x)
+    got = labels_of(dbscan(df, features, 0.18, 12, broadcast_cells=0))
+    np.testing.assert_array_equal(got, brute.dbscan(x, 0.18, 12))
+    assert (got == -1).any() and len(sent) == 3
+    assert max(sent) <= 16 * leaves[0]
