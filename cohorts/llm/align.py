@@ -85,7 +85,7 @@ def tokens(text: str | None, a_path: str, b_path: str) -> tuple[np.ndarray, np.n
     model, raw, b_sizes = pieces(b_path)
     whole = (" " + text).encode()
     b = model.encode(text, num_threads=1)
-    if b"".join([raw[i] for i in b]) != whole:
+    if b"".join(map(raw.__getitem__, b)) != whole:
         return None
     a = encode(by_rank, " " + text)
     if by_rank.decode_bytes(a) != whole:
@@ -94,6 +94,10 @@ def tokens(text: str | None, a_path: str, b_path: str) -> tuple[np.ndarray, np.n
     return a, np.cumsum(a_sizes[a]), b, np.cumsum(b_sizes[b])
 
 
+def lengths(ends: np.ndarray) -> np.ndarray:
+    return np.concatenate([ends[:1], ends[1:] - ends[:-1]])
+
+
 def partition(a: np.ndarray, b: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
     """Cuts of two sorted lists into pieces of ``size`` merged elements: positions in ``a`` and in ``b``.
 
@@ -201,18 +205,16 @@ def small_batches(spark: SparkSession) -> Iterator[None]:
             spark.conf.unset(name) if value is None else spark.conf.set(name, value)
 
 
-INTS = pa.list_(pa.int32())
+# Tokens are one cell of bytes each (32-bit numbers), which readers and writers copy as a whole.
 TOKEN_FIELDS = [
     ("_row", pa.int64()), ("piece", pa.int32()), ("n_pieces", pa.int32()), ("n_a", pa.int32()), ("n_b", pa.int32()),
-    ("a_ids", INTS), ("a_steps", INTS), ("b_ids", INTS), ("b_steps", INTS),
+    ("a_ids", pa.binary()), ("a_steps", pa.binary()), ("b_ids", pa.binary()), ("b_steps", pa.binary()),
 ]
-TOKEN_DDL = "_row long, piece int, n_pieces int, n_a int, n_b int, a_ids array<int>, a_steps array<int>, b_ids array<int>, b_steps array<int>"
+TOKEN_DDL = "_row long, piece int, n_pieces int, n_a int, n_b int, a_ids binary, a_steps binary, b_ids binary, b_steps binary"
 
 
-def _lists(rows: list[np.ndarray]) -> pa.Array:
-    offsets = np.cumsum([0, *map(len, rows)]).astype(np.int32)
-    values = np.concatenate(rows).astype(np.int32) if rows else np.zeros(0, dtype=np.int32)
-    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))
+def _cells(rows: list[np.ndarray]) -> pa.Array:
+    return pa.array([r.astype("<i4").tobytes() for r in rows], type=pa.binary())
 
 
 def _file(path: str, sent: bool) -> str:
@@ -229,6 +231,9 @@ def _tokenizer(a_path: str, a_sent: bool, b_path: str, b_sent: bool, size: int)
             yield row, 0, 1, 0, 0, none, none, none, none
             return
         a, a_ends, b, b_ends = found
+        if len(a) + len(b) <= size:
+            yield row, 0, 1, len(a), len(b), a, lengths(a_ends), b, lengths(b_ends)
+            return
         i, j = partition(a_ends, b_ends, size)
         for k in range(len(i) - 1):
             one, two = slice(i[k], i[k + 1] + 1), slice(j[k], j[k + 1] + 1)
@@ -240,7 +245,7 @@ def _tokenizer(a_path: str, a_sent: bool, b_path: str, b_sent: bool, size: int)
         columns = list(zip(*rows, strict=True))
         arrays = [pa.array(ids, type=field.type)]
         arrays += [pa.array(c, type=kind) for c, (_, kind) in zip(columns[:5], TOKEN_FIELDS[:5], strict=True)]
-        arrays += [_lists(c) for c in columns[5:]]
+        arrays += [_cells(c) for c in columns[5:]]
         return pa.RecordBatch.from_arrays(arrays, schema=pa.schema([field, *[pa.field(*f) for f in TOKEN_FIELDS]]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -263,12 +268,9 @@ def _tokenizer(a_path: str, a_sent: bool, b_path: str, b_sent: bool, size: int)
 def _merged(batch: pa.RecordBatch, first: int) -> Iterator[tuple[int, Merged, int, int]]:
     """The pieces of a batch, merged; ``first`` is the place of the column ``_row``."""
     n_a, n_b = batch.column(first + 3).to_numpy(), batch.column(first + 4).to_numpy()
-    cells = []
-    for k in range(first + 5, first + 9):
-        column = batch.column(k)
-        cells.append((column.offsets.to_numpy(), column.values.to_numpy()))
+    cells = [batch.column(k) for k in range(first + 5, first + 9)]
     for k in range(batch.num_rows):
-        parts = [values[offsets[k] : offsets[k + 1]].astype(np.int64) for offsets, values in cells]
+        parts = [np.frombuffer(c[k].as_buffer(), dtype="<i4").astype(np.int64) for c in cells]
         yield k, merge(*parts, int(n_a[k]), int(n_b[k])), int(n_a[k]), int(n_b[k])
 
 

@@ -6,6 +6,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 from pyspark.sql import functions as F
@@ -132,3 +133,20 @@ def test_ranks_give_the_ids_of_the_library(libraries):
         assert by_rank.encode_ordinary(text) == libraries[0].encode(text, add_special_tokens=False).ids, repr(text)
     every = [by_rank.decode_single_token_bytes(i) for i in range(by_rank.n_vocab - 1)]
     assert all(by_rank._encode_single_piece(raw) == [i] for i, raw in enumerate(every))
+
+
+def test_tokens_travel_as_bytes(libraries):
+    """A piece's tokens are four cells of bytes, whatever their number, and come back as they were cut."""
+    a_path, b_path = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    texts = ["", "plain words of one piece", "many words that fill several pieces " * 40]
+    rows = pa.RecordBatch.from_arrays([pa.array([7, 8, 9]), pa.array([0, 1, 2]), pa.array(texts)], names=["_id", "_row", "_text"])
+    for batch in align._tokenizer(a_path, False, b_path, False, 64)(iter([rows])):
+        assert not [f.name for f in batch.schema if pa.types.is_list(f.type)]
+        ids = {}
+        for k, m, n_a, n_b in align._merged(batch, 1):
+            known = ids.setdefault(batch.column(0)[k].as_py(), ([], []))
+            known[0].extend(m.a[:n_a].tolist())
+            known[1].extend(m.b[:n_b].tolist())
+        for row, text in zip((7, 8, 9), texts, strict=True):
+            found = align.tokens(text, a_path, b_path)
+            assert ids[row] == (([], []) if found is None else (found[0].tolist(), found[2].tolist()))
