@@ -1,8 +1,9 @@
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
-from cohorts.functions import rounds
+from cohorts.functions import kernels, rounds
 from cohorts.functions.skew import hot_keys, lookup, numbered
 from cohorts.operators import kmeans as km
 from cohorts.operators import metrics as met
@@ -303,3 +304,29 @@ def test_leaves_sent_grow_with_rows_and_not_with_pairs(spark, monkeypatch):
     np.testing.assert_array_equal(got, brute.dbscan(x, 0.18, 12))
     assert (got == -1).any() and len(sent) == 3
     assert max(sent) <= 16 * leaves[0]
+
+
+def test_tiles_share_tasks(spark):
+    """Tasks are as many as the cores can take, however many tiles there are."""
+    rows = [(i % 3, i % 50 + 0.25 * (i % 7)) for i in range(2000)]
+    df = spark.createDataFrame(rows, "label int, x double").withColumn("y", F.hash("x", "label") % 97)
+    folded = df.selectExpr("x", "cast(y as double) as y", "label as _label", "1L as w", "xxhash64(x, y) as _spread").distinct()
+    cut, count = met._blocks(folded, ["_label", "_spread"], ["x", "y"], {"_label": "int", "w": "bigint"}, 4, "blocks")
+    tiles = met._tiles(cut, count, 1000, ["xs as xa"], ["xs as xb"])
+    assert tiles.count() == count * (count + 1) // 2 > met.TASKS_PER_CORE * spark.sparkContext.defaultParallelism
+    assert tiles.rdd.getNumPartitions() <= met.TASKS_PER_CORE * spark.sparkContext.defaultParallelism
+
+
+def test_distance_sums_of_near_and_far_rows():
+    """Distances of rows that nearly coincide far from the middle are those summed feature by feature."""
+    rng = np.random.default_rng(3)
+    x, y = 1e6 + rng.normal(size=(70, 3)), 1e6 + rng.normal(size=(45, 3))
+    y[:20] = x[:20] + 1e-3 * rng.normal(size=(20, 3))
+    la, lb, wa, wb = rng.integers(0, 3, 70), rng.integers(0, 3, 45), rng.integers(1, 4, 70), rng.integers(1, 4, 45)
+    tile = {"a": [0], "b": [1], "xa": [x.ravel()], "xb": [y.ravel()], "la": [la], "lb": [lb], "wa": [wa], "wb": [wb]}
+    (found,) = kernels.distance_sums(3, 32)(iter([pd.DataFrame(tile)]))
+    gap = np.sqrt(np.square(x[:, None] - y[None]).sum(axis=2))
+    for block, other, size, sums in found.itertuples(index=False):
+        weight = np.where((la if block else lb) == other, wa if block else wb, 0)
+        np.testing.assert_allclose(sums, (gap.T if block else gap) @ weight, rtol=1e-9)
+        assert size == weight.sum()
