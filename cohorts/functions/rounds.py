@@ -58,10 +58,12 @@ def distances(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
         middle = centres.mean(axis=0)
         x, centres = x - middle, centres - middle
         return np.maximum(np.square(x).sum(axis=1)[:, None] + (np.square(centres).sum(axis=1) - 2 * x @ centres.T), 0.0)
-    out = np.zeros((len(x), len(centres)))
-    for i in range(x.shape[1]):
-        out += np.square(x[:, i, None] - centres[:, i])
-    return out
+    out, step = np.zeros((len(centres), len(x))), np.empty((len(centres), len(x)))
+    for column, middle in zip(np.ascontiguousarray(x.T), centres.T, strict=True):
+        np.subtract(column, middle[:, None], out=step)
+        step *= step
+        out += step
+    return out.T
 
 
 def nearest(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
@@ -144,8 +146,10 @@ def bounder(centres: dict[int, np.ndarray], p: int):
             d = np.sqrt(distances(x, centres[k]))
             own[:, at] = d.argmin(axis=1)
             if d.shape[1] > 1:
-                two = np.partition(d, 1, axis=1)
-                margin[:, at] = two[:, 1] - two[:, 0] - SLACK * (1 + two[:, 1])
+                one = d.min(axis=1)
+                d[np.arange(len(d)), own[:, at]] = np.inf
+                two = d.min(axis=1)
+                margin[:, at] = two - one - SLACK * (1 + two)
             else:
                 margin[:, at] = np.inf
         order = np.argsort(margin.min(axis=1), kind="stable")

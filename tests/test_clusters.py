@@ -330,3 +330,14 @@ def test_distance_sums_of_near_and_far_rows():
         weight = np.where((la if block else lb) == other, wa if block else wb, 0)
         np.testing.assert_allclose(sums, (gap.T if block else gap) @ weight, rtol=1e-9)
         assert size == weight.sum()
+
+
+def test_round_distances_are_plain_sums_centre_by_centre():
+    """Each centre's distances lie side by side, and are to the last digit those summed feature by feature."""
+    rng = np.random.default_rng(5)
+    x, centres = rng.normal(size=(300, 7)), rng.normal(size=(4, 7))
+    found, plain = rounds.distances(x, centres), np.zeros((300, 4))
+    for i in range(7):
+        plain += np.square(x[:, i, None] - centres[:, i])
+    assert np.array_equal(found, plain)
+    assert found.T.flags.c_contiguous
