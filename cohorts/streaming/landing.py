@@ -72,7 +72,8 @@ def score_landing(
     def handle(batch: DataFrame, batch_id: int) -> None:
         with own_scratch(batch.sparkSession):
             params, model = load_current(batch.sparkSession, serving_root)
-            rows, lost = bind_by_name(materialize(batch, "landed"), names)
+            lines = batch.repartition(batch.sparkSession.sparkContext.defaultParallelism)  # a batch of few files would keep few cores busy
+            rows, lost = bind_by_name(materialize(lines, "landed"), names)
             good, bad = split_bad_rows(materialize(rows, "rows"))
             scored, features = f"{output.rstrip('/')}/batch={batch_id}", [p.feature for p in params]
             score(good, params, model, places=places).write.mode("overwrite").parquet(scored)
