@@ -13,6 +13,7 @@ from cohorts.operators.prepare import FeatureParam
 from cohorts.operators.score import score
 from cohorts.session import new_path
 from cohorts.sources import store
+from cohorts.streaming import landing
 from tests import brute
 
 
@@ -341,3 +342,19 @@ def test_round_distances_are_plain_sums_centre_by_centre():
         plain += np.square(x[:, i, None] - centres[:, i])
     assert np.array_equal(found, plain)
     assert found.T.flags.c_contiguous
+
+
+def test_stream_batch_of_one_file_is_spread(spark):
+    """One landed file is scored by more than one task, and every row once."""
+    params = [FeatureParam(f, i, 0.0, 0.0, 1.0, 200, 0) for i, f in enumerate(["x", "y"])]
+    model = km.KMeansFit(["x", "y"], [[0.0, 0.0], [100.0, 0.0]], 0.0, 1)
+    serving, folder, output = new_path(spark, "serving"), new_path(spark, "landing"), new_path(spark, "out")
+    store.publish(spark, store.save_model(spark, params, model, new_path(spark, "model")), serving, "v1")
+    df = spark.range(200).selectExpr("concat('C', id) as CUST_ID", "cast(id as double) as x", "0.0D as y")
+    df.coalesce(1).write.csv(folder, header=True)
+    columns = ["CUST_ID", "x", "y"]
+    landing.score_landing(spark, folder, serving, output, new_path(spark, "state"), columns).awaitTermination()
+    scored = landing.read_scored(spark, output, columns)
+    assert {r["CUST_ID"]: r["CLUSTER"] for r in scored.collect()} == {f"C{i}": int(i > 50) for i in range(200)}
+    assert scored.count() == 200
+    assert spark.read.format("binaryFile").load(f"{output}/batch=0/*.parquet").count() > 1
