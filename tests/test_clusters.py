@@ -318,6 +318,29 @@ def test_tiles_share_tasks(spark):
     assert tiles.rdd.getNumPartitions() <= met.TASKS_PER_CORE * spark.sparkContext.defaultParallelism
 
 
+def test_blocks_are_sent_by_groups_and_not_by_pairs(spark, monkeypatch):
+    """Beyond a broadcast, a block is sent to as many tasks as there are groups, every pair meets once, and scores stay what they are."""
+    blocks = spark.range(300).selectExpr("id as block", "array(double(id)) as xs")
+    groups = int(np.ceil(np.sqrt(met.TASKS_PER_CORE * spark.sparkContext.defaultParallelism)))
+
+    def listed(batches):
+        for pdf in batches:
+            yield pd.DataFrame({"a": pdf["a"], "b": pdf["b"], "x": [x[0] for x in pdf["xa"]], "y": [y[0] for y in pdf["xb"]]})
+
+    pairs = met._met(blocks, 300, 300, {"x": "xs"}, listed, "a bigint, b bigint, x double, y double", 0).toPandas()
+    assert sorted(zip(pairs["a"], pairs["b"])) == [(a, b) for a in range(300) for b in range(a, 300)]
+    assert (pairs["a"] == pairs["x"]).all() and (pairs["b"] == pairs["y"]).all()
+    counted = lambda batches: (pdf[["block"]] for pdf in batches)
+    monkeypatch.setattr(kernels, "held_blocks", lambda kernel, columns: kernel)
+    assert groups < 100 and set(met._met(blocks, 300, 300, {"x": "xs"}, counted, "block bigint", 0).toPandas()["block"].value_counts()) == {groups + 1}
+    monkeypatch.undo()
+    rng = np.random.default_rng(6)
+    x = np.round(rng.normal(size=(700, 3)) + rng.integers(0, 3, (700, 1)), 1)
+    df, features = frame(spark, x, rng.integers(0, 4, 700))
+    labels = df.toPandas()["CLUSTER"].to_numpy()
+    assert met.silhouette(df, features, block_rows=9, tile_cells=0) == pytest.approx(brute.silhouette(x, labels), abs=1e-9)
+
+
 def test_distance_sums_of_near_and_far_rows():
     """Distances of rows that nearly coincide far from the middle are those summed feature by feature."""
     rng = np.random.default_rng(3)
