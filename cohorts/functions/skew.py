@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohorts.functions.columns import col
+from cohorts.functions.columns import col, ident
 from cohorts.session import materialize
 
 # A key is hot when it owns more than one row in HOT_SHARE, so there are fewer than HOT_SHARE of them.
@@ -21,6 +21,15 @@ def hot_keys(df: DataFrame, key: str, rows: int, safe_rows: int = SAFE_ROWS) ->
     return [r[key] for r in counts.where(F.col("_n") * HOT_SHARE > rows).collect()]
 
 
+def likely_hot_keys(df: DataFrame, key: str, safe_rows: int = SAFE_ROWS) -> list:
+    """Like :func:`hot_keys`, by a sketch that every task fills for itself: nothing is shuffled, and a key close to the share may be on either side."""
+    rows = df.count()
+    if rows <= safe_rows:
+        return []
+    found = df.agg(F.expr(f"approx_top_k({ident(key)}, {HOT_SHARE}, {10 * HOT_SHARE})").alias("t")).first()["t"]
+    return [r["item"] for r in found or [] if r["item"] is not None and r["count"] * HOT_SHARE > rows]
+
+
 def lookup(big: DataFrame, table: DataFrame, key: str, how: str = "left", hot: list | None = None) -> DataFrame:
     """Join ``table`` (one row per key) to ``big``; hot keys go by broadcast, the rest by shuffle."""
     if not hot:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cohorts.functions.skew import SAFE_ROWS, likely_hot_keys
+
 # Fixed value: months covered by the order history, divisor of the *_FREQUENCY columns.
 MONTHS = 80.0
 
@@ -17,14 +19,8 @@ def _hits(condition):
     return F.sum(F.when(condition, F.lit(1)).otherwise(F.lit(0)))
 
 
-def customer_mart(spark: SparkSession, base: str) -> DataFrame:
-    """One row per customer with at least one order, in the customer schema.
-
-    Orders are first folded to (customer, year, month), so a customer holding a
-    large share of all orders leaves each map task as at most one row per month.
-    """
-    orders = spark.read.parquet(f"{base}/orders.parquet")
-    customer = spark.read.parquet(f"{base}/customer.parquet")
+def _by_customer(orders: DataFrame) -> DataFrame:
+    """One row per customer, over one row per customer, year and month."""
     price = F.col("o_totalprice")
     oneoff = F.col("o_orderpriority").isin("1-URGENT", "2-HIGH")
     pending = F.col("o_orderstatus") == "P"
@@ -45,7 +41,7 @@ def customer_mart(spark: SparkSession, base: str) -> DataFrame:
         F.min(F.when(pending, price)).alias("low_pending"),
     )
     n = F.sum("n")
-    per_customer = monthly.groupBy("o_custkey").agg(
+    return monthly.groupBy("o_custkey").agg(
         (F.count(F.lit(1)) / MONTHS).alias("BALANCE_FREQUENCY"),
         F.round(F.sum("spend"), 2).alias("PURCHASES"),
         F.round(F.sum("oneoff_spend"), 2).alias("ONEOFF_PURCHASES"),
@@ -63,6 +59,23 @@ def customer_mart(spark: SparkSession, base: str) -> DataFrame:
         (F.sum("n_finished") / n).alias("PRC_FULL_PAYMENT"),
         F.count_distinct("year").alias("TENURE"),
     )
+
+
+def customer_mart(spark: SparkSession, base: str, safe_rows: int = SAFE_ROWS) -> DataFrame:
+    """One row per customer with at least one order, in the customer schema.
+
+    An order is shuffled once, to its customer, and folded there. Orders of a customer holding a
+    large share of all orders are folded to (customer, year, month) first, so they leave each map task
+    as at most one row per month.
+    """
+    columns = ["o_custkey", "o_orderdate", "o_totalprice", "o_orderpriority", "o_orderstatus"]
+    orders = spark.read.parquet(f"{base}/orders.parquet").select(*columns).where("o_custkey is not null")
+    customer = spark.read.parquet(f"{base}/customer.parquet")
+    hot = likely_hot_keys(orders, "o_custkey", safe_rows)
+    is_hot = F.col("o_custkey").isin(hot)
+    per_customer = _by_customer((orders.where(~is_hot) if hot else orders).repartition("o_custkey"))
+    if hot:
+        per_customer = per_customer.unionByName(_by_customer(orders.where(is_hot)))
     joined = customer.select("c_custkey", "c_acctbal").join(
         per_customer, F.col("c_custkey") == F.col("o_custkey")
     )

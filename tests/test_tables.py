@@ -6,6 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from cohorts.functions.columns import MISSING_TOKENS
+from cohorts.functions.skew import likely_hot_keys
+from cohorts.mart import customer_mart
 from cohorts.operators import insights as ins
 from cohorts.operators import prepare as prep
 from cohorts.operators import profile as prof
@@ -342,3 +344,37 @@ def test_scratch_of_a_block_goes_with_it(spark):
             numbers(spark, 2.0).write.parquet(second)
         assert path_exists(spark, first) and not path_exists(spark, second)
     assert not path_exists(spark, first) and outside.count() == 1
+
+
+def test_mart_shuffles_an_order_once(spark, tmp_path, capsys):
+    """Orders go to their customer and are folded there; those of a customer with a large share are folded first. Both give the same rows."""
+    rng = np.random.default_rng(4)
+    n = 4000
+    keys = np.where(rng.random(n) < 0.4, 7, rng.integers(0, 1500, n))
+    orders = pd.DataFrame(
+        {
+            "o_custkey": pd.array([None if k % 50 == 3 else int(k) for k in keys], dtype="Int64"),
+            "o_orderstatus": rng.choice(["F", "O", "P", None], n),
+            "o_totalprice": np.round(rng.uniform(1, 9e4, n), 2),
+            "o_orderdate": pd.Timestamp("1995-01-01") + pd.to_timedelta(rng.integers(0, 2400, n), "D"),
+            "o_orderpriority": rng.choice(["1-URGENT", "2-HIGH", "5-LOW", None], n),
+        }
+    )
+    spark.createDataFrame(orders).write.parquet(f"{tmp_path}/orders.parquet")
+    customers = [(k, float(k)) for k in [*range(1400), 7]]
+    spark.createDataFrame(customers, "c_custkey bigint, c_acctbal double").write.parquet(f"{tmp_path}/customer.parquet")
+    plain, folded = customer_mart(spark, str(tmp_path)), customer_mart(spark, str(tmp_path), safe_rows=0)
+    capsys.readouterr()
+    plain.explain()
+    text = capsys.readouterr().out
+    assert text.count("Exchange hashpartitioning(o_custkey") == 1 and "Exchange hashpartitioning(o_custkey" in text
+    large = orders["o_custkey"].value_counts().loc[lambda c: c * 1000 > n].index.tolist()
+    assert sorted(likely_hot_keys(spark.createDataFrame(orders), "o_custkey", 0)) == sorted(large) and 7 in large
+    assert likely_hot_keys(spark.createDataFrame(orders), "o_custkey") == []
+    rows = [sorted(map(tuple, x.collect())) for x in (plain, folded)]
+    assert rows[0] == rows[1] and len(rows[0]) == 1 + sum(1 for k in set(keys.tolist()) if k < 1400 and k % 50 != 3)
+    mine = orders[(orders["o_custkey"] == 7).fillna(False)]
+    row = plain.where("CUST_ID = 'C7'").first()
+    months = mine["o_orderdate"].dt.strftime("%Y%m").nunique()
+    assert (row["PURCHASES_TRX"], row["BALANCE_FREQUENCY"], row["TENURE"]) == (len(mine), months / 80, mine["o_orderdate"].dt.year.nunique())
+    assert row["PURCHASES"] == pytest.approx(mine["o_totalprice"].sum(), abs=0.006)
