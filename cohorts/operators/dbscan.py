@@ -35,7 +35,7 @@ from cohorts.operators.blocks import (
 )
 from cohorts.operators.components import FINISH_EDGES, connected_components
 from cohorts.schema import KEY, LABEL, NOISE
-from cohorts.session import materialize, materialize_with
+from cohorts.session import materialize, materialize_with, own_scratch
 
 LEVEL_BITS = 48
 # Core rows, one in some, that look for links between boxes first; a sample of a bounded table is the table.
@@ -112,32 +112,33 @@ def _core_leaves(
 ) -> DataFrame:
     """Leaves with core flags and the components that their core rows form within their box."""
     spark, p, limit = tree.leaves.sparkSession, len(tree.features), eps * eps
-    leaves = tree.leaves.select("leaf", F.shiftright("leaf", tree.home).alias("node"), "n", "vkey", "xs", "ws")
-    if unified is None:
-        leaves = leaves.withColumn("unified", F.lit(False))
-    else:
-        marks = unified.withColumn("done", F.lit(True))
-        leaves = leaves.join(marks, "leaf", "left").withColumn("unified", F.coalesce("done", F.lit(False))).drop("done")
-    with arrow_rows(spark, batch_rows(p, LEAF_ROWS)):
-        known = _by_box(leaves.drop("vkey")).mapInPandas(kernels.home_cores(p, limit, min_samples), "leaf bigint, known array<boolean>")
-        known = materialize(known, "known")
-    leaves = leaves.join(known, "leaf")
-    asked = chosen(leaves.selectExpr("leaf", "xs", "transform(known, k -> not k) as pick", "ws as tag"), splits, tree.home, "asked")
-    counts = meet(
-        asked, (whole(tree, "ws"), points), _both_ways(pairs),
-        kernels.neighbour_counter(p, limit, limit * (1 + SLACK), min_samples, LEAF_BITS), "pid bigint, n bigint", "counts", p, broadcast_cells,
-    )
-    late = counts.groupBy("pid").agg(F.sum("n").alias("n")).where(F.col("n") >= min_samples)
-    late = late.groupBy(F.shiftright("pid", LEAF_BITS).alias("leaf")).agg(
-        F.collect_list(F.col("pid").bitwiseAND((1 << LEAF_BITS) - 1)).alias("late")
-    )
-    core = F.expr("if(late is null, known, transform(known, (k, i) -> k or array_contains(late, cast(i as bigint)))) as core")
-    leaves = leaves.join(late, "leaf", "left").select("leaf", "node", "n", "vkey", "xs", "unified", core)
-    with arrow_rows(spark, batch_rows(p, LEAF_ROWS)):
-        parts = _by_box(leaves).mapInPandas(
-            kernels.home_parts(p, limit, LEAF_BITS), T.StructType([*leaves.schema.fields, T.StructField("part", T.ArrayType(T.LongType()))])
+    with own_scratch(spark) as outside:
+        leaves = tree.leaves.select("leaf", F.shiftright("leaf", tree.home).alias("node"), "n", "vkey", "xs", "ws")
+        if unified is None:
+            leaves = leaves.withColumn("unified", F.lit(False))
+        else:
+            marks = unified.withColumn("done", F.lit(True))
+            leaves = leaves.join(marks, "leaf", "left").withColumn("unified", F.coalesce("done", F.lit(False))).drop("done")
+        with arrow_rows(spark, batch_rows(p, LEAF_ROWS)):
+            known = _by_box(leaves.drop("vkey")).mapInPandas(kernels.home_cores(p, limit, min_samples), "leaf bigint, known array<boolean>")
+            known = materialize(known, "known")
+        leaves = leaves.join(known, "leaf")
+        asked = chosen(leaves.selectExpr("leaf", "xs", "transform(known, k -> not k) as pick", "ws as tag"), splits, tree.home, "asked")
+        counts = meet(
+            asked, (whole(tree, "ws"), points), _both_ways(pairs),
+            kernels.neighbour_counter(p, limit, limit * (1 + SLACK), min_samples, LEAF_BITS), "pid bigint, n bigint", "counts", p, broadcast_cells,
         )
-        return materialize(parts, "cores")
+        late = counts.groupBy("pid").agg(F.sum("n").alias("n")).where(F.col("n") >= min_samples)
+        late = late.groupBy(F.shiftright("pid", LEAF_BITS).alias("leaf")).agg(
+            F.collect_list(F.col("pid").bitwiseAND((1 << LEAF_BITS) - 1)).alias("late")
+        )
+        core = F.expr("if(late is null, known, transform(known, (k, i) -> k or array_contains(late, cast(i as bigint)))) as core")
+        leaves = leaves.join(late, "leaf", "left").select("leaf", "node", "n", "vkey", "xs", "unified", core)
+        with arrow_rows(spark, batch_rows(p, LEAF_ROWS)), outside():
+            parts = _by_box(leaves).mapInPandas(
+                kernels.home_parts(p, limit, LEAF_BITS), T.StructType([*leaves.schema.fields, T.StructField("part", T.ArrayType(T.LongType()))])
+            )
+            return materialize(parts, "cores")
 
 
 def _vertices(tree: Tree, splits: Splits, pairs: DataFrame, leaves: DataFrame, rows: DataFrame, edges: list[DataFrame], eps: float, points: int, safe_rows: int, finish_edges: int, broadcast_cells: int) -> DataFrame:
@@ -146,17 +147,19 @@ def _vertices(tree: Tree, splits: Splits, pairs: DataFrame, leaves: DataFrame, r
     every = max(1, min(SAMPLE_SHARE, points // SAMPLE_ROWS))
     pid = f"(shiftleft(leaf, {LEAF_BITS}) + i)"
     pick = f"transform(part, (v, i) -> v >= 0 and (v = {pid} or pmod({pid}, {every}) = 0)) as pick"
-    sample = chosen(leaves.selectExpr("leaf", "xs", pick, "part as tag"), splits, tree.home, "sample")
-    links = meet(
-        sample, sample, pairs, kernels.linker(p, limit, limit * (1 + SLACK), LEAF_BITS), "edge bigint, x bigint, y bigint", "near", p, broadcast_cells
-    )
-    start = F.shiftleft("leaf", LEAF_BITS)
-    solid = leaves.where("unified").select(start.alias("u"), F.col("part")[0].alias("v"))
-    edges = reduce(DataFrame.union, [links.selectExpr("x as u", "y as v"), solid, *edges])
-    roots = connected_components(edges, safe_rows=safe_rows, finish_edges=finish_edges)
-    vertices = rows.where("vertex is not null").groupBy("vertex").agg(F.min("vkey").alias("first"), F.count(F.lit(1)).alias("n"))
-    vertices = vertices.join(roots, "vertex", "left").select("vertex", "first", "n", F.coalesce("root", "vertex").alias("root"))
-    return materialize(vertices, "vertices")
+    with own_scratch(leaves.sparkSession) as outside:
+        sample = chosen(leaves.selectExpr("leaf", "xs", pick, "part as tag"), splits, tree.home, "sample")
+        links = meet(
+            sample, sample, pairs, kernels.linker(p, limit, limit * (1 + SLACK), LEAF_BITS), "edge bigint, x bigint, y bigint", "near", p, broadcast_cells
+        )
+        start = F.shiftleft("leaf", LEAF_BITS)
+        solid = leaves.where("unified").select(start.alias("u"), F.col("part")[0].alias("v"))
+        edges = reduce(DataFrame.union, [links.selectExpr("x as u", "y as v"), solid, *edges])
+        roots = connected_components(edges, safe_rows=safe_rows, finish_edges=finish_edges)
+        vertices = rows.where("vertex is not null").groupBy("vertex").agg(F.min("vkey").alias("first"), F.count(F.lit(1)).alias("n"))
+        vertices = vertices.join(roots, "vertex", "left").select("vertex", "first", "n", F.coalesce("root", "vertex").alias("root"))
+        with outside():
+            return materialize(vertices, "vertices")
 
 
 def _links(tree: Tree, splits: Splits, pairs: DataFrame, leaves: DataFrame, vertices: DataFrame, eps: float, broadcast_cells: int) -> DataFrame:
@@ -172,12 +175,16 @@ def _links(tree: Tree, splits: Splits, pairs: DataFrame, leaves: DataFrame, vert
         F.map_from_entries(F.collect_list(F.struct("vertex", "root"))).alias("names")
     )
     tagged = leaves.join(names, "leaf", "left").selectExpr("leaf", "xs", "core", "transform(part, v -> coalesce(try_element_at(names, v), -1L)) as tag")
-    tagged = materialize(tagged, "tagged")
-    asked = chosen(tagged.selectExpr("leaf", "xs", f"transform(tag, t -> t <> {largest}L) as pick", "tag"), splits, tree.home, "asked")
-    given = chosen(tagged.selectExpr("leaf", "xs", "core as pick", "tag"), splits, tree.home, "given")
-    return meet(
-        asked, given, _both_ways(pairs), kernels.linker(p, limit, limit * (1 + SLACK), LEAF_BITS), "edge bigint, x bigint, y bigint", "links", p, broadcast_cells
-    )
+    with own_scratch(leaves.sparkSession) as outside:
+        with own_scratch(leaves.sparkSession) as after:
+            tagged = materialize(tagged, "tagged")
+            with after():
+                asked = chosen(tagged.selectExpr("leaf", "xs", f"transform(tag, t -> t <> {largest}L) as pick", "tag"), splits, tree.home, "asked")
+                given = chosen(tagged.selectExpr("leaf", "xs", "core as pick", "tag"), splits, tree.home, "given")
+        with outside():
+            return meet(
+                asked, given, _both_ways(pairs), kernels.linker(p, limit, limit * (1 + SLACK), LEAF_BITS), "edge bigint, x bigint, y bigint", "links", p, broadcast_cells
+            )
 
 
 def dbscan(
@@ -206,18 +213,21 @@ def _cluster(df, features, eps, min_samples, key, label, safe_rows, finish_edges
     if facts["points"] == 0:
         return df.select(key, F.lit(NOISE).alias(label)), None, None
     splits = plan_splits(points, features, facts["points"])
-    (tree,) = number_leaves([pack(points, splits, {"vkey": key_type}, "leaves")], splits)
-    pairs, settled = close_pairs(tree, tree, eps, min_samples)
-    unified, edges = _unify(tree, settled)
-    leaves = _core_leaves(tree, splits, pairs, unified, eps, min_samples, facts["points"], broadcast_cells)
-
-    at = leaves.select("leaf", F.posexplode(F.arrays_zip("vkey", "part")).alias("pos", "r"))
-    rows = at.select(
-        (F.shiftleft("leaf", LEAF_BITS) + F.col("pos")).alias("pid"),
-        F.col("r.vkey").alias("vkey"),
-        F.when(F.col("r.part") >= 0, F.col("r.part")).alias("vertex"),
-    )
-    vertices = _vertices(tree, splits, pairs, leaves, rows, edges, eps, facts["points"], safe_rows, finish_edges, broadcast_cells)
+    with own_scratch(df.sparkSession) as outside:
+        (tree,) = number_leaves([pack(points, splits, {"vkey": key_type}, "leaves")], splits)
+        pairs, settled = close_pairs(tree, tree, eps, min_samples)
+        unified, edges = _unify(tree, settled)
+        with outside():
+            leaves = _core_leaves(tree, splits, pairs, unified, eps, min_samples, facts["points"], broadcast_cells)
+        at = leaves.select("leaf", F.posexplode(F.arrays_zip("vkey", "part")).alias("pos", "r"))
+        rows = at.select(
+            (F.shiftleft("leaf", LEAF_BITS) + F.col("pos")).alias("pid"),
+            F.col("r.vkey").alias("vkey"),
+            F.when(F.col("r.part") >= 0, F.col("r.part")).alias("vertex"),
+        )
+        with outside():
+            vertices = _vertices(tree, splits, pairs, leaves, rows, edges, eps, facts["points"], safe_rows, finish_edges, broadcast_cells)
+            pairs = materialize(pairs, "open")
     links = _links(tree, splits, pairs, leaves, vertices, eps, broadcast_cells)
     roots = connected_components(links.where("edge = 1").selectExpr("x as u", "y as v"), safe_rows=safe_rows, finish_edges=finish_edges)
     groups = vertices.groupBy("root").agg(F.min("first").alias("first"))
@@ -330,24 +340,31 @@ def assign_by_model(model: DensityFit, fresh: DataFrame, key: str = KEY, label:
     """Rows ``(key, label)`` of ``fresh`` by a fitted density model; equal distances go to the lowest cluster."""
     features, eps, p = model.features, model.eps, len(model.features)
     points, facts = _write_points(fresh, features, key)
-    index = core_index(model) if facts["points"] else None
-    if index is None:
+    if not facts["points"]:
         return fresh.select(key, F.lit(NOISE).alias(label))
-    splits, key_type = index.splits, fresh.schema[key].dataType.simpleString()
-    left, right = number_leaves([pack(points, splits, {"vkey": key_type}, "fresh"), (index.leaves, index.top)], splits)
-    pairs, _ = close_pairs(left, right, eps)
-    given = whole(right, "labels"), index.points
-    kernel, schema = kernels.nearest_core(p, eps * eps, eps * eps * (1 + SLACK), LEAF_BITS), "pid bigint, d2 double, label bigint"
-    far = f"array_repeat({number(eps * eps)}, n)"
-    first = meet((whole(left, "ws", far), facts["points"]), given, pairs.where("a = b"), kernel, schema, "first", p, home=True)
-    at = F.col("pid").bitwiseAND((1 << LEAF_BITS) - 1).cast("int")
-    first = first.groupBy(F.shiftright("pid", LEAF_BITS).alias("leaf")).agg(
-        F.map_from_entries(F.collect_list(F.struct(at.alias("pos"), "d2"))).alias("known")
-    )
-    closer = Tree(left.leaves.join(first, "leaf", "left"), features, left.shifts)
-    most = f"transform(sequence(0, n - 1), i -> coalesce(try_element_at(known, i), {number(eps * eps)}))"
-    asked = materialize(whole(closer, "ws", most), "asked"), facts["points"]
-    reached = meet(asked, given, pairs, kernel, schema, "reached", p)
+    key_type = fresh.schema[key].dataType.simpleString()
+    with own_scratch(fresh.sparkSession) as outside:
+        index = core_index(model)
+        if index is None:
+            return fresh.select(key, F.lit(NOISE).alias(label))
+        splits = index.splits
+        with outside():
+            packed = pack(points, splits, {"vkey": key_type}, "fresh")
+        left, right = number_leaves([packed, (index.leaves, index.top)], splits)
+        pairs, _ = close_pairs(left, right, eps)
+        given = whole(right, "labels"), index.points
+        kernel, schema = kernels.nearest_core(p, eps * eps, eps * eps * (1 + SLACK), LEAF_BITS), "pid bigint, d2 double, label bigint"
+        far = f"array_repeat({number(eps * eps)}, n)"
+        first = meet((whole(left, "ws", far), facts["points"]), given, pairs.where("a = b"), kernel, schema, "first", p, home=True)
+        at = F.col("pid").bitwiseAND((1 << LEAF_BITS) - 1).cast("int")
+        first = first.groupBy(F.shiftright("pid", LEAF_BITS).alias("leaf")).agg(
+            F.map_from_entries(F.collect_list(F.struct(at.alias("pos"), "d2"))).alias("known")
+        )
+        closer = Tree(left.leaves.join(first, "leaf", "left"), features, left.shifts)
+        most = f"transform(sequence(0, n - 1), i -> coalesce(try_element_at(known, i), {number(eps * eps)}))"
+        asked = materialize(whole(closer, "ws", most), "asked"), facts["points"]
+        with outside():
+            reached = meet(asked, given, pairs, kernel, schema, "reached", p)
     closest = reached.groupBy("pid").agg(F.min(F.struct("d2", "label"))["label"].cast("int").alias(label))
     named = (
         left.leaves.select("leaf", F.posexplode("vkey").alias("pos", "vkey"))

@@ -4,8 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
-from contextlib import contextmanager
+from collections.abc import Callable, Iterator
+from contextlib import AbstractContextManager, contextmanager
 from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -51,12 +51,25 @@ def new_path(spark: SparkSession, name: str) -> str:
 
 
 @contextmanager
-def own_scratch(spark: SparkSession) -> Iterator[None]:
-    """Scratch tables made inside are removed at the end, so no frame built on them may leave the block."""
-    run = f"{_RUN.get()}run-{uuid.uuid4().hex}/"
+def own_scratch(spark: SparkSession) -> Iterator[Callable[[], AbstractContextManager[None]]]:
+    """Scratch tables made inside are removed at the end, so no frame built on them may leave the block.
+
+    Tables that must outlive it are written ``with outside():``, where ``outside`` is what the block gives.
+    """
+    outer = _RUN.get()
+    run = f"{outer}run-{uuid.uuid4().hex}/"
+
+    @contextmanager
+    def outside() -> Iterator[None]:
+        inner = _RUN.set(outer)
+        try:
+            yield
+        finally:
+            _RUN.reset(inner)
+
     mark = _RUN.set(run)
     try:
-        yield
+        yield outside
     finally:
         _RUN.reset(mark)
         _remove(spark, f"{scratch_dir(spark)}/{run}")

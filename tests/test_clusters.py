@@ -8,10 +8,10 @@ from cohorts.functions.skew import hot_keys, lookup, numbered
 from cohorts.operators import kmeans as km
 from cohorts.operators import metrics as met
 from cohorts.operators.components import connected_components
-from cohorts.operators.dbscan import assign_to_core, cluster_counts, dbscan, fit_density
+from cohorts.operators.dbscan import assign_by_model, assign_to_core, cluster_counts, dbscan, fit_density
 from cohorts.operators.prepare import FeatureParam
 from cohorts.operators.score import score
-from cohorts.session import new_path
+from cohorts.session import new_path, own_scratch, scratch_dir
 from cohorts.sources import store
 from cohorts.streaming import landing
 from tests import brute
@@ -381,3 +381,34 @@ def test_stream_batch_of_one_file_is_spread(spark):
     assert {r["CUST_ID"]: r["CLUSTER"] for r in scored.collect()} == {f"C{i}": int(i > 50) for i in range(200)}
     assert scored.count() == 200
     assert spark.read.format("binaryFile").load(f"{output}/batch=0/*.parquet").count() > 1
+
+
+def test_density_tables_go_once_they_are_spent(spark):
+    """Leaves, tagged rows and rows that met others are gone when labels are read; results still come."""
+    rng = np.random.default_rng(11)
+    x = np.round(blobs(rng, 900, 3), 6)
+    df, features = frame(spark, x)
+    y = x[::3] + rng.normal(0, 0.2, size=x[::3].shape)
+    fresh, _ = frame(spark, y)
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(scratch_dir(spark))
+    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+    def tables(path):
+        """Names of tables below, without their numbers."""
+        names = [f.getPath().getName() for f in files.listStatus(path)]
+        runs = [n for n in names if n.startswith("run-")]
+        return sum((tables(path.suffix(f"/{r}")) for r in runs), [n.rsplit("-", 1)[0] for n in names if n not in runs])
+
+    with own_scratch(spark):
+        labels, model = fit_density(df, features, 0.5, 5)
+        (mine,) = [f.getPath() for f in files.listStatus(folder) if f.getPath().getName().startswith("run-")]
+        left = tables(mine)
+        assert not {"leaves", "known", "asked", "counts", "sample", "tagged", "given", "boxes"} & set(left), left
+        assert np.array_equal(labels_of(labels), brute.dbscan(x, 0.5, 5))
+        found = labels_of(assign_by_model(model, fresh))
+        assert not {"leaves", "core", "asked", "first", "tagged", "given"} & set(tables(mine))
+        gaps = np.square(y[:, None] - x[None]).sum(axis=2)
+        core = (np.square(x[:, None] - x[None]).sum(axis=2) <= 0.25).sum(axis=1) >= 5
+        gaps[:, ~core] = np.inf
+        near = brute.dbscan(x, 0.5, 5)[gaps.argmin(axis=1)]
+        assert np.array_equal(found, np.where(gaps.min(axis=1) <= 0.25, near, -1))
