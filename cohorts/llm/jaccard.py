@@ -27,7 +27,7 @@ from cohorts.functions.columns import col
 from cohorts.functions.skew import numbered
 from cohorts.llm.graph import components
 from cohorts.llm.tables import LOWER, UPPER, table
-from cohorts.session import materialize, materialize_with
+from cohorts.session import materialize, materialize_with, own_scratch
 
 WORDS, PERCENT = 3, 90
 # Sets up to this size are signed by triples of their first shingles, larger ones by slices of their size class.
@@ -117,7 +117,7 @@ class Rule:
         """Signatures of a set, such that sets that link have one in common.
 
         In a size class, linked sets differ in at most ``differ`` shingles, so in at most as many slices. A set with more
-        filled slices agrees with each of its partners in one. A set with fewer adds signatures of more and finer slices, first without popular
+        filled slices agrees with each of its partners in one of the first ``differ`` + 1, before which neither has more that differ. A set with fewer adds signatures of more and finer slices, first without popular
         shingles and then with them, until it has enough; two partners both have those up to which one of them has.
         """
         rare = shingles
@@ -133,7 +133,7 @@ class Rule:
             differ = self.differ(int(self.starts[c + 1]) - 1)
             for mode, (own, slices) in enumerate([(rare, 1), (rare, 2), (shingles, 1), (shingles, 2), (shingles, 4), (shingles, 0)]):
                 signed, filled = self.slices(own, c, mode, differ, slices)
-                out.append(signed)
+                out.append(signed[: differ + 1])
                 if filled > differ:
                     break
         return np.unique(np.concatenate(out))
@@ -211,11 +211,11 @@ def _sets(words: int):
         known: dict[bytes, int] = {}
         for batch in batches:
             for start in range(0, batch.num_rows, 500):
-                sets = [shingle_set(t.as_buffer().to_pybytes(), words, known) for t in batch.column(0).slice(start, 500)]
+                sets = [shingle_set(t.as_buffer().to_pybytes(), words, known) for t in batch.column(1).slice(start, 500)]
                 digest = np.array([set_digest(s) for s in sets], dtype=np.int64).reshape(-1, 2)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(digest[:, 0].copy()), pa.array(digest[:, 1].copy()), pa.array([s.tobytes() for s in sets], pa.binary())],
-                    names=["h1", "h2", "shingles"],
+                    [batch.column(0).slice(start, 500), pa.array(digest[:, 0].copy()), pa.array(digest[:, 1].copy()), pa.array([s.tobytes() for s in sets], pa.binary())],
+                    names=["_id", "h1", "h2", "shingles"],
                 )
 
     return run
@@ -224,6 +224,9 @@ def _sets(words: int):
 SIGNED = "part int, entries binary, edges binary"
 SIGNED_ARROW = pa.schema([("part", pa.int32()), ("entries", pa.binary()), ("edges", pa.binary())])
 ENTRY = np.dtype([("sig", "<u8"), ("doc", "<i8")])
+# An entry as it is sent: 40 bits of the signature besides its part, 48 of the set. Where two agree by chance, sets share a region without need.
+SENT = np.dtype([("sig", "<u4"), ("sig_", "u1"), ("doc", "<u4"), ("doc_", "<u2")])
+CODE = (1 << 48) - 1
 
 
 def stars(entries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -236,11 +239,27 @@ def stars(entries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.unique(edges, axis=0), entries[first]
 
 
+def sent_entries(entries: np.ndarray) -> np.ndarray:
+    """Entries cut to what is sent; a signature gives its upper bits, as the part it goes to is of the lower ones."""
+    out = np.empty(len(entries), dtype=SENT)
+    sig = entries["sig"] >> np.uint64(24)
+    out["sig"], out["sig_"] = sig & np.uint64(0xFFFFFFFF), sig >> np.uint64(32)
+    out["doc"], out["doc_"] = entries["doc"] & 0xFFFFFFFF, (entries["doc"] >> 32) & 0xFFFF
+    return out
+
+
+def received_entries(sent: np.ndarray) -> np.ndarray:
+    out = np.empty(len(sent), dtype=ENTRY)
+    out["sig"] = sent["sig"].astype(np.uint64) | (sent["sig_"].astype(np.uint64) << np.uint64(32))
+    out["doc"] = sent["doc"].astype(np.int64) | (sent["doc_"].astype(np.int64) << 32)
+    return out
+
+
 def _sign(sent: Broadcast, parts: int):
     def pack(sigs: list[np.ndarray], docs: list[int]) -> pa.RecordBatch:
         entries = np.empty(sum(map(len, sigs)), dtype=ENTRY)
         entries["sig"] = np.concatenate(sigs)
-        entries["doc"] = np.repeat(np.array(docs, dtype=np.int64), [len(s) for s in sigs])
+        entries["doc"] = np.repeat(np.array(docs, dtype=np.int64) & CODE, [len(s) for s in sigs])
         edges, rest = stars(entries)
         part = (rest["sig"] % np.uint64(parts)).astype(np.int64)
         rest = rest[np.argsort(part, kind="stable")]
@@ -249,7 +268,7 @@ def _sign(sent: Broadcast, parts: int):
         return pa.RecordBatch.from_arrays(
             [
                 pa.array([*filled, -1], pa.int32()),
-                pa.array([*[rest[upto[p] : upto[p + 1]].tobytes() for p in filled], None], pa.binary()),
+                pa.array([*[sent_entries(rest[upto[p] : upto[p + 1]]).tobytes() for p in filled], None], pa.binary()),
                 pa.array([*[None] * len(filled), edges.astype(np.int64).tobytes()], pa.binary()),
             ],
             schema=SIGNED_ARROW,
@@ -287,7 +306,7 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for entries, edges in zip(batch.column(1), batch.column(2), strict=True):
             if entries.is_valid:
-                held.append(np.frombuffer(entries.as_buffer().to_pybytes(), dtype=ENTRY))
+                held.append(received_entries(np.frombuffer(entries.as_buffer(), dtype=SENT)))
             if edges.is_valid:
                 yield edges_of(np.frombuffer(edges.as_buffer(), dtype=np.int64).reshape(-1, 2))
     if held:
@@ -295,7 +314,7 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def slice_regions(texts: DataFrame, rule: Rule) -> DataFrame:
-    """``(vertex, root)``: sets (first half of their digest) that are connected by shared signatures.
+    """``(vertex, root)``: sets (CODE of their digest) that are connected by shared signatures.
 
     Signatures leave a task as packed entries, dealt by signature to as many parts as the input needs; equal
     signatures of a batch are met on the spot, so a signature of a third of all documents sends one entry per batch.
@@ -508,6 +527,28 @@ def _union(frames: list[DataFrame]) -> DataFrame:
     return out
 
 
+def _members(own: DataFrame, classes: DataFrame, rule: Rule, broadcast_ids: int) -> DataFrame:
+    """``(region, vertex, shingles)`` of every set that shares a region, from one row of its lowest id."""
+    spark = own.sparkSession
+    with own_scratch(spark) as outside:
+        regions = slice_regions(own.select("_text"), rule)
+        code = F.col("h1").bitwiseAND(F.lit(CODE))
+        wanted = regions.withColumnRenamed("root", "region").join(classes.withColumn("code", code), F.col("code") == regions["vertex"])
+        with outside():
+            wanted, facts = materialize_with(
+                wanted.select("h1", "h2", classes["vertex"], "rows", "region"), "wanted", n="count(1)", again="count_if(rows > 1)"
+            )
+    few = facts["n"] <= broadcast_ids
+    ids = wanted.select(F.col("vertex").alias("_id")).distinct()
+    texts = own.where("_text is not null").join(F.broadcast(ids) if few else ids, "_id", "left_semi")
+    sets = texts.select("_id", "_text").mapInArrow(_sets(rule.words), "_id bigint, h1 bigint, h2 bigint, shingles binary")
+    wanted = wanted.withColumnRenamed("vertex", "_id").drop("rows")
+    members = sets.join(F.broadcast(wanted) if few else wanted, ["_id", "h1", "h2"])
+    if facts["again"]:
+        members = members.dropDuplicates(["region", "_id", "h1", "h2"])
+    return materialize(members.select("region", F.col("_id").alias("vertex"), "shingles"), "members")
+
+
 def link_documents(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT,
     region_sets: int = REGION_SETS, region_shingles: int = REGION_SHINGLES, rounds: int = ROUNDS, broadcast_ids: int = BROADCAST_IDS,
@@ -528,19 +569,21 @@ def link_documents(
     popular = np.sort(np.array([r["h1"] for r in often.select("h1").collect()], dtype=np.int64).view(np.uint64))
     info = seen.where("not popular").drop("popular")
     full = info.where("n > 0")
-    classes = materialize(full.where("_id is not null").groupBy("h1", "h2").agg(F.min("_id").alias("vertex")), "classes")
+    classes = full.where("_id is not null").groupBy("h1", "h2", "_id").agg(F.count(F.lit(1)).alias("rows"))
+    classes = classes.groupBy("h1", "h2").agg(F.min(F.struct("_id", "rows")).alias("v"))
+    classes = materialize(classes.select("h1", "h2", F.col("v._id").alias("vertex"), F.col("v.rows").alias("rows")), "classes")
 
     rule = Rule(words, percent, popular)
-    regions = materialize(slice_regions(own.select("_text"), rule), "regions")
-    wanted, facts = materialize_with(
-        regions.select(F.col("vertex").alias("h1"), F.col("root").alias("region")).join(classes, "h1"), "wanted", n="count(1)"
-    )
-    ids = wanted.select(F.col("vertex").alias("_id")).distinct()
-    texts = own.where("_text is not null").join(F.broadcast(ids) if facts["n"] <= broadcast_ids else ids, "_id", "left_semi")
-    sets = texts.select("_text").mapInArrow(_sets(words), "h1 bigint, h2 bigint, shingles binary")
-    members = sets.join(wanted, ["h1", "h2"]).select("region", "vertex", "shingles").dropDuplicates(["vertex", "region"])
-    links = link_regions(materialize(members, "members"), rule, region_sets, region_shingles, rounds)
-    comps = materialize(components(links), "components").withColumnsRenamed({"vertex": "_v"})
+    spark = docs.sparkSession
+    with own_scratch(spark) as outside:
+        members = _members(own, classes, rule, broadcast_ids)
+        links = link_regions(members, rule, region_sets, region_shingles, rounds)
+        with outside():
+            links = materialize(links, "links")
+    with own_scratch(spark) as outside:
+        comps = components(links)
+        with outside():
+            comps = materialize(comps, "components").withColumnsRenamed({"vertex": "_v"})
 
     placed = full.join(classes, ["h1", "h2"], "left").join(comps, F.col("vertex") == F.col("_v"), "left")
     # one id may hold several texts: they are joined through it

@@ -74,6 +74,23 @@ def test_small_sets_link_at_low_thresholds(spark, percent):
     assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got), key=str) == brute.jaccard_components(rows, 3, percent)
 
 
+def test_signatures_end_once_they_suffice():
+    """A set sends no more slices of a size class than linked sets can differ in, and one."""
+    rng, rule = np.random.default_rng(3), jaccard.Rule(5, 80)
+    for n in (200, 400, 1000):
+        most = sum(rule.differ(int(rule.starts[c + 1]) - 1) + 1 for c in rule.classes(n))
+        assert len(rule.signatures(np.unique(rng.integers(0, 2**63, n).astype(np.uint64)))) <= most
+
+
+def test_entries_are_sent_small():
+    rng = np.random.default_rng(4)
+    entries = np.zeros(100, dtype=jaccard.ENTRY)
+    entries["sig"], entries["doc"] = rng.integers(0, 2**64, 100, dtype=np.uint64), rng.integers(0, jaccard.CODE, 100)
+    back = jaccard.received_entries(jaccard.sent_entries(entries))
+    assert (back["sig"] == entries["sig"] >> np.uint64(24)).all() and (back["doc"] == entries["doc"]).all()
+    assert jaccard.SENT.itemsize < jaccard.ENTRY.itemsize
+
+
 def test_jaccard_empty_table(spark):
     assert jaccard.link_documents(spark.createDataFrame([], "doc_id bigint, text string")).count() == 0
 
