@@ -335,6 +335,24 @@ class Held:
         if rows:
             yield least, np.concatenate(rows)
 
+    def by_row(self, low, high, x, pad: float, reach: float, chunk: int = 64):
+        """Held leaves that come within ``reach`` of a box, nearest first, ``chunk`` at a time: the least gap of the lot, its leaves, and the squared gap between each row ``x`` of the box and each leaf.
+
+        ``x`` is along the axes of the boxes; gaps of rows are much wider than those of the box that holds them all.
+        """
+        gap = np.maximum(self.low - high, low - self.high)
+        gap = np.square(np.maximum(gap, 0.0, out=gap), out=gap).sum(axis=1)
+        order = np.flatnonzero(gap <= reach)
+        order = order[np.argsort(gap[order], kind="stable")]
+        for start in range(0, len(order), chunk):
+            leaves = order[start : start + chunk]
+            lows, highs = self.low[leaves].T - pad, self.high[leaves].T + pad
+            between = np.zeros((len(x), len(leaves)))
+            for column, low_, high_ in zip(x.T, lows, highs):
+                step = np.maximum(low_ - column[:, None], column[:, None] - high_)
+                between += np.square(np.maximum(step, 0.0, out=step), out=step)
+            yield gap[leaves[0]], leaves, between
+
 
 def tiles(p: int, meet, columns: list[str]):
     """Per tile, targets (side 0) are held and queries (side 1) pass by one leaf at a time; ``meet`` gives the output columns."""
@@ -408,22 +426,41 @@ def linker(p: int, limit: float, reach: float, leaf_bits: int):
     return tiles(p, meet, ["edge", "x", "y"])
 
 
-def nearest_core(p: int, limit: float, reach: float, leaf_bits: int):
+def nearest_core(p: int, limit: float, reach: float, leaf_bits: int, splits, lot: int = 16):
     """Closest held core row within reach for every query row; equal distances go to the lowest label.
 
+    Leaves are opened ``lot`` at a time, only for the rows, and only the leaves, whose gap is no more than what the row has found.
+
     ``most`` holds a squared distance for every query row that one of its core rows is known to have, or ``limit``. Distances that matter are summed
     feature by feature, so they are the same in whatever block a row stands.
     """
+    rounding, middle, axes = 64 * np.finfo(float).eps, splits.middle, splits.axes
 
     def meet(held, leaf, low, high, x, pos, tag, most):
         best, label = np.array(most, dtype=float), np.full(len(x), np.iinfo(np.int64).max)
-        for gap, rows in held.near(low, high, min(reach, float(best.max()) * (1 + 1e-9))):
-            left = np.flatnonzero(best * (1 + 1e-9) >= gap)
-            if not len(left):
-                break
+        turned = turn(x, middle, axes)
+        pad = rounding * (1 + p) * float(np.abs(turned).max())
+        squares = np.square(x).sum(axis=1)
+        left_side = np.column_stack([-2.0 * x, squares, np.ones(len(x))])
+
+        def opened():
+            """Rows and held rows that are to meet, by what has been found so far."""
+            for gap, leaves, between in held.by_row(low, high, turned, pad, min(reach, float(best.max()) * (1 + 1e-9))):
+                if gap > best.max() * (1 + 1e-9):
+                    return
+                order = np.argsort(between.sum(axis=0), kind="stable")
+                for start in range(0, len(order), lot):
+                    at = order[start : start + lot]
+                    near = between[:, at] <= (best * (1 + 1e-9))[:, None]
+                    if near.any():
+                        spans = [held.spans[leaf] for leaf in leaves[at[near.any(axis=0)]]]
+                        yield np.flatnonzero(near.any(axis=1)), np.concatenate([np.arange(*s) for s in spans])
+
+        for left, rows in opened():
             part, y = x[left], held.x[rows]
-            d2 = squared_distances(part, y)
-            size = np.square(part).sum(axis=1).max() + np.square(y).sum(axis=1).max()
+            own = np.square(y).sum(axis=1)
+            d2 = left_side[left] @ np.vstack([y.T, np.ones(len(y)), own])
+            size = squares[left].max() + own.max()
             i, j = np.nonzero(d2 <= (np.minimum(best[left], d2.min(axis=1)) + 1e-9 * size)[:, None])
             exact = np.zeros(len(i))
             for k in range(p):

@@ -353,7 +353,7 @@ def assign_by_model(model: DensityFit, fresh: DataFrame, key: str = KEY, label:
         left, right = number_leaves([packed, (index.leaves, index.top)], splits)
         pairs, _ = close_pairs(left, right, eps)
         given = whole(right, "labels"), index.points
-        kernel, schema = kernels.nearest_core(p, eps * eps, eps * eps * (1 + SLACK), LEAF_BITS), "pid bigint, d2 double, label bigint"
+        kernel, schema = kernels.nearest_core(p, eps * eps, eps * eps * (1 + SLACK), LEAF_BITS, splits), "pid bigint, d2 double, label bigint"
         far = f"array_repeat({number(eps * eps)}, n)"
         first = meet((whole(left, "ws", far), facts["points"]), given, pairs.where("a = b"), kernel, schema, "first", p, home=True)
         at = F.col("pid").bitwiseAND((1 << LEAF_BITS) - 1).cast("int")

@@ -1,3 +1,5 @@
+from types import SimpleNamespace
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -412,3 +414,33 @@ def test_density_tables_go_once_they_are_spent(spark):
         gaps[:, ~core] = np.inf
         near = brute.dbscan(x, 0.5, 5)[gaps.argmin(axis=1)]
         assert np.array_equal(found, np.where(gaps.min(axis=1) <= 0.25, near, -1))
+
+
+def test_nearest_core_opens_leaves_by_row(monkeypatch):
+    """Two new rows at the ends of a box that spans all leaves open those around them, and find what brute force finds."""
+    rng = np.random.default_rng(5)
+    x = np.round(rng.normal(size=(40, 1, 2)) * 0.1 + np.arange(40)[:, None, None] * 10 + rng.normal(size=(40, 32, 2)), 6)
+    y = np.array([[1.0, 1.0], [391.0, 390.0]])
+    opened = []
+
+    class Seen(kernels.Held):
+        def __init__(self, pdf, p):
+            super().__init__(pdf, p)
+            held = self.x
+
+            class Rows:
+                def __getitem__(self, rows):
+                    opened.append(len(rows))
+                    return held[rows]
+
+            self.x = Rows()
+
+    monkeypatch.setattr(kernels, "Held", Seen)
+    splits = SimpleNamespace(middle=np.zeros(2), axes=np.eye(2))
+    leaf = lambda side, n, rows, tag, most: (0, side, n, rows.min(axis=0), rows.max(axis=0), rows.ravel(), np.arange(len(rows)), tag, most)
+    rows = [leaf(0, n, part, np.full(32, n), None) for n, part in enumerate(x)] + [leaf(1, 0, y, np.ones(2), np.full(2, 25.0))]
+    pdf = pd.DataFrame(rows, columns=["tile", "side", "leaf", "lo", "hi", "xs", "pos", "tag", "most"])
+    found = pd.concat(kernels.nearest_core(2, 25.0, 25.0 * (1 + 1e-9), 8, splits)(iter([pdf])))
+    gaps = np.square(y[:, None] - x.reshape(-1, 2)[None]).sum(axis=2)
+    assert found["pid"].tolist() == [0, 1] and found["label"].tolist() == (gaps.argmin(axis=1) // 32).tolist()
+    assert np.allclose(found["d2"], gaps.min(axis=1), rtol=1e-12) and sum(opened) <= x.shape[0] * 32 // 4
